@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import hilbert_shards, mixing, token_counts, token_files, topk_search, url_filter
+from graphloom.llm import hilbert_shards, language_id, mixing, token_counts, token_files, topk_search, url_filter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -24,6 +24,18 @@ def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.shard_rows(table(spark, sf_dir, "documents"), shards=40)
 
 
+def fold(key: str, parts: int):
+    """Which of so many parts a document belongs to, from its id alone (a null id: the text ``null``)."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("null")).cast("binary")) % parts
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 3) == 1
+    model = language_id.train(docs.where(~held_out))
+    return language_id.predict(docs, model, [F.col("doc_id"), held_out.alias("held_out")]).drop("lang_mix")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode_to_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -42,7 +54,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"), F.col("mix_probability").alias("probability"))
 
 
-QUERIES = {f.__name__: f for f in (op2_topk, op3_hilbert_shards, op6_token_files, op7_token_counts, op9_url_filter, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_topk, op3_hilbert_shards, op4_language_id, op6_token_files, op7_token_counts, op9_url_filter, op10_mixing)}
 
 
 def _hilbert_sql(bits: int = hilbert_shards.BITS) -> str:

@@ -112,7 +112,7 @@ class TokenFile:
 # --- encoding ----------------------------------------------------------------------------------------------------
 
 #: Segments whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 _ODD_BLANK = re.compile(r" \s|\s$")
 _BOUNDARY = re.compile(r" (?=\S)")
 
