@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import hilbert_shards, language_id, mixing, token_counts, token_files, topk_search, url_filter
+from graphloom.llm import hilbert_shards, jaccard_join, language_id, mixing, token_counts, token_files, topk_search, url_filter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -44,6 +44,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), percent=80)
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
@@ -54,7 +58,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"), F.col("mix_probability").alias("probability"))
 
 
-QUERIES = {f.__name__: f for f in (op2_topk, op3_hilbert_shards, op4_language_id, op6_token_files, op7_token_counts, op9_url_filter, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_topk, op3_hilbert_shards, op4_language_id, op6_token_files, op7_token_counts, op8_jaccard_join, op9_url_filter, op10_mixing)}
 
 
 def _hilbert_sql(bits: int = hilbert_shards.BITS) -> str:
@@ -123,6 +127,18 @@ checked AS (
 """
 
 ORACLE_SQL = {
+    "op8_jaccard_join": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w] ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS overlap FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * overlap >= 80 * (x.n + y.n - overlap)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, low) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.low FROM r JOIN e ON e.a = r.node WHERE r.low < e.b)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.low) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.node = d.doc_id GROUP BY ALL
+""",
     "op10_mixing": _mixing_sql(),
     "op3_hilbert_shards": f"""
 WITH {_CRC_SQL},
