@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import hilbert_shards, jaccard_join, language_id, mixing, token_counts, token_files, topk_search, url_filter
+from graphloom.llm import hilbert_shards, jaccard_join, language_id, mixing, ngram_lm, token_counts, token_files, topk_search, url_filter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -36,6 +36,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, [F.col("doc_id"), held_out.alias("held_out")]).drop("lang_mix")
 
 
+def op5_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 10) == 0
+    return ngram_lm.score(docs, ngram_lm.build(docs.where(~held_out)), [F.col("doc_id"), held_out.alias("held_out")])
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode_to_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -58,7 +64,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"), F.col("mix_probability").alias("probability"))
 
 
-QUERIES = {f.__name__: f for f in (op2_topk, op3_hilbert_shards, op4_language_id, op6_token_files, op7_token_counts, op8_jaccard_join, op9_url_filter, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_topk, op3_hilbert_shards, op4_language_id, op5_ngram_lm, op6_token_files, op7_token_counts, op8_jaccard_join, op9_url_filter, op10_mixing)}
 
 
 def _hilbert_sql(bits: int = hilbert_shards.BITS) -> str:
