@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import hilbert_shards, jaccard_join, language_id, mixing, ngram_lm, token_counts, token_files, topk_search, url_filter
+from graphloom.llm import decontaminate, hilbert_shards, jaccard_join, language_id, mixing, ngram_lm, token_counts, token_files, topk_search, url_filter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), least=0.8)
+
+
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return topk_search.top_k(rows.where(F.col("vec_id") % 100 == 0), rows, k=10)
@@ -64,7 +68,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"), F.col("mix_probability").alias("probability"))
 
 
-QUERIES = {f.__name__: f for f in (op2_topk, op3_hilbert_shards, op4_language_id, op5_ngram_lm, op6_token_files, op7_token_counts, op8_jaccard_join, op9_url_filter, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_topk, op3_hilbert_shards, op4_language_id, op5_ngram_lm, op6_token_files, op7_token_counts, op8_jaccard_join, op9_url_filter, op10_mixing)}
 
 
 def _hilbert_sql(bits: int = hilbert_shards.BITS) -> str:
