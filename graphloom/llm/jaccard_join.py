@@ -11,6 +11,10 @@ the whole block in tiles of bounded bytes. A tile adds up overlap counts over bl
 overlap and remaining columns stay below the bound that their sizes give, and returns a spanning set of its links. So a
 large group of near copies costs a pass over it, and neither its pairs nor its members are ever in one task.
 
+Both steps count over the prefix columns first, which are few. Of two prefixes, take the one that ends first in the column
+order: what it shares with the other set, it shares with the other's prefix. So a pair that reaches the wanted overlap
+shares ``least_met`` prefix columns, and whole sets are sent only for pairs that do.
+
 A document with fewer than five words has its whole sequence as one n-gram; one without words is linked with nothing.
 Rows with a null id have a null component and link nothing. Rows with one id and several texts count as one document.
 """
@@ -50,6 +54,11 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def least_met(a, b, percent: int):
+    """The prefix columns that two sets of these sizes share if they are linked (1 at least)."""
+    return np.maximum(1, least_overlap(a, b, percent) + percent * -np.maximum(a, b) // 100 + 1)
+
+
 def _profile(docs: DataFrame) -> DataFrame:
     """Rows (id, n, sig) of every document, and slices of each task's column counts."""
 
@@ -87,7 +96,7 @@ def _column_order(profile: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, order: np.ndarray, percent: int) -> DataFrame:
-    """(id, columns): the prefix of each document's columns, rarest first."""
+    """(id, n, columns): the prefix of each document's columns, rarest first."""
     sent = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches):
@@ -97,9 +106,10 @@ def _prefixes(docs: DataFrame, order: np.ndarray, percent: int) -> DataFrame:
                 short = [s[np.lexsort((s, rank[(s >> np.uint64(44)).astype(np.int64)]))[: prefix_length(s.size, percent)]] if s.size else s for s in sets]
                 ends = np.cumsum([0, *(x.size for x in short)]).astype(np.int32)
                 flat = np.concatenate(short).view(np.int64) if ends[-1] else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(row, len(sets)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "columns"])
+                n = pa.array([s.size for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(row, len(sets)), n, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "n", "columns"])
 
-    return docs.mapInArrow(run, "id long, columns array<long>")
+    return docs.mapInArrow(run, "id long, n long, columns array<long>")
 
 
 def _bit_map(ids: DataFrame, n: int) -> np.ndarray:
@@ -141,10 +151,9 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return placed.mapInArrow(run, "id long, n long, columns binary")
 
 
-def tile_links(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which pairs (left, right) reach the similarity: overlap counts added up over blocks of columns."""
+def tile_overlaps(left: list[np.ndarray], right: list[np.ndarray], need: np.ndarray) -> np.ndarray:
+    """Which pairs (left, right) share ``need`` columns: overlap counts added up over blocks of columns."""
     sizes = np.array([s.size for s in left], np.int64), np.array([s.size for s in right], np.int64)
-    need = least_overlap(sizes[0][:, None], sizes[1][None, :], percent)
     alive = need <= np.minimum(sizes[0][:, None], sizes[1][None, :])
     if not alive.any():
         return alive
@@ -190,51 +199,93 @@ def spanning(hits: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tupl
     return out
 
 
-def _star_links(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``blocks`` (leader, member) with whether each member is linked with its leader, and its size."""
-    member = sets.select(F.col("id").alias("member"), F.col("n").alias("n"), F.col("columns").alias("mine"))
-    leader = sets.select(F.col("id").alias("leader"), F.col("n").alias("leader_n"), F.col("columns").alias("theirs"))
-    # Sizes alone rule a pair out before its sets are sent.
-    both = blocks.join(member, "member").join(leader, "leader")
+def _may_link(percent: int):
+    """Column test of (mine, theirs, n, leader_n): sizes and shared prefix columns allow a link."""
+    least = F.expr(f"cast(ceil({percent}L * (n + leader_n) / {100 + percent}D) as long)")
+    met = F.greatest(F.lit(1), least - F.expr(f"cast(ceil({percent}L * greatest(n, leader_n) / 100D) as long)") + 1)
+    return (least <= F.least("n", "leader_n")) & (F.size(F.array_intersect("mine", "theirs")) >= met)
+
+
+def _joined(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """``pairs`` (leader, member) with size and columns of both ends from ``table`` (id, n, columns)."""
+    member = table.select(F.col("id").alias("member"), "n", F.col("columns").alias("mine"))
+    leader = table.select(F.col("id").alias("leader"), F.col("n").alias("leader_n"), F.col("columns").alias("theirs"))
+    return pairs.join(member, "member").join(leader, "leader")
+
+
+def _star_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The linked ones of ``pairs`` (leader, member)."""
 
     def run(batches):
         for b in batches:
-            mine, theirs = b.column(3).to_pylist(), b.column(4).to_pylist()
+            mine, theirs = b.column(2).to_pylist(), b.column(3).to_pylist()
             hit = []
             for x, y in zip(mine, theirs, strict=True):
                 p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 need = int(least_overlap(p.size, q.size, percent))
                 hit.append(need <= min(p.size, q.size) and np.intersect1d(p, q, assume_unique=True).size >= need)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(hit, pa.bool_())], ["leader", "member", "n", "linked"])
+            keep = pa.array(hit, pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], ["leader", "member"])
 
-    return both.select("leader", "member", "n", "mine", "theirs").mapInArrow(run, "leader long, member long, n long, linked boolean")
+    return _joined(pairs, sets).select("leader", "member", "mine", "theirs").mapInArrow(run, "leader long, member long")
 
 
-def _tile_links(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between the members that a leader isn't linked with and all members of its block."""
-    open_blocks = stars.groupBy("leader").agg(
-        F.count("*").alias("members"), F.sum(F.when(~F.col("linked"), F.col("n") * 8)).alias("left_bytes"), F.sum(F.col("n") * 8).alias("right_bytes")
-    ).where("left_bytes is not null and members > 1")
-    tiles = lambda size: F.greatest(F.lit(1), F.ceil(F.col(size) / TILE_BYTES)).cast("int")
-    rows = stars.join(open_blocks.select("leader", tiles("left_bytes").alias("ls"), tiles("right_bytes").alias("rs")), "leader")
+def _tiles(rows: DataFrame, table: DataFrame, bytes_of, kernel, fields: str) -> DataFrame:
+    """``kernel`` on every tile of every block: rows (leader, member, left) of which the left ones meet all of the block."""
+    rows = rows.join(table.select(F.col("id").alias("member"), "n", bytes_of.alias("_bytes"), "columns"), "member")
+    sizes = rows.groupBy("leader").agg(F.sum(F.when(F.col("left"), F.col("_bytes"))).alias("ls"), F.sum("_bytes").alias("rs"), F.count("*").alias("members"))
+    tiles = lambda size: F.greatest(F.lit(1), F.ceil(F.col(size) / TILE_BYTES)).cast("int").alias(size)
+    rows = rows.join(sizes.where("ls is not null and members > 1").select("leader", tiles("ls"), tiles("rs")), "leader")
     mine = lambda n: F.pmod(F.xxhash64("member"), F.col(n)).cast("int")
-    left = rows.where(~F.col("linked")).select("leader", "member", F.lit(True).alias("left"), mine("ls").alias("i"), F.explode(F.sequence(F.lit(0), F.col("rs") - 1)).alias("j"))
-    right = rows.select("leader", "member", F.lit(False).alias("left"), F.explode(F.sequence(F.lit(0), F.col("ls") - 1)).alias("i"), mine("rs").alias("j"))
-    packed = left.unionByName(right).join(sets.select(F.col("id").alias("member"), "columns"), "member")
-
-    def run(group):
-        is_left = group.column("left").to_numpy()
-        ids = group.column("member").to_numpy()
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    # A tile (i, j) has the left rows of part i and all rows of part j.
+    as_right = F.transform(every("ls"), lambda i: F.struct(i.alias("i"), mine("rs").alias("j"), F.lit(False).alias("is_left")))
+    as_left = F.transform(every("rs"), lambda j: F.struct(mine("ls").alias("i"), j.alias("j"), F.lit(True).alias("is_left")))
+    places = F.when(F.col("left"), F.concat(as_right, as_left)).otherwise(as_right)
+    dealt = rows.select("leader", "member", "n", "columns", F.explode(places).alias("at")).select("leader", "at.i", "at.j", "at.is_left", "member", "n", "columns")
+    return dealt.groupBy("leader", "i", "j").applyInArrow(kernel, fields)
+
+
+def _sides(group: pa.Table):
+    """Rows of the tile's left and right side: (ids, sizes, places in the group) of each."""
+    is_left = group.column("is_left").to_numpy()
+    ids, n = group.column("member").to_numpy(), group.column("n").to_numpy()
+    return [(ids[at], n[at], at) for at in (np.flatnonzero(is_left), np.flatnonzero(~is_left))]
+
+
+def _tile_hopes(blocks: DataFrame, met: DataFrame, percent: int) -> DataFrame:
+    """Rows (leader, member, left) that may still have a link in their block, by their prefix columns."""
+
+    def kernel(group):
+        (ids, n, at), (other_ids, other_n, other_at) = _sides(group)
+        lists = group.column("columns").combine_chunks()
+        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        columns = [flat[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        need = np.where(least_overlap(n[:, None], other_n[None, :], percent) <= np.minimum(n[:, None], other_n[None, :]), least_met(n[:, None], other_n[None, :], percent), 1 << 60)
+        need[ids[:, None] == other_ids[None, :]] = 1 << 60
+        hits = tile_overlaps([columns[i] for i in at], [columns[i] for i in other_at], need) if at.size and other_at.size else np.zeros((at.size, other_at.size), bool)
+        a, b = ids[hits.any(1)], other_ids[hits.any(0)]
+        leader = group.column("leader")[0].as_py() if group.num_rows else 0
+        return pa.table({"leader": np.full(a.size + b.size, leader, np.int64), "member": np.concatenate([a, b]), "left": np.arange(a.size + b.size) < a.size})
+
+    hopes = _tiles(blocks, met, F.size("columns") * 8, kernel, "leader long, member long, left boolean")
+    return hopes.groupBy("leader", "member").agg(F.max("left").alias("left"))
+
+
+def _tile_links(hopes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of each block's left rows with all its rows."""
+
+    def kernel(group):
+        (ids, n, at), (other_ids, other_n, other_at) = _sides(group)
         columns = [np.frombuffer(x, np.uint64) for x in group.column("columns").to_pylist()]
-        at = np.flatnonzero(is_left), np.flatnonzero(~is_left)
         out: list[tuple[int, int]] = []
-        if at[0].size and at[1].size:
-            hits = tile_links([columns[i] for i in at[0]], [columns[i] for i in at[1]], percent)
-            hits &= ids[at[0]][:, None] != ids[at[1]][None, :]
-            out = spanning(hits, ids[at[0]], ids[at[1]])
+        if at.size and other_at.size:
+            hits = tile_overlaps([columns[i] for i in at], [columns[i] for i in other_at], least_overlap(n[:, None], other_n[None, :], percent))
+            hits &= ids[:, None] != other_ids[None, :]
+            out = spanning(hits, ids, other_ids)
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
-    return packed.groupBy("leader", "i", "j").applyInArrow(run, "a long, b long")
+    return _tiles(hopes, sets, F.octet_length("columns"), kernel, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -247,16 +298,20 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     texts = docs.where("id is not null")
 
     prefixes = _prefixes(texts, _column_order(profile), percent)
-    columns = prefixes.join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("id", F.explode("columns").alias("column"))
+    columns = prefixes.join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("id", "n", F.explode("columns").alias("column"))
     several = columns.groupBy("column").agg(F.count("*").alias("sets")).where("sets > 1").select("column")
-    meet = written(columns.join(several, "column"))
-    known = meet.groupBy("id").agg(F.count("*").alias("degree"))
-    leaders = meet.join(known, "id").groupBy("column").agg(F.max_by("id", F.struct("degree", -F.col("id"))).alias("leader"))
-    blocks = written(meet.join(leaders, "column").where("id <> leader").select("leader", F.col("id").alias("member")).distinct())
-
-    sets = written(_sets(texts, blocks.select(F.col("leader").alias("id")).unionByName(blocks.select(F.col("member").alias("id"))).distinct()))
-    stars = written(_star_links(blocks, sets, percent))
-    links = stars.where("linked").select(F.col("leader").alias("a"), F.col("member").alias("b")).unionByName(_tile_links(stars, sets, percent))
+    met = written(columns.join(several, "column").groupBy("id").agg(F.max("n").alias("n"), F.collect_set("column").alias("columns")))
+    spread = met.select("id", F.size("columns").alias("degree"), F.explode("columns").alias("column"))
+    leaders = spread.groupBy("column").agg(F.max_by("id", F.struct("degree", -F.col("id"))).alias("leader"))
+    blocks = written(spread.join(leaders, "column").where("id <> leader").select("leader", F.col("id").alias("member")).distinct())
+
+    ends = lambda pairs: pairs.select(F.col("leader").alias("id")).unionByName(pairs.select(F.col("member").alias("id"))).distinct()
+    near = written(_joined(blocks, met).where(_may_link(percent)).select("leader", "member"))
+    stars = written(_star_links(near, written(_sets(texts, ends(near))), percent))
+    rest = blocks.join(stars.withColumn("linked", F.lit(True)), ["leader", "member"], "left").select("leader", "member", F.col("linked").isNull().alias("left"))
+    hopes = written(_tile_hopes(rest, met, percent))
+    tiled = _tile_links(hopes, _sets(texts, ends(hopes)), percent)
+    links = stars.select(F.col("leader").alias("a"), F.col("member").alias("b")).unionByName(tiled)
     found = written(connected_components(links))
 
     named = classes.join(found, classes["rep"] == found["node"], "left").select("sig", F.coalesce("component", "rep").alias("component"))
