@@ -21,6 +21,8 @@ Rows with a null id have a null component and link nothing. Rows with one id and
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -28,13 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.components import connected_components
-from graphloom.llm.shared import text_batches, written
+from graphloom.llm.elias_fano import EliasFano, encode
+from graphloom.llm.shared import make_dirs, open_file, put_file, shared_dir, text_batches, written
 from graphloom.llm.words import hashed_steps, row_shingles, texts_of
 
 #: Buckets of the column-count sketch and the slices in which it is summed; both fixed.
 BUCKETS, SLICES = 1 << 20, 64
 #: Bytes of sets on one side of a tile, and columns that a tile adds up at once.
 TILE_BYTES, TILE_COLUMNS = 4 << 20, 4096
+#: Bits that name a column among the shared ones, columns of all prefixes to a shard, and columns held by a task.
+KEY_BITS, SHARD_COLUMNS, FLUSH_COLUMNS = 48, 1 << 20, 1 << 21
 #: Most bits of the map of documents that take part in some block.
 MAP_BITS = 1 << 27
 
@@ -95,19 +100,87 @@ def _column_order(profile: DataFrame) -> np.ndarray:
     return order.reshape(-1)
 
 
-def _prefixes(docs: DataFrame, order: np.ndarray, percent: int) -> DataFrame:
-    """(id, n, columns): the prefix of each document's columns, rarest first."""
-    sent = docs.sparkSession.sparkContext.broadcast(order)
+def _prefix(s: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
+    """The prefix of a set's columns, rarest first."""
+    return s[np.lexsort((s, rank[(s >> np.uint64(44)).astype(np.int64)]))[: prefix_length(s.size, percent)]] if s.size else s
+
+
+def _short(columns: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shard of each column by its first bits, and its next bits as the key there: ``KEY_BITS`` in all."""
+    return (columns >> np.uint64(64 - bits)).astype(np.int64), (columns >> np.uint64(64 - KEY_BITS)) & np.uint64((1 << (KEY_BITS - bits)) - 1)
+
+
+@functools.lru_cache(4096)
+def _shared_keys(name: str) -> EliasFano:
+    return EliasFano(np.frombuffer(open_file(name).read_buffer(), np.uint8))
+
+
+def _shared_columns(docs: DataFrame, sent, percent: int, bits: int) -> dict[int, str]:
+    """Files with the prefix columns that occur in several documents (and a few others), by shard.
+
+    Tasks send their distinct columns as Elias-Fano coded blocks, so a common column is one entry a block. A column is
+    named by ``KEY_BITS`` bits there: two columns of one name count as shared, which costs a test and loses nothing.
+    """
+    folder = shared_dir(docs.sparkSession)
+    make_dirs(folder)
+    universe = 1 << (KEY_BITS - bits)
+
+    def run(batches):
+        held, n = [], 0
+
+        def flush():
+            keys, counts = np.unique(np.concatenate(held) >> np.uint64(64 - KEY_BITS), return_counts=True)
+            shard, keys = _short(keys << np.uint64(64 - KEY_BITS), bits)
+            names, first = np.unique(shard, return_index=True)
+            cuts = [*first.tolist(), keys.size]
+            rows = [(encode(keys[a:b], universe), np.packbits(counts[a:b] > 1).tobytes()) for a, b in zip(cuts, cuts[1:], strict=False)]
+            return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], ["shard", "keys", "again"])
+
+        for b in batches:
+            for _, sets in sets_of(texts_of(b.column(1))):
+                held += [_prefix(s, sent.value, percent) for s in sets if s.size]
+                n += sum(x.size for x in held[-len(sets) :])
+                if n >= FLUSH_COLUMNS:
+                    yield flush()
+                    held, n = [], 0
+        if held:
+            yield flush()
+
+    def write(group):
+        keys, again = [], []
+        for x, more in zip(group.column("keys").to_pylist(), group.column("again").to_pylist(), strict=True):
+            keys.append(EliasFano(np.frombuffer(x, np.uint8)).values())
+            again.append(keys[-1][np.unpackbits(np.frombuffer(more, np.uint8), count=keys[-1].size) == 1])
+        flat = np.sort(np.concatenate(keys))
+        met = np.unique(np.concatenate([flat[1:][flat[1:] == flat[:-1]], *again]))
+        shard = group.column("shard")[0].as_py()
+        return pa.table({"shard": pa.array([shard], pa.int32()), "name": [put_file(folder, f"columns-{shard:05d}.ef", [encode(met, universe)])]})
+
+    blocks = docs.mapInArrow(run, "shard int, keys binary, again binary")
+    return {r["shard"]: r["name"] for r in blocks.groupBy("shard").applyInArrow(write, "shard int, name string").collect()}  # a row a shard
+
+
+def _met(docs: DataFrame, sent, percent: int, bits: int, files: dict[int, str]) -> DataFrame:
+    """(id, n, columns): each document's prefix columns that several documents have; documents without any are left out."""
 
     def run(batches):
-        rank = sent.value
         for b in batches:
             for row, sets in sets_of(texts_of(b.column(1))):
-                short = [s[np.lexsort((s, rank[(s >> np.uint64(44)).astype(np.int64)]))[: prefix_length(s.size, percent)]] if s.size else s for s in sets]
-                ends = np.cumsum([0, *(x.size for x in short)]).astype(np.int32)
-                flat = np.concatenate(short).view(np.int64) if ends[-1] else np.zeros(0, np.int64)
-                n = pa.array([s.size for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(row, len(sets)), n, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "n", "columns"])
+                short = [_prefix(s, sent.value, percent) for s in sets]
+                owner = np.repeat(np.arange(len(sets)), [x.size for x in short])
+                flat = np.concatenate(short) if owner.size else np.zeros(0, np.uint64)
+                shard, keys = _short(flat, bits)
+                met = np.zeros(flat.size, bool)
+                order = np.argsort(shard, kind="stable")
+                for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if flat.size else []:
+                    if (s := int(shard[part[0]])) in files:
+                        met[part] = _shared_keys(files[s]).find(keys[part]) >= 0
+                counts = np.bincount(owner[met], minlength=len(sets))
+                rows = np.flatnonzero(counts)
+                ends = np.concatenate([[0], np.cumsum(counts[rows])]).astype(np.int32)
+                n = pa.array([sets[i].size for i in rows.tolist()], pa.int64())
+                columns = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[met].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows + row)), n, columns], ["id", "n", "columns"])
 
     return docs.mapInArrow(run, "id long, n long, columns array<long>")
 
@@ -297,10 +370,12 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     classes = written(rows.where("n > 0 and id is not null").groupBy("sig").agg(F.min("id").alias("rep")))
     texts = docs.where("id is not null")
 
-    prefixes = _prefixes(texts, _column_order(profile), percent)
-    columns = prefixes.join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("id", "n", F.explode("columns").alias("column"))
-    several = columns.groupBy("column").agg(F.count("*").alias("sets")).where("sets > 1").select("column")
-    met = written(columns.join(several, "column").groupBy("id").agg(F.max("n").alias("n"), F.collect_set("column").alias("columns")))
+    order = docs.sparkSession.sparkContext.broadcast(_column_order(profile))
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    bits = max(3, (total * (100 - percent) // 100 // SHARD_COLUMNS).bit_length())
+    files = _shared_columns(texts, order, percent, bits)
+    reps = classes.select(F.col("rep").alias("id")).distinct()
+    met = written(_met(texts, order, percent, bits, files).join(reps, "id", "left_semi"))
     spread = met.select("id", F.size("columns").alias("degree"), F.explode("columns").alias("column"))
     leaders = spread.groupBy("column").agg(F.max_by("id", F.struct("degree", -F.col("id"))).alias("leader"))
     blocks = written(spread.join(leaders, "column").where("id <> leader").select("leader", F.col("id").alias("member")).distinct())
