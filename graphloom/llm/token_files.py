@@ -17,6 +17,7 @@ import functools
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -113,7 +114,6 @@ class TokenFile:
 
 #: Segments whose ids a worker remembers.
 REMEMBERED = 1_000_000
-_ODD_BLANK = re.compile(r" \s|\s$")
 _BOUNDARY = re.compile(r" (?=\S)")
 
 
@@ -139,25 +139,25 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def segments(self, text: str) -> list[str]:
-        """The text's first segment as it stands, the others without the blank before them."""
-        if not self.split or any(s in text for s in self.special):
-            return [text]
-        return _BOUNDARY.split(text) if _ODD_BLANK.search(text) else text.split(" ")
+        return [array("I", x.ids).tobytes() for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str], end: bytes) -> list[np.ndarray]:
         """Ids of each text, then the end id; ``texts`` are small enough to be held at once."""
-        cut = [self.segments(t) for t in texts]
+        whole = [not self.split or any(s in t for s in self.special) for t in texts]
+        cut = [[t] if w else t.split(" ") for t, w in zip(texts, whole, strict=True)]
+        firsts = [c.pop(0) for c in cut]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        known = self.known
-        firsts = self._ids([c[0] for c in cut])
-        new = [s for s in {s for c in cut for s in c[1:]} if s not in known]
-        for s, ids in zip(new, self._ids([f" {s}" for s in new]), strict=True):
-            known[s] = ids
-        return [np.frombuffer(b"".join([first, *map(known.__getitem__, c[1:]), end]), "<u4") for first, c in zip(firsts, cut, strict=True)]
+        new = set().union(*cut) - self.known.keys()
+        if odd := {s for s in new if not s or s[0].isspace()}:  # a blank before a blank is no boundary
+            for i, c in enumerate(cut):
+                if not odd.isdisjoint(c):
+                    firsts[i], *cut[i] = _BOUNDARY.split(texts[i])
+            new = set().union(*cut) - self.known.keys()
+        new = list(new)
+        self.known.update(zip(new, self._ids([f" {s}" for s in new]), strict=True))
+        get = self.known.__getitem__
+        return [np.frombuffer(b"".join([first, *map(get, c), end]), "<u4") for first, c in zip(self._ids(firsts), cut, strict=True)]
 
 
 @functools.cache
@@ -167,7 +167,7 @@ def encoder(path: str) -> Encoder:
 
 # --- Spark -------------------------------------------------------------------------------------------------------
 
-_STEP_CHARS = 1 << 20
+_STEP_CHARS = 1 << 21
 
 
 def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
