@@ -1,10 +1,458 @@
-"""Every registered query of the knowledge-graph operators, with its check in plain SQL."""
+"""Every registered query of the knowledge-graph operators, with its check in plain SQL.
+
+Queries give the given tables the structure that an operator needs (headings, sheets, pages, model answers, a graph) by
+expressions that their SQL repeats.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from graphloom.functions.text import detect_content_type
+from graphloom.operators import aggregation, chunking, extraction, graph, retrieval, validation
+from graphloom.sources import files, markup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A single file is one partition: deal its rows out before heavy work on each."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+# --- documents with structure ------------------------------------------------------------------------------------
+
+_HEADED = F.expr("array_join(transform(split(text, '\n', -1), (x, i) -> concat(if(i % 5 = 0, concat('## Part ', i, '\n\n'), ''), x)), '\n\n')")
+_PLAIN = F.expr("replace(text, '\n', '\n\n')")
+_PAGED = F.expr("replace(text, '\n', '\n---\n')")
+
+#: C2 in SQL: paragraphs are numbered and a recursion walks them with the open chunk's weight.
+_PACKED = """
+WITH RECURSIVE lines AS (
+  SELECT doc_id, source, unnest(string_split(text, chr(10))) AS p, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+p AS (SELECT doc_id, source, trim(p, ' ' || chr(9)) AS p, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM lines WHERE trim(p, ' ' || chr(9)) <> ''),
+walk(doc_id, source, k, p, g, w) AS (
+  SELECT doc_id, source, k, p, 0, length(p) + 2 FROM p WHERE k = 1
+  UNION ALL
+  SELECT p.doc_id, p.source, p.k, p.p, CASE WHEN w.w + length(p.p) + 2 > 1500 THEN w.g + 1 ELSE w.g END,
+    CASE WHEN w.w + length(p.p) + 2 > 1500 THEN length(p.p) + 2 ELSE w.w + length(p.p) + 2 END
+  FROM walk w JOIN p ON p.doc_id = w.doc_id AND p.k = w.k + 1),
+chunks AS (SELECT doc_id, source, g::INT AS chunk_seq, string_agg(p, chr(10) || chr(10) ORDER BY k) AS content FROM walk GROUP BY doc_id, source, g)
+"""
+
+
+def _plain_chunks(spark, sf_dir) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "source", _PLAIN.alias("markdown"))
+    return chunking.chunk_documents(docs.withColumnRenamed("source", "origin"))
+
+
+@query(f"""{_PACKED}
+SELECT source, 'plain' AS content_type, count(DISTINCT doc_id) AS documents, count(*) AS chunks, sum(length(content))::BIGINT AS chars, max(length(content))::INT AS longest
+FROM chunks GROUP BY source""")
+def w1_chunk_profile(spark, sf_dir):
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "source", _PLAIN.alias("text"))
+    kinds = docs.select("doc_id", "source", detect_content_type(F.col("text")).alias("content_type"), F.explode(chunking.chunk_by_paragraphs(F.col("text"))).alias("c"))
+    each = kinds.groupBy("source", "content_type", "doc_id").agg(F.count("*").alias("n"), F.sum("c.char_count").alias("chars"), F.max("c.char_count").alias("longest"))
+    return each.groupBy("source", "content_type").agg(F.count("*").alias("documents"), F.sum("n").alias("chunks"), F.sum("chars").alias("chars"), F.max("longest").alias("longest"))
+
+
+@query(f"{_PACKED} SELECT doc_id, chunk_seq, md5(content) AS digest, length(content)::INT AS char_count, 'narrative' AS content_type FROM chunks")
+def b2_c2_chunk_documents(spark, sf_dir):
+    return _plain_chunks(spark, sf_dir).select("doc_id", "chunk_seq", F.md5("content").alias("digest"), "char_count", "content_type")
+
+
+@query(f"""{_PACKED}
+SELECT id, arg_max(left(content, 2000), (doc_id, chunk_seq)) AS text, arg_max(source, (doc_id, chunk_seq)) AS source, '' AS section, max(length(content))::INT AS char_count
+FROM (SELECT *, substr(md5(content), 1, 12) AS id FROM chunks) GROUP BY id""")
+def c7_c8_f6_chunk_nodes(spark, sf_dir):
+    chunks = _plain_chunks(spark, sf_dir).withColumn("source", F.col("origin")).withColumn("ord", F.struct("doc_id", "chunk_seq"))
+    return graph.merge_chunk_nodes(None, chunking.chunk_nodes(chunks))
+
+
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'structured' WHEN doc_id % 3 = 1 THEN 'tabular' ELSE 'plain' END AS content_type FROM documents""")
+def b1_content_type(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    text = F.when(F.col("doc_id") % 3 == 0, _HEADED).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("| "), F.replace(_PLAIN, F.lit("\n\n"), F.lit("\n| ")))).otherwise(_PLAIN)
+    return docs.select("doc_id", detect_content_type(text).alias("content_type"))
+
+
+@query()
+def c1_c5_header_chunks(spark, sf_dir):
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", F.posexplode(chunking.chunk_by_headers(_HEADED)).alias("chunk_seq", "c"))
+    return docs.select("doc_id", "chunk_seq", "c.*")
+
+
+@query()
+def c4_page_chunks(spark, sf_dir):
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", F.posexplode(chunking.chunk_by_pages(_PAGED)).alias("chunk_seq", "c"))
+    return docs.select("doc_id", "chunk_seq", "c.*")
+
+
+def _sheets(spark, sf_dir) -> DataFrame:
+    cells = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("doc_id"), F.lit(0).alias("sheet_no"), F.lit("Customers").alias("sheet"), F.col("c_custkey").alias("row_no"), F.array(F.col("c_custkey").cast("string"), "c_name", "c_mktsegment").alias("values"))
+    head = cells.select("doc_id", "sheet_no", "sheet", F.lit(-1).cast("long").alias("row_no"), F.array(F.lit("c_custkey"), F.lit("c_name"), F.lit("c_mktsegment")).alias("values")).distinct()
+    return markup.rows_to_markdown(cells.unionByName(head))
+
+
+@query("""
+SELECT c_nationkey AS doc_id, md5('## Customers' || chr(10) || chr(10) || '| c_custkey | c_name | c_mktsegment |' || chr(10) || '| --- | --- | --- |' || chr(10) ||
+  string_agg('| ' || c_custkey || ' | ' || c_name || ' | ' || c_mktsegment || ' |', chr(10) ORDER BY c_custkey) || chr(10)) AS digest FROM customer GROUP BY c_nationkey""")
+def a5_rows_to_markdown(spark, sf_dir):
+    return _sheets(spark, sf_dir).select("doc_id", F.md5("markdown").alias("digest"))
+
+
+@query("""
+WITH r AS (SELECT *, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 30 AS g FROM customer)
+SELECT c_nationkey AS doc_id, g::INT AS chunk_seq, 'Customers' AS section, 'table' AS content_type, (g * 30 + 1) || '-' || (g * 30 + count(*)) AS row_range,
+  md5('| c_custkey | c_name | c_mktsegment |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg('| ' || c_custkey || ' | ' || c_name || ' | ' || c_mktsegment || ' |', chr(10) ORDER BY c_custkey)) AS digest
+FROM r GROUP BY c_nationkey, g""")
+def c3_table_chunks(spark, sf_dir):
+    return chunking.chunk_documents(_sheets(spark, sf_dir)).select("doc_id", "chunk_seq", "section", "content_type", "row_range", F.md5("content").alias("digest"))
+
+
+@query("""
+SELECT doc_id, i::INT AS chunk_seq, substr(text, i * 800 + 1, 1000) AS content
+FROM (SELECT doc_id, text, unnest(range(0, greatest(length(text) - 201, 0) // 800 + 1)) AS i FROM documents WHERE length(text) > 0)""")
+def p10_chunk_fixed(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(chunking.chunk_fixed(F.col("text"), 1000, 200)).alias("chunk_seq", "c"))
+    return rows.select("doc_id", "chunk_seq", "c.content")
+
+
+@query("""
+SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN '.pdf' WHEN 1 THEN NULL WHEN 2 THEN '.docx' WHEN 3 THEN '.md' WHEN 4 THEN NULL ELSE '.csv' END AS file_type FROM documents""")
+def a2_detect_file_type(spark, sf_dir):
+    kind = F.col("doc_id") % 6
+    head = F.when(kind == 0, F.unhex(F.lit("255044462D"))).when(kind == 1, F.unhex(F.lit("89504E470D0A1A0A"))).when(kind == 2, F.unhex(F.lit("504B0304776F72642F"))).otherwise(F.unhex(F.lit("")))
+    path = F.concat(F.lit("/in/"), F.col("doc_id"), F.when(kind == 3, ".MD").when(kind == 4, ".exe").when(kind == 5, ".csv").otherwise(""))
+    content = F.concat(head, F.col("text").cast("binary"))
+    return table(spark, sf_dir, "documents").select("doc_id", files.detect_file_type(content, path).alias("file_type"))
+
+
+def _html_sql() -> str:
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    expr = "html"
+    for pattern, replacement in markup.HTML_STEPS:
+        expr = f"regexp_replace({expr}, {quote(pattern)}, {quote(replacement)}, 'g')"
+    return f"SELECT page_id, trim({expr}, ' ' || chr(9) || chr(13) || chr(10)) AS markdown FROM pages"
+
+
+@query(_html_sql())
+def a4_html_to_markdown(spark, sf_dir):
+    return spread(table(spark, sf_dir, "pages")).select("page_id", markup.html_to_markdown(F.col("html")).alias("markdown"))
+
+
+@query("""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) AS page_no FROM documents),
+p AS (SELECT doc_id, page_no, length(trim(CASE WHEN doc_id % 5 = 0 OR (doc_id + page_no) % 3 = 0 THEN '' ELSE t END)) AS n FROM l),
+s AS (SELECT doc_id, count(*) AS total_pages, count(*) FILTER (page_no <= 3) AS pages_checked, count(*) FILTER (page_no <= 3 AND n >= 50) AS w, sum(n) FILTER (page_no <= 3) AS c FROM p GROUP BY doc_id)
+SELECT doc_id, CASE WHEN w = pages_checked THEN 'digital' WHEN w = 0 THEN 'scanned' ELSE 'hybrid' END AS pdf_type, w <> pages_checked AS needs_ocr, pages_checked, total_pages, c / pages_checked AS avg_chars_per_page FROM s""")
+def a6_classify_pdf_pages(spark, sf_dir):
+    pages = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("i", "t"))
+    blank = (F.col("doc_id") % 5 == 0) | ((F.col("doc_id") + F.col("i") + 1) % 3 == 0)
+    return markup.classify_pdf_pages(pages.select("doc_id", (F.col("i") + 1).alias("page_no"), F.when(blank, "").otherwise(F.col("t")).alias("text")))
+
+
+@query(f"""{_PACKED},
+n AS (SELECT doc_id, chunk_seq, count(*) OVER (PARTITION BY doc_id) AS n FROM chunks)
+SELECT doc_id, chunk_seq FROM n WHERE n <= 3 OR (chunk_seq % (n // 3) = 0 AND chunk_seq // (n // 3) < 3)""")
+def d1_sample_chunks(spark, sf_dir):
+    return extraction.sample_chunks(_plain_chunks(spark, sf_dir), k=3).select("doc_id", "chunk_seq")
+
+
+@query("""
+SELECT doc_id, m AS name, 'Email' AS entity_type FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\\b[\\w.]+@[\\w.]+\\.\\w+\\b')) AS m FROM documents)
+UNION ALL SELECT doc_id, m, 'Date' FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\\b\\d{4}-\\d{2}-\\d{2}\\b')) AS m FROM documents)""")
+def p1_extract_patterns(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kinds = {k: extraction.PATTERNS[k] for k in ("Email", "Date")}
+    return extraction.extract_patterns(docs, "text", kinds).select("doc_id", "name", "entity_type")
+
+
+# --- model answers -----------------------------------------------------------------------------------------------
+
+
+def _answers(spark, sf_dir) -> DataFrame:
+    """An answer for each order: by o_orderkey % 7 clean, after prose, fenced, two objects, cut off, without JSON, a list."""
+    orders = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    body = F.format_string(
+        '{"entities":[{"name":"%s","type":"Customer","properties":{"segment":"%s","last":"%s"}},{"name":"Order %s","type":"Order","properties":{"status":"%s"}}],"relationships":[{"from":"%s","to":"Order %s","type":"PLACED"}]}',
+        "c_name", "c_mktsegment", F.col("o_orderkey").cast("string"), F.col("o_orderkey").cast("string"), "o_orderstatus", "c_name", F.col("o_orderkey").cast("string"),
+    )
+    kind = F.col("o_orderkey") % 7
+    text = F.when(kind == 0, body).when(kind == 1, F.concat(F.lit("Here it is: "), body)).when(kind == 2, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(kind == 3, F.concat(body, F.lit(" "), body))
+    text = text.when(kind == 4, F.left(body, F.length(body) - 5)).when(kind == 5, "none found").otherwise(F.concat(F.lit("["), body, F.lit("]")))
+    return spread(orders.select(F.col("o_orderkey").alias("doc_id"), F.lit(0).alias("chunk_seq"), text.alias("response"))).withColumn("extraction", extraction.parse_extraction_response(F.col("response")))
+
+
+_SEEN = "WITH s AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 7 < 3)"
+
+
+@query(f"""{_SEEN}
+SELECT c_name AS name, 'Customer' AS entity_type, count(*) AS occurrences, min(o_orderkey) AS first_doc, max(c_mktsegment) AS segment, NULL AS status, max(o_orderkey)::VARCHAR AS last FROM s GROUP BY c_name
+UNION ALL SELECT 'Order ' || o_orderkey, 'Order', 1, o_orderkey, NULL, o_orderstatus, NULL FROM s""")
+def d6_e1_e2_dedupe_entities(spark, sf_dir):
+    found = aggregation.dedupe_entities(aggregation.valid_entities(extraction.entities_of(_answers(spark, sf_dir))))
+    value = lambda k: F.try_element_at("properties", F.lit(k)).alias(k)
+    return found.select("name", "entity_type", "occurrences", F.col("ord.doc_id").alias("first_doc"), value("segment"), value("status"), value("last"))
+
+
+@query(f"{_SEEN} SELECT DISTINCT c_name AS from_entity, 'PLACED' AS relationship_type, 'Order ' || o_orderkey AS to_entity, o_orderkey AS first_doc FROM s")
+def d6_e3_dedupe_relationships(spark, sf_dir):
+    found = aggregation.dedupe_relationships(aggregation.valid_relationships(extraction.relationships_of(_answers(spark, sf_dir))))
+    return found.select("from_entity", "relationship_type", "to_entity", F.col("ord.doc_id").alias("first_doc"))
+
+
+@query(f"""{_SEEN}
+SELECT c_name AS name, 'Customer' AS entity_type, count(*) AS occurrences, count(*) AS chunks, count(*) AS documents FROM s GROUP BY c_name
+UNION ALL SELECT 'Order ' || o_orderkey, 'Order', 1, 1, 1 FROM s""")
+def p9_entity_support(spark, sf_dir):
+    return aggregation.entity_support(extraction.entities_of(_answers(spark, sf_dir)))
+
+
+# --- the graph ---------------------------------------------------------------------------------------------------
+
+
+def _entities(spark, sf_dir) -> DataFrame:
+    t = lambda n: table(spark, sf_dir, n)
+    row = lambda df, name, label, order, key=F.lit("kind"), value=None: df.select(name.alias("name"), label.alias("entity_type"), F.create_map(key, F.lit("seen") if value is None else value).alias("properties"), order.cast("long").alias("ord"))
+    rows = row(t("region"), F.col("r_name"), F.lit("Region"), F.col("r_regionkey"))
+    rows = rows.unionByName(row(t("region").where("r_regionkey = 0"), F.col("r_name"), F.lit("Continent"), F.col("r_regionkey")))
+    rows = rows.unionByName(row(t("nation"), F.col("n_name"), F.lit("Nation"), F.col("n_nationkey")))
+    rows = rows.unionByName(row(t("customer"), F.col("c_name"), F.lit("Customer"), F.col("c_custkey"), F.lit("segment"), F.col("c_mktsegment")))
+    rows = rows.unionByName(row(t("supplier"), F.col("s_name"), F.lit("Supplier"), F.col("s_suppkey")))
+    return rows.unionByName(row(t("part"), F.col("p_name"), F.lit("Part"), F.col("p_partkey"), F.lit("brand"), F.col("p_brand")))
+
+
+def _relationships(spark, sf_dir) -> DataFrame:
+    t = lambda n: table(spark, sf_dir, n)
+    row = lambda df, a, kind, b: df.select(a.alias("from_entity"), F.lit(kind).alias("relationship_type"), b.alias("to_entity"))
+    c, n = F.col("c_name"), F.col("n_name")
+    linked = t("customer").where("c_custkey % 97 <> 0")
+    supplied = t("lineitem").select("l_suppkey", "l_partkey").distinct().join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+    swap = F.col("s_suppkey") % 10 == 0
+    rows = row(linked.join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")), c, "LOCATED_IN", n)
+    rows = rows.unionByName(row(t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")), n, "LOCATED_IN", F.col("r_name")))
+    rows = rows.unionByName(row(supplied, F.when(swap, F.col("p_name")).otherwise(F.col("s_name")), "SUPPLIES", F.when(swap, F.col("s_name")).otherwise(F.col("p_name"))))
+    return rows.unionByName(row(t("customer").where("c_custkey % 50 = 0"), c, "KNOWS", F.lit("Nobody"))).withColumn("properties", F.create_map().cast("map<string,string>"))
+
+
+_GRAPH = """
+WITH e AS (
+  SELECT r_name AS name, 'Region' AS label, 'kind' AS k, 'seen' AS v, r_regionkey::BIGINT AS o FROM region UNION ALL SELECT r_name, 'Continent', 'kind', 'seen', r_regionkey FROM region WHERE r_regionkey = 0
+  UNION ALL SELECT n_name, 'Nation', 'kind', 'seen', n_nationkey FROM nation UNION ALL SELECT c_name, 'Customer', 'segment', c_mktsegment, c_custkey FROM customer
+  UNION ALL SELECT s_name, 'Supplier', 'kind', 'seen', s_suppkey FROM supplier UNION ALL SELECT p_name, 'Part', 'brand', p_brand, p_partkey FROM part),
+nodes AS (SELECT md5(label || chr(1) || name) AS node_id, label, name, k AS key, arg_max(v, o) AS value FROM e GROUP BY label, name, k),
+rel AS (
+  SELECT c_name AS a, 'LOCATED_IN' AS t, n_name AS b FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 97 <> 0
+  UNION ALL SELECT n_name, 'LOCATED_IN', r_name FROM nation JOIN region ON n_regionkey = r_regionkey
+  UNION ALL SELECT CASE WHEN s_suppkey % 10 = 0 THEN p_name ELSE s_name END, 'SUPPLIES', CASE WHEN s_suppkey % 10 = 0 THEN s_name ELSE p_name END
+    FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey
+  UNION ALL SELECT c_name, 'KNOWS', 'Nobody' FROM customer WHERE c_custkey % 50 = 0),
+edges AS (SELECT DISTINCT x.node_id AS src_id, t AS edge_type, y.node_id AS dst_id FROM rel JOIN nodes x ON x.name = rel.a JOIN nodes y ON y.name = rel.b)
+"""
+
+
+def _nodes(spark, sf_dir):
+    return graph.merge_entity_nodes(None, _entities(spark, sf_dir))
+
+
+def _edges(spark, sf_dir):
+    return graph.merge_edges(None, graph.resolve_edges(_relationships(spark, sf_dir), _nodes(spark, sf_dir)))
+
+
+def _schema(spark):
+    entity_types = spark.createDataFrame([(n, "") for n in ("Region", "Nation", "Customer", "Supplier", "Part")], "name string, description string")
+    relationship_types = spark.createDataFrame([("LOCATED_IN", "Customer", "Nation", ""), ("SUPPLIES", "Supplier", "Part", "")], "name string, from_type string, to_type string, description string")
+    return entity_types, relationship_types
+
+
+@query(f"{_GRAPH} SELECT node_id, label, name, key, value FROM nodes")
+def f1_f2_merge_entity_nodes(spark, sf_dir):
+    """The same load twice: the second changes nothing."""
+    nodes = graph.merge_entity_nodes(_nodes(spark, sf_dir), _entities(spark, sf_dir))
+    return nodes.select("node_id", "label", "name", F.explode("properties").alias("key", "value"))
+
+
+@query(f"{_GRAPH} SELECT * FROM edges")
+def f3_f5_resolve_edges(spark, sf_dir):
+    edges = _edges(spark, sf_dir)
+    return graph.merge_edges(edges, edges)
+
+
+@query(f"{_GRAPH} SELECT a AS from_entity, t AS relationship_type, b AS to_entity FROM rel WHERE a NOT IN (SELECT name FROM nodes) OR b NOT IN (SELECT name FROM nodes)")
+def f4_unmatched_relationships(spark, sf_dir):
+    return graph.unmatched_relationships(_relationships(spark, sf_dir), _nodes(spark, sf_dir)).select("from_entity", "relationship_type", "to_entity")
+
+
+def _names(spark, sf_dir) -> DataFrame:
+    words = table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", " ")).alias("w")).select(F.regexp_replace("w", "[^A-Za-z]", "").alias("w"))
+    return words.where("length(w) >= 6").distinct().select(F.concat(F.lit("Term:"), "w").alias("node_id"), F.lit("Term").alias("label"), F.col("w").alias("name"))
+
+
+_MENTIONS = """
+n AS (SELECT DISTINCT regexp_replace(w, '[^A-Za-z]', '', 'g') AS w FROM (SELECT unnest(string_split(text, ' ')) AS w FROM benchmark)),
+m AS (SELECT d.doc_id::VARCHAR AS src_id, 'MENTIONS' AS edge_type, 'Term:' || w AS dst_id FROM documents d JOIN n ON length(w) >= 6 AND contains(lower(d.text), lower(w)))
+"""
+
+
+@query(f"WITH {_MENTIONS} SELECT * FROM m")
+def f7_link_mentions(spark, sf_dir):
+    docs = spread(table(spark, sf_dir, "documents")).select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"))
+    return graph.link_mentions(docs, _names(spark, sf_dir))
+
+
+@query(f"WITH {_MENTIONS} SELECT * FROM m")
+def f7_link_mentions_many_names(spark, sf_dir):
+    docs = spread(table(spark, sf_dir, "documents")).select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"))
+    return graph.link_mentions(docs, _names(spark, sf_dir), few=0)
+
+
+@query(f"""{_GRAPH}
+SELECT (SELECT count(*) FROM e) AS nodes_created, (SELECT count(*) FROM rel) AS relationships_created, 0::BIGINT AS chunks_created, (SELECT count(*) FROM nodes) AS nodes_distinct,
+  (SELECT count(*) FROM edges) AS edges_distinct, (SELECT count(*) FROM rel WHERE b = 'Nobody') AS unmatched""")
+def e7_f8_load_stats(spark, sf_dir):
+    entities, relationships = _entities(spark, sf_dir), _relationships(spark, sf_dir)
+    loaded = graph.chunks_to_graph(entities, relationships)
+    return graph.load_stats(entities, relationships, spark.createDataFrame([], "id string"), loaded["nodes"], loaded["edges"])
+
+
+@query(f"""{_GRAPH}
+SELECT 'label' AS kind, label AS name, count(*) AS n FROM nodes GROUP BY label UNION ALL SELECT 'type', edge_type, count(*) FROM edges GROUP BY edge_type
+UNION ALL SELECT 'total', 'nodes', count(*) FROM nodes UNION ALL SELECT 'total', 'relationships', count(*) FROM edges""")
+def g6_e4_e5_graph_stats(spark, sf_dir):
+    return validation.graph_stats(_nodes(spark, sf_dir), _edges(spark, sf_dir))
+
+
+@query(f"{_GRAPH} SELECT (SELECT count(*) FROM nodes WHERE label = 'Part') AS nodes, (SELECT count(*) FROM edges WHERE edge_type = 'SUPPLIES') AS relationships")
+def e6_graph_summary(spark, sf_dir):
+    return graph.graph_summary(_nodes(spark, sf_dir), _edges(spark, sf_dir), label="Part", edge_type="SUPPLIES")
+
+
+@query(f"{_GRAPH} SELECT 'label' AS kind, 'Continent' AS name")
+def g1_unexpected(spark, sf_dir):
+    entity_types, relationship_types = _schema(spark)
+    labels = validation.unexpected_labels(_nodes(spark, sf_dir), entity_types).select(F.lit("label").alias("kind"), F.col("label").alias("name"))
+    return labels.unionByName(validation.unexpected_types(_edges(spark, sf_dir), relationship_types).select(F.lit("type").alias("kind"), F.col("edge_type").alias("name")))
+
+
+@query(f"{_GRAPH} SELECT node_id, label, name FROM nodes WHERE node_id NOT IN (SELECT src_id FROM edges UNION SELECT dst_id FROM edges)")
+def g2_orphan_nodes(spark, sf_dir):
+    return validation.orphan_nodes(_nodes(spark, sf_dir), _edges(spark, sf_dir)).select("node_id", "label", "name")
+
+
+@query(f"WITH {_MENTIONS} SELECT doc_id::VARCHAR AS id FROM documents WHERE doc_id::VARCHAR NOT IN (SELECT src_id FROM m)")
+def g3_dangling_chunks(spark, sf_dir):
+    return validation.dangling_chunks(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id")), f7_link_mentions(spark, sf_dir))
+
+
+_SPELLED = "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN upper(p_name) WHEN 1 THEN ' ' || p_name ELSE p_name END AS name FROM part"
+
+
+def _spelled(spark, sf_dir) -> DataFrame:
+    kind = F.col("p_partkey") % 3
+    return table(spark, sf_dir, "part").select("p_partkey", F.when(kind == 0, F.upper("p_name")).when(kind == 1, F.concat(F.lit(" "), "p_name")).otherwise(F.col("p_name")).alias("name"))
+
+
+@query(f"SELECT trim(lower(name)) AS key, count(*) AS nodes, array_to_string(list_sort(list(DISTINCT name)), '|') AS names FROM ({_SPELLED}) GROUP BY 1 HAVING count(*) > 1")
+def g4_duplicate_entities(spark, sf_dir):
+    return validation.duplicate_entities(_spelled(spark, sf_dir)).select("key", "nodes", F.array_join("names", "|").alias("names"))
+
+
+@query(f"""{_GRAPH}, s(t, f, g) AS (VALUES ('LOCATED_IN', 'Customer', 'Nation'), ('SUPPLIES', 'Supplier', 'Part'))
+SELECT edge_type, count(*) AS edges, count(*) FILTER (x.label <> f OR y.label <> g) AS wrong FROM edges JOIN s ON t = edge_type JOIN nodes x ON x.node_id = src_id JOIN nodes y ON y.node_id = dst_id GROUP BY edge_type""")
+def g5_wrong_direction_edges(spark, sf_dir):
+    return validation.wrong_direction_edges(_nodes(spark, sf_dir), _edges(spark, sf_dir), _schema(spark)[1])
+
+
+@query(f"""{_GRAPH}, ends AS (SELECT src_id FROM edges UNION SELECT dst_id FROM edges), n AS (
+  SELECT 'unexpected_labels' AS "check", 1::BIGINT AS n, 'warning' AS bad UNION ALL SELECT 'unexpected_types', 0, 'warning' UNION ALL SELECT 'orphan_nodes', (SELECT count(*) FROM nodes WHERE node_id NOT IN (SELECT * FROM ends)), 'warning'
+  UNION ALL SELECT 'dangling_chunks', (SELECT count(*) FROM documents), 'warning' UNION ALL SELECT 'duplicate_entities', (SELECT count(*) FROM (SELECT lower(trim(name)) FROM nodes GROUP BY 1 HAVING count(*) > 1)), 'error'
+  UNION ALL SELECT 'wrong_direction', 2, 'warning')
+SELECT "check", n, CASE WHEN n = 0 THEN 'pass' ELSE bad END AS severity FROM n""")
+def g7_validation_report(spark, sf_dir):
+    chunks = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"))
+    return validation.validation_report(_nodes(spark, sf_dir), _edges(spark, sf_dir), chunks, *_schema(spark))
+
+
+@query("SELECT md5('Document' || chr(1) || source) AS node_id, source AS name, count(DISTINCT doc_id) AS chunks FROM documents GROUP BY source")
+def p2_document_nodes(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "source", F.lit(".txt").alias("file_type"))
+    edges = graph.from_document_edges(docs).groupBy(F.col("dst_id").alias("node_id")).agg(F.count("*").alias("chunks"))
+    return graph.document_nodes(docs).join(edges, "node_id").select("node_id", "name", "chunks")
+
+
+@query(f"""WITH s AS ({_SPELLED}), c AS (SELECT trim(lower(name)) AS key, name, count(*) AS n, min(p_partkey) AS f FROM s GROUP BY ALL)
+SELECT name, md5(key) AS canonical_id, first(name) OVER (PARTITION BY key ORDER BY n DESC, f) AS canonical_name FROM c""")
+def p3_resolve_entities(spark, sf_dir):
+    return graph.resolve_entities(_spelled(spark, sf_dir).withColumn("ord", F.col("p_partkey")))
+
+
+@query("""
+WITH s AS (SELECT q.vec_id AS query_id, d.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]) AS score FROM embeddings q JOIN embeddings d ON q.vec_id < 20 AND q.vec_id <> d.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, round(score, 5) AS score FROM r WHERE rank <= 5""")
+def p4_top_k_similar(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    return retrieval.top_k_similar(rows.where("vec_id < 20"), rows, 5).withColumn("score", F.round("score", 5))
+
+
+@query(f"""{_GRAPH}, s AS (SELECT node_id FROM nodes WHERE label = 'Supplier'), h1 AS (SELECT DISTINCT s.node_id AS a, dst_id AS b FROM s JOIN edges ON src_id = s.node_id AND edge_type = 'SUPPLIES'),
+h2 AS (SELECT DISTINCT a, dst_id AS b FROM h1 JOIN edges ON src_id = b AND edge_type = 'SUPPLIES'),
+w AS (SELECT node_id AS a, node_id AS b, 0 AS h FROM s UNION ALL SELECT a, b, 1 FROM h1 UNION ALL SELECT a, b, 2 FROM h2)
+SELECT a AS start_id, b AS node_id, min(h)::INT AS hop FROM w GROUP BY a, b""")
+def p7_k_hop(spark, sf_dir):
+    return retrieval.k_hop(_nodes(spark, sf_dir).where("label = 'Supplier'"), _edges(spark, sf_dir), 2, ("SUPPLIES",))
+
+
+@query(f"""{_GRAPH} SELECT DISTINCT x.src_id AS start_id, y.dst_id AS node_id FROM edges x JOIN edges y ON y.src_id = x.dst_id WHERE x.edge_type = 'LOCATED_IN' AND y.edge_type = 'LOCATED_IN'""")
+def p7_match_path(spark, sf_dir):
+    return retrieval.match_path(_nodes(spark, sf_dir), _edges(spark, sf_dir), ("LOCATED_IN", "LOCATED_IN"))
+
+
+@query("""
+WITH s AS (SELECT q.vec_id AS query_id, d.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]) AS score FROM embeddings q JOIN embeddings d ON q.vec_id < 20 AND q.vec_id <> d.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s),
+h AS (SELECT query_id, vec_id FROM r WHERE rank <= 5)
+SELECT query_id, 'chunk' AS kind, vec_id::VARCHAR AS id, 'chunk ' || vec_id AS text FROM h
+UNION ALL SELECT DISTINCT query_id, 'entity', 'n' || (label + k), 'Label: ' || (label + k) FROM h JOIN embeddings USING (vec_id), (VALUES (0), (1)) t(k)""")
+def p6_hybrid_context(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    chunk = F.col("vec_id").cast("string")
+    n = lambda c: F.concat(F.lit("n"), c.cast("string"))
+    hits = retrieval.top_k_similar(rows.where("vec_id < 20"), rows, 5).select("query_id", "rank", chunk.alias("id"))
+    chunks = rows.select(chunk.alias("id"), F.concat(F.lit("chunk "), chunk).alias("text"))
+    mentions = rows.select(chunk.alias("src_id"), F.lit("MENTIONS").alias("edge_type"), n(F.col("label")).alias("dst_id"))
+    labels = rows.select("label").unionByName(rows.select((F.col("label") + 1).alias("label"))).distinct()
+    edges = mentions.unionByName(labels.select(n(F.col("label")).alias("src_id"), F.lit("NEXT").alias("edge_type"), n(F.col("label") + 1).alias("dst_id")))
+    nodes = labels.select(n(F.col("label")).alias("node_id"), F.lit("Label").alias("label"), F.col("label").cast("string").alias("name"))
+    return retrieval.hybrid_context(hits, chunks, edges, nodes)
+
+
+@query("""
+SELECT conv_id AS doc_id, count(*) AS chunks, count(*) FILTER (turn % 4 = 3) AS failed, sum(turn % 3)::BIGINT AS retries, 0::BIGINT AS malformed, round(sum(1 + turn % 3) * 0.003::DOUBLE, 6) AS cost, count(*) AS entities,
+  1 - (SELECT count(DISTINCT role) FROM conversations) / (SELECT count(*) FROM conversations) AS dedup_ratio FROM conversations GROUP BY conv_id""")
+def p8_pipeline_metrics(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    calls = rows.select(F.col("conv_id").alias("doc_id"), F.lit("{}").alias("response"), (1 + F.col("turn") % 3).cast("int").alias("attempts"), F.when(F.col("turn") % 4 == 3, "failed").otherwise("ok").alias("status"))
+    entities = rows.select(F.col("conv_id").alias("doc_id"), "role")
+    out = retrieval.pipeline_metrics(calls, entities, entities.select("role").distinct())
+    return out.withColumn("cost", F.round("cost", 6)).withColumn("retries", F.col("retries").cast("long"))
