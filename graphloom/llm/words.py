@@ -70,8 +70,9 @@ def hash_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     lengths = np.diff(np.append(begin, kept.size))
     within = np.arange(kept.size, dtype=np.int64) - np.repeat(begin, lengths)
     value = _BYTE[kept]
-    if lengths.max() > _SPAN:  # a huge word: positions beyond the table take another factor
-        value = value * mix((within >> 16).astype(np.uint64) + np.uint64(1))
+    if lengths.max() > _SPAN:  # a huge word: only positions beyond the table take another factor
+        far = np.flatnonzero(within >= _SPAN)
+        value[far] *= mix((within[far] >> 16).astype(np.uint64))
         within &= _SPAN - 1
     value *= _POWER[within]
     return mix(np.add.reduceat(value, begin) + lengths.astype(np.uint64)), words
