@@ -40,9 +40,15 @@ def spread(df: DataFrame) -> DataFrame:
 
 # --- documents with structure ------------------------------------------------------------------------------------
 
-_HEADED = F.expr("array_join(transform(split(text, '\n', -1), (x, i) -> concat(if(i % 5 = 0, concat('## Part ', i, '\n\n'), ''), x)), '\n\n')")
-_PLAIN = F.expr("replace(text, '\n', '\n\n')")
-_PAGED = F.expr("replace(text, '\n', '\n---\n')")
+
+def _headed():
+    return F.expr("array_join(transform(split(text, '\n', -1), (x, i) -> concat(if(i % 5 = 0, concat('## Part ', i, '\n\n'), ''), x)), '\n\n')")
+
+def _plain():
+    return F.expr("replace(text, '\n', '\n\n')")
+
+def _paged():
+    return F.expr("replace(text, '\n', '\n---\n')")
 
 #: C2 in SQL: paragraphs are numbered and a recursion walks them with the open chunk's weight.
 _PACKED = """
@@ -60,7 +66,7 @@ chunks AS (SELECT doc_id, source, g::INT AS chunk_seq, string_agg(p, chr(10) ||
 
 
 def _plain_chunks(spark, sf_dir) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "source", _PLAIN.alias("markdown"))
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "source", _plain().alias("markdown"))
     return chunking.chunk_documents(docs.withColumnRenamed("source", "origin"))
 
 
@@ -68,7 +74,7 @@ def _plain_chunks(spark, sf_dir) -> DataFrame:
 SELECT source, 'plain' AS content_type, count(DISTINCT doc_id) AS documents, count(*) AS chunks, sum(length(content))::BIGINT AS chars, max(length(content))::INT AS longest
 FROM chunks GROUP BY source""")
 def w1_chunk_profile(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "source", _PLAIN.alias("text"))
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "source", _plain().alias("text"))
     kinds = docs.select("doc_id", "source", detect_content_type(F.col("text")).alias("content_type"), F.explode(chunking.chunk_by_paragraphs(F.col("text"))).alias("c"))
     each = kinds.groupBy("source", "content_type", "doc_id").agg(F.count("*").alias("n"), F.sum("c.char_count").alias("chars"), F.max("c.char_count").alias("longest"))
     return each.groupBy("source", "content_type").agg(F.count("*").alias("documents"), F.sum("n").alias("chunks"), F.sum("chars").alias("chars"), F.max("longest").alias("longest"))
@@ -91,19 +97,19 @@ def c7_c8_f6_chunk_nodes(spark, sf_dir):
 SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'structured' WHEN doc_id % 3 = 1 THEN 'tabular' ELSE 'plain' END AS content_type FROM documents""")
 def b1_content_type(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    text = F.when(F.col("doc_id") % 3 == 0, _HEADED).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("| "), F.replace(_PLAIN, F.lit("\n\n"), F.lit("\n| ")))).otherwise(_PLAIN)
+    text = F.when(F.col("doc_id") % 3 == 0, _headed()).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("| "), F.replace(_plain(), F.lit("\n\n"), F.lit("\n| ")))).otherwise(_plain())
     return docs.select("doc_id", detect_content_type(text).alias("content_type"))
 
 
 @query()
 def c1_c5_header_chunks(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", F.posexplode(chunking.chunk_by_headers(_HEADED)).alias("chunk_seq", "c"))
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", F.posexplode(chunking.chunk_by_headers(_headed())).alias("chunk_seq", "c"))
     return docs.select("doc_id", "chunk_seq", "c.*")
 
 
 @query()
 def c4_page_chunks(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", F.posexplode(chunking.chunk_by_pages(_PAGED)).alias("chunk_seq", "c"))
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", F.posexplode(chunking.chunk_by_pages(_paged())).alias("chunk_seq", "c"))
     return docs.select("doc_id", "chunk_seq", "c.*")
 
 
