@@ -112,7 +112,7 @@ class TokenFile:
 
 # --- encoding ----------------------------------------------------------------------------------------------------
 
-#: Segments whose ids a worker remembers.
+#: Segments whose ids a task remembers.
 REMEMBERED = 1_000_000
 _BOUNDARY = re.compile(r" (?=\S)")
 
@@ -199,7 +199,10 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 2,
         if first is None:
             return
         part = TaskContext.get().partitionId()
-        name = put_file(folder, f"tokens-{part:06d}.zst", pack_file(x for xs in ([first], source) for x in xs))
+        try:
+            name = put_file(folder, f"tokens-{part:06d}.zst", pack_file(x for xs in ([first], source) for x in xs))
+        finally:
+            encoder(path).known.clear()  # the worker lives on, with other stages' tasks
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([name]), pa.array([total], pa.int64())], ["part", "name", "n"])
 
     narrow = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("id"), F.col(text_col).alias("text"))
