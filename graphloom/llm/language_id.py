@@ -12,6 +12,8 @@ sorts first. Without training texts every document is ``und``. Repeated rows are
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -95,16 +97,21 @@ class Model:
 
     def __init__(self, counts: list[tuple[str, int, int]], totals: dict[str, int]):
         self.labels = sorted(totals)
-        grams = np.unique(np.array([g for _, g, _ in counts], np.int64))
-        self.row = np.full(1 << 24, grams.size, np.int32)
-        self.row[grams] = np.arange(grams.size)
-        n = np.zeros((grams.size + 1, len(self.labels)))
+        codes = np.array([g for _, g, _ in counts], np.int64)
+        self.grams = np.unique(codes)
+        n = np.zeros((self.grams.size + 1, len(self.labels)))
         place = {label: i for i, label in enumerate(self.labels)}
-        for label, gram, k in counts:
-            n[self.row[gram], place[label]] = k
+        n[np.searchsorted(self.grams, codes) + 1, [place[label] for label, _, _ in counts]] = [k for _, _, k in counts]
         mass = np.array([totals[label] for label in self.labels], float)
-        # What the kept trigrams leave over, and a share for unseen ones, go to the last row.
-        self.logs = np.log((n + ALPHA) / (mass + ALPHA * (grams.size + 1)))
+        # What the kept trigrams leave over, and a share for unseen ones, go to row 0.
+        self.logs = np.log((n + ALPHA) / (mass + ALPHA * (self.grams.size + 1)))
+
+    @functools.cached_property
+    def row(self) -> np.ndarray:
+        """Row of each trigram code. Made where it is used, from zeros, so that only pages with kept trigrams take memory."""
+        row = np.zeros(1 << 24, np.int32)
+        row[self.grams] = np.arange(1, self.grams.size + 1)
+        return row
 
     def words(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Log likelihood of each word in each language."""
