@@ -16,6 +16,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ ALPHA = 0.5
 #: Rounds of expectation-maximisation at most, the change at which they end, and a second language's first share.
 EM_ROUNDS, EM_TOLERANCE = 30, 1e-4
 START_SHARE = 0.05
+#: Counts that a task holds before it sends them, and likelihoods of trigrams that it holds at once.
+HELD_COUNTS, HELD_LOGS = 1 << 20, 1 << 20
 UNKNOWN = "und"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -66,27 +69,31 @@ def gram_counts(docs: DataFrame, text_col: str, label_col: str) -> DataFrame:
     text_batches(docs.sparkSession)
 
     def count(batches):
-        totals: dict[str, np.ndarray] = {}
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        waiting = 0
         for b in batches:
             labels = np.array(b.column(1).to_pylist(), object)
             for label in set(labels.tolist()):
                 some = b.column(0).filter(pa.array(labels == label))
                 for _, _, codes, _, _ in _steps(texts_of(some)):
-                    grams, n = np.unique(codes, return_counts=True)
-                    if label not in totals:
-                        totals[label] = np.zeros(1 << 24, np.int32)
-                    totals[label][grams] += n.astype(np.int32)
-                    if totals[label].max(initial=0) > 1 << 30:
-                        yield flush(label, totals.pop(label))
-                while len(totals) > 4:  # 64 MB each
-                    old = next(iter(totals))
-                    yield flush(old, totals.pop(old))
-        for label, n in totals.items():
-            yield flush(label, n)
-
-    def flush(label, n):
-        grams = np.flatnonzero(n)
-        return pa.RecordBatch.from_arrays([pa.array([label] * grams.size, pa.string()), pa.array(grams.astype(np.int32)), pa.array(n[grams].astype(np.int64))], ["label", "gram", "n"])
+                    held.setdefault(label, []).append(np.unique(codes, return_counts=True))
+                    waiting += held[label][-1][0].size
+                    if waiting > HELD_COUNTS:
+                        held = {name: [merged(parts)] for name, parts in held.items()}
+                        waiting = sum(parts[0][0].size for parts in held.values())
+                        if waiting > HELD_COUNTS // 2:
+                            yield from flush(held)
+                            held, waiting = {}, 0
+        yield from flush(held)
+
+    def merged(parts):
+        grams, place = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+        return grams, np.bincount(place, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
+
+    def flush(held):
+        for label, parts in held.items():
+            grams, n = merged(parts)
+            yield pa.RecordBatch.from_arrays([pa.array([label] * grams.size, pa.string()), pa.array(grams.astype(np.int32)), pa.array(n)], ["label", "gram", "n"])
 
     rows = docs.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(label_col).alias("label"))
     return rows.mapInArrow(count, "label string, gram int, n long").groupBy("label", "gram").agg(F.sum("n").alias("n"))
@@ -107,15 +114,26 @@ class Model:
         self.logs = np.log((n + ALPHA) / (mass + ALPHA * (self.grams.size + 1)))
 
     @functools.cached_property
-    def row(self) -> np.ndarray:
-        """Row of each trigram code. Made where it is used, from zeros, so that only pages with kept trigrams take memory."""
-        row = np.zeros(1 << 24, np.int32)
-        row[self.grams] = np.arange(1, self.grams.size + 1)
-        return row
+    def pages(self) -> tuple[np.ndarray, np.ndarray]:
+        """Page of a trigram's first two bytes (0: none), and the rows of its 256 trigrams in each page."""
+        first, at = np.unique(self.grams >> 8, return_inverse=True)
+        page = np.zeros(1 << 16, np.int32)
+        page[first] = np.arange(1, first.size + 1) << 8
+        row = np.zeros((first.size + 1) << 8, np.int32)
+        row[((at + 1) << 8) | (self.grams & 255)] = np.arange(1, self.grams.size + 1)
+        return page, row
 
     def words(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Log likelihood of each word in each language."""
-        return np.add.reduceat(self.logs[self.row[codes]], starts, axis=0) if starts.size else np.zeros((0, len(self.labels)))
+        page, row = self.pages
+        out, ends = np.zeros((starts.size, len(self.labels))), np.append(starts[1:], codes.size)
+        a = 0
+        while a < starts.size:
+            z = max(a + 1, int(np.searchsorted(ends, starts[a] + HELD_LOGS // len(self.labels), "right")))
+            some = codes[starts[a] : ends[z - 1]]
+            out[a:z] = np.add.reduceat(self.logs[row[page[some >> 8] | (some & 255)]], starts[a:z] - starts[a], axis=0)
+            a = z
+        return out
 
 
 def _em(like: np.ndarray, rows: np.ndarray, n_rows: int, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -224,21 +242,28 @@ def train(docs: DataFrame, text_col: str = "text", label_col: str = "lang") -> M
 
 
 def predict(docs: DataFrame, model: Model | None, keep: list[Column], text_col: str = "text") -> DataFrame:
-    """``keep`` columns with lang_pred, score and lang_mix (label -> proportion) of every row."""
+    """``keep`` columns with lang_pred, score and lang_mix (label -> proportion) of every row.
+
+    A kept column of the text's name is the text itself: it is sent to the tasks once.
+    """
     spark = docs.sparkSession
     text_batches(spark)
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select(F.struct(*keep).alias("kept"), F.when(letters, F.col(text_col)).alias("text"))
+    kept = docs.select(*keep).schema
+    inside = kept.names.index(text_col) if text_col in kept.names else None
+    rows = docs.select(F.struct(*keep).alias("kept"), letters.alias("letters"), *([F.col(text_col).alias("text")] if inside is None else []))
     if model is None:
         return rows.select("kept.*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("map<string,double>").alias("lang_mix"))
     sent = spark.sparkContext.broadcast(model)
-    kind = rows.schema["kept"].dataType.simpleString()
+    kind = kept.simpleString()
 
     def run(batches):
         m = sent.value
         labels = np.array([*m.labels, UNKNOWN], object)
         for b in batches:
-            shares = [infer(m.words(codes, starts), bounds) for _, _, codes, starts, bounds in _steps(texts_of(b.column(1)))]
+            texts = texts_of(b.column(2) if inside is None else b.column(0).field(inside))
+            texts = pc.if_else(b.column(1), texts, pa.scalar("", texts.type))
+            shares = [infer(m.words(codes, starts), bounds) for _, _, codes, starts, bounds in _steps(texts)]
             share = np.concatenate(shares) if shares else np.zeros((0, len(m.labels)))
             score = np.minimum(share.max(1, initial=0), 1.0)
             pick = np.where(score > 0, share.argmax(1), len(m.labels)) if len(share) else np.zeros(0, int)

@@ -11,8 +11,8 @@ from urllib.parse import unquote, urlparse
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows in an Arrow batch that carries whole texts: few enough that very long texts stay in memory.
-TEXT_BATCH_ROWS = 512
+#: Rows and bytes in an Arrow batch that carries whole texts (a longer text is a batch of its own).
+TEXT_BATCH_ROWS, TEXT_BATCH_BYTES = 512, 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,6 +35,7 @@ def written(df: DataFrame) -> DataFrame:
 def text_batches(spark: SparkSession) -> None:
     """Keeps Arrow batches small, as rows hold whole texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", TEXT_BATCH_BYTES)
 
 
 def filesystem(uri: str):
