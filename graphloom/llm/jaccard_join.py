@@ -7,7 +7,8 @@ that the size-derived bound leaves), so only sets that meet in a prefix column c
 Every prefix column with several sets picks its best connected set as leader, and a leader's block is all sets that meet
 it in such a column: each pair to be tested lies in the block of some leader. First each set's overlap with its leader is
 counted. The sets that are linked with it need no further test among each other; the rest of a block is multiplied with
-the whole block in tiles of bounded bytes. A tile adds up overlap counts over blocks of columns, drops pairs whose
+the whole block in tiles of bounded rows and bytes, without the rows whose prefix columns are too few for every size in the
+block. A tile adds up overlap counts over blocks of columns, drops pairs whose
 overlap and remaining columns stay below the bound that their sizes give, and returns a spanning set of its links. So a
 large group of near copies costs a pass over it, and neither its pairs nor its members are ever in one task.
 
@@ -36,8 +37,8 @@ from graphloom.llm.words import hashed_steps, row_shingles, texts_of
 
 #: Buckets of the column-count sketch and the slices in which it is summed; both fixed.
 BUCKETS, SLICES = 1 << 20, 64
-#: Bytes of sets on one side of a tile, and columns that a tile adds up at once.
-TILE_BYTES, TILE_COLUMNS = 4 << 20, 4096
+#: Bytes and rows of sets on one side of a tile, columns that a tile adds up at once, and pairs of which it holds counts.
+TILE_BYTES, TILE_ROWS, TILE_COLUMNS, TILE_PAIRS = 4 << 20, 2048, 4096, 1 << 20
 #: Bits that name a column among the shared ones, columns of all prefixes to a shard, and columns held by a task.
 KEY_BITS, SHARD_COLUMNS, FLUSH_COLUMNS = 48, 1 << 20, 1 << 21
 #: Most bits of the map of documents that take part in some block.
@@ -306,9 +307,11 @@ def _star_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _tiles(rows: DataFrame, table: DataFrame, bytes_of, kernel, fields: str) -> DataFrame:
     """``kernel`` on every tile of every block: rows (leader, member, left) of which the left ones meet all of the block."""
     rows = rows.join(table.select(F.col("id").alias("member"), "n", bytes_of.alias("_bytes"), "columns"), "member")
-    sizes = rows.groupBy("leader").agg(F.sum(F.when(F.col("left"), F.col("_bytes"))).alias("ls"), F.sum("_bytes").alias("rs"), F.count("*").alias("members"))
-    tiles = lambda size: F.greatest(F.lit(1), F.ceil(F.col(size) / TILE_BYTES)).cast("int").alias(size)
-    rows = rows.join(sizes.where("ls is not null and members > 1").select("leader", tiles("ls"), tiles("rs")), "leader")
+    sizes = rows.groupBy("leader").agg(
+        F.sum(F.when(F.col("left"), F.col("_bytes"))).alias("ls"), F.sum("_bytes").alias("rs"), F.count_if("left").alias("lefts"), F.count("*").alias("members")
+    )
+    tiles = lambda size, n: F.greatest(F.lit(1), F.ceil(F.col(size) / TILE_BYTES), F.ceil(F.col(n) / TILE_ROWS)).cast("int").alias(size)
+    rows = rows.join(sizes.where("ls is not null and members > 1").select("leader", tiles("ls", "lefts"), tiles("rs", "members")), "leader")
     mine = lambda n: F.pmod(F.xxhash64("member"), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     # A tile (i, j) has the left rows of part i and all rows of part j.
@@ -326,22 +329,47 @@ def _sides(group: pa.Table):
     return [(ids[at], n[at], at) for at in (np.flatnonzero(is_left), np.flatnonzero(~is_left))]
 
 
+def _hits(columns: list[np.ndarray], left, right, need) -> np.ndarray:
+    """Which pairs of the two sides are of two documents that share ``need`` (of both sizes) columns; counts of ``TILE_PAIRS`` pairs at once."""
+    (ids, n, at), (other_ids, other_n, other_at) = left, right
+    hits = np.zeros((at.size, other_at.size), bool)
+    theirs, step = [columns[i] for i in other_at], max(1, TILE_PAIRS // max(1, other_at.size))
+    for a in range(0, at.size if other_at.size else 0, step):
+        least = need(n[a : a + step, None], other_n[None, :])
+        least[ids[a : a + step, None] == other_ids[None, :]] = 1 << 60
+        hits[a : a + step] = tile_overlaps([columns[i] for i in at[a : a + step]], theirs, least)
+    return hits
+
+
+def _fitting(blocks: DataFrame, met: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``blocks`` with as many prefix columns as a link with some size in their block needs."""
+    rows = blocks.join(met.select(F.col("id").alias("member"), "n", F.size("columns").alias("degree")), "member")
+    sizes = rows.groupBy("leader", "n").agg(F.max("left").alias("left"), F.count("*").alias("rows"))
+    each = sizes.groupBy("leader").agg(F.collect_list(F.struct("n", "left", "rows")).alias("sizes")).where("exists(sizes, x -> x.left)")
+    overlap = f"({percent} * (a.n + b.n) + {99 + percent}) div {100 + percent}"
+    fits = f"(a.left or b.left) and (a.n <> b.n or a.rows > 1) and {overlap} <= least(a.n, b.n)"
+    shared = f"greatest(1, {overlap} - ({percent} * greatest(a.n, b.n) + 99) div 100 + 1)"
+    least = f"inline(transform(sizes, a -> named_struct('n', a.n, 'least', array_min(transform(filter(sizes, b -> {fits}), b -> {shared})))))"
+    return rows.join(each.selectExpr("leader", least).where("least is not null"), ["leader", "n"]).where("degree >= least").select("leader", "member", "left")
+
+
 def _tile_hopes(blocks: DataFrame, met: DataFrame, percent: int) -> DataFrame:
     """Rows (leader, member, left) that may still have a link in their block, by their prefix columns."""
 
+    def need(n, other_n):
+        return np.where(least_overlap(n, other_n, percent) <= np.minimum(n, other_n), least_met(n, other_n, percent), 1 << 60)
+
     def kernel(group):
-        (ids, n, at), (other_ids, other_n, other_at) = _sides(group)
+        left, right = _sides(group)
         lists = group.column("columns").combine_chunks()
         ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
         columns = [flat[a:b] for a, b in zip(ends, ends[1:], strict=False)]
-        need = np.where(least_overlap(n[:, None], other_n[None, :], percent) <= np.minimum(n[:, None], other_n[None, :]), least_met(n[:, None], other_n[None, :], percent), 1 << 60)
-        need[ids[:, None] == other_ids[None, :]] = 1 << 60
-        hits = tile_overlaps([columns[i] for i in at], [columns[i] for i in other_at], need) if at.size and other_at.size else np.zeros((at.size, other_at.size), bool)
-        a, b = ids[hits.any(1)], other_ids[hits.any(0)]
+        hits = _hits(columns, left, right, need)
+        a, b = left[0][hits.any(1)], right[0][hits.any(0)]
         leader = group.column("leader")[0].as_py() if group.num_rows else 0
         return pa.table({"leader": np.full(a.size + b.size, leader, np.int64), "member": np.concatenate([a, b]), "left": np.arange(a.size + b.size) < a.size})
 
-    hopes = _tiles(blocks, met, F.size("columns") * 8, kernel, "leader long, member long, left boolean")
+    hopes = _tiles(_fitting(blocks, met, percent), met, F.size("columns") * 8, kernel, "leader long, member long, left boolean")
     return hopes.groupBy("leader", "member").agg(F.max("left").alias("left"))
 
 
@@ -349,13 +377,10 @@ def _tile_links(hopes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) of each block's left rows with all its rows."""
 
     def kernel(group):
-        (ids, n, at), (other_ids, other_n, other_at) = _sides(group)
+        left, right = _sides(group)
         columns = [np.frombuffer(x, np.uint64) for x in group.column("columns").to_pylist()]
-        out: list[tuple[int, int]] = []
-        if at.size and other_at.size:
-            hits = tile_overlaps([columns[i] for i in at], [columns[i] for i in other_at], least_overlap(n[:, None], other_n[None, :], percent))
-            hits &= ids[:, None] != other_ids[None, :]
-            out = spanning(hits, ids, other_ids)
+        hits = _hits(columns, left, right, lambda n, other_n: least_overlap(n, other_n, percent))
+        out = spanning(hits, left[0], right[0])
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
     return _tiles(hopes, sets, F.octet_length("columns"), kernel, "a long, b long")

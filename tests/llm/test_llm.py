@@ -73,6 +73,43 @@ def test_jaccard_tiles_and_bounds():
                 assert met >= jaccard_join.least_met(a.size, b.size, 80)
 
 
+def test_jaccard_tiles_hold_bounded_rows(spark):
+    n = 2 * 2048 + 500
+    rows = spark.range(n).select(F.lit(-1).cast("long").alias("leader"), F.col("id").alias("member"), F.lit(True).alias("left"))
+    table = spark.range(n).select("id", F.lit(5).cast("long").alias("n"), F.array(F.lit(7).cast("long")).alias("columns"))
+
+    def kernel(group):
+        left = sum(group.column("is_left").to_pylist())
+        return pa.table({"left": [left], "right": [group.num_rows - left]})
+
+    tiles = jaccard_join._tiles(rows, table, F.size("columns") * 8, kernel, "left long, right long").collect()
+    assert max(max(t["left"], t["right"]) for t in tiles) < 2048 and sum(t["left"] * t["right"] for t in tiles) == n * n
+
+
+def test_jaccard_blocks_without_possible_links_vanish(spark):
+    met = spark.createDataFrame([(i, 5, [7]) for i in range(50)] + [(50, 4, [8]), (51, 5, [8]), (52, 5, [8]), (53, 5, [7, 8])], "id long, n long, columns array<long>")
+    blocks = spark.createDataFrame([(-1, i, True) for i in range(50)] + [(-2, i, i != 51) for i in range(50, 54)], "leader long, member long, left boolean")
+    got = jaccard_join._fitting(blocks, met, 80).collect()
+    assert {(r.leader, r.member) for r in got} == {(-2, 50), (-2, 51), (-2, 52), (-2, 53)}
+
+
+def test_jaccard_templates_in_small_tiles(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TILE_ROWS", 16)
+    texts = [f"we are glad to send you the parcel w{i}" for i in range(60)] + [f"we are glad to send you the parcel w{i} today" for i in range(0, 60, 7)] + [f"{EN} t{i} {EN[:40]} t{i % 9}" for i in range(40)]
+    sets = [grams(t) for t in texts]
+    low = list(range(len(texts)))
+    for _ in texts:
+        before = list(low)
+        for a in range(len(texts)):
+            for b in range(a):
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    low[a] = low[b] = min(low[a], low[b])
+        if low == before:
+            break
+    got = jaccard_join.jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(low))
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 60), (70, 60), (5, 5)], "a long, b long")
     got = {r.node: r.component for r in connected_components(links).collect()}
