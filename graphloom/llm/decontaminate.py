@@ -1,13 +1,14 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
-A document is slid over by windows as long as each benchmark item, in words. A window's fingerprint has in each bit the sign of
+A document is slid over by windows as long as each benchmark item, in words. A document that is shorter than an item is one
+window as a whole, if its length still allows the wanted similarity. A window's fingerprint has in each bit the sign of
 the weighted sum of its five-word shingles' bits; a shingle's weight is how often it occurs in the window. Fingerprints of
 the items are cut into blocks, each with a table of the items within a few bits of any block value. Any item within
 ``RADIUS`` of a window is within ``RADIUS // BLOCKS`` in one block at least, so the tables miss none; candidates within the
 radius are then compared exactly by weighted Jaccard: the sum of the lesser over the sum of the greater weights.
 
 Only windows that hold at least one shingle of some item are fingerprinted: without one the similarity is 0. Items with
-fewer words than a shingle are one shingle as a whole, found in windows of their own length. Items and documents that are
+fewer words than a shingle are one shingle as a whole, found in windows of their own length only. Items and documents that are
 null or without words match nothing. Repeated items are reported each; repeated rows of documents too. Items are sent to
 the tasks in chunks of bounded size, however large the benchmark is.
 """
@@ -94,8 +95,8 @@ def matches(items: Items, words: np.ndarray, least: float) -> list[tuple[int, in
         if not anchored.any():
             continue
         seen = np.concatenate([[0], np.cumsum(anchored)])
-        for length in [n for n in items.sizes if min(n, SHINGLE) == k and n <= words.size]:
-            span = length - k + 1
+        for length in [n for n in items.sizes if min(n, SHINGLE) == k and (n <= words.size or grams.size / (n - k + 1) >= least)]:
+            span = min(length, words.size) - k + 1
             begins = np.flatnonzero(seen[span:] > seen[:-span])
             for at in np.split(begins, np.flatnonzero(np.diff(begins // WINDOW_STEP)) + 1) if begins.size else []:
                 low, high = int(at[0]), int(at[-1]) + span
@@ -107,7 +108,7 @@ def matches(items: Items, words: np.ndarray, least: float) -> list[tuple[int, in
                     found = weighted_jaccard(grams[w : w + span], items.shingles[i])
                     if found >= least and (i not in best or found > best[i][0]):
                         best[i] = (found, w)
-    return [(int(items.ids[i]), w, int(items.lengths[i]), s) for i, (s, w) in sorted(best.items())]
+    return [(int(items.ids[i]), w, min(int(items.lengths[i]), words.size), s) for i, (s, w) in sorted(best.items())]
 
 
 def _chunks(benchmark: DataFrame, item_col: str, text_col: str):

@@ -135,6 +135,20 @@ def test_decontamination(spark, docs):
     assert decontaminate.clean(docs, items).count() == sum(i not in {d for d, _ in want} for i, *_ in ROWS)
 
 
+def test_decontamination_of_documents_shorter_than_the_item(spark):
+    item = [f"w{i}" for i in range(60)]
+    texts = {1: item[:55], 2: item[:30] + item[31:], 3: item[:40], 4: item[:48], 5: item[4:56], 6: item[:49], 7: item[:4], 8: item}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item)), (2, "w0 w1 w2 w3 w4"), (3, "w0 w1 w2")], "item_id long, text string")
+    want = {}
+    for i, w in texts.items():
+        x, y = ({tuple(t[a : a + 5]) for a in range(len(t) - 4)} for t in (w, item))
+        if len(x & y) >= 0.8 * len(x | y):
+            want[i] = (0, len(w), len(x & y) / len(x | y))
+    got = decontaminate.contaminated(docs, items).where("item_id = 1").collect()
+    assert set(want) == {1, 2, 5, 6, 8} and {r.doc_id: (r.first_word, r.n_words, r.similarity) for r in got} == want
+
+
 def test_block_tables_miss_nothing():
     rng = np.random.default_rng(2)
     items = decontaminate.Items(list(range(40)), [rng.integers(0, 1 << 60, 30).astype(np.uint64) for _ in range(40)])
