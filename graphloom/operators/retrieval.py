@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Queries that are sent to the tasks at once.
-QUERY_CHUNK = 10_000
+#: Queries that are sent to the tasks at once, and pairs that a task scores at once.
+QUERY_CHUNK, PAIRS = 10_000, 1 << 20
 
 
 def top_k_similar(queries: DataFrame, vectors: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, id, score): exact cosine, ties to the smaller id; a query's own id doesn't count.
 
-    Queries go out in chunks of bounded size. Each Arrow batch is one matrix product and returns its k best for a query.
+    Queries go out in chunks of bounded size. Each Arrow batch is multiplied with some queries at a time and returns its k best for a query.
     """
     import numpy as np
     import pyarrow as pa
@@ -39,13 +39,15 @@ def top_k_similar(queries: DataFrame, vectors: DataFrame, k: int = 5, id_col: st
             for b in batches:
                 if not b.num_rows:
                     continue
-                own, score = b.column(0).to_numpy(), q @ unit(b.column(1)).T
-                score[ids[:, None] == own[None, :]] = -np.inf
-                best = np.lexsort((np.broadcast_to(own, score.shape), -score), axis=1)[:, :k]
-                at = np.repeat(np.arange(len(ids)), best.shape[1])
-                value = score[at, best.reshape(-1)]
-                keep = value > -np.inf
-                yield pa.RecordBatch.from_arrays([pa.array(ids[at][keep]), pa.array(own[best.reshape(-1)][keep]), pa.array(value[keep])], ["query_id", "id", "score"])
+                own, other = b.column(0).to_numpy(), unit(b.column(1)).T
+                for some in np.array_split(np.arange(len(ids)), -(-len(ids) * len(own) // PAIRS)):
+                    score = q[some] @ other
+                    score[ids[some, None] == own[None, :]] = -np.inf
+                    best = np.lexsort((np.broadcast_to(own, score.shape), -score), axis=1)[:, :k]
+                    at = np.repeat(np.arange(len(some)), best.shape[1])
+                    value = score[at, best.reshape(-1)]
+                    keep = value > -np.inf
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[some][at][keep]), pa.array(own[best.reshape(-1)][keep]), pa.array(value[keep])], ["query_id", "id", "score"])
 
         found = found.unionAll(rows.mapInArrow(run, "query_id long, id long, score double"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")

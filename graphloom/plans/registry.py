@@ -421,6 +421,13 @@ def p4_top_k_similar(spark, sf_dir):
     return retrieval.top_k_similar(rows.where("vec_id < 20"), rows, 5).withColumn("score", F.round("score", 5))
 
 
+@query()
+def p4_top_k_similar_whole(spark, sf_dir):
+    """Every row whose id is divisible by 100 against all rows; SQL would be slow on whole tables, so a test has a brute-force version."""
+    rows = table(spark, sf_dir, "embeddings")
+    return retrieval.top_k_similar(rows.where("vec_id % 100 = 0"), rows, 5).withColumn("score", F.round("score", 5))
+
+
 @query(f"""{_GRAPH}, s AS (SELECT node_id FROM nodes WHERE label = 'Supplier'), h1 AS (SELECT DISTINCT s.node_id AS a, dst_id AS b FROM s JOIN edges ON src_id = s.node_id AND edge_type = 'SUPPLIES'),
 h2 AS (SELECT DISTINCT a, dst_id AS b FROM h1 JOIN edges ON src_id = b AND edge_type = 'SUPPLIES'),
 w AS (SELECT node_id AS a, node_id AS b, 0 AS h FROM s UNION ALL SELECT a, b, 1 FROM h1 UNION ALL SELECT a, b, 2 FROM h2)
@@ -441,10 +448,19 @@ h AS (SELECT query_id, vec_id FROM r WHERE rank <= 5)
 SELECT query_id, 'chunk' AS kind, vec_id::VARCHAR AS id, 'chunk ' || vec_id AS text FROM h
 UNION ALL SELECT DISTINCT query_id, 'entity', 'n' || (label + k), 'Label: ' || (label + k) FROM h JOIN embeddings USING (vec_id), (VALUES (0), (1)) t(k)""")
 def p6_hybrid_context(spark, sf_dir):
-    rows = table(spark, sf_dir, "embeddings")
+    return _contexts(table(spark, sf_dir, "embeddings"), "vec_id < 20")
+
+
+@query()
+def p6_hybrid_context_whole(spark, sf_dir):
+    """Contexts of every row whose id is divisible by 100; tested by brute force, as ``p4_top_k_similar_whole``."""
+    return _contexts(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
+def _contexts(rows: DataFrame, asked: str) -> DataFrame:
     chunk = F.col("vec_id").cast("string")
     n = lambda c: F.concat(F.lit("n"), c.cast("string"))
-    hits = retrieval.top_k_similar(rows.where("vec_id < 20"), rows, 5).select("query_id", "rank", chunk.alias("id"))
+    hits = retrieval.top_k_similar(rows.where(asked), rows, 5).select("query_id", "rank", chunk.alias("id"))
     chunks = rows.select(chunk.alias("id"), F.concat(F.lit("chunk "), chunk).alias("text"))
     mentions = rows.select(chunk.alias("src_id"), F.lit("MENTIONS").alias("edge_type"), n(F.col("label")).alias("dst_id"))
     labels = rows.select("label").unionByName(rows.select((F.col("label") + 1).alias("label"))).distinct()

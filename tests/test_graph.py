@@ -148,6 +148,25 @@ def test_chunk_id(spark):
     assert spark.range(1).select(chunk_id(F.lit("é"))).first()[0] == hashlib.md5("é".encode()).hexdigest()[:12]
 
 
+def test_whole_searches_ask_every_hundredth_row(spark, tmp_path):
+    import numpy as np
+
+    from graphloom.plans import registry
+
+    v = np.random.default_rng(5).normal(size=(450, 8))
+    rows = [(i, v[i].tolist(), i % 7) for i in range(450)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    hits = {q: sorted((-float(u[q] @ u[i]), i) for i in range(450) if i != q)[:5] for q in range(0, 450, 100)}
+    got = registry.QUERIES["p4_top_k_similar_whole"](spark, str(tmp_path)).collect()
+    assert {(r.query_id, r["rank"], r.vec_id) for r in got} == {(q, k + 1, i) for q, h in hits.items() for k, (_, i) in enumerate(h)}
+    assert all(abs(r.score + hits[r.query_id][r["rank"] - 1][0]) < 1e-5 for r in got)
+    want = {(q, "chunk", str(i), f"chunk {i}") for q, h in hits.items() for _, i in h}
+    want |= {(q, "entity", f"n{i % 7 + k}", f"Label: {i % 7 + k}") for q, h in hits.items() for _, i in h for k in (0, 1)}
+    found = registry.QUERIES["p6_hybrid_context_whole"](spark, str(tmp_path)).collect()
+    assert len(found) == len(want) and {tuple(r) for r in found} == want
+
+
 def test_no_reference_names():
     import pathlib
 
