@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from graphloom.llm.shared import written
 
 BITS = 5
-#: Categories that are ranked exactly; with more of them the leading bits of a checksum serve.
+#: Categories up to which one task ranks them and all tasks get them; more are ranked by a range shuffle and joined by a shuffle.
 MAX_VALUES = 50_000
 
 
@@ -57,16 +57,26 @@ def _ranked(df: DataFrame, name: str) -> DataFrame:
     """``df`` with ``{name}_code``: the value's rank among all values, spread over the axis."""
     values = df.groupBy(name).count().select(name)
     n = values.count()
-    if n > MAX_VALUES:
-        return df.withColumn(f"{name}_code", F.shiftrightunsigned(F.crc32(F.coalesce(F.col(name), F.lit("")).cast("binary")), 32 - BITS).cast("int"))
-    rank = F.row_number().over(Window.orderBy(F.col(name).asc_nulls_first())) - 1
-    codes = values.select(F.col(name).alias("_value"), F.floor(rank * (1 << BITS) / F.lit(max(n, 1))).cast("int").alias(f"{name}_code"))
-    return df.join(F.broadcast(codes), df[name].eqNullSafe(codes["_value"])).drop("_value")
+    order = F.col(name).asc_nulls_first()
+    ranked = values.withColumn("_rank", F.row_number().over(Window.orderBy(order)) - 1) if n <= MAX_VALUES else _ranks(values, [order])
+    codes = ranked.select(F.col(name).alias("_value"), F.floor(F.col("_rank") * (1 << BITS) / F.lit(max(n, 1))).cast("int").alias(f"{name}_code"))
+    return df.join(F.broadcast(codes) if n <= MAX_VALUES else codes, df[name].eqNullSafe(codes["_value"])).drop("_value")
+
+
+def _ranks(df: DataFrame, order: list) -> DataFrame:
+    """``df`` with ``_rank``, the row's place in the order from 0: a range shuffle, and the counts of its partitions."""
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    placed = written(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part, within = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    counts = sorted((r[0], r[1]) for r in placed.groupBy(part.alias("p")).count().collect())  # a row for each partition
+    before = dict(zip((p for p, _ in counts), accumulate((n for _, n in counts), initial=0), strict=False))
+    offsets = spark.createDataFrame(list(before.items()) or [(0, 0)], "_part long, _before long")
+    return placed.withColumn("_part", part).join(F.broadcast(offsets), "_part").withColumn("_rank", F.col("_before") + within).drop("_part", "_before", "_at")
 
 
 def shard_rows(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", categories: tuple[str, ...] = ("source", "lang")) -> DataFrame:
     """(id, size, text_crc32, law, shard, slot, grown_shard, curve_index) of every row."""
-    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     size = F.octet_length(text).cast("long") + 16
     rows = written(docs.select(F.col(id_col).alias("id"), size.alias("size"), F.crc32(text).alias("text_crc32"), *categories))
@@ -84,13 +94,7 @@ def shard_rows(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: s
 
     rows = rows.withColumn("curve_index", curve(*[F.col(f"{c}_code") for c in (*categories, "size")]))
     order = [F.col("curve_index"), F.col("id").asc_nulls_first(), F.col("text_crc32")]
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    placed = written(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "size", "text_crc32", "curve_index", F.monotonically_increasing_id().alias("_at")))
-    part, within = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
-    counts = sorted((r[0], r[1]) for r in placed.groupBy(part.alias("p")).count().collect())  # a row for each partition
-    before = dict(zip((p for p, _ in counts), accumulate((n for _, n in counts), initial=0), strict=False))
-    offsets = spark.createDataFrame(list(before.items()) or [(0, 0)], "_part long, _before long")
-    ranked = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part").withColumn("_rank", F.col("_before") + within)
+    ranked = _ranks(rows.select("id", "size", "text_crc32", "curve_index"), order)
     shard = F.floor(F.col("_rank") * shards / F.lit(max(total, 1)))
     ranked = ranked.withColumn("shard", F.expr(f"cast(_rank * {shards} div {max(total, 1)} as int)")) if total else ranked.withColumn("shard", shard.cast("int"))
     first = F.expr(f"cast((cast(shard as bigint) * {total} + {shards - 1}) div {shards} as bigint)")

@@ -195,6 +195,13 @@ def test_hilbert(spark, docs):
     assert hilbert_shards.shard_rows(docs.where("false"), 4).count() == 0
 
 
+def test_hilbert_ranks_many_values_alike(spark, docs, monkeypatch):
+    more = docs.unionByName(docs.withColumn("source", F.lit(""))).unionByName(docs.withColumn("source", F.concat(F.lit("s"), F.col("n_chars"))))
+    few = Counter(map(tuple, hilbert_shards.shard_rows(more, 4).drop("slot").collect()))
+    monkeypatch.setattr(hilbert_shards, "MAX_VALUES", 1)
+    assert Counter(map(tuple, hilbert_shards.shard_rows(more, 4).drop("slot").collect())) == few
+
+
 def test_language_id(spark, docs):
     model = language_id.train(docs)
     got = {r.doc_id: r for r in language_id.predict(docs, model, [F.col("doc_id")]).collect()}
