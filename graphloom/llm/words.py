@@ -32,7 +32,8 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BYTE[65:91] = _BYTE[97:123]
 _BASE = 0xD6E8FEB86659FD93
 _SPAN = 1 << 16
-_POWER = np.cumprod(np.full(_SPAN, _BASE, np.uint64))
+# An odd number without structure for each place in a word: no pattern of letters cancels out, as it can with powers.
+_PLACE = mix(np.arange(1, _SPAN + 1, dtype=np.uint64) * np.uint64(_BASE)) | np.uint64(1)
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray) -> pa.Array:
@@ -54,6 +55,17 @@ def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+def placed(value: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``value`` (of every byte) times the number of the byte's place in its run; runs begin at ``begin`` and fill all."""
+    within = np.arange(value.size, dtype=np.int64) - np.repeat(begin, lengths)
+    if lengths.max() > _SPAN:  # a huge run: only places beyond the table take another factor
+        far = np.flatnonzero(within >= _SPAN)
+        value[far] *= mix((within[far] >> 16).astype(np.uint64)) | np.uint64(1)
+        within &= _SPAN - 1
+    value *= _PLACE[within]
+    return value
+
+
 def hash_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word in order, and for each row the bounds of its words."""
     keep = ~_BLANK[data]
@@ -68,13 +80,7 @@ def hash_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     kept = data[keep]
     begin = (np.cumsum(keep, dtype=np.int64)[starts]) - 1
     lengths = np.diff(np.append(begin, kept.size))
-    within = np.arange(kept.size, dtype=np.int64) - np.repeat(begin, lengths)
-    value = _BYTE[kept]
-    if lengths.max() > _SPAN:  # a huge word: only positions beyond the table take another factor
-        far = np.flatnonzero(within >= _SPAN)
-        value[far] *= mix((within[far] >> 16).astype(np.uint64))
-        within &= _SPAN - 1
-    value *= _POWER[within]
+    value = placed(_BYTE[kept], begin, lengths)
     return mix(np.add.reduceat(value, begin) + lengths.astype(np.uint64)), words
 
 
