@@ -43,8 +43,8 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample in which source, language and topic shares follow their tempered targets; all tokens of scarce cells."""
-    return mixing.mix(docs, budget=0.5).select(*COLUMNS)
+    """A sample of half of the tokens in which source, language and topic shares follow their tempered targets."""
+    return mixing.mix(docs, budget=0.5, topics=mixing.label_topics(table(spark, sf_dir, "labels"))).select(*COLUMNS)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,13 +7,12 @@ search over the bucket's low bits finds it.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 
 _U = np.uint64
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-_SELECT = np.zeros((256, 8), np.uint8)  # position of the r-th one in a byte
-for _byte in range(256):
-    _SELECT[_byte, : _ONES[_byte]] = [i for i in range(8) if _byte >> i & 1]
 
 
 def encode(values: np.ndarray, universe: int) -> bytes:
@@ -59,16 +58,34 @@ class EliasFano:
         upper = np.where(off > 0, self.low[word + 1] << (_U(64) - np.maximum(off, _U(1))), _U(0))
         return ((self.low[word] >> off) | upper) & ((_U(1) << self.bits) - _U(1))
 
+    @functools.cached_property
+    def ones(self) -> np.ndarray:
+        """The ones before each 64-bit word of the high bits."""
+        return (np.arange(self.zeros.size, dtype=np.int64) << 6) - self.zeros.astype(np.int64)
+
+    @staticmethod
+    def _pick(word: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        """Position of one number ``rest`` in each 64-bit word: halves, quarters and so on by their counts of ones."""
+        place, rest = np.zeros(rest.size, np.int64), rest.astype(np.int64, copy=False)
+        for width in (32, 16, 8, 4, 2, 1):
+            below = np.bitwise_count(word & _U((1 << width) - 1)).astype(np.int64)
+            up = rest >= below
+            rest = rest - below * up
+            step = up * width
+            place += step
+            word = word >> step.astype(_U)
+        return place
+
     def _select_zero(self, j: np.ndarray) -> np.ndarray:
         """Position of zero number ``j`` in the high bits."""
         word = np.searchsorted(self.zeros, j.astype(np.uint64), "right") - 1
-        rest = j - self.zeros[word].astype(np.int64)
-        cells = ~self.high.reshape(-1, 8)[word]
-        before = np.cumsum(_ONES[cells], axis=1, dtype=np.int64)
-        byte = (before <= rest[:, None]).sum(1)
-        rows = np.arange(j.size)
-        rest = rest - np.where(byte > 0, before[rows, byte - 1], 0)
-        return word * 64 + byte * 8 + _SELECT[cells[rows, byte], rest]
+        return word * 64 + self._pick(~self.high.view("<u8")[word], j - self.zeros[word].astype(np.int64))
+
+    def at(self, i: np.ndarray) -> np.ndarray:
+        """The values at these places."""
+        word = np.searchsorted(self.ones, i, "right") - 1
+        high = word * 64 + self._pick(self.high.view("<u8")[word], i - self.ones[word]) - i
+        return (high.astype(_U) << self.bits) | self._lows(i)
 
     def find(self, values: np.ndarray) -> np.ndarray:
         """Index of each value, or -1."""

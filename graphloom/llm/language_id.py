@@ -7,7 +7,11 @@ time while the penalised likelihood (BIC) improves. The prediction is the langua
 proportion is the score.
 
 A null text, or one without a letter, is ``und`` with score 0. Labels that are null don't train. Ties go to the label that
-sorts first. Without training texts every document is ``und``. Repeated rows are judged alike; further columns are not read.
+sorts first. Without training texts every document is ``und``. Repeated rows are judged alike; further columns are not read,
+and kept columns with a result's name give way.
+
+The model holds every trigram that occurs (2^24 at most), in files by ranges of trigrams in the shared folder, which tasks write
+and each worker reads: 4 bytes for each trigram and label. Only labels and their totals reach the driver.
 """
 
 from __future__ import annotations
@@ -20,18 +24,19 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.shared import text_batches, written
+from graphloom.llm.shared import make_dirs, map_file, put_file, shared_dir, text_batches, written
 from graphloom.llm.words import _BLANK, STEP_BYTES, raw_bytes, texts_of
 
-#: The model holds the most frequent trigrams of each language, so its size doesn't follow the corpus.
-MODEL_GRAMS = 50_000
 ALPHA = 0.5
-#: Rounds of expectation-maximisation at most, the change at which they end, and a second language's first share.
-EM_ROUNDS, EM_TOLERANCE = 30, 1e-4
+#: Rounds of expectation-maximisation at most, the change at which they end (far earlier), and a second language's first share.
+EM_ROUNDS, EM_TOLERANCE = 500, 1e-4
+#: Bits of a trigram's code that name its file.
+RANGE_BITS = 6
 START_SHARE = 0.05
 #: Counts that a task holds before it sends them, and likelihoods of trigrams that it holds at once.
 HELD_COUNTS, HELD_LOGS = 1 << 20, 1 << 20
 UNKNOWN = "und"
+RESULT = ("lang_pred", "score", "lang_mix")
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -102,16 +107,29 @@ def gram_counts(docs: DataFrame, text_col: str, label_col: str) -> DataFrame:
 class Model:
     """Log likelihood of a word's trigrams in each language."""
 
-    def __init__(self, counts: list[tuple[str, int, int]], totals: dict[str, int]):
-        self.labels = sorted(totals)
-        codes = np.array([g for _, g, _ in counts], np.int64)
-        self.grams = np.unique(codes)
-        n = np.zeros((self.grams.size + 1, len(self.labels)))
-        place = {label: i for i, label in enumerate(self.labels)}
-        n[np.searchsorted(self.grams, codes) + 1, [place[label] for label, _, _ in counts]] = [k for _, _, k in counts]
-        mass = np.array([totals[label] for label in self.labels], float)
-        # What the kept trigrams leave over, and a share for unseen ones, go to row 0.
-        self.logs = np.log((n + ALPHA) / (mass + ALPHA * (self.grams.size + 1)))
+    def __init__(self, labels: list[str], totals: list[int], distinct: int, files: list[str]):
+        self.labels, self.files, self.totals, self.distinct = labels, files, totals, distinct
+
+    @functools.cached_property
+    def _levels(self) -> tuple[np.ndarray, np.ndarray]:
+        """The trigrams in order, and a row of logarithms for each of them after one for a trigram that never occurred."""
+        width = len(self.labels)
+        none = np.log(ALPHA / _mass(self.totals, self.distinct)).astype(np.float32)
+        grams, logs = [np.zeros(0, np.int32)], [none[None]]
+        for name in self.files:
+            data = np.frombuffer(map_file(name), np.uint8)
+            n = data.size // (4 + 4 * width)
+            grams.append(data[: 4 * n].view("<i4"))
+            logs.append(data[4 * n :].view("<f4").reshape(n, width))
+        return np.concatenate(grams), np.concatenate(logs)
+
+    @property
+    def grams(self) -> np.ndarray:
+        return self._levels[0]
+
+    @property
+    def logs(self) -> np.ndarray:
+        return self._levels[1]
 
     @functools.cached_property
     def pages(self) -> tuple[np.ndarray, np.ndarray]:
@@ -125,13 +143,13 @@ class Model:
 
     def words(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Log likelihood of each word in each language."""
-        page, row = self.pages
+        (page, row), logs = self.pages, self.logs
         out, ends = np.zeros((starts.size, len(self.labels))), np.append(starts[1:], codes.size)
         a = 0
         while a < starts.size:
             z = max(a + 1, int(np.searchsorted(ends, starts[a] + HELD_LOGS // len(self.labels), "right")))
             some = codes[starts[a] : ends[z - 1]]
-            out[a:z] = np.add.reduceat(self.logs[row[page[some >> 8] | (some & 255)]], starts[a:z] - starts[a], axis=0)
+            out[a:z] = np.add.reduceat(logs[row[page[some >> 8] | (some & 255)]].astype(float), starts[a:z] - starts[a], axis=0)
             a = z
         return out
 
@@ -231,14 +249,33 @@ def _grow(words: np.ndarray, share: np.ndarray, score: float, penalty: float) ->
     return share
 
 
+def _mass(totals, distinct: int) -> np.ndarray:
+    """What a smoothed count of each label is divided by: all occurring trigrams and one that stands for the others."""
+    return np.array(totals, float) + ALPHA * (distinct + 1)
+
+
 def train(docs: DataFrame, text_col: str = "text", label_col: str = "lang") -> Model | None:
-    """The model of every labelled text; of each language the ``MODEL_GRAMS`` most frequent trigrams."""
+    """The model of every labelled text, with every trigram."""
     counts = written(gram_counts(docs, text_col, label_col))
-    totals = {r.label: r.n for r in counts.groupBy("label").agg(F.sum("n").alias("n")).collect()}  # a row a language
+    totals = sorted((r.label, r.n) for r in counts.groupBy("label").agg(F.sum("n").alias("n")).collect())  # a row a language
     if not totals:
         return None
-    kept = [(r.label, r.gram, r.n) for label in totals for r in counts.where(F.col("label") == label).orderBy(F.desc("n"), "gram").limit(MODEL_GRAMS).collect()]
-    return Model(kept, totals)
+    labels, sums = [x for x, _ in totals], [n for _, n in totals]
+    distinct = counts.select("gram").distinct().count()
+    folder = shared_dir(docs.sparkSession)
+    make_dirs(folder)
+
+    def write(group):
+        codes, n = group.column("gram").to_numpy(), group.column("n").to_numpy()
+        grams, place = np.unique(codes, return_inverse=True)
+        counted = np.zeros((grams.size, len(labels)))
+        counted[place, np.searchsorted(np.array(labels, object), np.array(group.column("label").to_pylist(), object))] = n
+        logs = np.log((counted + ALPHA) / _mass(sums, distinct))
+        part = group.column("part")[0].as_py()
+        return pa.table({"part": pa.array([part], pa.int32()), "name": [put_file(folder, f"grams-{part:03d}", [grams.astype("<i4").tobytes(), logs.astype("<f4").tobytes()])]})
+
+    ranges = counts.withColumn("part", F.shiftright("gram", 24 - RANGE_BITS)).groupBy("part").applyInArrow(write, "part int, name string")
+    return Model(labels, sums, distinct, [name for _, name in sorted(map(tuple, ranges.collect()))])  # a row a range
 
 
 def predict(docs: DataFrame, model: Model | None, keep: list[Column], text_col: str = "text") -> DataFrame:
@@ -249,11 +286,13 @@ def predict(docs: DataFrame, model: Model | None, keep: list[Column], text_col:
     spark = docs.sparkSession
     text_batches(spark)
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    kept = docs.select(*keep).schema
+    kept = docs.select(*keep)
+    given = [f"kept.`{c}`" for c in kept.columns if c not in RESULT]
+    kept = kept.schema
     inside = kept.names.index(text_col) if text_col in kept.names else None
     rows = docs.select(F.struct(*keep).alias("kept"), letters.alias("letters"), *([F.col(text_col).alias("text")] if inside is None else []))
     if model is None:
-        return rows.select("kept.*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("map<string,double>").alias("lang_mix"))
+        return rows.select(*given, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("map<string,double>").alias("lang_mix"))
     sent = spark.sparkContext.broadcast(model)
     kind = kept.simpleString()
 
@@ -272,4 +311,4 @@ def predict(docs: DataFrame, model: Model | None, keep: list[Column], text_col:
             mixed = pa.MapArray.from_arrays(pa.array(ends), pa.array(labels[col].tolist(), pa.string()), pa.array(share[row, col]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(labels[pick].tolist(), pa.string()), pa.array(score), mixed], ["kept", "lang_pred", "score", "lang_mix"])
 
-    return rows.mapInArrow(run, f"kept {kind}, lang_pred string, score double, lang_mix map<string,double>").select("kept.*", "lang_pred", "score", "lang_mix")
+    return rows.mapInArrow(run, f"kept {kind}, lang_pred string, score double, lang_mix map<string,double>").select(*given, *RESULT)

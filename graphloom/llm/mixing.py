@@ -1,13 +1,20 @@
 """Mixing sources to target weights by iterative proportional fitting, with DataFrame operations only.
 
-Documents are summed to cells of (source, language, topic). Raking scales the cells' token weights to each marginal's
-targets in turn until all three hold; a document is kept when its own random number lies below its cell's calibrated
-probability, so a lost executor changes nothing.
-
-Targets are tempered shares: each value's share of all tokens to the power ``temperature``, brought to sum 1. Null source,
-language or topic is a value of its own. Empty texts have no tokens: they get their cell's probability, and a cell without
-any token is kept whole. Repeated rows share their fate, as the random number comes from the id and ``seed``. An empty
-table gives an empty table. The result has all columns of ``docs`` and the three added ones; clashing names are refused.
+Documents are summed to cells of (source, language, topic). Raking scales the cells' token weights to each margin's targets in
+turn until all three hold; a document is kept when its own random number lies below its cell's calibrated probability, so a
+lost executor changes nothing.
+
+Targets are tempered shares of the budget: each value's share of all tokens to the power ``temperature``, brought to sum 1. No
+value can give more tokens than it has, so what such values lack is spread over the other ones by their targets. In the same
+way a cell gives all its tokens at most: a cell at that bound stays there while the other cells of its value are scaled to
+what is missing. Raking ends when every margin is within ``TOLERANCE`` of the budget, or after ``ROUNDS`` rounds: margins that
+contradict one another (each source in one language, say) have no solution, and ``margins_of`` reports what each value got.
+
+The topic is the class that ``labels`` gives a document (quality and toxicity), ``unlabelled`` for the others; any other table
+of topics can be given. Null source or language is a value of its own. Empty texts have no tokens: they get their cell's
+probability, and a cell without any token is kept whole. Repeated rows share their fate, as the random number comes from the
+id and ``seed``; if an id has several labels, the largest values count. An empty table gives an empty table. The result has all
+columns of ``docs`` and three more; columns of ``docs`` with their names give way.
 """
 
 from __future__ import annotations
@@ -17,28 +24,24 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.shared import written
 
-#: Cells up to which one task rakes all of them without a shuffle.
+#: Cells up to which one task rakes all of them without a shuffle; the numbers are the same.
 ONE_TASK_CELLS = 20_000
-#: Topic markers: a document's topic is the marker that it holds most often.
-MARKERS = ("tion", "ing", "ment", "ción", "ung")
-_BLANKS = "[\\x20\\x09-\\x0D]+"
+#: Rounds of raking at most and in one plan, and the share of the budget by which margins may miss their targets.
+ROUNDS, PLAN_ROUNDS, TOLERANCE = 64, 4, 1e-4
+#: How far a cell's weight may grow over its bound, and decimals of a probability.
+OVER, DECIMALS = 1e6, 6
+RESULT = ("mix_topic", "mix_tokens", "mix_probability")
 
 
 def n_words(text: Column) -> Column:
-    """Words of a text: its length without the other characters would do, so blanks between words are counted."""
-    inner = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{_BLANKS}|{_BLANKS}$", "")
-    return F.when(F.length(inner) == 0, F.lit(0)).otherwise(F.regexp_count(inner, F.lit(_BLANKS)) + 1).cast("long")
+    """Words of a text: runs of characters other than 0x20 and 0x09-0x0D."""
+    return F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
 
 
-def marker_topic(text: Column, markers: tuple[str, ...] = MARKERS) -> Column:
-    """The marker that the text holds most often (ties: the first); ``none`` without any."""
-    text = F.coalesce(text, F.lit(""))
-    counts = [(F.length(text) - F.length(F.replace(text, F.lit(m), F.lit("")))) / len(m) for m in markers]
-    most = F.greatest(*counts)
-    topic = F.when(most == 0, "none")
-    for m, n in zip(markers, counts, strict=True):
-        topic = topic.when(n == most, m)
-    return topic
+def label_topics(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, topic) of every labelled id."""
+    part = lambda name: F.concat(F.lit(f"{name} "), F.coalesce(F.max(name).cast("string"), F.lit("unknown")))
+    return labels.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.concat_ws(", ", part("quality"), part("toxic")).alias("topic"))
 
 
 def unit_number(key: Column, seed: str) -> Column:
@@ -46,57 +49,79 @@ def unit_number(key: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(key.cast("string"), F.lit("null"))).cast("binary")), 1, 8), 16, 10).cast("double") / 2**32
 
 
-def rake(cells: DataFrame, margins: tuple[str, ...], temperature: float, rounds: int) -> DataFrame:
-    """``cells`` (margins..., mass) with ``raked``: masses that add up to every margin's target, total mass kept."""
+def _targets(cells: DataFrame, margin: str, budget: float, temperature: float) -> DataFrame:
+    """(value, target in tokens) of a margin: tempered shares of the budget, with no value over its mass."""
+    every = Window.partitionBy()
+    values = cells.groupBy(margin).agg(F.sum("mass").alias("m")).withColumn("all", F.sum("m").over(every))
+    values = values.withColumn("w", F.when(F.col("all") > 0, F.pow(F.col("m") / F.col("all"), temperature)).otherwise(0.0))
+    values = values.withColumn("w", F.when(F.col("w") > 0, F.col("w") / F.sum("w").over(every)).otherwise(0.0))
+    # Values that lack most come first. With those before a value at their bounds, the level is what a weight of 1 gets.
+    before = Window.partitionBy().orderBy(F.when(F.col("w") > 0, F.col("m") / F.col("w")).asc_nulls_last(), F.col(margin)).rowsBetween(Window.unboundedPreceding, -1)
+    sums = [F.coalesce(F.sum(c).over(before), F.lit(0.0)).alias(f"{c}_before") for c in ("m", "w")]
+    values = values.select("*", *sums).withColumn("rest", F.lit(1.0) - F.col("w_before"))
+    level = (F.lit(min(budget, 1.0)) * F.col("all") - F.col("m_before")) / F.col("rest")
+    values = values.withColumn("level", F.when((F.col("w") > 0) & (F.col("rest") > 0) & (level * F.col("w") <= F.col("m") * (1 + 1e-12)), level))
+    first = F.first("level", ignorenulls=True).over(before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    values = values.withColumn("first", first)
+    want = F.coalesce(F.least(F.col("m"), F.col("first") * F.col("w")), F.col("m")).cast("double")
+    return values.select(F.col(margin).alias("_value"), want.alias(f"want_{margin}"), (want >= F.col("m") * (1 - 1e-9)).alias(f"full_{margin}"))
+
+
+def rake(cells: DataFrame, margins: tuple[str, ...], budget: float, temperature: float = 0.5) -> DataFrame:
+    """``cells`` (margins..., mass) with want_{margin} and ``raked``: the tokens to take from each, never more than its mass."""
     small = cells.count() <= ONE_TASK_CELLS
-    cells = cells.coalesce(1) if small else cells
-    total = Window.partitionBy()
-    if small:
-        cells = cells.withColumn("_all", F.sum("mass").over(total))
-    else:
-        cells = cells.crossJoin(F.broadcast(cells.agg(F.sum("mass").alias("_all"))))  # one row
+    now = cells
     for m in margins:
-        share = F.sum("mass").over(Window.partitionBy(m))
-        cells = cells.withColumn(f"_want_{m}", F.pow(share / F.col("_all"), temperature))
-    for m in margins:  # each value's tempered share once, over all values
-        first = F.row_number().over(Window.partitionBy(m).orderBy(*margins))
-        cells = cells.withColumn(f"_one_{m}", F.when(first == 1, F.col(f"_want_{m}")).otherwise(0.0))
-    if small:
-        for m in margins:
-            cells = cells.withColumn(f"_want_{m}", F.col(f"_want_{m}") / F.sum(f"_one_{m}").over(total) * F.col("_all"))
-    else:
-        cells = written(cells)
-        sums = cells.agg(*[F.sum(f"_one_{m}").alias(f"_sum_{m}") for m in margins])
-        cells = cells.crossJoin(F.broadcast(sums))  # one row
-        for m in margins:
-            cells = cells.withColumn(f"_want_{m}", F.col(f"_want_{m}") / F.col(f"_sum_{m}") * F.col("_all"))
-    cells = cells.withColumn("raked", F.col("mass").cast("double"))
-    for i in range(rounds):
-        for m in margins:
-            have = F.sum("raked").over(Window.partitionBy(m))
-            cells = cells.withColumn("raked", F.when(have > 0, F.col("raked") * F.col(f"_want_{m}") / have).otherwise(F.col("raked")))
-        if not small:
-            cells = written(cells)
-    return cells.select(*margins, "mass", "raked")
-
-
-def mix(docs: DataFrame, budget: float, temperature: float = 0.5, rounds: int = 12, seed: str = "mix", topic: Column | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
+        wants = _targets(cells, m, budget, temperature)
+        now = now.join(wants, now[m].eqNullSafe(wants["_value"])).drop("_value")
+    full = F.greatest(*[F.col(f"full_{m}") for m in margins])  # a value that gives all it has takes its cells to their bounds
+    now = now.withColumn("z", F.col("mass") * F.when(full, OVER).otherwise(min(budget, 1.0))).drop(*[f"full_{m}" for m in margins])
+    taken = F.least(F.col("z"), F.col("mass").cast("double"))
+    kept = [c for c in now.columns if c != "z"]
+    for _ in range(0, ROUNDS, PLAN_ROUNDS):
+        now = now.coalesce(1) if small else now
+        for m in list(margins) * PLAN_ROUNDS:
+            value = Window.partitionBy(m)
+            fixed = F.sum(F.when(F.col("z") >= F.col("mass"), F.col("mass")).otherwise(0.0)).over(value)
+            free = F.sum(F.when(F.col("z") < F.col("mass"), F.col("z")).otherwise(0.0)).over(value)
+            want = F.col(f"want_{m}")
+            factor = F.when((free > 0) & (want > fixed), (want - fixed) / free).when(fixed + free > 0, want / (fixed + free)).otherwise(1.0)
+            now = now.select(*kept, F.least(F.col("z") * factor, F.col("mass") * OVER).alias("z"))
+        now = written(now)
+        misses = [F.abs(F.sum(taken).over(Window.partitionBy(m)) - F.col(f"want_{m}")).alias(f"miss_{m}") for m in margins]
+        worst = now.select("mass", *misses).agg(F.max(F.greatest(*[F.col(f"miss_{m}") for m in margins])), F.sum("mass")).first()
+        if not worst[1] or worst[0] <= TOLERANCE * budget * worst[1]:
+            break
+    return now.select(*margins, "mass", *[f"want_{m}" for m in margins], taken.alias("raked"))
+
+
+def margins_of(raked: DataFrame, margins: tuple[str, ...]) -> DataFrame:
+    """(margin, value, mass, target, raked) of every value of every margin: what raking reached."""
+    parts = [raked.groupBy(F.col(m).cast("string").alias("value")).agg(F.sum("mass").alias("mass"), F.max(f"want_{m}").alias("target"), F.sum("raked").alias("raked")).select(F.lit(m).alias("margin"), "value", "mass", "target", "raked") for m in margins]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def mix(docs: DataFrame, budget: float, topics: DataFrame | None = None, temperature: float = 0.5, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
     """The sampled rows of ``docs`` with mix_topic, mix_tokens and mix_probability.
 
-    ``budget`` is the wanted share of all tokens. A cell's probability is budget * raked / mass, 1 at most.
+    ``budget`` is the wanted share of all tokens; ``topics`` has the id and topic of some documents, once each.
     """
-    clash = {"mix_topic", "mix_tokens", "mix_probability"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"docs already has {sorted(clash)}")
-    marked = docs.withColumn("mix_tokens", n_words(F.col(text_col))).withColumn("mix_topic", topic if topic is not None else marker_topic(F.col(text_col)))
-    margins = ("_source", "_lang", "_topic")
-    keys = marked.select(F.col(source_col).alias("_source"), F.col(lang_col).alias("_lang"), F.col("mix_topic").alias("_topic"), F.col("mix_tokens"))
-    cells = written(keys.groupBy(*margins).agg(F.sum("mix_tokens").alias("mass")))
-    raked = rake(cells, margins, temperature, rounds)
-    chance = F.when(F.col("mass") > 0, F.least(F.lit(1.0), F.round(F.lit(budget) * F.col("raked") / F.col("mass"), 9))).otherwise(1.0)
-    raked = written(raked.select(*[F.col(m).alias(f"_cell{m}") for m in margins], chance.alias("mix_probability")))
-    same = marked[source_col].eqNullSafe(raked["_cell_source"]) & marked[lang_col].eqNullSafe(raked["_cell_lang"]) & marked["mix_topic"].eqNullSafe(raked["_cell_topic"])
-    small = raked.count() <= ONE_TASK_CELLS
-    joined = marked.join(F.broadcast(raked) if small else raked, same)
-    kept = joined.where(unit_number(F.col(id_col), seed) < F.col("mix_probability"))
-    return kept.select(*docs.columns, "mix_topic", "mix_tokens", "mix_probability")
+    docs = docs.drop(*RESULT)
+    own = lambda name: f"{'_' * (1 + max(len(c) - len(c.lstrip('_')) for c in [*docs.columns, '']))}{name}"  # noqa: E731 - a name that docs doesn't have
+    source, lang, topic, chance, key = map(own, ("source", "lang", "topic", "chance", "key"))
+    marked = docs.withColumn("mix_tokens", n_words(F.col(text_col)))  # before the join, which then needs no texts
+    if topics is not None:
+        named = topics.select(F.col(id_col).alias(key), F.col("topic").alias(topic)).hint("merge")
+        marked = marked.join(named, marked[id_col] == named[key], "left").drop(key)
+    marked = marked.withColumn("mix_topic", F.coalesce(F.col(topic), F.lit("unlabelled")) if topics is not None else F.lit("unlabelled")).drop(topic)
+    margins = ("source", "lang", "topic")
+    keys = marked.select(F.col(source_col).alias("source"), F.col(lang_col).alias("lang"), F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("tokens"))
+    raked = rake(written(keys.groupBy(*margins).agg(F.sum("tokens").alias("mass"))), margins, budget, temperature)
+    p = F.when(F.col("mass") > 0, F.least(F.lit(1.0), F.round(F.col("raked") / F.col("mass"), DECIMALS))).otherwise(1.0)
+    cells = written(raked.select(F.col("source").alias(source), F.col("lang").alias(lang), F.col("topic").alias(topic), p.alias(chance)))
+    same = marked[source_col].eqNullSafe(cells[source]) & marked[lang_col].eqNullSafe(cells[lang]) & marked["mix_topic"].eqNullSafe(cells[topic])
+    joined = marked.join(F.broadcast(cells) if cells.count() <= ONE_TASK_CELLS else cells, same)
+    return joined.where(unit_number(F.col(id_col), seed) < F.col(chance)).select(*docs.columns, "mix_topic", "mix_tokens", F.col(chance).alias("mix_probability"))

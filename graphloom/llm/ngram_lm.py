@@ -1,26 +1,38 @@
-"""Scores of whole texts under a smoothed n-gram model held in an Elias-Fano trie.
+"""Scores of whole texts under a smoothed trigram model held in Elias-Fano tries.
 
-The trie's levels are files in the shared folder, cut into shards of bounded size, and tasks map them into memory:
+A text is its words and one end; two ends stand before the first word. With c for training counts, ``p(w | u v)`` is
 
-* first level: the sorted 64-bit hashes of all training words, Elias-Fano coded, with exact counts. A word's id is its
-  place in this order.
-* second level: for each context id its successors' ids, as ``context * (V + 1) + successor``. Coded together, the high
-  bits are monotone pointers to where a context's successors begin and the low bits are searched within that range. Next to
-  it stand the counts, and the quantised smoothed probabilities in 16 bits, rounded down.
+    p1(w)       = (c(w) + 0.1) / (N + 0.1 * (V + 1))
+    p2(w | v)   = (c(v w) - d) / c(v) + g(v) * p1(w)
+    p3(w | u v) = (c(u v w) - d) / c(u v) + g(u v) * p2(w | v)
 
-A text is its words and one end; the end is also the first word's context. With c for training counts,
-``p(w | v) = (1 - g) * c(v, w) / c(v) + g * base(w)`` and ``base(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1))``; g is the share of
-once-seen pairs among the occurrences of contexts about as frequent as v (by powers of two), over the whole corpus. After
-a word that training never saw, p is base. These sum to 1 over the V known words and one unknown one.
+with the discount d of ``DISCOUNTS`` for a count of 1, 2 or more (0 for none), and g the mass that the discounts of a context
+leave over. After a context that training never saw, the shorter one decides. Each sums to 1 over the V words and one
+unknown word.
 
-Counting is by shards of word hashes and of pairs, so a frequent word or pair is summed in each task first and its
-contexts' pairs lie in all shards. Null texts are empty and hold the end alone. Without training rows every count is 0.
-Rows with null ids are scored like others; repeated rows count as often as they occur; further columns are not read.
+The levels are files in the shared folder, and tasks map them into memory:
+
+* words: sorted 64-bit hashes and, as a second monotone sequence, their counts added up. A word's id is its place.
+* pairs: the contexts v in order; monotone pointers to where each one's successors begin; the successors w of each v; for
+  each the quantised ``(c - d) / c(v)``, and for each v the quantised g.
+* triples: the contexts v and each one's successors as above; under each v its left words u, which make the contexts u v;
+  monotone pointers to where each one's successors begin; the successors, not by word id but by place among the successors of
+  the shorter context v, so that few bits are left; the quantised ``(c - d) / c(u v)`` and g.
+
+A search finds v, then u among its left words and w's place among its successors, and then this place among those of u v.
+Probabilities take 16 bits, in steps of 1/4096 of a power of ten, rounded down.
+
+Shards of pairs and triples are cut by tokens: contexts stand in order of v, each as wide as its count, and a frequent v is
+split by w in the pairs and by u in the triples. So a word with a third of all tokens lies in a third of the shards, and each
+context u v lies in one. Triples are summed in each task first; pairs follow from the contexts u v and from the triples that
+end a text, once these are summed. Words are told apart by 64 bits of hash.
+
+Null texts are empty and hold the end alone. Without training rows every count is 0. Rows with null ids are scored like
+others; repeated rows count as often as they occur; further columns are not read, and kept columns with a result's name give way.
 """
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,260 +41,380 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.elias_fano import EliasFano, encode
-from graphloom.llm.shared import make_dirs, open_file, put_file, shared_dir, text_batches
-from graphloom.llm.words import hashed_steps, mix, texts_of
+from graphloom.llm.shared import kept_files, make_dirs, map_file, put_file, shared_dir, text_batches
+from graphloom.llm.words import hashed_steps, texts_of
 
-#: Bytes of training text for each shard of the second level, and tokens counted at once in a task.
-SHARD_BYTES, FLUSH_TOKENS = 24 << 20, 4_000_000
+#: Bytes of training text for each shard, and tokens taken at once.
+SHARD_BYTES, STEP_TOKENS = 12 << 20, 1 << 20
 END = np.uint64(0x9FB21C651E98DF25)
-ADD, STEPS = 0.1, 4096  # STEPS: quantisation steps of the probability in a power of ten
-CLASSES = 64
+ADD, STEPS = 0.1, 4096  # STEPS: quantisation steps of a probability in a power of ten
+#: Taken off counts of 1, 2 and more.
+DISCOUNTS = (0.9, 1.1, 1.4)
+PAIRS, TRIPLES = 2, 3
 
 
-def _tokens(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, word hashes with an end after each row's, bounds of each row's)."""
-    for row, _, words, bounds in hashed_steps(column):
-        n = bounds.size - 1
-        ends = bounds[1:] + np.arange(n)
-        out = np.empty(words.size + n, np.uint64)
-        is_end = np.zeros(out.size, bool)
-        is_end[ends] = True
-        out[is_end], out[~is_end] = END, words
-        yield row, out, np.concatenate([[0], ends + 1])
+def discount(n: np.ndarray) -> np.ndarray:
+    return np.array([0.0, *DISCOUNTS])[np.minimum(n, 3)]
+
+
+def _code(p: np.ndarray) -> bytes:
+    return np.minimum(np.ceil(-np.log10(np.maximum(p, 1e-300)) * STEPS), 65535).astype("<u2").tobytes()
 
 
-def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys with their summed counts."""
-    flat, n = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(flat, kind="stable")
-    flat, n = flat[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if flat.size else np.zeros(0, np.int64)
-    return flat[first], np.add.reduceat(n, first) if flat.size else n
+def _pack(*parts: bytes) -> bytes:
+    """Byte strings in one, each at a multiple of 8."""
+    padded = [x + bytes(-len(x) % 8) for x in parts]
+    return np.array([len(parts), *map(len, padded)], "<i8").tobytes() + b"".join(padded)
+
+
+def _unpack(data: np.ndarray) -> list[np.ndarray]:
+    n = int(data[:8].view("<i8")[0])
+    ends = 8 + 8 * n + np.cumsum(data[8 : 8 + 8 * n].view("<i8"))
+    return [data[a:z] for a, z in zip([8 + 8 * n, *ends.tolist()], ends.tolist(), strict=False)]
 
 
 def _pack_counts(n: np.ndarray) -> bytes:
     """Counts of one byte each, with the larger ones apart."""
     large = np.flatnonzero(n > 254)
-    small = np.where(n > 254, 255, n).astype(np.uint8)
-    return np.array([n.size, large.size], "<i8").tobytes() + small.tobytes() + n[large].astype("<i8").tobytes()
+    return _pack(np.array([n.size], "<i8").tobytes(), np.where(n > 254, 255, n).astype(np.uint8).tobytes(), n[large].astype("<i8").tobytes())
 
 
 def _counts(data: np.ndarray) -> np.ndarray:
-    n, k = data[:16].view("<i8").tolist()
-    out = data[16 : 16 + n].astype(np.int64)
-    if k:
-        out[out == 255] = np.frombuffer(data[16 + n : 16 + n + 8 * k].tobytes(), "<i8")
+    size, small, large = _unpack(data)
+    out = small[: int(size.view("<i8")[0])].astype(np.int64)
+    out[out == 255] = large.view("<i8")
     return out
 
 
-@functools.lru_cache(4096)
-def _level(name: str) -> tuple[EliasFano, np.ndarray]:
-    """A level's keys, and the bytes of what stands next to them."""
-    data = np.frombuffer(open_file(name).read_buffer(), np.uint8)
-    keys = EliasFano(data)
-    return keys, data[keys.size :]
+def _summed(order: np.ndarray, columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of ``columns``, which ``order`` sorts, with their summed counts."""
+    columns, n = [c[order] for c in columns], n[order]
+    new = np.ones(n.size, bool)
+    if n.size:
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    first = np.flatnonzero(new)
+    return [c[first] for c in columns], np.add.reduceat(n, first) if first.size else n
 
 
-@functools.lru_cache(4096)
-def _level_counts(name: str) -> np.ndarray:
-    """A level's counts as whole numbers, in place."""
-    keys, rest = _level(name)
-    return rest[: 8 * keys.n].view("<i8")
+def _tokens(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, word hashes with an end after each row's, bounds of each row's)."""
+    for row, _, words, bounds in hashed_steps(column):
+        n = bounds.size - 1
+        ends = bounds[1:] + np.arange(n)
+        out = np.empty(words.size + n, np.uint64)
+        is_end = np.zeros(out.size, bool)
+        is_end[ends] = True
+        out[is_end], out[~is_end] = END, words
+        yield row, out, np.concatenate([[0], ends + 1])
+
+
+def _contexts(tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Distinct hashes, and the places of u, v and w of each token among them, for runs of whole rows' tokens."""
+    before = np.concatenate([[END, END], tokens])
+    for a in range(0, tokens.size, STEP_TOKENS):
+        distinct, place = np.unique(np.concatenate([[END], before[a : a + STEP_TOKENS + 2]]), return_inverse=True)
+        end, v = place[0], place[2:-1]
+        yield distinct, np.where(v == end, end, place[1:-2]), v, place[3:]
 
 
 class Vocabulary:
-    """First level: ids and counts of words; id V is the unknown word with count 0."""
-
-    def __init__(self, bits: int, files: list[tuple[int, str, int, int]]):
-        self.bits, self.files = bits, {shard: name for shard, name, _, _ in files}
-        self.first, total = {}, 0
-        for shard, _, n, _ in sorted(files):
-            self.first[shard] = total
-            total += n
-        self.size, self.tokens = total, sum(f[3] for f in files)
-        self.by_id = [(self.first[s], self.files[s]) for s in sorted(self.files)]
-
-    def lookup(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and counts."""
-        ids, counts = np.full(words.size, self.size, np.int64), np.zeros(words.size, np.int64)
+    """Ids, counts and counts added up of words; id V is the unknown word with count 0."""
+
+    def __init__(self, folder: str, bits: int, sizes: list[tuple[int, int, int]]):
+        self.folder, self.bits = folder, bits
+        n, mass = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
+        for shard, words, tokens in sizes:
+            n[shard], mass[shard] = words, tokens
+        self.first, self.before = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(mass)])
+        self.size, self.tokens = int(self.first[-1]), int(self.before[-1])
+        self.width = np.uint64(self.size + 1)
+
+    def lookup(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, counts and the counts of all words before, of sorted words."""
+        ids, counts, before = np.full(words.size, self.size, np.int64), np.zeros(words.size, np.int64), np.zeros(words.size, np.int64)
         shard = (words >> np.uint64(64 - self.bits)).astype(np.int64)
         for s in np.unique(shard).tolist():
-            if s in self.files:
+            if self.first[s + 1] > self.first[s]:
                 at = np.flatnonzero(shard == s)
-                found = _level(self.files[s])[0].find(words[at])
+                keys, sums = _words(f"{self.folder}/words-{s}")
+                found = keys.find(words[at])
                 at, found = at[found >= 0], found[found >= 0]
-                ids[at], counts[at] = self.first[s] + found, _level_counts(self.files[s])[found]
-        return ids, counts
-
-    def counts(self, ids: np.ndarray) -> np.ndarray:
-        """Counts of known ids."""
-        out = np.zeros(ids.size, np.int64)
-        firsts = np.array([f for f, _ in self.by_id])
-        shard = np.searchsorted(firsts, ids, "right") - 1
-        for s in np.unique(shard).tolist():
-            at = np.flatnonzero(shard == s)
-            out[at] = _level_counts(self.by_id[s][1])[ids[at] - firsts[s]]
-        return out
+                low = sums.at(found).astype(np.int64)
+                ids[at], before[at] = self.first[s] + found, self.before[s] + low
+                counts[at] = sums.at(found + 1).astype(np.int64) - low
+        return ids, counts, before
+
+    def counts(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of sorted known ids, and the counts of all words before."""
+        counts, before = np.zeros(ids.size, np.int64), np.zeros(ids.size, np.int64)
+        cuts = np.searchsorted(ids, self.first)
+        for s in np.flatnonzero(np.diff(cuts)).tolist():
+            sums, at = _words(f"{self.folder}/words-{s}")[1], ids[cuts[s] : cuts[s + 1]] - self.first[s]
+            low = sums.at(at).astype(np.int64)
+            before[cuts[s] : cuts[s + 1]] = self.before[s] + low
+            counts[cuts[s] : cuts[s + 1]] = sums.at(at + 1).astype(np.int64) - low
+        return counts, before
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return (counts + ADD) / (self.tokens + ADD * (self.size + 1))
 
-    def pairs(self, ids: np.ndarray) -> np.ndarray:
-        """Key of each token after its context; the end stands before the first."""
-        context = np.concatenate([[self.end], ids[:-1]])
-        return context.astype(np.uint64) * np.uint64(self.size + 1) + ids.astype(np.uint64)
+    def shard(self, counts: np.ndarray, before: np.ndarray, other: np.ndarray, shards: int) -> np.ndarray:
+        """Shard of a context word with these counts, and of the other word's id."""
+        place = before + counts * (other / float(self.size + 1))
+        return np.minimum((place * (shards / max(1, self.tokens))).astype(np.int64), shards - 1)
 
-    @functools.cached_property
-    def end(self) -> int:
-        return int(self.lookup(np.array([END]))[0][0])
 
+def _file(name: str) -> list[np.ndarray]:
+    return _unpack(np.frombuffer(map_file(name), np.uint8))
 
-def _blocks(shard: np.ndarray, keys: np.ndarray, counts: np.ndarray, universe: int) -> pa.RecordBatch:
-    """A row for each shard: its sorted keys and their counts, coded."""
-    order = np.argsort(shard, kind="stable")
-    shard, keys, counts = shard[order], keys[order], counts[order]
-    names, first = np.unique(shard, return_index=True)
-    cuts = [*first.tolist(), keys.size]
-    rows = [(encode(keys[a:b], universe), _pack_counts(counts[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)]
-    return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], ["shard", "keys", "counts"])
 
+@kept_files
+def _words(name: str) -> tuple[EliasFano, EliasFano]:
+    keys, sums = _file(name)
+    return EliasFano(keys), EliasFano(sums)
 
-def _unpack(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    keys = [EliasFano(np.frombuffer(x, np.uint8)).values() for x in group.column("keys").to_pylist()]
-    return _merge(keys, [_counts(np.frombuffer(x, np.uint8)) for x in group.column("counts").to_pylist()])
 
+@kept_files
+def _pairs(name: str):
+    """(contexts, successors, probabilities, weights) of a shard of pairs."""
+    v, w, p, g = _file(name)
+    return EliasFano(v), EliasFano(w), p.view("<u2"), g.view("<u2")
 
-def _counted(texts: DataFrame, key_of, shard_of, universe: int) -> DataFrame:
-    """(shard, keys, counts) blocks of all texts; ``key_of`` gives the keys of a run of tokens."""
 
-    def run(batches):
-        held, n = [], 0
+@kept_files
+def _triples(name: str):
+    """(contexts v, pointers, successors of v, contexts u v, pointers, successors of u v, probabilities, weights)."""
+    *levels, p, g = _file(name)
+    return *map(EliasFano, levels), p.view("<u2"), g.view("<u2")
 
-        def flush():
-            keys, counts = _merge([k for k, _ in held], [c for _, c in held])
-            return _blocks(shard_of(keys), keys, counts, universe)
 
+def _vocabulary(texts: DataFrame, folder: str, bits: int) -> Vocabulary:
+    def count(batches):
         for b in batches:
             for _, tokens, _ in _tokens(texts_of(b.column(0))):
-                held.append(np.unique(key_of(tokens), return_counts=True))
-                n += held[-1][0].size
-                if n >= FLUSH_TOKENS:
-                    yield flush()
-                    held, n = [], 0
-        if held:
-            yield flush()
+                words, n = np.unique(tokens, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
 
-    return texts.mapInArrow(run, "shard int, keys binary, counts binary")
+    def write(group):
+        words, n = group.column("word").to_numpy().view(np.uint64), group.column("n").to_numpy()
+        order = np.argsort(words)
+        sums = np.concatenate([[0], np.cumsum(n[order])])
+        shard = group.column("shard")[0].as_py()
+        put_file(folder, f"words-{shard}", [_pack(encode(words[order], 1 << 64), encode(sums, int(sums[-1]) + 1))])
+        return pa.table({"shard": pa.array([shard], pa.int32()), "words": [words.size], "tokens": [int(sums[-1])]})
 
+    counted = texts.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    placed = counted.select("word", "n", F.shiftrightunsigned("word", 64 - bits).cast("int").alias("shard"))
+    rows = placed.groupBy("shard").applyInArrow(write, "shard int, words long, tokens long").collect()  # a row a shard
+    return Vocabulary(folder, bits, [tuple(r) for r in rows])
 
-def _vocabulary(texts: DataFrame, folder: str, bits: int) -> Vocabulary:
-    shift = np.uint64(64 - bits)
 
-    def write(group):
-        keys, counts = _unpack(group)
-        shard = group.column("shard")[0].as_py()
-        name = put_file(folder, f"words-{shard:05d}.ef", [encode(keys, 1 << 64), counts.astype("<i8").tobytes()])
-        return pa.table({"shard": pa.array([shard], pa.int32()), "name": [name], "n": [keys.size], "total": [int(counts.sum())]})
+def _narrow(x: np.ndarray, width: int) -> bytes:
+    """Numbers in ``width`` bytes each."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
-    blocks = _counted(texts, lambda t: t, lambda k: (k >> shift).astype(np.int64), 1 << 64)
-    rows = blocks.groupBy("shard").applyInArrow(write, "shard int, name string, n long, total long").collect()  # a row a shard
-    return Vocabulary(bits, sorted((r["shard"], r["name"], r["n"], r["total"]) for r in rows))
 
+def _wide(data: np.ndarray, n: int, width: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = data[: n * width].reshape(n, width)
+    return out.reshape(-1).view("<i8")
 
-def _class(counts: np.ndarray) -> np.ndarray:
-    """The power of two below a context's count."""
-    return np.minimum(np.log2(np.maximum(counts, 1)).astype(np.int64), CLASSES - 1)
 
+def _blocks(shard: np.ndarray, keys: np.ndarray, last: np.ndarray | None, n: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """A block for each shard of sorted keys (and, under equal keys, last words) with counts."""
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [shard.size]]).tolist() if shard.size else []
+    for a, z in zip(cuts, cuts[1:], strict=False):
+        some = keys[a:z]
+        parts = [_pack_counts(n[a:z]), some[:1].astype("<u8").tobytes()]
+        if last is not None:
+            first, width = _runs(some), max(1, (int(last[a:z].max()).bit_length() + 7) // 8)
+            parts += [np.array([width], "<i8").tobytes(), _narrow(last[a:z], width), _pack_counts(np.diff(np.append(first, z - a)))]
+            some = some[first]
+        yield int(shard[a]), _pack(*parts, encode(some - some[0], int(some[-1] - some[0]) + 1))
 
-def _pair_levels(texts: DataFrame, folder: str, words: Vocabulary, shards: int) -> tuple[list[str], np.ndarray]:
-    """Writes the second level; returns its files by shard (empty: none) and the shares g by class of the context's count."""
-    spark = texts.sparkSession
-    universe = max(1, (words.size + 1) ** 2)
-    sent = spark.sparkContext.broadcast(words)  # file names and bounds: a few bytes a shard
-    width = np.uint64(words.size + 1)
 
-    def key_of(tokens):
-        return sent.value.pairs(_ids(sent.value, tokens)[0])
+def _read_block(block: bytes) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """(keys, last words, counts)."""
+    parts = _unpack(np.frombuffer(block, np.uint8))
+    n, keys = _counts(parts[0]), EliasFano(parts[-1]).values() + parts[1].view("<u8")[0]
+    if len(parts) == 3:
+        return keys, None, n
+    return np.repeat(keys, _counts(parts[4])), _wide(parts[3], n.size, int(parts[2].view("<i8")[0])), n
 
-    def write(group):
-        keys, counts = _unpack(group)
-        shard = group.column("shard")[0].as_py()
-        contexts = _class(sent.value.counts((keys // width).astype(np.int64)))
-        seen = np.bincount(contexts, counts, CLASSES), np.bincount(contexts, counts == 1, CLASSES)
-        name = put_file(folder, f"pairs-{shard:05d}.ef", [encode(keys, universe), _pack_counts(counts)])
-        return pa.table({"shard": pa.array([shard], pa.int32()), "name": [name], "seen": pa.array([np.array(seen, "<f8").tobytes()], pa.binary())})
-
-    blocks = _counted(texts, key_of, lambda k: _shard(k, shards), universe)
-    rows = blocks.groupBy("shard").applyInArrow(write, "shard int, name string, seen binary").collect()  # a row a shard
-    seen = sum((np.frombuffer(r["seen"], "<f8").reshape(2, -1) for r in rows), np.zeros((2, CLASSES)))
-    novel = np.clip(seen[1] / np.maximum(seen[0], 1), 0.001, 0.999)
-
-    def smooth(batches):
-        vocabulary = sent.value
-        for b in batches:
-            names = []
-            for name in b.column(0).to_pylist():
-                level, rest = _level(name)
-                keys, counts = level.values(), _counts(rest)
-                before = vocabulary.counts((keys // width).astype(np.int64))
-                g = novel[_class(before)]
-                p = (1 - g) * counts / before + g * vocabulary.base(vocabulary.counts((keys % width).astype(np.int64)))
-                code = np.minimum(np.ceil(-np.log10(p) * STEPS), 65535).astype("<u2")
-                names.append(put_file(folder, name.rpartition("/")[2].replace("pairs", "trie"), [encode(keys, universe), code.tobytes()]))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["name"])
 
-    if not rows:
-        return [""] * shards, novel
-    listed = spark.createDataFrame([(r["name"],) for r in rows], "name string").repartition(len(rows), "name")
-    tries = {int(r["name"].rpartition("-")[2].split(".")[0]): r["name"] for r in listed.mapInArrow(smooth, "name string").collect()}
-    return [tries.get(s, "") for s in range(shards)], novel
+def _block_rows(blocks: list[tuple[int, bytes | None]]) -> list[pa.Array]:
+    return [pa.array([s for s, _ in blocks], pa.int32()), pa.array([x for _, x in blocks], pa.binary())]
 
 
-def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    return (mix(keys) % np.uint64(shards)).astype(np.int64)
+def _triple_blocks(texts: DataFrame, vocabulary, shards: int) -> DataFrame:
+    """(shard, block) of the triples of each run of tokens."""
 
+    def blocks(words: Vocabulary, tokens: np.ndarray):
+        for distinct, u, v, w in _contexts(tokens):
+            ids, counts, before = words.lookup(distinct)
+            code, mask = np.int64(21), np.int64((1 << 21) - 1)
+            key, n = np.unique((v << code | u) << code | w, return_counts=True)
+            last, left, context = key & mask, (key >> code) & mask, key >> (2 * code)
+            shard = words.shard(counts[context], before[context], ids[left], shards)
+            found = list(_blocks(shard, ids[context].astype(np.uint64) * words.width + ids[left].astype(np.uint64), ids[last], n))
+            yield pa.RecordBatch.from_arrays(_block_rows(found), ["shard", "block"])
 
-def _ids(words: Vocabulary, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and counts of tokens; each distinct word is looked up once."""
-    distinct, place = np.unique(tokens, return_inverse=True)
-    ids, counts = words.lookup(distinct)
-    return ids[place], counts[place]
+    def run(batches):
+        held, size = [], 0
+        for b in batches:
+            for _, tokens, _ in _tokens(texts_of(b.column(0))):
+                held.append(tokens)
+                size += tokens.size
+                if size >= STEP_TOKENS:
+                    yield from blocks(vocabulary.value, np.concatenate(held))
+                    held, size = [], 0
+        if size:
+            yield from blocks(vocabulary.value, np.concatenate(held))
+
+    return texts.mapInArrow(run, "shard int, block binary")
+
+
+def _pair_blocks(words: Vocabulary, shards: int, keys: np.ndarray, last: np.ndarray, n: np.ndarray) -> list[tuple[int, bytes]]:
+    """Blocks of the pairs that a shard of triples gives: its contexts u v but for the start of a text, and v before an end."""
+    end = words.lookup(np.array([END]))[0][0]
+    first = _runs(keys)
+    v, u = np.divmod(keys[first], words.width)
+    inner = v != np.uint64(end)
+    ends = last == end
+    pairs = np.concatenate([u[inner] * words.width + v[inner], keys[ends] // words.width * words.width + np.uint64(end)])
+    (pairs,), n = _summed(np.argsort(pairs, kind="stable"), [pairs], np.concatenate([np.add.reduceat(n, first)[inner], n[ends]]))
+    context, w = np.divmod(pairs, words.width)
+    begin = _runs(context)
+    counts, before = (np.repeat(x, np.diff(np.append(begin, pairs.size))) for x in words.counts(context[begin].astype(np.int64)))
+    return list(_blocks(words.shard(counts, before, w.astype(np.int64), shards), pairs, None, n))
+
+
+def _runs(x: np.ndarray) -> np.ndarray:
+    """Where each run of equal values of a sorted array begins."""
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+
+
+def write_pairs(words: Vocabulary, folder: str, shard: int, shards: int, keys: np.ndarray, n: np.ndarray) -> list[tuple[int, float]]:
+    """Writes a shard of pairs from sorted keys and their counts; returns (v, its part of g) of words that lie in other shards too."""
+    context, w = np.divmod(keys, words.width)
+    first = _runs(context)
+    v = context[first].astype(np.int64)
+    counts, before = words.counts(v)
+    owner = np.repeat(np.arange(v.size), np.diff(np.append(first, keys.size)))
+    taken = discount(n)
+    g = np.add.reduceat(taken, first) / counts
+    successors = encode(owner.astype(np.uint64) * words.width + w, v.size * int(words.width))
+    put_file(folder, f"pairs-{shard}", [_pack(encode(v, int(words.width)), successors, _code((n - taken) / counts[owner]), _code(g))])
+    lowest, highest = (words.shard(counts, before, np.full(v.size, x), shards) for x in (0, words.size))
+    return [(int(v[i]), float(g[i])) for i in np.flatnonzero(lowest < highest)]
+
+
+def write_triples(words: Vocabulary, folder: str, shard: int, keys: np.ndarray, w: np.ndarray, n: np.ndarray) -> None:
+    """Writes a shard of triples from rows sorted by context key (v, u) and last word."""
+    first = _runs(keys)
+    total, taken = np.add.reduceat(n, first), discount(n)
+    g = np.add.reduceat(taken, first) / total
+    owner = np.repeat(np.arange(first.size), np.diff(np.append(first, keys.size)))
+    of_v, u = np.divmod(keys[first], words.width)
+    begin = _runs(of_v)
+    v = np.repeat(np.arange(begin.size), np.diff(np.append(begin, of_v.size)))  # of each context u v
+    successors, place = np.unique(v[owner].astype(np.uint64) * words.width + w.astype(np.uint64), return_inverse=True)
+    pointers = np.searchsorted(successors, np.arange(begin.size + 1, dtype=np.uint64) * words.width)
+    starts = np.concatenate([[0], np.cumsum(np.diff(pointers)[v])])
+    inner = starts[owner] + place - pointers[v[owner]]
+    levels = [
+        encode(of_v[begin], int(words.width)), encode(pointers, successors.size + 1), encode(successors, begin.size * int(words.width)),
+        encode(v.astype(np.uint64) * words.width + u, begin.size * int(words.width)), encode(starts, int(starts[-1]) + 1), encode(inner, int(starts[-1])),
+    ]
+    put_file(folder, f"triples-{shard}", [_pack(*levels, _code((n - taken) / total[owner]), _code(g))])
 
 
 class Trie:
     """Log10 probabilities of tokens after their contexts."""
 
-    def __init__(self, words: Vocabulary, files: list[str], novel: np.ndarray):
-        self.words, self.files, self.novel = words, files, novel
-
-    def score(self, ids: np.ndarray, counts: np.ndarray, base: np.ndarray) -> np.ndarray:
-        """base: log10 of each token's base probability."""
-        if not self.words.size:
-            return base
-        keys = self.words.pairs(ids)
-        before = np.concatenate([self.words.lookup(np.array([END]))[1], counts[:-1]])
-        out = base + np.where(before > 0, np.log10(self.novel)[_class(before)], 0.0)
-        known = np.flatnonzero((before > 0) & (counts > 0))
-        distinct, place = np.unique(keys[known], return_inverse=True)
-        value = np.full(distinct.size, np.nan)
-        shard = _shard(distinct, len(self.files))
-        order = np.argsort(shard, kind="stable")
-        cuts = np.searchsorted(shard[order], np.arange(len(self.files) + 1))
+    def __init__(self, words: Vocabulary, folder: str, shards: int, present: np.ndarray, split: dict[int, float]):
+        self.words, self.folder, self.shards, self.present, self.split = words, folder, shards, present, split
+
+    def _by_shard(self, kind: int, shard: np.ndarray):
+        cuts = np.searchsorted(shard, np.arange(self.shards + 1))
         for s in np.flatnonzero(np.diff(cuts)).tolist():
-            if self.files[s]:
-                at = order[cuts[s] : cuts[s + 1]]
-                level, rest = _level(self.files[s])
-                found = level.find(distinct[at])
-                hit = found >= 0
-                value[at[hit]] = rest[: 2 * level.n].view("<u2")[found[hit]] / -STEPS
-        found = value[place]
-        seen = ~np.isnan(found)
-        out[known[seen]] = found[seen]
-        return out
+            if self.present[kind - PAIRS, s]:
+                yield s, slice(cuts[s], cuts[s + 1])
+
+    @staticmethod
+    def _each(*sorted_columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each run of equal rows begins, and each row's run."""
+        new = np.zeros(sorted_columns[0].size, bool)
+        new[:1] = True
+        for c in sorted_columns:
+            new[1:] |= c[1:] != c[:-1]
+        return np.flatnonzero(new), np.cumsum(new) - 1
+
+    def _pair_search(self, v: np.ndarray, w: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Discounted probability of each sorted pair, and g of its v."""
+        p, g = np.zeros(v.size), np.zeros(v.size)
+        for s, some in self._by_shard(PAIRS, shard):
+            contexts, successors, codes, weights = _pairs(f"{self.folder}/pairs-{s}")
+            run, each = self._each(v[some])
+            at = contexts.find(v[some][run])[each]
+            place = successors.find(np.maximum(at, 0).astype(np.uint64) * self.words.width + w[some].astype(np.uint64))
+            p[some] = np.where((at >= 0) & (place >= 0), 10.0 ** (codes[np.maximum(place, 0)] / -STEPS), 0.0)
+            g[some] = np.where(at >= 0, 10.0 ** (weights[np.maximum(at, 0)] / -STEPS), 0.0)
+        if self.split:
+            ids = np.array(sorted(self.split))
+            at = np.minimum(np.searchsorted(ids, v), ids.size - 1)
+            g = np.where(ids[at] == v, np.array([self.split[i] for i in ids.tolist()])[at], g)
+        return p, g
+
+    def _triple_search(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Discounted probability of each sorted triple, and g of its context (1 where it is unknown)."""
+        p, g = np.zeros(v.size), np.ones(v.size)
+        for s, some in self._by_shard(TRIPLES, shard):
+            contexts, pointers, successors, lefts, starts, inner, codes, weights = _triples(f"{self.folder}/triples-{s}")
+            # Each v, and each u under it, is searched for once.
+            own, each_v = self._each(v[some])
+            first = contexts.find(v[some][own])
+            begins = pointers.at(np.maximum(first, 0))
+            run, each = self._each(v[some], u[some])
+            key = np.maximum(first, 0).astype(np.uint64) * self.words.width
+            left = lefts.find(key[each_v[run]] + u[some][run].astype(np.uint64))
+            left[first[each_v[run]] < 0] = -1
+            weight, start = np.ones(left.size), np.zeros(left.size, np.uint64)
+            some_left = np.flatnonzero(left >= 0)
+            weight[some_left], start[some_left] = 10.0 ** (weights[left[some_left]] / -STEPS), starts.at(left[some_left])
+            g[some] = weight[each]
+            hit = np.flatnonzero(left[each] >= 0)
+            place = successors.find(key[each_v[hit]] + w[some][hit].astype(np.uint64))
+            hit, place = hit[place >= 0], place[place >= 0].astype(np.uint64)
+            found = inner.find(start[each[hit]] + place - begins[each_v[hit]])
+            p[hit[found >= 0] + some.start] = 10.0 ** (codes[found[found >= 0]] / -STEPS)
+        return p, g
+
+    def score(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts, and log10 of base and full probability, of whole rows' tokens."""
+        out = []
+        code, mask = np.int64(21), np.int64((1 << 21) - 1)
+        for distinct, u, v, w in _contexts(tokens):
+            ids, counts, before = self.words.lookup(distinct)
+            base = self.words.base(counts)
+            key, inverse = np.unique((v << code | u) << code | w, return_inverse=True)
+            left, word, context = (key >> code) & mask, key & mask, key >> (2 * code)
+            value = base[word]
+            seen = counts[context] > 0
+            pair, at = np.unique(context[seen] << code | word[seen], return_inverse=True)
+            a, b = pair >> code, pair & mask
+            p, g = self._pair_search(ids[a], ids[b], self.words.shard(counts[a], before[a], ids[b], self.shards))
+            value[seen] = (p + g * base[b])[at]
+            seen = np.flatnonzero(seen & (counts[left] > 0))
+            a, b = context[seen], left[seen]
+            p, g = self._triple_search(ids[b], ids[a], ids[word[seen]], self.words.shard(counts[a], before[a], ids[b], self.shards))
+            value[seen] = p + g * value[seen]
+            out.append((counts[w], np.log10(base)[w], np.log10(value)[inverse]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def build(docs: DataFrame, text_col: str = "text") -> Trie:
-    """Counts all of ``docs`` and writes the trie into the shared folder."""
+    """Counts all of ``docs`` and writes the tries into the shared folder."""
     spark = docs.sparkSession
     text_batches(spark)
     folder = shared_dir(spark)
@@ -290,24 +422,53 @@ def build(docs: DataFrame, text_col: str = "text") -> Trie:
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(8, -(-size // SHARD_BYTES))
-    words = _vocabulary(texts, folder, bits=max(2, (shards // 4).bit_length()))
-    return Trie(words, *_pair_levels(texts, folder, words, shards))
+    words = _vocabulary(texts, folder, bits=max(3, shards.bit_length() // 2 + 1))
+    sent = spark.sparkContext.broadcast(words)  # two numbers a shard of words
+
+    def rows_of(group):
+        keys, last, n = zip(*(_read_block(x) for x in group.column("block").to_pylist() if x is not None), strict=True)
+        return np.concatenate(keys), last, np.concatenate(n)
+
+    def triples(group):
+        shard = group.column("shard")[0].as_py()
+        keys, last, n = rows_of(group)
+        last = np.concatenate(last)
+        (keys, last), n = _summed(np.lexsort((last, keys)), [keys, last], n)
+        write_triples(sent.value, folder, shard, keys, last, n)
+        return pa.table(_block_rows([(shard, None), *_pair_blocks(sent.value, shards, keys, last, n)]), ["shard", "block"])
+
+    def pairs(group):
+        shard, blocks = group.column("shard")[0].as_py(), group.column("block")
+        split = []
+        if blocks.null_count < len(blocks):
+            keys, _, n = rows_of(group)
+            (keys,), n = _summed(np.argsort(keys, kind="stable"), [keys], n)
+            split = write_pairs(sent.value, folder, shard, shards, keys, n)
+        return pa.table({"shard": pa.array([shard], pa.int32()), "pairs": [blocks.null_count < len(blocks)], "triples": [blocks.null_count > 0], "words": pa.array([[x for x, _ in split]], pa.list_(pa.int64())), "parts": pa.array([[x for _, x in split]], pa.list_(pa.float64()))})
+
+    # A shard of triples also sends a row without a block, which says that it exists.
+    made = _triple_blocks(texts, sent, shards).groupBy("shard").applyInArrow(triples, "shard int, block binary")
+    made = made.groupBy("shard").applyInArrow(pairs, "shard int, pairs boolean, triples boolean, words array<long>, parts array<double>")
+    present, split = np.zeros((2, shards), bool), {}
+    for r in made.collect():  # a row a shard, with two words at most that other shards hold too
+        present[:, r["shard"]] = r["pairs"], r["triples"]
+        for v, g in zip(r["words"], r["parts"], strict=True):
+            split[v] = split.get(v, 0.0) + g
+    return Trie(words, folder, shards, present, split)
 
 
 def score(docs: DataFrame, trie: Trie, keep: list[Column], text_col: str = "text") -> DataFrame:
     """``keep`` columns with n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark = docs.sparkSession
     text_batches(spark)
-    sent = spark.sparkContext.broadcast(trie)  # file names, bounds and the shares g
+    sent = spark.sparkContext.broadcast(trie)  # some numbers a shard
     rows = docs.select(F.struct(*keep).alias("kept"), F.col(text_col).alias("text"))
 
     def run(batches):
         model = sent.value
         for b in batches:
             for row, tokens, bounds in _tokens(texts_of(b.column(1))):
-                ids, counts = _ids(model.words, tokens)
-                base = np.log10(model.words.base(counts))
-                full = model.score(ids, counts, base)
+                counts, base, full = model.score(tokens)
                 begins, n = bounds[:-1], bounds.size - 1
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -321,5 +482,6 @@ def score(docs: DataFrame, trie: Trie, keep: list[Column], text_col: str = "text
                     ["kept", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    kind = rows.schema["kept"].dataType.simpleString()
-    return rows.mapInArrow(run, f"kept {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double").select("kept.*", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    kept, result = rows.schema["kept"].dataType, ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    given = [f"kept.`{c}`" for c in kept.names if c not in result]
+    return rows.mapInArrow(run, f"kept {kept.simpleString()}, n_tokens long, n_known long, train_tokens long, base_score double, score double").select(*given, *result)

@@ -64,7 +64,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"), budget=0.5)
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), budget=0.5, topics=mixing.label_topics(table(spark, sf_dir, "labels")))
     return mixed.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"), F.col("mix_probability").alias("probability"))
 
 
@@ -92,29 +92,46 @@ def _hilbert_sql(bits: int = hilbert_shards.BITS) -> str:
     return f"SELECT id, size, text_crc32, CAST({' + '.join(bit)} AS BIGINT) AS curve_index FROM ({q})"
 
 
-def _mixing_sql(budget: float = 0.5, temperature: float = 0.5, rounds: int = 12) -> str:
-    counts = ", ".join(f"(length(t) - length(replace(t, '{m}', ''))) / {len(m)} AS c{i}" for i, m in enumerate(mixing.MARKERS))
-    most = f"greatest({', '.join(f'c{i}' for i in range(len(mixing.MARKERS)))})"
-    topic = f"CASE WHEN {most} = 0 THEN 'none' " + " ".join(f"WHEN c{i} = {most} THEN '{m}'" for i, m in enumerate(mixing.MARKERS)) + " END"
+def _mixing_sql(budget: float = 0.5, temperature: float = 0.5, rounds: int = mixing.ROUNDS) -> str:
+    """Raking as a recursion over steps; each step scales one margin."""
     margins = ("source", "lang", "topic")
-    steps = ["x0 AS (SELECT s.*, mass::DOUBLE AS x, " + ", ".join(f"t_{m}.want AS want_{m}" for m in margins) + " FROM cells s " + " ".join(f"JOIN t_{m} ON t_{m}.v IS NOT DISTINCT FROM s.{m}" for m in margins) + ")"]
-    for k in range(rounds * len(margins)):
-        m = margins[k % len(margins)]
-        steps.append(f"x{k + 1} AS (SELECT * REPLACE (CASE WHEN sum(x) OVER (PARTITION BY {m}) > 0 THEN x * want_{m} / sum(x) OVER (PARTITION BY {m}) ELSE x END AS x) FROM x{k})")
-    wants = ", ".join(
-        f"t_{m} AS (SELECT v, pow(p, {temperature}) / sum(pow(p, {temperature})) OVER () * (SELECT sum(mass) FROM cells) AS want "
-        f"FROM (SELECT {m} AS v, sum(mass) / (SELECT sum(mass) FROM cells) AS p FROM cells GROUP BY {m}))"
-        for m in margins
-    )
+
+    def targets(m: str) -> str:
+        return f"""
+v_{m} AS (SELECT {m} AS v, sum(mass)::DOUBLE AS m, sum(sum(mass)) OVER () AS a FROM cells GROUP BY {m}),
+w_{m} AS (SELECT *, pow(m / a, {temperature}) / sum(pow(m / a, {temperature})) OVER () AS w FROM v_{m}),
+b_{m} AS (
+  SELECT *, row_number() OVER o AS r, coalesce(sum(m) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS mb,
+    1 - coalesce(sum(w) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest
+  FROM w_{m} WINDOW o AS (ORDER BY CASE WHEN w > 0 THEN m / w END NULLS LAST, v NULLS FIRST)),
+l_{m} AS (SELECT min_by(({budget} * a - mb) / rest, r) AS level FROM b_{m} WHERE w > 0 AND rest > 0 AND ({budget} * a - mb) / rest * w <= m * (1 + 1e-12)),
+t_{m} AS (SELECT v, coalesce(least(m, level * w), m) AS want, want >= m * (1 - 1e-9) AS full_ FROM b_{m}, l_{m})"""
+
+    part = "CASE k % 3 " + " ".join(f"WHEN {i} THEN coalesce({m}, chr(1))" for i, m in enumerate(margins)) + " END"
+    want = "CASE k % 3 " + " ".join(f"WHEN {i} THEN want_{m}" for i, m in enumerate(margins)) + " END"
+    fixed = f"sum(CASE WHEN z >= mass THEN mass ELSE 0 END) OVER (PARTITION BY {part})"
+    free = f"sum(CASE WHEN z < mass THEN z ELSE 0 END) OVER (PARTITION BY {part})"
+    misses = [f"max(abs(y_{m} - want_{m})) OVER ()" for m in margins]
+    worst = f"greatest({', '.join(misses)})"
+    taken = ", ".join(f"sum(least(z, mass)) OVER (PARTITION BY {m}) AS y_{m}" for m in margins)
     return f"""
-WITH w AS (
-  SELECT doc_id, source, lang, coalesce(text, '') AS t, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens FROM documents),
-counted AS (SELECT *, {counts} FROM w),
-d AS (SELECT doc_id, source, lang, n_tokens, {topic} AS topic FROM counted),
-cells AS (SELECT source, lang, topic, sum(n_tokens)::BIGINT AS mass FROM d GROUP BY ALL),
-{wants},
-{", ".join(steps)},
-p AS (SELECT source, lang, topic, CASE WHEN mass > 0 THEN least(1.0, round({budget} * x / mass, 9)) ELSE 1.0 END AS probability FROM x{rounds * len(margins)})
+WITH RECURSIVE tokens AS (
+  SELECT doc_id, source, lang, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens FROM documents),
+topics AS (
+  SELECT doc_id, 'quality ' || coalesce(max(quality)::VARCHAR, 'unknown') || ', toxic ' || coalesce(max(toxic)::VARCHAR, 'unknown') AS topic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (SELECT tokens.*, coalesce(topic, 'unlabelled') AS topic FROM tokens LEFT JOIN topics USING (doc_id)),
+cells AS (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS mass FROM d GROUP BY ALL),
+{",".join(targets(m) for m in margins)},
+x AS (
+  SELECT 0 AS k, s.*, {", ".join(f"t_{m}.want AS want_{m}" for m in margins)}, s.mass * CASE WHEN {" OR ".join(f"t_{m}.full_" for m in margins)} THEN {mixing.OVER} ELSE {budget} END AS z
+  FROM cells s {" ".join(f"JOIN t_{m} ON t_{m}.v IS NOT DISTINCT FROM s.{m}" for m in margins)}
+  UNION ALL
+  SELECT k + 1, source, lang, topic, mass, {", ".join(f"want_{m}" for m in margins)},
+    least(z * CASE WHEN free > 0 AND want > fixed THEN (want - fixed) / free WHEN fixed + free > 0 THEN want / (fixed + free) ELSE 1 END, mass * {mixing.OVER})
+  FROM (SELECT *, {want} AS want, {fixed} AS fixed, {free} AS free, {worst} AS worst FROM (SELECT *, {taken} FROM x WHERE k < {3 * rounds}))
+  WHERE k = 0 OR k % {3 * mixing.PLAN_ROUNDS} > 0 OR worst > {mixing.TOLERANCE * budget} * (SELECT sum(mass) FROM cells)),
+p AS (SELECT source, lang, topic, CASE WHEN mass > 0 THEN least(1.0, round(least(z, mass) / mass, {mixing.DECIMALS})) ELSE 1.0 END AS probability FROM x WHERE k = (SELECT max(k) FROM x))
 SELECT d.doc_id, d.source, d.lang, d.topic, d.n_tokens, p.probability
 FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source AND d.lang IS NOT DISTINCT FROM p.lang AND d.topic IS NOT DISTINCT FROM p.topic
 WHERE ('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 8))::BIGINT / 4294967296.0 < p.probability

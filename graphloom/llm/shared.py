@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -68,6 +69,30 @@ def open_file(uri: str):
     return store.open_input_file(path)
 
 
+def mounted(uri: str) -> bool:
+    return urlparse(uri).scheme in ("", "file")
+
+
+def map_file(uri: str):
+    """A file's bytes: mapped into memory where the shared folder is mounted, else read whole."""
+    return open_file(uri).read_buffer()
+
+
+def kept_files(read):
+    """Keeps what ``read`` made of the files of one folder: of many mapped files, or of a few that were read whole."""
+    many, few, last = functools.lru_cache(4096)(read), functools.lru_cache(16)(read), [""]
+
+    def get(uri: str):
+        folder = uri.rpartition("/")[0]
+        if folder != last[0]:
+            many.cache_clear()
+            few.cache_clear()
+            last[0] = folder
+        return many(uri) if mounted(uri) else few(uri)
+
+    return get
+
+
 def make_dirs(folder: str) -> None:
     """Creates a mounted shared folder before tasks write into it."""
     if urlparse(folder).scheme in ("", "file"):

@@ -235,6 +235,73 @@ def test_language_id(spark, docs):
     assert {r.lang_pred for r in language_id.predict(docs, None, [F.col("doc_id")]).collect()} == {"und"}
 
 
+def languages_by_hand(texts, labelled):
+    """Plain trigram counts, smoothing, expectation-maximisation and choice of the set: (label, score) of each text."""
+    counts: dict = {}
+    grams = lambda w: [(b" " + w + b" ")[i - 1 : i + 2] for i in range(1, len(w) + 1)]  # noqa: E731 - the middle byte is in the word
+    for text, label in labelled:
+        for w in words(text):
+            counts.setdefault(label, Counter()).update(grams(w))
+    labels, all_grams = sorted(counts), set().union(*counts.values())
+    mass = {x: sum(c.values()) + 0.5 * (len(all_grams) + 1) for x, c in counts.items()}
+    out = []
+    for text in texts:
+        ws = words(text)
+        if not any(c.isalpha() for c in text or ""):
+            out.append(("und", 0.0))
+            continue
+        logs = np.array([[sum(math.log(((counts[x][g] if g in all_grams else 0) + 0.5) / mass[x]) for g in grams(w)) for x in labels] for w in ws])
+        penalty = 0.5 * math.log(len(ws))
+
+        def fit(chosen, logs=logs):
+            some = logs[:, chosen]
+            like, p = np.exp(some - some.max(1, keepdims=True)), np.full(len(chosen), 1 / len(chosen))
+            for _ in range(3000):
+                r = like * p
+                p = (r / r.sum(1, keepdims=True)).mean(0)
+            return float((np.log((like * p).sum(1)) + some.max(1)).sum()), p
+
+        chosen = [int(logs.sum(0).argmax())]
+        value, share = fit(chosen)
+        while len(chosen) < len(labels):
+            trials = [(fit([*chosen, i]), i) for i in range(len(labels)) if i not in chosen]
+            (new, p), i = max(trials, key=lambda t: t[0][0])
+            if new - penalty <= value:
+                break
+            value, share, chosen = new - penalty, p, [*chosen, i]
+        out.append((labels[chosen[int(share.argmax())]], float(share.max())))
+    return out
+
+
+def test_language_id_against_plain_python(spark):
+    fr = "le renard brun saute par dessus le chien paresseux pendant que la pluie tombe et que la rivière coule vers la mer près du moulin "
+    rng = np.random.default_rng(8)
+    pools = {"en": EN.split(), "de": DE.split(), "fr": fr.split()}
+    texts = [(" ".join(rng.choice(pools[x], 30)), x) for x in ("en", "de", "fr") for _ in range(6)]
+    for a, b in (("en", "de"), ("fr", "en"), ("de", "fr")):
+        for n in (3, 10, 25):
+            texts.append((" ".join([*rng.choice(pools[a], 40), *rng.choice(pools[b], n)]), a))
+    texts += [(" ".join(w for x in pools for w in rng.choice(pools[x], 30)), None), (None, "en"), ("", "de"), ("12 34", "fr"), (fr, fr and "fr"), ("zzz qqq", None)]
+    docs = spark.createDataFrame([(i, t, x, 0.0) for i, (t, x) in enumerate(texts)], "doc_id long, text string, lang string, score double")
+    got = language_id.predict(docs, language_id.train(docs), [F.col("doc_id"), F.col("score")])
+    assert got.columns == ["doc_id", "lang_pred", "score", "lang_mix"]
+    want = languages_by_hand([t for t, _ in texts], [(t, x) for t, x in texts if x])
+    for r in got.collect():
+        label, score = want[r.doc_id]
+        assert r.lang_pred == label and abs(r.score - score) < 0.01, (r, want[r.doc_id])
+
+
+def test_language_model_keeps_every_trigram(spark):
+    rng = np.random.default_rng(9)
+    text = " ".join("".join(map(chr, rng.integers(0x4E00, 0x9000, 4))) for _ in range(20_000))
+    model = language_id.train(spark.createDataFrame([(text, "zh"), (EN, "en")], "text string, lang string"))
+    raw = text.encode()
+    spaced = b" " + raw + b" "
+    want = {spaced[i - 1 : i + 2] for i in range(1, len(raw) + 1) if spaced[i] != 32} | {(" " + w + " ").encode()[i - 1 : i + 2] for w in EN.split() for i in range(1, len(w) + 1)}
+    assert model.grams.size == len(want) > 50_000
+    assert np.allclose(np.exp(model.logs.astype(float)).sum(0), 1, atol=1e-3)
+
+
 def test_mixture_agrees_with_plain_em():
     rng = np.random.default_rng(3)
     logs = np.log(rng.random((200, 3)) + 0.01)
@@ -261,33 +328,54 @@ def test_elias_fano():
     assert EliasFano(np.frombuffer(encode(np.zeros(0, np.uint64), 10), np.uint8)).find(np.array([3], np.uint64))[0] == -1
 
 
-def test_ngram_lm(spark, docs):
+def test_elias_fano_gives_values_by_place():
+    rng = np.random.default_rng(7)
+    for universe, n in ((1 << 40, 1000), (30, 500), (5, 3)):
+        v = np.sort(rng.integers(0, universe, n, dtype=np.uint64))
+        assert (EliasFano(np.frombuffer(encode(v, universe), np.uint8)).at(np.arange(n)) == v).all()
+
+
+@pytest.mark.parametrize("shards", [1, 40])
+def test_ngram_lm(spark, docs, shards, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "SHARD_BYTES", (24 << 20) // (1 if shards == 1 else 8000))  # many shards split the frequent words
+    monkeypatch.setattr(ngram_lm, "STEP_TOKENS", 1 << 20 if shards == 1 else 100)
     train = docs.where("coalesce(doc_id, 0) % 3 <> 0")
-    got = {r.doc_id: r for r in ngram_lm.score(docs, ngram_lm.build(train), [F.col("doc_id")]).collect()}
+    trie = ngram_lm.build(train)
+    got = {r.doc_id: r for r in ngram_lm.score(docs, trie, [F.col("doc_id")]).collect()}
+    assert shards == 1 or (trie.shards > 8 and trie.split)
     toks = lambda t: [*words(t), None]
-    c, pairs = Counter(), Counter()
+    c, pairs, triples = Counter(), Counter(), Counter()
     for i, t, *_ in ROWS:
         if (i or 0) % 3:
-            c.update(toks(t))
-            pairs.update(zip([None, *toks(t)], toks(t), strict=False))
+            seq = [None, None, *toks(t)]
+            c.update(seq[2:])
+            pairs.update(zip(seq[1:], seq[2:], strict=False))
+            triples.update(zip(seq, seq[1:], seq[2:], strict=False))
     n, v = sum(c.values()), len(c)
-    seen, once = Counter(), Counter()
-    for (a, _), k in pairs.items():
-        seen[int(math.log2(c[a]))] += k
-        once[int(math.log2(c[a]))] += k == 1
+    off = lambda k: (0, *ngram_lm.DISCOUNTS)[min(k, 3)]
+    total, left = Counter(), Counter()
+    for level in (pairs, triples):
+        for key, k in level.items():
+            total[key[:-1]] += k
+            left[key[:-1]] += off(k)
+
+    def prob(u, a, b):
+        p = (c[b] + 0.1) / (n + 0.1 * (v + 1))
+        if total[a,]:
+            p = (pairs[a, b] - off(pairs[a, b]) + left[a,] * p) / total[a,]
+        if total[u, a]:
+            p = (triples[u, a, b] - off(triples[u, a, b]) + left[u, a] * p) / total[u, a]
+        return p
+
+    assert abs(sum(prob(b"the", b"quick", x) for x in [*c, "never seen"]) - 1) < 1e-9
     for i, t, *_ in ROWS:
-        base = full = 0.0
-        for a, b in zip([None, *toks(t)], toks(t), strict=False):
-            p = (c[b] + 0.1) / (n + 0.1 * (v + 1))
-            base += math.log10(p)
-            if c[a]:
-                g = min(max(once[int(math.log2(c[a]))] / seen[int(math.log2(c[a]))], 0.001), 0.999)
-                p = (1 - g) * pairs[a, b] / c[a] + g * p
-            full += math.log10(p)
+        seq = [None, None, *toks(t)]
+        base = sum(math.log10((c[b] + 0.1) / (n + 0.1 * (v + 1))) for b in seq[2:])
+        full = sum(math.log10(prob(*x)) for x in zip(seq, seq[1:], seq[2:], strict=False))
         r = got[i]
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(toks(t)), sum(c[x] > 0 for x in toks(t)), n)
-        assert abs(r.base_score - base) < 1e-6 and full - len(toks(t)) / 4096 - 1e-6 <= r.score <= full + 1e-6
-    empty = ngram_lm.score(docs, ngram_lm.build(docs.where("false")), [F.col("doc_id")])
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(seq) - 2, sum(c[x] > 0 for x in seq[2:]), n)
+        assert abs(r.base_score - base) < 1e-6 and full - 4 * len(seq) / 4096 - 1e-6 <= r.score <= full + 1e-6
+    empty = ngram_lm.score(docs, ngram_lm.build(docs.where("false")), [F.col("doc_id"), F.col("score").alias("score2")])
     assert {r.base_score for r in empty.collect()} == {0.0}
 
 
@@ -389,38 +477,95 @@ def test_digest_collisions_are_confirmed(monkeypatch, spark):
     assert url_filter.probe(index, ["bb/", "cc/", "aa/"]) == [("bb/", "allow"), None, ("aa/", "block")]
 
 
-def test_mixing(spark, docs):
-    cells = spark.createDataFrame([(s, la, t, 10 + 7 * s + 3 * la + 11 * t * s) for s in range(4) for la in range(3) for t in range(2)], "s int, l int, t int, mass long")
-    raked = mixing.rake(cells, ("s", "l", "t"), 0.5, 30).collect()
-    total = sum(r.mass for r in raked)
-    for key in ("s", "l", "t"):
-        have, mass = Counter(), Counter()
-        for r in raked:
-            have[r[key]] += r.raked
-            mass[r[key]] += r.mass
-        norm = sum((m / total) ** 0.5 for m in mass.values())
-        assert all(abs(have[k] - total * (m / total) ** 0.5 / norm) < 1e-3 for k, m in mass.items())
-    plain = docs.drop("size", "score", "n_tokens")
-    got = mixing.mix(plain, 1e9).collect()
-    assert Counter(r.doc_id for r in got) == Counter(i for i, *_ in ROWS)
-    assert {(r.doc_id, r.mix_tokens) for r in got} == {(i, len(words(t))) for i, t, *_ in ROWS}
-    assert mixing.mix(plain.where("false"), 0.5).count() == 0
-    with pytest.raises(ValueError):
-        mixing.mix(plain.withColumn("mix_topic", F.lit("x")), 0.5)
+def rake_by_hand(cells, budget, temperature=0.5):
+    """Plain bounded raking of {(s, l, t): mass}: (targets by margin and value, tokens to take)."""
+    total = sum(cells.values())
+    wants = []
+    for i in range(3):
+        mass = Counter()
+        for key, m in cells.items():
+            mass[key[i]] += m
+        weight = {v: (m / total) ** temperature if m else 0.0 for v, m in mass.items()}
+        full: set = set()
+        while True:  # values at their bounds; the others share the rest
+            rest = budget * total - sum(mass[v] for v in full)
+            open_ = sum(w for v, w in weight.items() if v not in full)
+            over = {v for v, w in weight.items() if v not in full and w and rest * w / open_ > mass[v] * (1 + 1e-12)}
+            if not over:
+                break
+            full |= over
+        wants.append({v: mass[v] if v in full else rest * w / open_ if w else 0.0 for v, w in weight.items()})
+    massed = [Counter() for _ in range(3)]
+    for k, m in cells.items():
+        for i in range(3):
+            massed[i][k[i]] += m
+    z = {k: m * (1e6 if any(wants[i][k[i]] >= massed[i][k[i]] * (1 - 1e-9) for i in range(3)) else budget) for k, m in cells.items()}
+    for _ in range(400):
+        for i in range(3):
+            for v, want in wants[i].items():
+                some = [k for k in cells if k[i] == v]
+                fixed, free = sum(cells[k] for k in some if z[k] >= cells[k]), sum(z[k] for k in some if z[k] < cells[k])
+                factor = (want - fixed) / free if free > 0 and want > fixed else want / (fixed + free) if fixed + free > 0 else 1
+                for k in some:
+                    z[k] = min(z[k] * factor, cells[k] * 1e6)
+    return wants, {k: min(z[k], m) for k, m in cells.items()}
+
+
+@pytest.mark.parametrize("budget", [0.2, 0.5])
+def test_raking_with_bounds(spark, budget, monkeypatch):
+    monkeypatch.setattr(mixing, "ONE_TASK_CELLS", 0 if budget == 0.2 else 20_000)
+    monkeypatch.setattr(mixing, "TOLERANCE", 1e-6)
+    cells = {(s, la, t): (3 + 997 * (s == 0) + 40 * la * s + 11 * t) * (1 + 9 * (la == 2)) for s in range(4) for la in range(3) for t in range(2)}
+    df = spark.createDataFrame([(*k, m) for k, m in cells.items()], "s int, l int, t int, mass long")
+    raked = mixing.rake(df, ("s", "l", "t"), budget)
+    wants, by_hand = rake_by_hand(cells, budget)
+    got = {(r.s, r.l, r.t): r.raked for r in raked.collect()}
+    near = 1e-5 * sum(cells.values())
+    assert all(abs(got[k] - by_hand[k]) < near for k in cells) and all(got[k] <= m for k, m in cells.items())
+    assert abs(sum(got.values()) - budget * sum(cells.values())) < near
+    for r in mixing.margins_of(raked, ("s", "l", "t")).collect():
+        want = wants["slt".index(r.margin)][int(r.value)]
+        assert abs(r.target - want) < 1e-6 and abs(r.raked - want) < near
+
+
+def test_contradicting_margins_are_reported(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROUNDS", 16)
+    df = spark.createDataFrame([("a", "en", "x", 900), ("b", "de", "x", 300), ("c", "de", "x", 50)], "s string, l string, t string, mass long")
+    found = {(r.margin, r.value): r for r in mixing.margins_of(mixing.rake(df, ("s", "l", "t"), 0.5), ("s", "l", "t")).collect()}
+    assert abs(found["t", "x"].raked - 625) < 1 and any(abs(r.raked - r.target) > 1 for r in found.values())
 
 
-def test_large_raking_agrees(spark, monkeypatch):
-    cells = spark.createDataFrame([(s, la, 5 + s * la) for s in range(5) for la in range(4)], "s int, l int, mass long")
-    small = {(r.s, r.l): r.raked for r in mixing.rake(cells, ("s", "l"), 0.5, 2).collect()}
-    monkeypatch.setattr(mixing, "ONE_TASK_CELLS", 0)
-    large = {(r.s, r.l): r.raked for r in mixing.rake(cells, ("s", "l"), 0.5, 2).collect()}
-    assert all(abs(small[k] - large[k]) < 1e-9 for k in small)
+def test_mixing(spark, docs):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 1), (3, 0, None), (None, 1, 1), (99, 1, 0)], "doc_id long, quality int, toxic int")
+    topics = mixing.label_topics(labels)
+    clash = docs.withColumn("mix_topic", F.lit("old")).withColumn("_topic", F.lit("mine"))
+    got = mixing.mix(clash, 1.0, topics)
+    assert got.columns == [*docs.columns, "_topic", "mix_topic", "mix_tokens", "mix_probability"]
+    got = got.collect()
+    assert Counter((r.doc_id, r.mix_tokens) for r in got) == Counter((i, len(words(t))) for i, t, *_ in ROWS)
+    assert {r.mix_topic for r in got if r.doc_id == 1} == {"quality 1, toxic 1"} and {r.mix_topic for r in got if r.doc_id == 3} == {"quality 0, toxic unknown"}
+    assert {r.mix_topic for r in got if r.doc_id in (None, 2)} == {"unlabelled"} and {r._topic for r in got} == {"mine"}
+    assert mixing.mix(docs.where("false"), 0.5, topics).count() == 0 and mixing.mix(docs, 1.0).count() == len(ROWS)
+
+
+def test_sample_meets_its_targets(spark):
+    rows = spark.range(20_000).selectExpr("id as doc_id", "repeat('w ', cast(5 + id % 7 as int)) as text", "if(id % 10 < 7, 'web', concat('s', id % 3)) as source", "if(id % 17 < 12, 'en', if(id % 17 < 16, 'de', 'fr')) as lang")
+    topics = spark.range(0, 20_000, 3).selectExpr("id as doc_id", "concat('t', id % 2) as topic")
+    kept = mixing.mix(rows, 0.5, topics)
+    named = rows.join(topics, "doc_id", "left").selectExpr("source", "lang", "coalesce(topic, 'unlabelled') as mix_topic", "5 + doc_id % 7 as mix_tokens")
+    cells = {tuple(r)[:3]: r[3] for r in named.groupBy("source", "lang", "mix_topic").agg(F.sum("mix_tokens")).collect()}
+    wants, _ = rake_by_hand(cells, 0.5)
+    for i, column in enumerate(("source", "lang", "mix_topic")):
+        for r in kept.groupBy(column).agg(F.sum("mix_tokens").alias("n")).collect():
+            want = wants[i][r[column]]
+            assert abs(r.n - want) < 5 * (8 * want) ** 0.5 + 20  # five deviations of a sum of documents of 8 tokens
 
 
 def test_pipeline(spark, tmp_path):
     rows = [(*r, len(r[1] or "")) for r in ROWS]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, "one two three")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(1, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
     kept = {}
     for name, stage in corpus_pipeline.STAGES:
