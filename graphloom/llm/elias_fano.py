@@ -1,8 +1,8 @@
 """Elias-Fano coded monotone sequences over numpy arrays, made to be read from memory-mapped bytes.
 
 Values keep their low bits packed; their high bits are a unary bit vector whose zeros separate buckets. The zeros before
-each 64-bit word are stored, so many values are searched for at once: two selects give a value's bucket, and a binary
-search over the bucket's low bits finds it.
+each 64-bit word are stored, so many values are searched for at once: two selects give a value's bucket, and an
+interpolation search over the bucket's low bits (of 52 bits at most) finds it.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 def encode(values: np.ndarray, universe: int) -> bytes:
     """Sorted distinct or repeated ``values`` below ``universe``."""
     n = values.size
-    low_bits = max(0, (universe // n).bit_length() - 1) if n else 0
+    low_bits = min(52, max(0, (universe // n).bit_length() - 1)) if n else 0
     values = values.astype(_U, copy=False)
     high = (values >> _U(low_bits)).astype(np.int64) if n else np.zeros(0, np.int64)
     length = n + ((universe - 1) >> low_bits if universe else 0) + 1 if n else 0
@@ -96,21 +96,30 @@ class EliasFano:
         high = (values >> self.bits).astype(np.int64)
         some = np.flatnonzero(high < int(self.zeros[-1]))
         high, want = high[some], values[some] & ((_U(1) << self.bits) - _U(1))
-        end = np.minimum(self._select_zero(high) - high, self.n)
+        new = np.ones(high.size, bool)  # neighbours often ask for one bucket
+        new[1:] = high[1:] != high[:-1]
+        bucket = high[new]
+        end = np.minimum(self._select_zero(bucket) - bucket, self.n)
         begin = np.zeros_like(end)
-        later = np.flatnonzero(high > 0)
-        begin[later] = self._select_zero(high[later] - 1) + 1 - high[later]
-        begin = np.minimum(begin, end)
-        lo, hi = begin, end.copy()
-        live = np.flatnonzero(lo < hi)
-        while live.size:
-            mid = (lo[live] + hi[live]) >> 1
-            less = self._lows(mid) < want[live]
-            lo[live[less]], hi[live[~less]] = mid[less] + 1, mid[~less]
-            live = live[lo[live] < hi[live]]
-        inside = np.flatnonzero(lo < end)
-        hit = inside[self._lows(lo[inside]) == want[inside]]
-        out[some[hit]] = lo[hit]
+        later = np.flatnonzero(bucket > 0)
+        begin[later] = self._select_zero(bucket[later] - 1) + 1 - bucket[later]
+        place = np.cumsum(new) - 1
+        begin, end = np.minimum(begin, end)[place], end[place]
+        live = np.flatnonzero(begin < end)
+        at, lo, hi, want = some[live], begin[live], end[live], want[live].astype(np.float64)
+        below, above, turn = np.zeros(live.size), np.full(live.size, float(1 << int(self.bits))), 0
+        while at.size:  # interpolation, as ids are spread evenly; every third turn halves, whatever the spread
+            n = hi - lo
+            step = n >> 1 if turn % 3 == 2 else np.minimum(((want - below) / (above - below) * n).astype(np.int64), n - 1)
+            mid = lo + step
+            value = self._lows(mid).astype(np.float64)
+            hit = value == want
+            out[at[hit]] = mid[hit]
+            less = value < want
+            lo, hi = np.where(less, mid + 1, lo), np.where(less, hi, mid)
+            below, above = np.where(less, value, below), np.where(less, above, value)
+            stay = np.flatnonzero(~hit & (lo < hi))
+            at, lo, hi, want, below, above, turn = at[stay], lo[stay], hi[stay], want[stay], below[stay], above[stay], turn + 1
         return out
 
     def values(self) -> np.ndarray:

@@ -75,11 +75,12 @@ def _ranks(df: DataFrame, order: list) -> DataFrame:
     return placed.withColumn("_part", part).join(F.broadcast(offsets), "_part").withColumn("_rank", F.col("_before") + within).drop("_part", "_before", "_at")
 
 
-def shard_rows(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", categories: tuple[str, ...] = ("source", "lang")) -> DataFrame:
-    """(id, size, text_crc32, law, shard, slot, grown_shard, curve_index) of every row."""
+def shard_rows(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", categories: tuple[str, ...] = ("source", "lang"), carry: bool = False) -> DataFrame:
+    """(id, size, text_crc32, law, shard, slot, grown_shard, curve_index) of every row; with ``carry`` also ``row``, all its columns."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     size = F.octet_length(text).cast("long") + 16
-    rows = written(docs.select(F.col(id_col).alias("id"), size.alias("size"), F.crc32(text).alias("text_crc32"), *categories))
+    whole, own = ([F.struct(*docs.columns).alias("row")], ["row"]) if carry else ([], [])
+    rows = written(docs.select(F.col(id_col).alias("id"), size.alias("size"), F.crc32(text).alias("text_crc32"), *categories, *whole))
     total = rows.count()
     for name in categories:
         rows = _ranked(rows, name)
@@ -94,14 +95,18 @@ def shard_rows(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: s
 
     rows = rows.withColumn("curve_index", curve(*[F.col(f"{c}_code") for c in (*categories, "size")]))
     order = [F.col("curve_index"), F.col("id").asc_nulls_first(), F.col("text_crc32")]
-    ranked = _ranks(rows.select("id", "size", "text_crc32", "curve_index"), order)
+    ranked = _ranks(rows.select("id", "size", "text_crc32", "curve_index", *own), order)
     shard = F.floor(F.col("_rank") * shards / F.lit(max(total, 1)))
     ranked = ranked.withColumn("shard", F.expr(f"cast(_rank * {shards} div {max(total, 1)} as int)")) if total else ranked.withColumn("shard", shard.cast("int"))
     first = F.expr(f"cast((cast(shard as bigint) * {total} + {shards - 1}) div {shards} as bigint)")
-    return ranked.select(F.col("id").alias(id_col), "size", "text_crc32", F.lit("rows").alias("law"), "shard", (F.col("_rank") - first).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve_index")
+    return ranked.select(F.col("id").alias(id_col), "size", "text_crc32", F.lit("rows").alias("law"), "shard", (F.col("_rank") - first).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve_index", *own)
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Writes ``docs`` as one folder per shard with rows in slot order, so Parquet's statistics are narrow in every dimension."""
-    places = placed.select(id_col, "shard", "slot")
-    docs.join(places, id_col).repartitionByRange(F.col("shard"), F.col("slot")).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, shards: int, path: str, **columns) -> None:
+    """Writes every row of ``docs`` into one folder a shard in slot order, so Parquet's statistics are narrow in every dimension.
+
+    Columns of ``docs`` that are called shard or slot give way to the place.
+    """
+    placed = shard_rows(docs, shards, carry=True, **columns)
+    kept = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("shard", "slot")]
+    placed.select("shard", "slot", *kept).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

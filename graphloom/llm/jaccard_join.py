@@ -17,7 +17,8 @@ order: what it shares with the other set, it shares with the other's prefix. So
 shares ``least_met`` prefix columns, and whole sets are sent only for pairs that do.
 
 A document with fewer than five words has its whole sequence as one n-gram; one without words is linked with nothing.
-Rows with a null id have a null component and link nothing. Rows with one id and several texts count as one document.
+Rows with a null id have a null component and link nothing. Rows with one id and several texts are one document: what links
+with one of its texts is linked with all of them.
 """
 
 from __future__ import annotations
@@ -386,6 +387,13 @@ def _tile_links(hopes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _tiles(hopes, sets, F.octet_length("columns"), kernel, "a long, b long")
 
 
+def _links_by_id(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of texts that share an id."""
+    several = rows.where("n > 0 and id is not null").groupBy("id").agg(F.min("sig").alias("x"), F.max("sig").alias("y")).where("x <> y").select("id")
+    reps = rows.where("n > 0").join(several, "id", "left_semi").join(classes, "sig").groupBy("id").agg(F.collect_set("rep").alias("reps"))
+    return reps.select(F.explode("reps").alias("a"), F.array_min("reps").alias("b")).where("a <> b")
+
+
 def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row: the smallest id reachable by links of at least ``percent`` similarity."""
     text_batches(docs.sparkSession)
@@ -411,7 +419,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     rest = blocks.join(stars.withColumn("linked", F.lit(True)), ["leader", "member"], "left").select("leader", "member", F.col("linked").isNull().alias("left"))
     hopes = written(_tile_hopes(rest, met, percent))
     tiled = _tile_links(hopes, _sets(texts, ends(hopes)), percent)
-    links = stars.select(F.col("leader").alias("a"), F.col("member").alias("b")).unionByName(tiled)
+    links = stars.select(F.col("leader").alias("a"), F.col("member").alias("b")).unionByName(tiled).unionByName(_links_by_id(rows, classes))
     found = written(connected_components(links))
 
     named = classes.join(found, classes["rep"] == found["node"], "left").select("sig", F.coalesce("component", "rep").alias("component"))

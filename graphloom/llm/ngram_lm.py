@@ -20,7 +20,8 @@ The levels are files in the shared folder, and tasks map them into memory:
   the shorter context v, so that few bits are left; the quantised ``(c - d) / c(u v)`` and g.
 
 A search finds v, then u among its left words and w's place among its successors, and then this place among those of u v.
-Probabilities take 16 bits, in steps of 1/4096 of a power of ten, rounded down.
+Probabilities are rounded down to steps of 1/4096 of a power of ten. Those of pairs take 16 bits; those of triples 8 bits, as
+places in a table of the shard's values: exact up to 256 of them, else rounded down to 256 classes of equally many.
 
 Shards of pairs and triples are cut by tokens: contexts stand in order of v, each as wide as its count, and a frequent v is
 split by w in the pairs and by u in the triples. So a word with a third of all tokens lies in a third of the shards, and each
@@ -51,6 +52,7 @@ ADD, STEPS = 0.1, 4096  # STEPS: quantisation steps of a probability in a power
 #: Taken off counts of 1, 2 and more.
 DISCOUNTS = (0.9, 1.1, 1.4)
 PAIRS, TRIPLES = 2, 3
+_POWERS = 10.0 ** (np.arange(1 << 16) / -STEPS)
 
 
 def discount(n: np.ndarray) -> np.ndarray:
@@ -61,6 +63,19 @@ def _code(p: np.ndarray) -> bytes:
     return np.minimum(np.ceil(-np.log10(np.maximum(p, 1e-300)) * STEPS), 65535).astype("<u2").tobytes()
 
 
+def _short_code(p: np.ndarray) -> bytes:
+    """Codes of one byte and a table of theirs: exact for up to 256 values, else rounded down to 256 classes of equal size."""
+    code = np.frombuffer(_code(p), "<u2")
+    count = np.bincount(code, minlength=1)
+    values = np.flatnonzero(count)
+    kind = np.arange(values.size) if values.size <= 256 else (np.cumsum(count[values]) - 1) * 256 // code.size
+    table = np.zeros(256, "<u2")
+    np.maximum.at(table, kind, values)  # the largest code of a class: the least probability
+    short = np.zeros(count.size, np.uint8)
+    short[values] = kind
+    return _pack(table.tobytes(), short[code].tobytes())
+
+
 def _pack(*parts: bytes) -> bytes:
     """Byte strings in one, each at a multiple of 8."""
     padded = [x + bytes(-len(x) % 8) for x in parts]
@@ -185,7 +200,8 @@ def _pairs(name: str):
 def _triples(name: str):
     """(contexts v, pointers, successors of v, contexts u v, pointers, successors of u v, probabilities, weights)."""
     *levels, p, g = _file(name)
-    return *map(EliasFano, levels), p.view("<u2"), g.view("<u2")
+    codes = ((_POWERS[table.view("<u2")], short) for table, short in map(_unpack, (p, g)))
+    return *map(EliasFano, levels), *(lambda at, t=table, s=short: t[s[at]] for table, short in codes)
 
 
 def _vocabulary(texts: DataFrame, folder: str, bits: int) -> Vocabulary:
@@ -326,7 +342,7 @@ def write_triples(words: Vocabulary, folder: str, shard: int, keys: np.ndarray,
         encode(of_v[begin], int(words.width)), encode(pointers, successors.size + 1), encode(successors, begin.size * int(words.width)),
         encode(v.astype(np.uint64) * words.width + u, begin.size * int(words.width)), encode(starts, int(starts[-1]) + 1), encode(inner, int(starts[-1])),
     ]
-    put_file(folder, f"triples-{shard}", [_pack(*levels, _code((n - taken) / total[owner]), _code(g))])
+    put_file(folder, f"triples-{shard}", [_pack(*levels, _short_code((n - taken) / total[owner]), _short_code(g))])
 
 
 class Trie:
@@ -358,8 +374,8 @@ class Trie:
             run, each = self._each(v[some])
             at = contexts.find(v[some][run])[each]
             place = successors.find(np.maximum(at, 0).astype(np.uint64) * self.words.width + w[some].astype(np.uint64))
-            p[some] = np.where((at >= 0) & (place >= 0), 10.0 ** (codes[np.maximum(place, 0)] / -STEPS), 0.0)
-            g[some] = np.where(at >= 0, 10.0 ** (weights[np.maximum(at, 0)] / -STEPS), 0.0)
+            p[some] = np.where((at >= 0) & (place >= 0), _POWERS[codes[np.maximum(place, 0)]], 0.0)
+            g[some] = np.where(at >= 0, _POWERS[weights[np.maximum(at, 0)]], 0.0)
         if self.split:
             ids = np.array(sorted(self.split))
             at = np.minimum(np.searchsorted(ids, v), ids.size - 1)
@@ -381,13 +397,13 @@ class Trie:
             left[first[each_v[run]] < 0] = -1
             weight, start = np.ones(left.size), np.zeros(left.size, np.uint64)
             some_left = np.flatnonzero(left >= 0)
-            weight[some_left], start[some_left] = 10.0 ** (weights[left[some_left]] / -STEPS), starts.at(left[some_left])
+            weight[some_left], start[some_left] = weights(left[some_left]), starts.at(left[some_left])
             g[some] = weight[each]
             hit = np.flatnonzero(left[each] >= 0)
             place = successors.find(key[each_v[hit]] + w[some][hit].astype(np.uint64))
             hit, place = hit[place >= 0], place[place >= 0].astype(np.uint64)
             found = inner.find(start[each[hit]] + place - begins[each_v[hit]])
-            p[hit[found >= 0] + some.start] = 10.0 ** (codes[found[found >= 0]] / -STEPS)
+            p[hit[found >= 0] + some.start] = codes(found[found >= 0])
         return p, g
 
     def score(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -17,9 +17,11 @@ TEXT_BATCH_ROWS, TEXT_BATCH_BYTES = 512, 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder's URI below ``spark.checkpoint.dir``; set to a temporary folder only where it is unset, as in tests."""
+    """A new folder's URI below ``spark.checkpoint.dir``; a temporary folder only where it is unset on one machine, as in tests."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/graphloom-{uuid.uuid4().hex}"

@@ -57,6 +57,13 @@ def test_jaccard_join(spark, docs):
     assert jaccard_join.jaccard_components(docs.where("false")).count() == 0
 
 
+def test_jaccard_of_ids_with_several_texts(spark):
+    a, b, c = EN, DE, " ".join(f"w{i}" for i in range(30))
+    rows = [(3, a), (10, a), (10, b), (4, b), (7, c), (8, c + " more"), (8, "x y z"), (9, "x y z"), (11, None), (11, "")]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(3, 3), (10, 3), (4, 3), (7, 7), (8, 7), (9, 7), (11, 11)} and len(got) == len(rows)
+
+
 def test_jaccard_tiles_and_bounds():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 40, 300).astype(np.uint64)
@@ -219,6 +226,22 @@ def test_hilbert(spark, docs):
     assert hilbert_shards.shard_rows(docs.where("false"), 4).count() == 0
 
 
+def test_shard_files_hold_all_rows_and_prune(spark, docs, tmp_path):
+    import pyarrow.parquet as pq
+
+    many = docs
+    for k in range(20):
+        many = many.unionByName(docs.withColumn("source", F.lit(f"s{k:02d}")))
+    path = str(tmp_path / "shards")
+    hilbert_shards.write_shards(many.withColumn("slot", F.lit("old")), 30, path)
+    back = spark.read.parquet(path).drop("shard", "slot")
+    assert Counter(map(tuple, back.select(many.columns).collect())) == Counter(map(tuple, many.collect()))
+    files = list((tmp_path / "shards").rglob("*.parquet"))
+    stats = [pq.ParquetFile(f).metadata.row_group(0) for f in files]
+    bounds = [next(g.column(i).statistics for i in range(g.num_columns) if g.column(i).path_in_schema == "source") for g in stats]
+    assert sum(b.has_min_max and not b.min <= "s07" <= b.max for b in bounds) >= len(files) / 2
+
+
 def test_hilbert_ranks_many_values_alike(spark, docs, monkeypatch):
     more = docs.unionByName(docs.withColumn("source", F.lit(""))).unionByName(docs.withColumn("source", F.concat(F.lit("s"), F.col("n_chars"))))
     few = Counter(map(tuple, hilbert_shards.shard_rows(more, 4).drop("slot").collect()))
@@ -561,6 +584,13 @@ def test_sample_meets_its_targets(spark):
             assert abs(r.n - want) < 5 * (8 * want) ** 0.5 + 20  # five deviations of a sum of documents of 8 tokens
 
 
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long, row string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline(spark, tmp_path):
     rows = [(*r, len(r[1] or "")) for r in ROWS]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
@@ -578,3 +608,58 @@ def test_pipeline(spark, tmp_path):
     assert set(kept["decontamination"]) == set(kept["jaccard_join"]) - {6}
     assert set(kept["token_files"]) == set(kept["mixing"]) <= set(kept["decontamination"])
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == sum(kept["token_files"].values())
+
+
+def test_pipeline_against_plain_python(spark, tmp_path):
+    import hashlib
+
+    from tokenizers import Tokenizer
+
+    rng = np.random.default_rng(11)
+    pools = {"en": EN.split(), "de": DE.split()}
+    item = [f"q{i}" for i in range(12)]
+    rows = []
+    for i in range(60):
+        lang = ("en", "de")[i % 2]
+        text = list(rng.choice(pools[lang], rng.integers(8, 40)))
+        rows.append((i, " ".join(text + item if i % 10 == 3 else text), lang, f"s{i % 3}", i))
+    rows += [(60 + k, rows[k][1] if k % 2 else rows[k][1] + " also", rows[k][2], "s1", 0) for k in range(0, 20, 3)] + [(90, None, "en", "s0", 0), (91, "12 34", "en", None, 0), (92, "", None, "s1", 0), (5, rows[5][1], "en", "s9", 1), (None, rows[4][1], "en", "s0", 0)]
+    labels = [(i, i % 2, 0) for i in range(0, 70, 4)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, " ".join(item)), (None, "zz")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+
+    learns = lambda i: zlib.crc32(b"null" if i is None else str(i).encode()) % 3 != 1
+    judged = languages_by_hand([r[1] for r in rows], [(r[1], r[2]) for r in rows if r[2] and r[1] is not None and learns(r[0])])
+    now = [(*r[:2], label, *r[3:]) for r, (label, score) in zip(rows, judged, strict=True) if label != "und" and score >= 0.5]
+    sets = [(i, grams(t)) for i, t, *_ in now if i is not None]
+    low = {i: i for i, _ in sets}
+    for _ in sets:
+        for a, x in sets:
+            for b, y in sets:
+                if x and y and 100 * len(x & y) >= 80 * len(x | y):
+                    low[a] = low[b] = min(low[a], low[b])
+    single = {i: min((r for r in now if r[0] == i), key=lambda r: tuple((x is not None, x) for x in r[1:])) for i in low if low[i] == i}
+    now = [*single.values(), *(r for r in now if r[0] is None)]
+    shingled = {tuple(item[a : a + 5]) for a in range(len(item) - 4)}
+
+    def leaks(text):
+        w = text.split()
+        return any(len(x & shingled) >= 0.8 * len(x | shingled) for x in ({tuple(w[a + b : a + b + 5]) for b in range(8)} for a in range(max(0, len(w) - 11))))
+
+    now = [r for r in now if not leaks(r[1])]
+    topic = {i: f"quality {q}, toxic {t}" for i, q, t in labels}
+    cell = lambda r: (r[3], r[2], topic.get(r[0], "unlabelled"))
+    cells = Counter()
+    for r in now:
+        cells[cell(r)] += len(words(r[1]))
+    _, raked = rake_by_hand(cells, 0.5)
+    number = lambda i: int(hashlib.md5(f"mix:{'null' if i is None else i}".encode()).hexdigest()[:8], 16) / 2**32
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    sure, maybe = Counter(), Counter()
+    for r in now:
+        p = raked[cell(r)] / cells[cell(r)]
+        ids = np.array([*model.encode(r[1], add_special_tokens=False).ids, 2], "<u4")
+        (maybe if abs(number(r[0]) - p) < 0.02 else sure if number(r[0]) < p else Counter())[r[0], ids.size, zlib.crc32(ids.tobytes())] += 1
+    assert not sure - got and not got - sure - maybe and sum(maybe.values()) < 6 and sum(got.values()) > 10
