@@ -29,12 +29,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: the one with the smallest id, once. Documents without words link nothing and stay."""
+    """One document of each group of linked ones: the one with the smallest id, once (of several
+    texts under that id the least stays). Documents without words or without an id link nothing and stay."""
     groups = jaccard_join.jaccard_components(docs, percent=80)
     first = groups.where("component_id = doc_id").select("doc_id").distinct()
-    # The join has dealt the rows by id, so a repeated id (one document: its first row by text stays) costs no further shuffle.
-    kept = docs.join(first, "doc_id", "left_semi").groupBy("doc_id").agg(*[F.min_by(c, F.struct("text", "source", "lang")).alias(c) for c in COLUMNS[1:]])
-    return kept.select(*COLUMNS).unionByName(docs.where("doc_id is null").select(*COLUMNS))
+    # The join has dealt the rows by id, so keeping one row of a repeated id costs no further shuffle.
+    kept = docs.join(first, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row"))
+    return kept.select("doc_id", "row.*").unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
