@@ -186,13 +186,16 @@ def load_stats(entities: DataFrame, relationships: DataFrame, chunks: DataFrame,
 
 
 def chunks_to_graph(entities: DataFrame, relationships: DataFrame, chunks: DataFrame | None = None, existing: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """F8: nodes, then edges, then chunk nodes, then mentions. ``chunks``: content, source, section, ord."""
+    """F8: nodes, then edges, then chunk nodes, then mentions. ``chunks``: content, source, section, ord; without them the
+    existing chunk nodes stay."""
     from graphloom.operators.chunking import chunk_nodes
 
     old = existing or {}
     nodes = merge_entity_nodes(old.get("nodes"), entities)
     edges = merge_edges(old.get("edges"), resolve_edges(relationships, nodes))
     out = {"nodes": nodes, "edges": edges}
+    if chunks is None and "chunks" in old:
+        out["chunks"] = old["chunks"]
     if chunks is not None:
         rows = chunk_nodes(chunks)
         out["chunks"] = merge_chunk_nodes(old.get("chunks"), rows)

@@ -40,10 +40,10 @@ def dangling_chunks(chunks: DataFrame, edges: DataFrame, limit: int | None = Non
     return found if limit is None else found.orderBy("id").limit(limit)
 
 
-def duplicate_entities(nodes: DataFrame, spellings: int = 100) -> DataFrame:
-    """Names that several nodes share but for case and blanks at the ends; at most ``spellings`` distinct ones are listed, in order."""
+def duplicate_entities(nodes: DataFrame) -> DataFrame:
+    """Names that several nodes share but for case and blanks at the ends, with all their spellings in order."""
     keyed = nodes.where("name is not null").groupBy(strip(F.lower("name")).alias("key"), "name").agg(F.count("*").alias("n"))
-    groups = keyed.groupBy("key").agg(F.sum("n").alias("nodes"), F.slice(F.array_sort(F.collect_list("name")), 1, spellings).alias("names"))
+    groups = keyed.groupBy("key").agg(F.sum("n").alias("nodes"), F.array_sort(F.collect_list("name")).alias("names"))
     return groups.where("nodes > 1")
 
 

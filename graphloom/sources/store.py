@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SCHEMA = (
     "entity_types array<struct<name:string,description:string,example_properties:array<string>>>, "
@@ -23,12 +27,29 @@ def read_schema_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
 
 
 def write_graph(graph: dict[str, DataFrame], path: str) -> None:
-    """A10: nodes by label, edges by type, chunks. Write a new version to a new path; readers move when it is complete."""
+    """A10: nodes by label, edges by type, chunks; last comes a marker that names the tables and their schemas, so a graph
+    without it is not complete and is written anew. Write a new version to a new path."""
     for name, by in (("nodes", "label"), ("edges", "edge_type"), ("chunks", None)):
         if name in graph:
-            writer = graph[name].write
+            writer = graph[name].write.mode("overwrite")
             (writer.partitionBy(by) if by else writer).parquet(f"{path}/{name}")
-
-
-def read_graph(spark: SparkSession, path: str, tables: tuple[str, ...] = ("nodes", "edges", "chunks")) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{path}/{name}") for name in tables}
+    spark = next(iter(graph.values())).sparkSession
+    schemas = json.dumps({name: df.schema.jsonValue() for name, df in graph.items()})
+    spark.createDataFrame([(schemas,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/complete")
+
+
+def graph_schemas(spark: SparkSession, path: str) -> dict[str, StructType] | None:
+    """The schemas of the tables of a complete graph; None where there is none."""
+    try:
+        found = spark.read.text(f"{path}/complete").first()
+    except AnalysisException:  # no such path
+        return None
+    return found and {name: StructType.fromJson(x) for name, x in json.loads(found.value).items()}
+
+
+def read_graph(spark: SparkSession, path: str, tables: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
+    """A10: the tables of a complete graph (all that it has by default), labels and types as they were written."""
+    schemas = graph_schemas(spark, path)
+    if schemas is None:
+        raise ValueError(f"no complete graph in {path}")
+    return {name: spark.read.schema(schema).parquet(f"{path}/{name}").select(*schema.names) for name, schema in schemas.items() if tables is None or name in tables}

@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from graphloom.operators.graph import chunks_to_graph
-from graphloom.sources.store import read_graph, write_graph
+from graphloom.sources.store import graph_schemas, read_graph, write_graph
 
 
 def graph_upsert(spark: SparkSession, path: str, split):
     """A ``foreachBatch`` function: ``split`` turns a batch into (entities, relationships, chunks); version n + 1 of the graph
-    is written beside version n, and the last complete version is the graph."""
+    is written beside version n, and the last complete version is the graph. A batch that comes again after its version was
+    complete changes nothing; one that was cut off is written anew."""
 
     def load(batch: DataFrame, epoch: int) -> None:
+        if graph_schemas(spark, f"{path}/v{epoch}") is not None:
+            return
         old = read_graph(spark, f"{path}/v{epoch - 1}") if epoch else {}
         entities, relationships, chunks = split(batch)
         write_graph(chunks_to_graph(entities, relationships, chunks, old), f"{path}/v{epoch}")

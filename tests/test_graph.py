@@ -1,5 +1,6 @@
 import json
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from graphloom.functions.text import chunk_id, detect_content_type
 from graphloom.operators import aggregation, chunking, extraction, graph, retrieval, validation
 from graphloom.sources import files, markup, store
+from graphloom.streaming.load import graph_upsert
 
 PROPS = "map<string,string>"
 
@@ -136,6 +138,47 @@ def test_store(spark, tmp_path):
     assert store.read_graph(spark, str(tmp_path / "g"), ("nodes",))["nodes"].select("node_id", "label", "name").first() == nodes.first()
 
 
+def test_labels_and_empty_tables_come_back_as_written(spark, tmp_path):
+    nodes = spark.createDataFrame([("1", "007", "x"), ("2", "2024", "y")], "node_id string, label string, name string")
+    edges = spark.createDataFrame([], "src_id string, edge_type string, dst_id string")
+    store.write_graph({"nodes": nodes, "edges": edges}, str(tmp_path / "g"))
+    back = store.read_graph(spark, str(tmp_path / "g"))
+    assert sorted(map(tuple, back["nodes"].collect())) == sorted(map(tuple, nodes.collect())) and back["edges"].count() == 0 and set(back) == {"nodes", "edges"}
+    with pytest.raises(ValueError):
+        store.read_graph(spark, str(tmp_path / "none"))
+
+
+def test_repeated_batches_and_batches_without_chunks(spark, tmp_path):
+    relations = "from_entity string, to_entity string, relationship_type string, properties map<string,string>, ord long"
+
+    def split(batch):
+        entities = batch.select("name", F.lit("Tool").alias("entity_type"), F.create_map(F.lit("seen"), F.col("seen")).alias("properties"), F.col("id").alias("ord"))
+        links = spark.createDataFrame([("Alpha", "Beta", "USES", None, 1)], relations)
+        chunks = batch.where("text is not null").select(F.col("text").alias("content"), F.lit("f").alias("source"), F.lit(None).cast("string").alias("section"), F.col("id").alias("ord"))
+        return entities, links, (chunks if batch.where("text is not null").count() else None)
+
+    fields = "id long, name string, seen string, text string"
+    batches = [spark.createDataFrame([(1, "Alpha", "a", "We trust Alpha."), (2, "Gamma", "g", "Nothing here.")], fields), spark.createDataFrame([(3, "Beta", "b", None), (4, "Alpha", "later", None)], fields)]
+    load = graph_upsert(spark, str(tmp_path), split)
+
+    def state(version):
+        found = store.read_graph(spark, str(tmp_path / version))
+        return {(r.label, r.name, r.properties.get("seen")) for r in found["nodes"].collect()}, Counter(r.edge_type for r in found["edges"].collect()), {r.text for r in found["chunks"].collect()}
+
+    load(batches[0], 0)
+    first = state("v0")
+    assert first == ({("Tool", "Alpha", "a"), ("Tool", "Gamma", "g")}, {"MENTIONS": 1}, {"We trust Alpha.", "Nothing here."})
+    load(batches[0], 0)
+    assert state("v0") == first
+    load(batches[1], 1)
+    (tmp_path / "v1" / "complete" / "_SUCCESS").unlink()
+    for part in (tmp_path / "v1" / "complete").iterdir():  # as if the batch had been cut off before its marker
+        part.unlink()
+    (tmp_path / "v1" / "complete").rmdir()
+    load(batches[1], 1)
+    assert state("v1") == ({("Tool", "Alpha", "later"), ("Tool", "Beta", "b"), ("Tool", "Gamma", "g")}, {"MENTIONS": 1, "USES": 1}, {"We trust Alpha.", "Nothing here."})
+
+
 def test_pdf_pages(spark):
     pages = spark.createDataFrame([(1, 1, "x" * 50), (1, 2, " "), (2, 1, ""), (3, 1, "y" * 60)], "doc_id int, page_no int, text string")
     docs = spark.createDataFrame([(1,), (2,), (3,), (4,)], "doc_id int")
