@@ -6,6 +6,7 @@ import json
 import random
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -45,36 +46,43 @@ class FatalError(Exception):
     """Access denied or a request that is not valid: no other try."""
 
 
-def complete_prompts(df: DataFrame, fn: Callable[[str], str], prompt: str = "prompt", tries: int = 3, parallel: int | None = None, wait: Callable[[float], None] = time.sleep) -> DataFrame:
-    """``df`` with response, attempts and status (ok, failed). ``fn`` takes a prompt and may raise the errors above.
+def complete_prompts(
+    df: DataFrame, fn: Callable[[str], str], prompt: str = "prompt", tries: int = 3, parallel: int | None = None, in_flight: int = 1,
+    done: DataFrame | None = None, keys: tuple[str, ...] = ("doc_id", "chunk_seq"), wait: Callable[[float], None] = time.sleep,
+) -> DataFrame:
+    """``df`` with response, attempts, status (ok, failed), error, throttles and seconds. ``fn`` takes a prompt and may raise
+    the errors above.
 
     A retryable error waits 2**attempt seconds and up to one more; an answer without a brace is asked for again at once, and
-    the last one is returned as it is; all other errors fail at once. ``parallel`` caps the calls in flight. Write the result
-    before parsing it, so that a lost executor repeats only its own calls.
+    the last one is returned as it is; all other errors fail at once, and ``error`` says which. ``parallel`` tasks have
+    ``in_flight`` calls each. Write the result before parsing it, so that a lost executor repeats only its own calls; to go on
+    after a stop, pass what was written as ``done``: rows with its ``keys`` whose status is ok are not asked for again.
     """
-    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
-
-    schema = StructType([*df.schema.fields, StructField("response", StringType()), StructField("attempts", IntegerType()), StructField("status", StringType())])
+    if done is not None:
+        df = df.join(done.where("status = 'ok'").select(*keys).distinct(), list(keys), "left_anti")
+    result = "response string, attempts int, status string, error string, throttles int, seconds double"
+    schema = T.StructType([*df.schema.fields, *T.StructType.fromDDL(result).fields])
 
     def ask(text):
-        answer = None
+        throttles, began = 0, time.monotonic()
         for attempt in range(1, tries + 1):
             try:
                 answer = fn(text)
                 if "{" in answer or attempt == tries:
-                    return answer, attempt, "ok"
-            except RetryableError:
+                    return answer, attempt, "ok", None, throttles, time.monotonic() - began
+            except RetryableError as e:
+                throttles += 1
                 if attempt == tries:
-                    return None, attempt, "failed"
+                    return None, attempt, "failed", f"{type(e).__name__}: {e}", throttles, time.monotonic() - began
                 wait(2 ** (attempt - 1) + random.random())
-            except Exception:
-                return None, attempt, "failed"
-        return answer, tries, "ok"
+            except Exception as e:  # one prompt's error must not end the run; the row says what it was
+                return None, attempt, "failed", f"{type(e).__name__}: {e}", throttles, time.monotonic() - began
 
     def run(batches):
-        for pdf in batches:
-            found = [ask(t) for t in pdf[prompt]]
-            yield pdf.assign(response=[f[0] for f in found], attempts=pd.array([f[1] for f in found], "int32"), status=[f[2] for f in found])
+        with ThreadPoolExecutor(in_flight) as pool:
+            for pdf in batches:
+                response, attempts, status, error, throttles, seconds = zip(*pool.map(ask, pdf[prompt]), strict=True) if len(pdf) else ((),) * 6
+                yield pdf.assign(response=list(response), attempts=pd.array(attempts, "int32"), status=list(status), error=list(error), throttles=pd.array(throttles, "int32"), seconds=list(seconds))
 
     return (df if parallel is None else df.repartition(parallel)).mapInPandas(run, schema)
 
@@ -133,7 +141,7 @@ def parse_schema_response(text: Column) -> Column:
 
 
 def extract_chunks(chunks: DataFrame, fn: Callable[[str], str], entity_types, relationship_types, rules: str, **call) -> DataFrame:
-    """``chunks`` with response, attempts, status and extraction; a failed chunk has an empty extraction and stays."""
+    """``chunks`` with what D5 adds and extraction; a failed chunk has an empty extraction and stays."""
     asked = complete_prompts(chunks.withColumn("prompt", build_extraction_prompt(F.col("content"), entity_types, relationship_types, rules)), fn, **call)
     return asked.withColumn("extraction", parse_extraction_response(F.col("response")))
 

@@ -88,11 +88,14 @@ def hybrid_context(hits: DataFrame, chunks: DataFrame, edges: DataFrame, nodes:
 
 
 def pipeline_metrics(calls: DataFrame, entities: DataFrame, distinct_entities: DataFrame, cost_per_call: float = 0.003) -> DataFrame:
-    """Of each document: chunks, failures, retries, answers without JSON, entities and cost; and the run's dedup ratio."""
+    """Of each document: chunks, failures, retries, answers without JSON, cost and entities; throttled calls and mean and
+    longest seconds of a chunk where ``calls`` has them (as D5 gives them); and the run's dedup ratio."""
     bad = (F.col("status") == "ok") & ~F.contains("response", F.lit("{"))
     per_doc = calls.groupBy("doc_id").agg(
         F.count("*").alias("chunks"), F.sum((F.col("status") != "ok").cast("long")).alias("failed"), F.sum(F.col("attempts") - 1).alias("retries"), F.sum(F.coalesce(bad, F.lit(False)).cast("long")).alias("malformed"),
         F.sum(F.col("attempts") * cost_per_call).alias("cost"),
+        *([F.sum("throttles").alias("throttles")] if "throttles" in calls.columns else []),
+        *([F.avg("seconds").alias("mean_seconds"), F.max("seconds").alias("longest_seconds")] if "seconds" in calls.columns else []),
     )
     found = entities.groupBy("doc_id").agg(F.count("*").alias("entities"))
     ratio = entities.agg(F.count("*").alias("all")).crossJoin(distinct_entities.agg(F.count("*").alias("kept"))).select(F.when(F.col("all") > 0, 1 - F.col("kept") / F.col("all")).otherwise(0.0).alias("dedup_ratio"))

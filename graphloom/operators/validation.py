@@ -76,7 +76,9 @@ def validation_report(nodes: DataFrame, edges: DataFrame, chunks: DataFrame, ent
         one(dangling_chunks(chunks, edges), "dangling_chunks", "warning"),
         one(duplicate_entities(nodes), "duplicate_entities", "error"),
     ]
-    if relationship_types is not None:
+    if relationship_types is None:  # nothing to compare with: one row that says so
+        rows.append(nodes.sparkSession.range(1).select(F.lit("wrong_direction").alias("check"), F.lit(0).cast("long").alias("n"), F.lit("info").alias("bad")))
+    else:
         rows.append(one(wrong_direction_edges(nodes, edges, relationship_types).where("wrong > 0"), "wrong_direction", "warning"))
     out = rows[0]
     for r in rows[1:]:

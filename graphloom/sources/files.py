@@ -9,8 +9,15 @@ from graphloom.sources.markup import html_to_markdown
 
 # The accepted extensions, the signatures, and what marks each office format inside a zip file.
 TEXT_EXTENSIONS = (".txt", ".md", ".markdown", ".html", ".htm", ".csv")
-SIGNATURES = (("25504446", ".pdf"), ("89504E47", "image/png"), ("FFD8FF", "image/jpeg"), ("47494638", "image/gif"), ("D0CF11E0", "application/x-ole-storage"), ("1F8B", "application/gzip"))
+SIGNATURES = (
+    ("25504446", ".pdf"), ("89504E47", "image/png"), ("FFD8FF", "image/jpeg"), ("47494638", "image/gif"), ("424D", "image/bmp"), ("49492A00", "image/tiff"), ("4D4D002A", "image/tiff"), ("00000100", "image/x-icon"),
+    ("38425053", "image/vnd.adobe.photoshop"), ("52494646", "application/riff"), ("1A45DFA3", "video/x-matroska"), ("464C56", "video/x-flv"), ("000001BA", "video/mpeg"), ("000001B3", "video/mpeg"), ("494433", "audio/mpeg"), ("FFFB", "audio/mpeg"),
+    ("4F676753", "audio/ogg"), ("664C6143", "audio/x-flac"), ("4D546864", "audio/midi"), ("2321414D52", "audio/amr"), ("D0CF11E0", "application/x-ole-storage"), ("1F8B", "application/gzip"), ("425A68", "application/x-bzip2"),
+    ("377ABCAF271C", "application/x-7z-compressed"), ("FD377A585A00", "application/x-xz"), ("52617221", "application/x-rar-compressed"), ("28B52FFD", "application/zstd"), ("4D534346", "application/vnd.ms-cab-compressed"),
+    ("7B5C727466", "application/rtf"), ("2521", "application/postscript"), ("4D5A", "application/x-msdownload"), ("7F454C46", "application/x-executable"), ("0061736D", "application/wasm"), ("53514C69", "application/x-sqlite3"),
+)
 ZIP_SIGNATURE, ZIP_PARTS = "504B0304", (("word/", ".docx"), ("ppt/", ".pptx"), ("xl/", ".xlsx"))
+ZIP_HEAD = 16_384
 
 
 def read_files(spark: SparkSession, directory: str) -> DataFrame:
@@ -19,11 +26,14 @@ def read_files(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def detect_file_type(content: Column, path: Column) -> Column:
-    """A2: the type by signature, else by the lower-cased last extension; null where the file is rejected."""
+    """A2: the type by signature, else by the lower-cased last extension; null where the file is rejected.
+
+    A zip file is an office file if a header of its first entries, within ``ZIP_HEAD`` bytes, names such a part.
+    """
     head = F.hex(F.substring(content, 1, 8))
-    inside = F.decode(content, "ISO-8859-1")
+    inside = F.decode(F.substring(content, 1, ZIP_HEAD), "ISO-8859-1")
     extension = F.lower(F.regexp_extract(F.element_at(F.split(path, "/"), -1), r"(\.[^.]+)$", 1))
-    found = F.when(head.startswith(ZIP_SIGNATURE), F.coalesce(*[F.when(F.contains(inside, F.lit(part)), F.lit(kind)) for part, kind in ZIP_PARTS]))
+    found = F.when(head.startswith(ZIP_SIGNATURE), F.coalesce(*[F.when(inside.rlike(rf"(?s)PK\x03\x04.{{26}}{part}"), F.lit(kind)) for part, kind in ZIP_PARTS]))
     for start, kind in SIGNATURES:
         found = found.when(head.startswith(start), F.lit(kind if kind.startswith(".") else None).cast("string"))
     return found.when(extension.isin(*TEXT_EXTENSIONS), extension)
