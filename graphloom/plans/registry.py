@@ -536,14 +536,15 @@ def _contexts(rows: DataFrame, asked: str) -> DataFrame:
 
 
 @query("""
-SELECT conv_id AS doc_id, count(*) AS chunks, count(*) FILTER (turn % 4 = 3) AS failed, sum(turn % 3)::BIGINT AS retries, 0::BIGINT AS malformed, round(sum(1 + turn % 3) * 0.003::DOUBLE, 6) AS cost, count(*) AS entities,
+SELECT conv_id AS doc_id, count(*) AS chunks, count(*) FILTER (turn % 4 = 3) AS failed, sum(turn % 3)::BIGINT AS retries, count(*) FILTER (turn % 4 <> 3 AND turn % 5 = 0) AS malformed, round(sum(1 + turn % 3) * 0.003::DOUBLE, 6) AS cost, sum(turn % 2)::BIGINT AS throttles, round(avg(turn / 4), 6) AS mean_seconds, max(turn / 4)::DOUBLE AS longest_seconds, count(*) AS entities,
   1 - (SELECT count(DISTINCT role) FROM conversations) / (SELECT count(*) FROM conversations) AS dedup_ratio FROM conversations GROUP BY conv_id""")
 def p8_pipeline_metrics(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations")
-    calls = rows.select(F.col("conv_id").alias("doc_id"), F.lit("{}").alias("response"), (1 + F.col("turn") % 3).cast("int").alias("attempts"), F.when(F.col("turn") % 4 == 3, "failed").otherwise("ok").alias("status"))
+    calls = rows.select(F.col("conv_id").alias("doc_id"), F.when(F.col("turn") % 5 == 0, "none").otherwise("{}").alias("response"), (1 + F.col("turn") % 3).cast("int").alias("attempts"), F.when(F.col("turn") % 4 == 3, "failed").otherwise("ok").alias("status"),
+        (F.col("turn") % 2).alias("throttles"), (F.col("turn") / 4).alias("seconds"))
     entities = rows.select(F.col("conv_id").alias("doc_id"), "role")
     out = retrieval.pipeline_metrics(calls, entities, entities.select("role").distinct())
-    return out.withColumn("cost", F.round("cost", 6)).withColumn("retries", F.col("retries").cast("long"))
+    return out.withColumn("cost", F.round("cost", 6)).withColumn("mean_seconds", F.round("mean_seconds", 6)).withColumn("throttles", F.col("throttles").cast("long")).withColumn("retries", F.col("retries").cast("long"))
 
 
 # --- files, stores, prompts and calls ----------------------------------------------------------------------------

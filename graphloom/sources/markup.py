@@ -16,7 +16,8 @@ HTML_STEPS = (
     (r"(?i)</h[1-6]>", "\n\n"),
     (r"(?i)<li[^>]*>", "\n- "),
     (r"(?i)\s*</(td|th)>\s*", " | "),
-    (r"(?i)<tr[^>]*>\s*", "\n| "),
+    (r"(?i)\s*</?(thead|tbody|tfoot)[^>]*>\s*", ""),
+    (r"(?i)\s*<tr[^>]*>\s*", "\n| "),
     (r"(?i)<(p|ul|ol|table|div|section|article)[^>]*>", "\n\n"),
     (r"(?i)<br[^>]*>", "\n"),
     (r"(?s)<[^>]+>", ""),
@@ -45,7 +46,7 @@ def _numeric_entities(text: Column) -> Column:
 
     def char(x):
         number = F.regexp_extract(x, "^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
-        code = F.when(F.lower(number).startswith("x"), F.conv(F.substr(number, F.lit(2)), 16, 10)).otherwise(number).cast("int")
+        code = F.when(F.lower(number).startswith("x"), F.conv(F.substr(number, F.lit(2)), 16, 10)).otherwise(number).try_cast("int")
         good = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
         shown = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
         return F.when(good, F.concat(shown, F.substr(x, F.length(number) + 2))).otherwise(F.concat(F.lit("&#"), x))

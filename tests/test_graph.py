@@ -93,6 +93,26 @@ def test_retries(spark):
     assert got == {"throttled": (3, "failed"), "recovers": (2, "ok"), "denied": (1, "failed"), "prose": (2, "ok"), "fine": (1, "ok")}
 
 
+def test_errors_are_kept_and_done_rows_are_not_asked_again(spark):
+    asked = spark.sparkContext.accumulator(0)
+
+    def fn(prompt):
+        asked.add(1)
+        if prompt == "b":
+            raise extraction.FatalError("denied")
+        return int("x") if prompt == "c" else "{}"
+
+    df = spark.createDataFrame([(i, 0, p) for i, p in enumerate("abca")], "doc_id int, chunk_seq int, prompt string").coalesce(1)
+    rows = extraction.complete_prompts(df, fn, in_flight=4, wait=lambda s: None).collect()
+    assert [(r.doc_id, r.status, r.throttles) for r in rows] == [(0, "ok", 0), (1, "failed", 0), (2, "failed", 0), (3, "ok", 0)] and all(r.seconds >= 0 for r in rows)
+    assert rows[1].error == "FatalError: denied" and rows[2].error.startswith("ValueError: ") and rows[0].error is None
+    before = asked.value
+    done = spark.createDataFrame([(r.doc_id, r.chunk_seq, r.status) for r in rows], "doc_id int, chunk_seq int, status string")
+    again = extraction.complete_prompts(df, fn, done=done).collect()
+    assert sorted(r.doc_id for r in again) == [1, 2] and asked.value == before + 2
+    assert extraction.complete_prompts(df.limit(0), fn).collect() == []
+
+
 def test_last_property_wins_and_loading_twice_changes_nothing(spark):
     rows = [("a", "T", {"x": "1", "y": "1"}, 1), ("a", "T", {"x": "2"}, 2), ("b", "T", {"name": "a", "z": "3"}, 3), ("", "T", {}, 4), (None, "T", {}, 5), ("c", "T", {}, 6)]
     df = spark.createDataFrame(rows, f"name string, entity_type string, properties {PROPS}, ord int")
@@ -179,6 +199,37 @@ def test_repeated_batches_and_batches_without_chunks(spark, tmp_path):
     assert state("v1") == ({("Tool", "Alpha", "later"), ("Tool", "Beta", "b"), ("Tool", "Gamma", "g")}, {"MENTIONS": 1, "USES": 1}, {"We trust Alpha.", "Nothing here."})
 
 
+def test_html_tables_and_entities(spark):
+    html = """<p>Who</p><table border="1">
+  <tr><th>Name</th><th>Role</th></tr>
+  <tr><td>A &amp; B</td><td>x &gt; y</td></tr>
+</table><table><tbody><tr><td>1</td></tr><tr><td>2</td></tr></tbody></table><p>&#233;&#x1F600;&#39;&#xD800;&#99999999; &amp;#39; &mdash;</p>"""
+    texts = [html, "", None, "<table></table>", "no tags"]
+    got = [r.m for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(markup.html_to_markdown(F.col("t")).alias("m")).collect()]
+    want = "Who\n\n| Name | Role |\n| --- | --- |\n| A & B | x > y |\n\n| 1 |\n| --- |\n| 2 |\n\né😀'&#xD800;&#99999999; &#39; —"
+    assert got == [want, "", None, "", "no tags"]
+
+
+def test_signatures(spark):
+    header = b"PK\x03\x04" + bytes(26)
+    cases = {
+        ("a.md", b"BM picture"): None, ("a.txt", b"MZ program"): None, ("a.csv", b"7z\xbc\xaf\x27\x1c"): None, ("a.md", b"%PD but no PDF"): ".md", ("a", header + b"[Content_Types].xml" + bytes(500) + header + b"xl/workbook.xml"): ".xlsx",
+        ("b.txt", header + b"notes/word/readme"): None, ("c.txt", b"PK\x03\x04" + b"word/"): None, ("d.HTM", b""): ".htm", (".md", b"x"): ".md",
+    }
+    df = spark.createDataFrame([(i, bytearray(b), p) for i, (p, b) in enumerate(cases)], "i int, b binary, p string")
+    assert {r.i: r.k for r in df.select("i", files.detect_file_type(F.col("b"), F.col("p")).alias("k")).collect()} == dict(enumerate(cases.values()))
+
+
+def test_report_without_a_schema(spark):
+    nodes = spark.createDataFrame([("1", "A", "x"), ("2", "B", "X ")], "node_id string, label string, name string")
+    edges = spark.createDataFrame([("1", "R", "2")], "src_id string, edge_type string, dst_id string")
+    report = validation.validation_report(nodes, edges, spark.createDataFrame([], "id string"), None, None)
+    assert {r.check: (r.n, r.severity) for r in report.collect()} == {
+        "unexpected_labels": (2, "info"), "unexpected_types": (1, "info"), "orphan_nodes": (0, "pass"), "dangling_chunks": (0, "pass"), "duplicate_entities": (1, "error"), "wrong_direction": (0, "info"),
+    }
+    assert {r.severity: r.n for r in validation.severity_counts(report).collect()} == {"info": 3, "pass": 2, "error": 1}
+
+
 def test_pdf_pages(spark):
     pages = spark.createDataFrame([(1, 1, "x" * 50), (1, 2, " "), (2, 1, ""), (3, 1, "y" * 60)], "doc_id int, page_no int, text string")
     docs = spark.createDataFrame([(1,), (2,), (3,), (4,)], "doc_id int")
@@ -210,7 +261,7 @@ def test_whole_searches_ask_every_hundredth_row(spark, tmp_path):
     assert len(found) == len(want) and {tuple(r) for r in found} == want
 
 
-def test_no_reference_names():
+def test_no_local_checkpoints():
     import pathlib
 
     root = pathlib.Path(__file__).resolve().parents[1] / "graphloom"
