@@ -23,8 +23,6 @@ with one of its texts is linked with all of them.
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -33,7 +31,7 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.components import connected_components
 from graphloom.llm.elias_fano import EliasFano, encode
-from graphloom.llm.shared import make_dirs, open_file, put_file, shared_dir, text_batches, written
+from graphloom.llm.shared import kept_files, make_dirs, map_file, put_file, shared_dir, text_batches, written
 from graphloom.llm.words import hashed_steps, row_shingles, texts_of
 
 #: Buckets of the column-count sketch and the slices in which it is summed; both fixed.
@@ -112,9 +110,9 @@ def _short(columns: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (columns >> np.uint64(64 - bits)).astype(np.int64), (columns >> np.uint64(64 - KEY_BITS)) & np.uint64((1 << (KEY_BITS - bits)) - 1)
 
 
-@functools.lru_cache(4096)
+@kept_files
 def _shared_keys(name: str) -> EliasFano:
-    return EliasFano(np.frombuffer(open_file(name).read_buffer(), np.uint8))
+    return EliasFano(np.frombuffer(map_file(name), np.uint8))
 
 
 def _shared_columns(docs: DataFrame, sent, percent: int, bits: int) -> dict[int, str]:

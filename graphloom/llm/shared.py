@@ -84,6 +84,7 @@ def kept_files(read):
     """Keeps what ``read`` made of the files of one folder: of many mapped files, or of a few that were read whole."""
     many, few, last = functools.lru_cache(4096)(read), functools.lru_cache(16)(read), [""]
 
+    @functools.wraps(read)  # so that it is pickled by its own name
     def get(uri: str):
         folder = uri.rpartition("/")[0]
         if folder != last[0]:

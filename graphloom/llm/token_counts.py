@@ -1,7 +1,7 @@
 """Token counts of whole texts: Arrow batches of equal bytes in, lengths out.
 
-Long texts are cut where no token can cross, so one text never fills a task's memory and the counts stay those of the
-whole text. A null or empty text has no tokens. Repeated rows and further columns make no difference; an empty table
+Long texts are cut where no token can cross, at single blanks between ASCII letters or digits, so the counts stay those of
+the whole text. A text without such a blank, or for a library that doesn't allow the cut, is encoded as a whole. A null or empty text has no tokens. Repeated rows and further columns make no difference; an empty table
 gives an empty table.
 """
 
@@ -82,7 +82,7 @@ def count_texts(path: str, texts: list[str]) -> list[int]:
         pieces += cut
         owner += [i] * len(cut)
     counts = [0] * len(texts)
-    for a, b in byte_runs([len(x) for x in pieces], BATCH_BYTES):
+    for a, b in byte_runs([len(x.encode()) for x in pieces], BATCH_BYTES):
         for i, n in zip(owner[a:b], library.count(pieces[a:b]), strict=True):
             counts[i] += n
     return counts
