@@ -21,17 +21,20 @@ def valid_relationships(df: DataFrame) -> DataFrame:
 
 
 def merge_properties(df: DataFrame, keys: tuple[str, ...] = ("name", "entity_type")) -> DataFrame:
-    """For each key and property name the last value by ``ord``; a map in order of the names."""
-    entries = df.select(*keys, "ord", F.explode(F.map_entries("properties")).alias("e"))
-    last = entries.groupBy(*keys, F.col("e.key").alias("k")).agg(F.max_by("e.value", "ord").alias("v"))
-    return last.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias("properties"))
+    """A row for each key, with its first ``ord``, number of rows, and for each property name the last value by ``ord``.
+
+    The input is read once. Rows without properties count too: they are one entry with a null name.
+    """
+    entries = df.select(*keys, "ord", F.posexplode_outer(F.map_entries("properties")).alias("pos", "e"))
+    first = F.coalesce(F.col("pos"), F.lit(0)) == 0  # each row has one such entry
+    last = entries.groupBy(*keys, F.col("e.key").alias("k")).agg(F.max_by("e.value", "ord").alias("v"), F.min("ord").alias("ord"), F.sum(first.cast("long")).alias("n"))
+    named = F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", "v")))  # nulls are left out
+    return last.groupBy(*keys).agg(F.min("ord").alias("ord"), F.sum("n").alias("occurrences"), F.map_from_entries(F.array_sort(named)).alias("properties"))
 
 
 def dedupe_entities(df: DataFrame) -> DataFrame:
     """One row for each exact (name, type) with its first place, number of occurrences and merged properties."""
-    firsts = df.groupBy("name", "entity_type").agg(F.min("ord").alias("ord"), F.count("*").alias("occurrences"))
-    merged = merge_properties(df)
-    return firsts.join(merged, ["name", "entity_type"], "left").withColumn("properties", F.coalesce("properties", F.create_map().cast("map<string,string>")))
+    return merge_properties(df)
 
 
 def dedupe_relationships(df: DataFrame) -> DataFrame:

@@ -15,7 +15,6 @@ from graphloom.functions.text import normalized_name
 from graphloom.operators.aggregation import merge_properties, valid_entities, valid_relationships
 
 EDGE = ("src_id", "edge_type", "dst_id")
-_MAP = "map<string,string>"
 
 
 def node_id(label: Column, name: Column) -> Column:
@@ -34,10 +33,8 @@ def merge_entity_nodes(existing: DataFrame | None, incoming: DataFrame) -> DataF
     if existing is not None:
         before = place(0, F.lit(None).cast(incoming.schema["ord"].dataType))
         rows = existing.select("label", "name", "properties", before).unionByName(rows)
-    names = rows.select("label", "name").distinct()
     merged = merge_properties(rows, ("label", "name"))
-    nodes = names.join(merged, ["label", "name"], "left")
-    return nodes.select(node_id(F.col("label"), F.col("name")).alias("node_id"), "label", "name", F.coalesce("properties", F.create_map().cast(_MAP)).alias("properties"))
+    return merged.select(node_id(F.col("label"), F.col("name")).alias("node_id"), "label", "name", "properties")
 
 
 def resolve_edges(relationships: DataFrame, nodes: DataFrame) -> DataFrame:
