@@ -188,7 +188,7 @@ def _met(docs: DataFrame, sent, percent: int, bits: int, files: dict[int, str])
 def _bit_map(ids: DataFrame, n: int) -> np.ndarray:
     """A map of hashed ids: True for all of ``ids``, and seldom for others. At most ``MAP_BITS`` bits."""
     bits = min(MAP_BITS, max(1 << 12, 1 << (16 * n).bit_length()))
-    parts = max(1, bits >> 15)
+    parts = min(4096, bits >> 10)
     place = F.pmod(F.xxhash64("id"), F.lit(bits))
 
     def gather(group):
