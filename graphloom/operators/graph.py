@@ -72,25 +72,54 @@ def merge_chunk_nodes(existing: DataFrame | None, incoming: DataFrame) -> DataFr
     return rows.groupBy("id").agg(F.max_by("node", "o").alias("node")).select("id", "node.*")
 
 
-#: Names up to which chunks and names meet in a nested loop; more go through the multi-pattern search.
-FEW_NAMES = 2_000
+#: Letters of the gram by which a name is looked up in texts, and slots that tell grams of no name apart early.
+GRAM, SLOTS = 6, 1 << 20
 
 
-def link_mentions(chunks: DataFrame, nodes: DataFrame, few: int = FEW_NAMES) -> DataFrame:
+def _grams(text: str, n: int):
+    return F.regexp_extract_all(text, F.lit("(?s)(?=(.{%d}))" % n), 1)
+
+
+def _anchors(names: DataFrame) -> DataFrame:
+    """(low, gram): each name's gram that the fewest names have; a shorter name is its own gram."""
+    long = names.where(F.length("low") >= GRAM).select("low", F.explode(F.array_distinct(_grams("low", GRAM))).alias("gram"))
+    rarest = long.join(long.groupBy("gram").agg(F.count("*").alias("n")), "gram").groupBy("low").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    return rarest.unionByName(names.where(F.length("low") < GRAM).select("low", F.col("low").alias("gram")))
+
+
+def _mentions(hits: DataFrame, names: DataFrame) -> DataFrame:
+    return hits.join(names, "low").select("src_id", F.lit("MENTIONS").alias("edge_type"), F.col("node_id").alias("dst_id")).distinct()
+
+
+def _lowered(chunks: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    names = nodes.where("name <> ''").select(F.lower("name").alias("low"), "node_id").distinct()
+    return chunks.select(F.col("id").alias("src_id"), F.lower("content").alias("body")), names
+
+
+def link_mentions(chunks: DataFrame, nodes: DataFrame) -> DataFrame:
     """(chunk id, node id) where the chunk's text has the node's name as a substring, upper and lower case alike.
 
-    Texts are lowered once. Up to ``few`` names are broadcast for a nested loop; beyond, names are searched for all at once
-    in Arrow batches, in slices of bounded size.
+    A text's grams meet the names' anchors in an equality join, and ``contains`` confirms each pair. Grams whose slot no
+    anchor has go before that; the slots are broadcast, ``SLOTS`` numbers at most. Rows of one id count as one chunk.
     """
-    names = nodes.where("name <> ''").select(F.lower("name").alias("low"), "node_id").distinct()
+    texts, names = _lowered(chunks, nodes)
     distinct = names.select("low").distinct()
-    texts = chunks.select(F.col("id").alias("src_id"), F.lower("content").alias("body")).dropDuplicates(["src_id"])
-    n = distinct.count()
-    if n <= few:
-        hits = texts.join(F.broadcast(distinct), F.contains("body", "low")).select("src_id", "low")
-    else:
-        hits = _search_many(texts, distinct, n)
-    return hits.join(names, "low").select("src_id", F.lit("MENTIONS").alias("edge_type"), F.col("node_id").alias("dst_id")).distinct()
+    anchors = _anchors(distinct)
+    slot = F.pmod(F.hash("gram"), F.lit(SLOTS)).alias("slot")
+    lengths = sorted(r[0] for r in distinct.select(F.least(F.length("low"), F.lit(GRAM))).distinct().collect())  # 1 to GRAM
+    if not lengths:
+        return _mentions(texts.select("src_id", F.col("body").alias("low")).limit(0), names)
+    grams = texts.select("src_id", F.explode(F.array_distinct(F.concat(*[_grams("body", n) for n in lengths]))).alias("gram"))
+    grams = grams.withColumn("slot", slot).join(F.broadcast(anchors.select(slot).distinct()), "slot", "left_semi")
+    maybe = grams.join(anchors, "gram").select("src_id", "low").distinct()
+    return _mentions(maybe.join(texts, "src_id").where(F.contains("body", "low")).select("src_id", "low"), names)
+
+
+def link_mentions_by_patterns(chunks: DataFrame, nodes: DataFrame) -> DataFrame:
+    """F7 by a multi-pattern search in Arrow batches, in slices of names of bounded size; the same rows."""
+    texts, names = _lowered(chunks, nodes)
+    distinct = names.select("low").distinct()
+    return _mentions(_search_many(texts, distinct, max(1, distinct.count())), names)
 
 
 def _search_many(texts: DataFrame, names: DataFrame, n: int, per_slice: int = 500_000) -> DataFrame:

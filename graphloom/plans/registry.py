@@ -364,7 +364,7 @@ def f7_link_mentions(spark, sf_dir):
 @query(f"WITH {_MENTIONS} SELECT * FROM m")
 def f7_link_mentions_many_names(spark, sf_dir):
     docs = spread(table(spark, sf_dir, "documents")).select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"))
-    return graph.link_mentions(docs, _names(spark, sf_dir), few=0)
+    return graph.link_mentions_by_patterns(docs, _names(spark, sf_dir))
 
 
 @query(f"""{_GRAPH}
@@ -479,17 +479,10 @@ def p3_resolve_entities(spark, sf_dir):
 
 
 @query("""
-WITH s AS (SELECT q.vec_id AS query_id, d.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]) AS score FROM embeddings q JOIN embeddings d ON q.vec_id < 20 AND q.vec_id <> d.vec_id),
+WITH s AS (SELECT q.vec_id AS query_id, d.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]) AS score FROM embeddings q JOIN embeddings d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, round(score, 5) AS score FROM r WHERE rank <= 5""")
 def p4_top_k_similar(spark, sf_dir):
-    rows = table(spark, sf_dir, "embeddings")
-    return retrieval.top_k_similar(rows.where("vec_id < 20"), rows, 5).withColumn("score", F.round("score", 5))
-
-
-@query()
-def p4_top_k_similar_whole(spark, sf_dir):
-    """Every row whose id is divisible by 100 against all rows; SQL would be slow on whole tables, so a test has a brute-force version."""
     rows = table(spark, sf_dir, "embeddings")
     return retrieval.top_k_similar(rows.where("vec_id % 100 = 0"), rows, 5).withColumn("score", F.round("score", 5))
 
@@ -508,18 +501,12 @@ def p7_match_path(spark, sf_dir):
 
 
 @query("""
-WITH s AS (SELECT q.vec_id AS query_id, d.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]) AS score FROM embeddings q JOIN embeddings d ON q.vec_id < 20 AND q.vec_id <> d.vec_id),
+WITH s AS (SELECT q.vec_id AS query_id, d.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]) AS score FROM embeddings q JOIN embeddings d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s),
 h AS (SELECT query_id, vec_id FROM r WHERE rank <= 5)
 SELECT query_id, 'chunk' AS kind, vec_id::VARCHAR AS id, 'chunk ' || vec_id AS text FROM h
 UNION ALL SELECT DISTINCT query_id, 'entity', 'n' || (label + k), 'Label: ' || (label + k) FROM h JOIN embeddings USING (vec_id), (VALUES (0), (1)) t(k)""")
 def p6_hybrid_context(spark, sf_dir):
-    return _contexts(table(spark, sf_dir, "embeddings"), "vec_id < 20")
-
-
-@query()
-def p6_hybrid_context_whole(spark, sf_dir):
-    """Contexts of every row whose id is divisible by 100; tested by brute force, as ``p4_top_k_similar_whole``."""
     return _contexts(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
 
 

@@ -134,6 +134,18 @@ def test_edges_by_name(spark):
     assert sorted((r.node_id, r.hop) for r in hops.collect()) == [("1", 0), ("3", 1)]
 
 
+def test_mentions(spark):
+    names = ["a", "Ab", "tion", "Nation", "nationalise", "ational", "é😀", "😀😀 smile", "x\ny z w", "(.*)[", "never there", "", None, "Station", "station"]
+    texts = ["A NATIONALISE(D) Station", "ab", "", None, "é😀😀 Smile x\nY z w", "q(.*)[", "b" * 3000 + "nation" + "b" * 3000, "one id", "Station again"]
+    nodes = spark.createDataFrame([(str(i), n) for i, n in enumerate(names)], "node_id string, name string")
+    chunks = spark.createDataFrame([(f"c{min(i, 7)}", t) for i, t in enumerate(texts)], "id string, content string")
+    want = {(f"c{min(i, 7)}", "MENTIONS", str(j)) for i, t in enumerate(texts) for j, n in enumerate(names) if n and t and n.lower() in t.lower()}
+    for link in (graph.link_mentions, graph.link_mentions_by_patterns):
+        got = link(chunks, nodes).collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want
+        assert link(chunks, nodes.limit(0)).collect() == [] and link(chunks.limit(0), nodes).collect() == []
+
+
 def test_alias_chains(spark):
     entities = spark.createDataFrame([("A b", 1), ("a  B", 2), ("a  B", 3), ("C", 4), ("D", 5)], "name string, ord int")
     aliases = spark.createDataFrame([("C", "d"), ("D", "e"), ("E", "a b")], "a string, b string")
@@ -252,12 +264,12 @@ def test_whole_searches_ask_every_hundredth_row(spark, tmp_path):
     spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
     u = v / np.linalg.norm(v, axis=1, keepdims=True)
     hits = {q: sorted((-float(u[q] @ u[i]), i) for i in range(450) if i != q)[:5] for q in range(0, 450, 100)}
-    got = registry.QUERIES["p4_top_k_similar_whole"](spark, str(tmp_path)).collect()
+    got = registry.QUERIES["p4_top_k_similar"](spark, str(tmp_path)).collect()
     assert {(r.query_id, r["rank"], r.vec_id) for r in got} == {(q, k + 1, i) for q, h in hits.items() for k, (_, i) in enumerate(h)}
     assert all(abs(r.score + hits[r.query_id][r["rank"] - 1][0]) < 1e-5 for r in got)
     want = {(q, "chunk", str(i), f"chunk {i}") for q, h in hits.items() for _, i in h}
     want |= {(q, "entity", f"n{i % 7 + k}", f"Label: {i % 7 + k}") for q, h in hits.items() for _, i in h for k in (0, 1)}
-    found = registry.QUERIES["p6_hybrid_context_whole"](spark, str(tmp_path)).collect()
+    found = registry.QUERIES["p6_hybrid_context"](spark, str(tmp_path)).collect()
     assert len(found) == len(want) and {tuple(r) for r in found} == want
 
 
