@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import decontaminate, hilbert_shards, jaccard_join, language_id, mixing, ngram_lm, token_counts, token_files, topk_search, url_filter
+from graphloom.llm import conversation_repair, decontaminate, hilbert_shards, jaccard_join, language_id, mixing, ngram_lm, token_counts, token_files, topk_search, url_filter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -68,7 +68,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"), F.col("mix_probability").alias("probability"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_topk, op3_hilbert_shards, op4_language_id, op5_ngram_lm, op6_token_files, op7_token_counts, op8_jaccard_join, op9_url_filter, op10_mixing)}
+def damaged(rows: DataFrame) -> DataFrame:
+    """``conversations`` with a fault in one of four rows, by the checksum of id and turn: dropped, emptied, without sentence ends,
+    repeated, or as a user's."""
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat_ws(":", known("conv_id"), known("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(known("text"), "[.!?]", "")).otherwise(known("text"))
+    hit = rows.select("conv_id", "turn", F.when(kind == 4, "user").otherwise(known("role")).alias("role"), text.alias("text"), kind.alias("kind")).where("kind <> 0")
+    return hit.select("conv_id", "turn", "role", "text", F.explode(F.array_repeat(F.lit(0), F.when(F.col("kind") == 3, 2).otherwise(1))).alias("copy")).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.summaries(damaged(rows), every=rows)
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_topk, op3_hilbert_shards, op4_language_id, op5_ngram_lm, op6_token_files, op7_token_counts, op8_jaccard_join, op9_url_filter, op10_mixing, op12_conversation_repair)}
 
 
 def _hilbert_sql(bits: int = hilbert_shards.BITS) -> str:
@@ -139,20 +154,61 @@ WHERE ('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 8))
 
 
 #: DuckDB has no CRC-32: it is computed bit by bit over a 256-entry table made by rule, folded over the bytes of the text.
-_CRC_SQL = """
+_CRC_TABLE_SQL = """
 crc_table AS (
   SELECT list(c ORDER BY i) AS t FROM (
     WITH RECURSIVE s(i, k, c) AS (
       SELECT i, 0, i::BIGINT FROM range(256) r(i)
       UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM s WHERE k < 8
-    ) SELECT i, c FROM s WHERE k = 8)),
+    ) SELECT i, c FROM s WHERE k = 8))"""
+_CRC_OF_BYTES_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(bytes), 2), lambda p: ('0x' || substr(bytes, p, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, crc_table.t[(xor(c, b) & 255) + 1])), 4294967295)"""
+_CRC_SQL = f"""{_CRC_TABLE_SQL},
 spelled AS (SELECT *, hex(encode(coalesce(text, ''))) AS bytes FROM documents),
-checked AS (
-  SELECT d.*, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(bytes), 2), lambda p: ('0x' || substr(bytes, p, 2))::BIGINT)),
-    lambda c, b: xor(c >> 8, crc_table.t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
-  FROM spelled d, crc_table)
+checked AS (SELECT d.*, {_CRC_OF_BYTES_SQL} AS text_crc32 FROM spelled d, crc_table)
 """
 
+def _repair_sql() -> str:
+    """The Viterbi as a recursion over rows that carries every place's cheapest edits as text, so ties compare whole texts."""
+    blank = r"[^\x20\x09-\x0D]"
+    return rf"""
+WITH RECURSIVE {_CRC_TABLE_SQL},
+spelled AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))) AS bytes FROM conversations),
+kinds AS (SELECT spelled.*, {_CRC_OF_BYTES_SQL} % 20 AS kind FROM spelled, crc_table),
+hit AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth, rank() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS early FROM hit),
+faults AS (SELECT *, left(role, 1) AS i, CASE WHEN NOT regexp_matches(text, '{blank}') THEN 'b' WHEN nth > 1 THEN 'd' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 't' ELSE '' END AS fault FROM seen),
+placed AS (SELECT *, row_number() OVER o AS k, lag(i) OVER o AS before FROM faults WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, CASE WHEN fault = 'b' OR early > 1 THEN 0 ELSE 1 END, text, copy)),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (k > 1 AND before || i NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM placed GROUP BY conv_id),
+inserts(place, ended, more, lines) AS (VALUES
+  (0, 0, '', []), (0, 2, 'I', ['user:']), (0, 3, 'II', ['user:', 'assistant:']), (1, 1, '', []), (1, 2, 'I', ['user:']), (1, 3, 'II', ['user:', 'assistant:']),
+  (2, 2, '', []), (2, 3, 'I', ['assistant:']), (2, 2, 'II', ['assistant:', 'user:']), (3, 3, '', []), (3, 2, 'I', ['user:']), (3, 3, 'II', ['user:', 'assistant:'])),
+moves(place, ended, edit, i) AS (VALUES
+  (0, 0, 'D', ''), (1, 1, 'D', ''), (2, 2, 'D', ''), (3, 3, 'D', ''), (0, 2, 'R', ''), (1, 2, 'R', ''), (2, 3, 'R', ''), (3, 2, 'R', ''),
+  (0, 1, 'K', 's'), (0, 2, 'K', 'u'), (1, 2, 'K', 'u'), (2, 3, 'K', 'a'), (3, 2, 'K', 'u')),
+walk(conv_id, k, place, cost, audit, lines) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 0, 0, '', []::VARCHAR[] FROM conversations
+  UNION ALL
+  SELECT conv_id, k, place, cost, audit, lines FROM (
+    SELECT w.conv_id, p.k, m.ended AS place, w.cost + 3 * length(x.more) + CASE m.edit WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END + CASE WHEN p.fault = 't' AND m.edit <> 'D' THEN 3 ELSE 0 END AS cost, w.audit || x.more || m.edit AS audit,
+      w.lines || x.lines || CASE m.edit WHEN 'K' THEN [p.role || ':' || p.text] WHEN 'R' THEN [CASE m.ended WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || p.text] ELSE [] END AS lines
+    FROM walk w JOIN placed p ON p.conv_id IS NOT DISTINCT FROM w.conv_id AND p.k = w.k + 1 JOIN inserts x ON x.place = w.place
+      JOIN moves m ON m.place = x.ended AND (m.edit <> 'K' OR m.i = p.i) AND (m.edit = 'D' OR p.fault NOT IN ('b', 'd')))
+  QUALIFY row_number() OVER (PARTITION BY conv_id, place ORDER BY cost, audit) = 1),
+ends AS (
+  SELECT w.conv_id, w.cost + 3 * length(x.more) AS cost, w.audit || x.more AS audit, w.lines || x.lines AS lines
+  FROM walk w LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id JOIN inserts x ON x.place = w.place AND x.ended IN (0, 3)
+  WHERE w.k = coalesce(c.n, 0) QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + 3 * length(x.more), w.audit || x.more) = 1)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost::BIGINT AS cost, audit,
+  sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
 ORACLE_SQL = {
     "op8_jaccard_join": """
 WITH RECURSIVE w AS (
@@ -167,6 +223,7 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.low) AS component
 FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.node = d.doc_id GROUP BY ALL
 """,
     "op10_mixing": _mixing_sql(),
+    "op12_conversation_repair": _repair_sql(),
     "op3_hilbert_shards": f"""
 WITH {_CRC_SQL},
 sized AS (SELECT doc_id AS id, source, lang, octet_length(encode(coalesce(text, ''))) + 16 AS size, text_crc32 FROM checked),
