@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import conversation_repair, decontaminate, hilbert_shards, jaccard_join, language_id, mixing, ngram_lm, token_counts, token_files, topk_search, url_filter
+from graphloom.llm import conversation_repair, decontaminate, hilbert_shards, jaccard_join, language_id, mixing, ngram_lm, periodic_runs, token_counts, token_files, topk_search, url_filter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -83,7 +85,31 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.summaries(damaged(rows), every=rows)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_topk, op3_hilbert_shards, op4_language_id, op5_ngram_lm, op6_token_files, op7_token_counts, op8_jaccard_join, op9_url_filter, op10_mixing, op12_conversation_repair)}
+def looped(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """One document in ten, by the checksum of its id, repeats a stretch of its words up to its end."""
+    h = zlib.crc32(("null" if doc_id is None else str(doc_id)).encode())
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * ((n - a) // p + 1))[: n - a]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), prepare=looped)
+    # Exponents compare as fractions; runs come by start and period, and the sort keeps the first of equal ones first.
+    order = lambda a, b: F.coalesce(*[F.when(x != y, F.when(x < y, -1).otherwise(1)) for x, y in ((b.length * a.period, a.length * b.period), (a.start, b.start), (a.period, b.period))], F.lit(0))
+    best = F.try_element_at(F.array_sort("runs", order), F.lit(1))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        digest(lines).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_topk, op3_hilbert_shards, op4_language_id, op5_ngram_lm, op6_token_files, op7_token_counts, op8_jaccard_join, op9_url_filter, op10_mixing, op12_conversation_repair, op13_periodic_runs)}
 
 
 def _hilbert_sql(bits: int = hilbert_shards.BITS) -> str:
