@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import conversation_repair, decontaminate, hilbert_shards, jaccard_join, language_id, mixing, ngram_lm, periodic_runs, token_counts, token_files, topk_search, url_filter
+from graphloom.llm import byte_bpe, conversation_repair, decontaminate, hilbert_shards, jaccard_join, language_id, mixing, ngram_lm, periodic_runs, token_counts, token_files, topk_search, url_filter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -70,6 +70,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"), F.col("mix_probability").alias("probability"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """``conversations`` with a fault in one of four rows, by the checksum of id and turn: dropped, emptied, without sentence ends,
     repeated, or as a user's."""
@@ -109,7 +113,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_topk, op3_hilbert_shards, op4_language_id, op5_ngram_lm, op6_token_files, op7_token_counts, op8_jaccard_join, op9_url_filter, op10_mixing, op12_conversation_repair, op13_periodic_runs)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_topk, op3_hilbert_shards, op4_language_id, op5_ngram_lm, op6_token_files, op7_token_counts, op8_jaccard_join, op9_url_filter, op10_mixing, op11_byte_bpe, op12_conversation_repair, op13_periodic_runs)}
 
 
 def _hilbert_sql(bits: int = hilbert_shards.BITS) -> str:
