@@ -5,8 +5,8 @@
 adds 3. Of equally cheap repairs, the one whose edits' initials are least in ASCII wins.
 
 Rows of a conversation come to one task in order of turn and pass it as a stream (``Repair``): a Viterbi step for each
-row over the four places of the pattern, whose survivors are leaves of one tree of edits. Nodes that no survivor descends
-from are dropped by their reference counts, and edits leave the tree, with their rows, once all survivors share them. So a task holds the rows whose edits are undecided, however long the conversation is. What is sent is bounded too: blank rows and
+row over the four places of the pattern, whose survivors are leaves of one tree of edits. A survivor that another one, with a
+detour, undercuts whatever comes is none. Nodes that no survivor descends from are dropped by their reference counts, and edits leave the tree, with their rows, once all survivors share them. So a task holds the rows whose edits are undecided, however long the conversation is. What is sent is bounded too: blank rows and
 duplicates travel without their text.
 
 Nulls: role and text count as one blank, so a null text is a blank row; a null turn comes first; a null conv_id is a
@@ -36,6 +36,8 @@ START, SYSTEM, USER, ASSISTANT = range(4)
 _KEPT = {(START, "s"): SYSTEM, (START, "u"): USER, (SYSTEM, "u"): USER, (USER, "a"): ASSISTANT, (ASSISTANT, "u"): USER}
 #: Where a row of the fitting role of user and assistant leads; at each place only one of them fits.
 _NEXT, _ROLE = (USER, USER, ASSISTANT, USER), {USER: "user", ASSISTANT: "assistant"}
+#: What it costs at most to go on from one place as from another, by inserts or by deleting a kept system row: [from][as].
+_DETOUR = ((0, 0, 3, 0), (6, 0, 3, 6), (7, 3, 0, 3), (4, 0, 3, 0))
 _SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -76,6 +78,8 @@ class Repair:
                     if end not in best or key < best[end][0]:
                         best[end] = (key, node)
                 place, cost = _NEXT[place], cost + CHANGE_COST
+        for end in [x for x in best if any(best[y][0][0] + _DETOUR[y][x] < best[x][0][0] for y in best)]:
+            del best[end]  # cheaper from another place, whatever comes
         before = [node for _, _, node in self.live]
         self.live = []
         for end, ((total, _, edits), node) in sorted(best.items(), key=lambda x: x[1][0][1:]):

@@ -210,7 +210,7 @@ hit AS (
     unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds),
 seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth, rank() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS early FROM hit),
 faults AS (SELECT *, left(role, 1) AS i, CASE WHEN NOT regexp_matches(text, '{blank}') THEN 'b' WHEN nth > 1 THEN 'd' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 't' ELSE '' END AS fault FROM seen),
-placed AS (SELECT *, row_number() OVER o AS k, lag(i) OVER o AS before FROM faults WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, CASE WHEN fault = 'b' OR early > 1 THEN 0 ELSE 1 END, text, copy)),
+placed AS (SELECT *, row_number() OVER o AS k, lag(i) OVER o AS before FROM faults WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, CASE WHEN fault = 'b' OR early > 1 THEN 0 ELSE 1 END, text, nth)),
 counts AS (
   SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
     count(*) FILTER (k > 1 AND before || i NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM placed GROUP BY conv_id),
