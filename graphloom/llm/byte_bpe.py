@@ -26,7 +26,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
@@ -37,7 +36,7 @@ from graphloom.llm.words import texts_of
 
 #: Characters of a chunk, of what it shares with the next one, and beyond a pre-token that can decide where it ends.
 CHUNK, OVERLAP, AHEAD = 1 << 15, 256, 8
-#: Pre-tokens whose ids a worker remembers, and their length.
+#: Pre-tokens whose ids a worker remembers (twice as many at most), and their length.
 REMEMBERED, SHORT = 1 << 18, 64
 
 
@@ -50,13 +49,16 @@ class Codec(dict):
         self.bytes_of = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
+        self.spelling = [str(i) for i in range(len(self.bytes_of))]
+        self.older: dict[str, tuple[int, ...]] = {}
         self.pattern = regex.compile(pattern)
         self.merge = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._encode_single_piece
 
-    def __missing__(self, token: str) -> list[int]:
-        ids = self.merge(token)
+    def __missing__(self, token: str) -> tuple[int, ...]:
+        ids = self.older.get(token) or tuple(self.merge(token))
         if len(token) <= SHORT:
-            if len(self) >= REMEMBERED:
+            if len(self) >= REMEMBERED:  # what is asked for again comes back from the older half
+                self.older = dict(self)
                 self.clear()
             self[token] = ids
         return ids
@@ -64,6 +66,13 @@ class Codec(dict):
     def ids(self, tokens: list[str]) -> list[int]:
         return list(itertools.chain.from_iterable(map(self.__getitem__, tokens)))
 
+    def decoded(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, ids))
+
+    def spelled(self, ids: list[int]) -> bytes:
+        """The ids in decimal, joined by single blanks."""
+        return " ".join(map(self.spelling.__getitem__, ids)).encode()
+
     def boundaries(self, text: str, ended: bool) -> np.ndarray:
         """Where pre-tokens begin, up to the last place that no further text could change; with the text's end if it has ``ended``."""
         ends = [0, *(m.end() for m in self.pattern.finditer(text))]
@@ -193,10 +202,9 @@ def _parts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
     return rows.where(~is_long), longs.select("id", "key"), longs.select("key", "text").dropDuplicates(["key"])
 
 
-def _encoded(batches, path: str, pattern: str) -> Iterator[tuple[pa.Array, pa.ListArray]]:
-    table = codec(path, pattern)
+def _encoded(batches, table: Codec) -> Iterator[tuple[pa.Array, list[list[int]]]]:
     for batch in batches:
-        yield batch.column(0), _listed([table.ids(table.pattern.findall(x)) for x in texts_of(batch.column(1)).to_pylist()])
+        yield batch.column(0), [table.ids(table.pattern.findall(x)) for x in texts_of(batch.column(1)).to_pylist()]
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -204,8 +212,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     shorts, ids, longs = _parts(docs, id_col, text_col)
 
     def run(batches):
-        for key, row in _encoded(batches, path, pattern):
-            yield pa.RecordBatch.from_arrays([key, pa.array(np.zeros(len(key), np.int64)), row], ["id", "piece", "ids"])
+        for key, rows in _encoded(batches, codec(path, pattern)):
+            yield pa.RecordBatch.from_arrays([key, pa.array(np.zeros(len(key), np.int64)), _listed(rows)], ["id", "piece", "ids"])
 
     found = shorts.mapInArrow(run, "id long, piece long, ids array<int>")
     return found.unionByName(ids.join(_pieces(longs, path, pattern), "key").select("id", "piece", "ids")).withColumnRenamed("id", id_col)
@@ -215,20 +223,14 @@ def decode(pieces: DataFrame, path: str, pattern: str, id_col: str = "doc_id") -
     """(id, piece, bytes) of what ``encode`` gave. A piece's bytes are UTF-8, as pre-tokens are whole characters."""
 
     def run(batches):
-        known = codec(path, pattern).bytes_of
+        table = codec(path, pattern)
         for b in batches:
-            texts = pa.array([b"".join([known[i] for i in row]) for row in b.column(2).to_pylist()], pa.binary())
+            texts = pa.array([table.decoded(row) for row in b.column(2).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), texts], ["id", "piece", "bytes"])
 
     return pieces.select(F.col(id_col).alias("id"), "piece", "ids").mapInArrow(run, "id long, piece long, bytes binary").withColumnRenamed("id", id_col)
 
 
-def _spelled(ids: pa.ListArray) -> list[bytes]:
-    """Each row's ids in decimal, joined by single blanks."""
-    texts = pa.ListArray.from_arrays(ids.offsets, ids.values.cast(pa.string()))
-    return [x.encode() for x in pc.binary_join(texts, " ").to_pylist()]
-
-
 _DIGESTS = ("n_tokens", "ids_sha256", "decoded_sha256")
 
 
@@ -239,23 +241,22 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     digest = lambda x: hashlib.sha256(x).hexdigest()
 
     def run(batches):
-        known = codec(path, pattern).bytes_of
-        for key, rows in _encoded(batches, path, pattern):
-            decoded = [b"".join([known[i] for i in row]) for row in rows.to_pylist()]
-            columns = [rows.value_lengths().cast(pa.int64()), pa.array([digest(x) for x in _spelled(rows)]), pa.array([digest(x) for x in decoded])]
+        table = codec(path, pattern)
+        for key, rows in _encoded(batches, table):
+            columns = [pa.array([len(x) for x in rows], pa.int64()), pa.array([digest(table.spelled(x)) for x in rows], pa.string()), pa.array([digest(table.decoded(x)) for x in rows], pa.string())]
             yield pa.RecordBatch.from_arrays([key, *columns], ["id", *_DIGESTS])
 
     def fold(batches):
-        known, state = codec(path, pattern).bytes_of, None
+        table, state = codec(path, pattern), None
         for b in batches:
             out = []
-            for key, row, spelled in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), _spelled(b.column(2)), strict=True):
+            for key, row in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
                 if state is None or key != state[0]:
                     if state:
                         out.append(state)
                     state = [key, 0, hashlib.sha256(), hashlib.sha256()]
-                state[2].update((b" " if state[1] and row else b"") + spelled)
-                state[3].update(b"".join([known[i] for i in row]))
+                state[2].update((b" " if state[1] and row else b"") + table.spelled(row))
+                state[3].update(table.decoded(row))
                 state[1] += len(row)
             yield told(out)
         if state:
