@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphloom.functions.text import chunk_id, detect_content_type, header_title, strip
+from graphloom.functions.text import chunk_id, detect_content_type, header_title, let, strip
 
 CHUNK = "struct<content:string,section:string,chunk_index:int,content_type:string,char_count:int,row_range:string,page_range:string,merged:boolean>"
 NARRATIVE, TABLE, PAGES = "narrative", "table", "ocr_text"
@@ -27,19 +27,51 @@ def _chunk(content, section, index, kind, row_range=None, page_range=None, merge
     )
 
 
-def pack_paragraphs(text: Column, max_size: int) -> Column:
-    """Paragraphs (split at empty lines) filled into texts from the left: each weighs its length and 2, a text holds ``max_size``."""
-    parts = F.filter(F.transform(F.split(text, "\n\n", -1), strip), lambda p: p != "")
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"), F.lit(0).alias("weight"))
+def _group_starts(lengths: Column, step) -> Column:
+    """The places at which groups begin, by a fold over lengths: ``step`` takes the state (from 0) and a length, and gives whether
+    a group begins there and the next state. The first place begins one.
+
+    The fold runs over blocks of about the root of their number, so that lists stay short while they grow.
+    """
+
+    def over(items):
+        block = F.greatest(F.ceil(F.sqrt(F.size(items))), F.lit(1)).cast("int")
+        empty = F.array().cast("array<int>")
+        state = lambda found, now: F.struct(found.alias("found"), now.cast("int").alias("now"))
+
+        def one(s, x):
+            begins, now = step(s["now"], x["n"])
+            return state(F.when(begins | (x["i"] == 0), F.concat(s["found"], F.array(x["i"]))).otherwise(s["found"]), now)
+
+        def many(s, first):
+            return let(F.aggregate(F.slice(items, first + 1, block), state(empty, s["now"]), one), lambda part: state(F.concat(s["found"], part["found"]), part["now"]))
+
+        firsts = F.when(F.size(items) > 0, F.sequence(F.lit(0), F.size(items) - 1, block)).otherwise(empty)
+        return F.aggregate(firsts, state(empty, F.lit(0)), many)["found"]
+
+    return let(F.transform(lengths, lambda n, i: F.struct(n.alias("n"), i.alias("i"))), over)
+
+
+def _grouped(items: Column, starts: Column, build) -> Column:
+    """``build`` (the group's items, first place, place after the last, number) of each group of ``items``."""
+    both = F.struct(items.alias("items"), starts.alias("starts"))
 
-    def add(s, p):
-        weight = F.length(p) + 2
-        full = (s["weight"] > 0) & (s["weight"] + weight > max_size)
-        closed = F.struct(F.concat(s["done"], F.array(s["open"])).alias("done"), p.alias("open"), weight.alias("weight"))
-        grown = F.struct(s["done"].alias("done"), F.when(s["weight"] == 0, p).otherwise(F.concat(s["open"], F.lit("\n\n"), p)).alias("open"), (s["weight"] + weight).alias("weight"))
-        return F.when(full, closed).otherwise(grown)
+    def each(b):
+        end = lambda i: F.coalesce(F.get(b["starts"], i + 1), F.size(b["items"]))
+        return F.transform(b["starts"], lambda a, i: build(F.slice(b["items"], a + 1, end(i) - a), a, end(i), i))
 
-    return F.aggregate(parts, start, add, lambda s: F.when(s["weight"] > 0, F.concat(s["done"], F.array(s["open"]))).otherwise(s["done"]))
+    return let(both, each)
+
+
+def _filling(max_size: int):
+    """C2's rule: each text weighs its length and 2, and a group holds ``max_size`` or a single text."""
+    return lambda weight, n: ((weight > 0) & (weight + n + 2 > max_size), F.when((weight > 0) & (weight + n + 2 > max_size), n + 2).otherwise(weight + n + 2))
+
+
+def pack_paragraphs(text: Column, max_size: int) -> Column:
+    """Paragraphs (split at empty lines) filled into texts from the left. Work grows with the text's length."""
+    parts = F.filter(F.transform(F.split(text, "\n\n", -1), strip), lambda p: p != "")
+    return let(parts, lambda ps: _grouped(ps, _group_starts(F.transform(ps, F.length), _filling(max_size)), lambda some, a, b, i: F.array_join(some, "\n\n")))
 
 
 def chunk_by_paragraphs(text: Column, max_size: int = 1500, section: Column | None = None) -> Column:
@@ -54,15 +86,13 @@ def _renumber(chunks: Column) -> Column:
 
 def chunk_by_headers(text: Column, max_size: int = 1500, min_size: int = 100) -> Column:
     """A chunk for each section under a header of level 1-4, larger ones by C2, then C5. A header without body vanishes."""
-    marked = F.regexp_replace(text, r"(?Umd)^(#{1,4}\s+.+)$", "\u0001$1\u0002")
-    parts = F.split(marked, "\u0001", -1)
+    header = r"(?Umd)^#{1,4}\s+.+$"
+    both = F.struct(F.split(text, header, -1).alias("bodies"), F.regexp_extract_all(text, F.lit(header), 0).alias("headers"))
 
-    def section(part):
-        cut = F.instr(part, "\u0002")
-        header, body = strip(F.when(cut > 0, F.left(part, cut - 1)).otherwise("")), strip(F.when(cut > 0, F.substr(part, cut + 1)).otherwise(part))
-        return F.struct(header.alias("header"), body.alias("body"))
+    def section(b):  # the first body has no header
+        return F.transform(b["bodies"], lambda body, i: F.struct(strip(F.coalesce(F.get(b["headers"], i - 1), F.lit(""))).alias("header"), strip(body).alias("body")))
 
-    sections = F.filter(F.transform(parts, section), lambda s: s["body"] != "")
+    sections = F.filter(let(both, section), lambda s: s["body"] != "")
 
     def chunks(s):
         full = F.when(s["header"] != "", F.concat(s["header"], F.lit("\n\n"), s["body"])).otherwise(s["body"])
@@ -75,45 +105,36 @@ def chunk_by_headers(text: Column, max_size: int = 1500, min_size: int = 100) ->
 
 def merge_small_chunks(chunks: Column, min_size: int = 100) -> Column:
     """A chunk under ``min_size`` joins the next one and takes its metadata; that pair is done. A short last chunk stays."""
-    start = F.struct(F.array().cast(f"array<{CHUNK}>").alias("done"), F.lit(None).cast(CHUNK).alias("held"))
 
-    def add(s, c):
-        text = F.concat(s["held"]["content"], F.lit("\n\n"), c["content"])
-        pair = c.withField("content", text).withField("char_count", F.length(text).cast("int")).withField("merged", F.lit(True))
-        none = F.lit(None).cast(CHUNK)
-        state = lambda done, held: F.struct(done.alias("done"), held.alias("held"))
-        return (
-            F.when(s["held"].isNotNull(), state(F.concat(s["done"], F.array(pair)), none))
-            .when(F.length(c["content"]) < min_size, state(s["done"], c))
-            .otherwise(state(F.concat(s["done"], F.array(c)), none))
-        )
+    def pair(some, a, b, i):
+        first, last = F.get(some, F.lit(0)), F.element_at(some, -1)
+        text = F.concat(first["content"], F.lit("\n\n"), last["content"])
+        return F.when(F.size(some) == 1, first).otherwise(last.withField("content", text).withField("char_count", F.length(text).cast("int")).withField("merged", F.lit(True)))
 
-    return F.aggregate(chunks, start, add, lambda s: F.when(s["held"].isNotNull(), F.concat(s["done"], F.array(s["held"]))).otherwise(s["done"]))
+    # The state is 1 after a short chunk that waits for the next one.
+    waiting = lambda waits, n: (waits == 0, F.when((waits == 0) & (n < min_size), 1).otherwise(0))
+    return let(chunks, lambda cs: _grouped(cs, _group_starts(F.transform(cs, lambda c: F.length(c["content"])), waiting), pair))
 
 
 def chunk_by_pages(text: Column, max_size: int = 1500) -> Column:
     """C4: pages split at rules, else at page headers, else at gaps of 3 line ends, filled up as in C2; without pages C2."""
     rules, heads, gaps = (F.split(text, p, -1) for p in (r"(?U)\n---\s*\n", r"(?U)\n#{1,2}\s+Page\s+\d+", r"\n{3,}"))
     pages = F.when(F.size(rules) > 1, rules).when(F.size(heads) > 1, heads).otherwise(gaps)
-    numbered = F.filter(F.transform(pages, lambda p, i: F.struct(strip(p).alias("text"), (i + 1).alias("no"))), lambda p: p["text"] != "")
-    chunk = "struct<text:string,first:int,last:int>"
-    start = F.struct(F.array().cast(f"array<{chunk}>").alias("done"), F.lit("").alias("open"), F.lit(0).alias("weight"), F.lit(1).alias("first"))
-
-    def closed(s, last):
-        return F.concat(s["done"], F.array(F.struct(s["open"].alias("text"), s["first"].alias("first"), last.cast("int").alias("last"))))
-
-    def add(s, p):
-        weight = F.length(p["text"]) + 2
-        full = (s["weight"] > 0) & (s["weight"] + weight > max_size)
-        cut = F.struct(closed(s, p["no"] - 1).alias("done"), p["text"].alias("open"), weight.alias("weight"), p["no"].cast("int").alias("first"))
-        text = F.when(s["weight"] == 0, p["text"]).otherwise(F.concat(s["open"], F.lit("\n\n"), p["text"]))
-        grown = F.struct(s["done"].alias("done"), text.alias("open"), (s["weight"] + weight).alias("weight"), s["first"].alias("first"))
-        return F.when(full, cut).otherwise(grown)
-
-    spans = F.aggregate(numbered, start, add, lambda s: F.when(s["weight"] > 0, closed(s, F.size(pages))).otherwise(s["done"]))
-    span = lambda c: F.concat(c["first"].cast("string"), F.lit("-"), c["last"].cast("string"))
-    paged = F.transform(spans, lambda c, i: _chunk(c["text"], F.concat(F.lit("Pages "), span(c)), i, PAGES, page_range=span(c)))
-    return F.when((F.size(pages) > 1) & (F.size(numbered) > 0), paged).otherwise(chunk_by_paragraphs(text, max_size))
+
+    def of(pages):
+        numbered = F.filter(F.transform(pages, lambda p, i: F.struct(strip(p).alias("text"), (i + 1).alias("no"))), lambda p: p["text"] != "")
+
+        def chunk(ps, some, a, b, i):
+            # A range begins at the page that overflowed, the first one at 1; the last one ends at the page total.
+            first = F.when(i == 0, 1).otherwise(F.get(some, F.lit(0))["no"])
+            last = F.coalesce(F.get(ps, b)["no"] - 1, F.size(pages))
+            span = F.concat(first.cast("string"), F.lit("-"), last.cast("string"))
+            return _chunk(F.array_join(F.transform(some, lambda p: p["text"]), "\n\n"), F.concat(F.lit("Pages "), span), i, PAGES, page_range=span)
+
+        return let(numbered, lambda ps: _grouped(ps, _group_starts(F.transform(ps, lambda p: F.length(p["text"])), _filling(max_size)), lambda some, a, b, i: chunk(ps, some, a, b, i)))
+
+    paged = F.when(F.size(pages) > 1, let(pages, of))
+    return F.when(F.size(paged) > 0, paged).otherwise(chunk_by_paragraphs(text, max_size))
 
 
 _RULE, _TITLE = re.compile(r"\|[\s\-:|]+\|"), re.compile(r"#{1,4}\s+")

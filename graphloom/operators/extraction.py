@@ -9,9 +9,11 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 EXTRACTION = "entities array<struct<name:string,type:string,properties:map<string,string>>>, relationships array<struct<from:string,to:string,type:string,properties:map<string,string>>>"
 SCHEMA_TYPES = "entity_types array<struct<name:string,description:string,example_properties:array<string>>>, relationship_types array<struct<name:string,from_type:string,to_type:string,description:string>>"
@@ -78,13 +80,16 @@ def complete_prompts(
             except Exception as e:  # one prompt's error must not end the run; the row says what it was
                 return None, attempt, "failed", f"{type(e).__name__}: {e}", throttles, time.monotonic() - began
 
-    def run(batches):
+    names, kinds = [f.name for f in schema.fields], to_arrow_schema(T.StructType.fromDDL(result))
+
+    def run(batches):  # the columns of ``df`` pass as they are
         with ThreadPoolExecutor(in_flight) as pool:
-            for pdf in batches:
-                response, attempts, status, error, throttles, seconds = zip(*pool.map(ask, pdf[prompt]), strict=True) if len(pdf) else ((),) * 6
-                yield pdf.assign(response=list(response), attempts=pd.array(attempts, "int32"), status=list(status), error=list(error), throttles=pd.array(throttles, "int32"), seconds=list(seconds))
+            for b in batches:
+                rows = list(pool.map(ask, b.column(prompt).to_pylist()))
+                answers = [pa.array([r[k] for r in rows], kinds.field(k).type) for k in range(len(kinds))]
+                yield pa.RecordBatch.from_arrays([*b.columns, *answers], names)
 
-    return (df if parallel is None else df.repartition(parallel)).mapInPandas(run, schema)
+    return (df if parallel is None else df.repartition(parallel)).mapInArrow(run, schema)
 
 
 def _object_in(text: str | None) -> dict:
@@ -159,7 +164,7 @@ def relationships_of(df: DataFrame, keys: tuple[str, ...] = ("doc_id", "chunk_se
 
 
 # The rule layer's patterns.
-PATTERNS = {"Email": r"\b[\w.]+@[\w.]+\.\w+\b", "Date": r"\b\d{4}-\d{2}-\d{2}\b", "Url": r"https?://[^\s<>\"]+"}
+PATTERNS = {"Email": r"\b[\w.]+@[\w.]+\.\w+\b", "Date": r"\b\d{4}-\d{2}-\d{2}\b", "Url": r"https?://[^\s<>\"]+", "Id": r"\b[A-Z]{2,10}-\d+\b"}
 
 
 def extract_patterns(df: DataFrame, text: str = "content", patterns: dict[str, str] = PATTERNS) -> DataFrame:
@@ -174,12 +179,12 @@ def extract_patterns(df: DataFrame, text: str = "content", patterns: dict[str, s
 
 def embed_chunks(chunks: DataFrame, fn: Callable[[list[str]], list[list[float]]], text: str = "content") -> DataFrame:
     """P5: ``chunks`` with ``embedding``; ``fn`` embeds a batch of texts."""
-    from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
-
-    schema = StructType([*chunks.schema.fields, StructField("embedding", ArrayType(FloatType()))])
+    schema = T.StructType([*chunks.schema.fields, T.StructField("embedding", T.ArrayType(T.FloatType()))])
+    names = schema.names
 
-    def run(batches):
-        for pdf in batches:
-            yield pdf.assign(embedding=fn(pdf[text].tolist()))
+    def run(batches):  # the columns of ``chunks`` pass as they are
+        for b in batches:
+            vectors = [None if v is None else [float(x) for x in v] for v in fn(b.column(text).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(vectors, pa.list_(pa.float32()))], names)
 
-    return chunks.mapInPandas(run, schema)
+    return chunks.mapInArrow(run, schema)

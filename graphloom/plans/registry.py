@@ -188,10 +188,19 @@ def a2_detect_file_type(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", files.detect_file_type(content, path).alias("file_type"))
 
 
+#: What A4 does with the tags of ``pages``, as replacements one after the other (the operator reads each page once).
+_HTML_STEPS = (
+    (r"(?is)<!--.*?-->", ""), (r"(?is)<script[^>]*>.*?</script>", ""), (r"(?is)<style[^>]*>.*?</style>", ""),
+    *((rf"(?is)<h{n}[^>]*>", "\n\n" + "#" * n + " ") for n in range(1, 7)),
+    (r"(?i)</h[1-6]>", "\n\n"), (r"(?i)<li[^>]*>", "\n- "), (r"(?i)<(p|ul|ol|table|div|section|article)[^>]*>", "\n\n"), (r"(?i)<br[^>]*>", "\n"), (r"(?s)<[^>]+>", ""),
+    ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), (r"[ \t]+\n", "\n"), (r"\n{3,}", "\n\n"),
+)
+
+
 def _html_sql() -> str:
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     expr = "html"
-    for pattern, replacement in markup.HTML_STEPS:
+    for pattern, replacement in _HTML_STEPS:
         expr = f"regexp_replace({expr}, {quote(pattern)}, {quote(replacement)}, 'g')"
     return f"SELECT page_id, trim(replace({expr}, '&amp;', '&'), ' ' || chr(9) || chr(13) || chr(10)) AS markdown FROM pages"
 
@@ -222,7 +231,8 @@ def d1_sample_chunks(spark, sf_dir):
 @query("""
 SELECT doc_id, m AS name, 'Email' AS entity_type FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\\b[\\w.]+@[\\w.]+\\.\\w+\\b')) AS m FROM documents)
 UNION ALL SELECT doc_id, m, 'Date' FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\\b\\d{4}-\\d{2}-\\d{2}\\b')) AS m FROM documents)
-UNION ALL SELECT doc_id, m, 'Url' FROM (SELECT doc_id, unnest(regexp_extract_all(text, 'https?://[^\\s<>"]+')) AS m FROM documents)""")
+UNION ALL SELECT doc_id, m, 'Url' FROM (SELECT doc_id, unnest(regexp_extract_all(text, 'https?://[^\\s<>"]+')) AS m FROM documents)
+UNION ALL SELECT doc_id, m, 'Id' FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\\b[A-Z]{2,10}-\\d+\\b')) AS m FROM documents)""")
 def p1_extract_patterns(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return extraction.extract_patterns(docs, "text").select("doc_id", "name", "entity_type")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphloom.functions.text import let
 from graphloom.sources.markup import html_to_markdown
 
 # The accepted extensions, the signatures, and what marks each office format inside a zip file.
@@ -17,7 +18,8 @@ SIGNATURES = (
     ("7B5C727466", "application/rtf"), ("2521", "application/postscript"), ("4D5A", "application/x-msdownload"), ("7F454C46", "application/x-executable"), ("0061736D", "application/wasm"), ("53514C69", "application/x-sqlite3"),
 )
 ZIP_SIGNATURE, ZIP_PARTS = "504B0304", (("word/", ".docx"), ("ppt/", ".pptx"), ("xl/", ".xlsx"))
-ZIP_HEAD = 16_384
+#: Signatures away from the first byte: (bytes before it, signature).
+INNER_SIGNATURES = ((4, "66747970"), (257, "7573746172"))  # media containers (ftyp) and tar archives (ustar)
 
 
 def read_files(spark: SparkSession, directory: str) -> DataFrame:
@@ -25,17 +27,35 @@ def read_files(spark: SparkSession, directory: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(directory)
 
 
+def _zip_directory(content: Column) -> Column:
+    """The central directory of a zip file as text (a character for each byte), found by the record at the file's end; of a file
+    without that record, all of it."""
+    tail = F.decode(F.substr(content, F.greatest(F.octet_length(content) - 65_556, F.lit(1))), "ISO-8859-1")  # the record and the longest comment
+
+    def listed(record):
+        number = lambda k: sum((F.ascii(F.substr(record, F.lit(k + 1 + i), F.lit(1))).cast("long") * 256**i for i in range(4)), F.lit(0))
+        return F.when(F.length(record) >= 18, F.decode(F.substr(content, (number(12) + 1).cast("int"), number(8).cast("int")), "ISO-8859-1"))
+
+    parts = F.split(tail, "PK\x05\x06", -1)
+    return F.coalesce(let(parts, lambda p: F.when(F.size(p) > 1, let(F.element_at(p, -1), listed))), F.decode(content, "ISO-8859-1"))
+
+
 def detect_file_type(content: Column, path: Column) -> Column:
     """A2: the type by signature, else by the lower-cased last extension; null where the file is rejected.
 
-    A zip file is an office file if a header of its first entries, within ``ZIP_HEAD`` bytes, names such a part.
+    A zip file is an office file if its directory, wherever it stands, lists such a part; of a cut-off zip file, if a header of any
+    entry names it.
     """
     head = F.hex(F.substring(content, 1, 8))
-    inside = F.decode(F.substring(content, 1, ZIP_HEAD), "ISO-8859-1")
     extension = F.lower(F.regexp_extract(F.element_at(F.split(path, "/"), -1), r"(\.[^.]+)$", 1))
-    found = F.when(head.startswith(ZIP_SIGNATURE), F.coalesce(*[F.when(inside.rlike(rf"(?s)PK\x03\x04.{{26}}{part}"), F.lit(kind)) for part, kind in ZIP_PARTS]))
+    is_zip = head.startswith(ZIP_SIGNATURE)
+    entry = r"(?s)(?:PK\x01\x02.{42}|PK\x03\x04.{26})"
+    office = let(_zip_directory(F.when(is_zip, content)), lambda inside: F.coalesce(*[F.when(inside.rlike(entry + part), F.lit(kind)) for part, kind in ZIP_PARTS]))
+    found = F.when(is_zip, office)
     for start, kind in SIGNATURES:
         found = found.when(head.startswith(start), F.lit(kind if kind.startswith(".") else None).cast("string"))
+    for before, signature in INNER_SIGNATURES:
+        found = found.when(F.hex(F.substring(content, before + 1, len(signature) // 2)) == signature, F.lit(None).cast("string"))
     return found.when(extension.isin(*TEXT_EXTENSIONS), extension)
 
 
@@ -56,7 +76,8 @@ def parse_documents(files: DataFrame) -> DataFrame:
         F.element_at(F.split("path", "/"), -1).alias("source"), F.col("path").alias("file_path"), kind.alias("file_type"), F.octet_length("content").cast("long").alias("size_bytes"), decode_text(F.col("content")).alias("text")
     )
     is_text = F.col("file_type").isin(*TEXT_EXTENSIONS)
-    markdown = F.when(F.col("file_type").isin(".html", ".htm"), html_to_markdown(F.col("text"))).when(is_text, F.col("text"))
+    is_html = F.col("file_type").isin(".html", ".htm")
+    markdown = F.when(is_html, html_to_markdown(F.when(is_html, F.col("text")))).when(is_text, F.col("text"))
     status = F.when(F.col("file_type").isNull(), "rejected").when(is_text & F.col("text").isNull(), "error").otherwise("parsed")
     reason = F.when(F.col("file_type").isNull(), "unsupported format").when(is_text & F.col("text").isNull(), "not valid UTF-8")
     return rows.select("source", "file_path", "file_type", "size_bytes", markdown.alias("markdown"), status.alias("status"), reason.alias("reason"))

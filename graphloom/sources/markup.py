@@ -2,65 +2,154 @@
 
 from __future__ import annotations
 
+import re
+from html.entities import html5
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from graphloom.functions.text import strip
 
-#: (pattern, replacement) in order; patterns are understood alike by Java and RE2.
-HTML_STEPS = (
-    (r"(?is)<!--.*?-->", ""),
-    (r"(?is)<script[^>]*>.*?</script>", ""),
-    (r"(?is)<style[^>]*>.*?</style>", ""),
-    *((rf"(?is)<h{n}[^>]*>", "\n\n" + "#" * n + " ") for n in range(1, 7)),
-    (r"(?i)</h[1-6]>", "\n\n"),
-    (r"(?i)<li[^>]*>", "\n- "),
-    (r"(?i)\s*</(td|th)>\s*", " | "),
-    (r"(?i)\s*</?(thead|tbody|tfoot)[^>]*>\s*", ""),
-    (r"(?i)\s*<tr[^>]*>\s*", "\n| "),
-    (r"(?i)<(p|ul|ol|table|div|section|article)[^>]*>", "\n\n"),
-    (r"(?i)<br[^>]*>", "\n"),
-    (r"(?s)<[^>]+>", ""),
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&apos;", "'"), ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&bull;", "•"), ("&deg;", "°"), ("&reg;", "®"), ("&trade;", "™"), ("&euro;", "€"),
-    (r"[ \t]+\n", "\n"),
-    (r"\n{3,}", "\n\n"),
-)
-#: The first row of a table, and after it the same row between two marks, to become the rule below the header.
-FIRST_ROW, WITH_RULE = r"(?is)(<table[^>]*>(?:[^<]|<(?:thead|tbody|caption|/caption)[^>]*>)*<tr[^>]*>)(.*?)(</tr>)", "\\1\\2\\3<tr>\u0002\\2\u0003\\3"
-
-
-def _ruled(html: Column) -> Column:
-    """A row of ``---`` cells after each table's first row."""
-    parts = F.split(F.regexp_replace(html, FIRST_ROW, WITH_RULE.replace("\\", "$")), "\u0002", -1)
-
-    def rule(x):
-        cells = F.size(F.split(F.substring_index(x, "\u0003", 1), "(?i)<t[dh][^>]*>", -1)) - 1
-        return F.concat(F.repeat(F.lit("<td>---</td>"), cells), F.substring_index(x, "\u0003", -1))
-
-    return F.array_join(F.transform(parts, lambda x, i: F.when(i == 0, x).otherwise(rule(x))), "")
-
-
-def _numeric_entities(text: Column) -> Column:
-    """Decimal and hexadecimal character references as their characters; those beyond Unicode stay."""
-    parts = F.split(text, "&#", -1)
-
-    def char(x):
-        number = F.regexp_extract(x, "^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
-        code = F.when(F.lower(number).startswith("x"), F.conv(F.substr(number, F.lit(2)), 16, 10)).otherwise(number).try_cast("int")
-        good = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-        shown = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(good, F.concat(shown, F.substr(x, F.length(number) + 2))).otherwise(F.concat(F.lit("&#"), x))
-
-    return F.array_join(F.transform(parts, lambda x, i: F.when(i == 0, x).otherwise(char(x))), "")
+#: ASCII white space, as HTML counts it between tags.
+_BLANKS = " \t\n\x0b\x0c\r"
+_BLOCKS = {"p", "table", "div", "section", "article"}
+_ENTITY = re.compile(r"&(?:#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6})|([A-Za-z][A-Za-z0-9]*));")
+
+
+def _character(m: re.Match) -> str:
+    """A reference's character; one that is unknown or beyond Unicode stays as it is, a no-break space is a blank."""
+    number, name = m.groups()
+    if name:
+        return html5.get(f"{name};", m[0]).replace("\xa0", " ")
+    code = int(number[1:], 16) if number[0] in "xX" else int(number)
+    return chr(code) if 0 < code < 0x110000 and not 0xD800 <= code < 0xE000 else m[0]
+
+
+class _Page:
+    """Markdown of one page, from its tags in order. Open lists and tables are stacks, so unclosed tags do no harm."""
+
+    def __init__(self):
+        self.parts: list[str] = []
+        self.lists = 0
+        self.tables: list[list[int]] = []  # of each open table: rows that began, cells of the row
+        self.gap = False  # white space that comes next goes
+
+    def text(self, text: str) -> None:
+        if self.gap:
+            text = text.lstrip(_BLANKS)
+        if text:
+            self.gap = False
+            self.parts.append(_ENTITY.sub(_character, text))
+
+    def mark(self, mark: str, tight: bool = False) -> None:
+        """``mark``; a tight one takes the white space around it."""
+        while tight and self.parts:
+            self.parts[-1] = self.parts[-1].rstrip(_BLANKS)
+            if self.parts[-1]:
+                break
+            self.parts.pop()
+        self.parts.append(mark)
+        self.gap = tight
+
+    def end_row(self) -> None:
+        if self.tables and self.tables[-1][0] == 1 and self.tables[-1][1]:
+            self.mark("\n| " + "--- | " * self.tables[-1][1])
+            self.tables[-1][0] = 2
+        if self.tables:
+            self.tables[-1][1] = 0
+
+    def tag(self, name: str, closes: bool) -> None:
+        if name in ("ul", "ol"):
+            if not closes and not self.lists:
+                self.mark("\n\n")
+            self.lists = max(0, self.lists + (-1 if closes else 1))
+        elif name == "li" and not closes:
+            self.mark("\n" + "  " * (self.lists - 1) + "- ")
+        elif name in ("td", "th"):
+            if closes:
+                self.mark(" | ", tight=True)
+            elif self.tables:
+                self.tables[-1][1] += 1
+        elif name == "tr":
+            if closes:
+                self.end_row()
+            else:
+                if self.tables and self.tables[-1][1]:
+                    self.end_row()
+                self.mark("\n| ", tight=True)
+                if self.tables:
+                    self.tables[-1][0] += 1
+        elif name in ("thead", "tbody", "tfoot"):
+            self.mark("", tight=True)
+        elif name == "br":
+            self.mark("\n")
+        elif len(name) == 2 and name[0] == "h" and name[1] in "123456":
+            self.mark("\n\n" if closes else "\n\n" + "#" * int(name[1]) + " ")
+        elif name in _BLOCKS:
+            if name == "table":
+                if not closes:
+                    self.tables.append([0, 0])
+                elif self.tables:
+                    self.end_row()
+                    self.tables.pop()
+            if not closes:
+                self.mark("\n\n")
+
+    def markdown(self) -> str:
+        lines = "".join(self.parts).split("\n")
+        return re.sub(r"\n{3,}", "\n\n", "\n".join([*[x.rstrip(" \t") for x in lines[:-1]], lines[-1]])).strip(" \t\r\n")
+
+
+_NAME = re.compile(r"/?([A-Za-z][A-Za-z0-9]*)")
+
+
+def page_to_markdown(html: str) -> str:
+    """One pass over the tags of a page; each place of the text is looked at a bounded number of times."""
+    page, at, low = _Page(), 0, None
+    ends: dict[str, int] = {}  # where the next end of a comment, script, style or tag is looked for at most once
+
+    def after(what: str, source: str, begin: int) -> int:
+        if ends.get(what, 0) >= 0 and ends.get(what, 0) < begin + 1:
+            ends[what] = source.find(what, begin)
+        return ends[what]
+
+    while (tag := html.find("<", at)) >= 0:
+        page.text(html[at:tag])
+        if html.startswith("<!--", tag) and (end := after("-->", html, tag + 4)) >= 0:
+            at = end + 3
+            continue
+        close = after(">", html, tag + 1)
+        if close < 0:
+            at = tag
+            break
+        found = _NAME.match(html, tag + 1, close)
+        name = found[1].lower() if found else ""
+        if name in ("script", "style") and html[tag + 1] != "/":
+            low = low if low is not None else html.lower() if len(html.lower()) == len(html) else html
+            if (end := after(f"</{name}>", low, close)) >= 0:
+                at = end + len(name) + 3
+                continue
+        if close == tag + 1:  # no tag
+            page.text("<>")
+        elif name:
+            page.tag(name, html[tag + 1] == "/")
+        at = close + 1
+    page.text(html[at:])
+    return page.markdown()
+
+
+@F.pandas_udf(StringType())
+def _markdown(pages: pd.Series) -> pd.Series:
+    return pages.map(page_to_markdown, na_action="ignore")
 
 
 def html_to_markdown(html: Column) -> Column:
-    """A4: headings, lists, tables (with a rule under the first row) and paragraphs kept; scripts, styles, comments and tags
-    dropped; character references decoded. Not byte-equal to any other converter."""
-    html = _ruled(html)
-    for pattern, replacement in HTML_STEPS:
-        html = F.regexp_replace(html, pattern, replacement.replace("\\", "\\\\").replace("$", "\\$"))
-    return F.btrim(F.replace(_numeric_entities(html), F.lit("&amp;"), F.lit("&")), F.lit(" \t\r\n"))
+    """A4: headings, lists (with their depth), tables (with a rule under the first row) and paragraphs kept; scripts, styles,
+    comments and tags dropped; all named and numeric character references decoded. Unclosed tags end where their list, table or
+    page does. Not byte-equal to any other converter."""
+    return _markdown(html)
 
 
 def rows_to_markdown(cells: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
