@@ -15,6 +15,7 @@ from graphloom.functions.text import normalized_name
 from graphloom.operators.aggregation import merge_properties, valid_entities, valid_relationships
 
 EDGE = ("src_id", "edge_type", "dst_id")
+CHUNK_FIELDS = ("text", "source", "section", "char_count")
 
 
 def node_id(label: Column, name: Column) -> Column:
@@ -27,14 +28,24 @@ def effective_name(df: DataFrame) -> DataFrame:
 
 
 def merge_entity_nodes(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
-    """upsert by (label, name); given properties replace, others stay. ``incoming``: name, entity_type, properties, ord."""
-    place = lambda load, at: F.struct(F.lit(load).alias("load"), at.alias("at")).alias("ord")
-    rows = effective_name(valid_entities(incoming)).select(F.col("entity_type").alias("label"), "name", "properties", place(1, F.col("ord")))
-    if existing is not None:
-        before = place(0, F.lit(None).cast(incoming.schema["ord"].dataType))
-        rows = existing.select("label", "name", "properties", before).unionByName(rows)
+    """upsert by (label, name); given properties replace, others stay. ``incoming``: name, entity_type, properties, ord.
+    ``existing`` holds each node once, as this function leaves it, and joins by node_id."""
+    rows = effective_name(valid_entities(incoming)).select(F.col("entity_type").alias("label"), "name", "properties", "ord")
     merged = merge_properties(rows, ("label", "name"))
-    return merged.select(node_id(F.col("label"), F.col("name")).alias("node_id"), "label", "name", "properties")
+    new = merged.select(node_id(F.col("label"), F.col("name")).alias("node_id"), "label", "name", "properties")
+    return new if existing is None else upsert_nodes(existing, new)
+
+
+def upsert_nodes(existing: DataFrame, new: DataFrame) -> DataFrame:
+    """``new`` nodes over ``existing`` ones, both distinct by node_id: a full join, so a stored side that is bucketed by node_id is
+    not shuffled."""
+    fields = ("label", "name", "properties")
+    old = existing.select("node_id", F.struct(*fields).alias("old"))
+    both = old.join(new.select("node_id", F.struct(*fields).alias("new")), "node_id", "full_outer")
+    kept = F.filter(F.map_entries("old.properties"), lambda e: ~F.array_contains(F.map_keys("new.properties"), e["key"]))
+    properties = F.map_from_entries(F.array_sort(F.concat(kept, F.map_entries("new.properties"))))
+    one = lambda c: F.coalesce(f"new.{c}", f"old.{c}").alias(c)
+    return both.select("node_id", one("label"), one("name"), F.coalesce(properties, "new.properties", "old.properties").alias("properties"))
 
 
 def resolve_edges(relationships: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -57,19 +68,22 @@ def unmatched_relationships(relationships: DataFrame, nodes: DataFrame) -> DataF
 
 
 def merge_edges(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
-    """upsert by (source, type, target)."""
-    rows = incoming.select(*EDGE)
-    return (rows if existing is None else existing.select(*EDGE).unionByName(rows)).distinct()
+    """upsert by (source, type, target). ``existing`` holds each edge once; bucketed by the three it is not shuffled."""
+    new = incoming.select(*EDGE).distinct()
+    return new if existing is None else existing.select(*EDGE).join(new, list(EDGE), "full_outer")
 
 
 def merge_chunk_nodes(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
-    """upsert by content id; the last source and section by ``ord`` win."""
-    fields = ("text", "source", "section", "char_count")
-    rows = incoming.select("id", F.struct(*fields).alias("node"), F.struct(F.lit(1).alias("load"), "ord").alias("o"))
-    if existing is not None:
-        old = existing.select("id", F.struct(*fields).alias("node"), F.struct(F.lit(0).alias("load"), F.lit(None).cast(incoming.schema["ord"].dataType).alias("ord")).alias("o"))
-        rows = old.unionByName(rows)
-    return rows.groupBy("id").agg(F.max_by("node", "o").alias("node")).select("id", "node.*")
+    """upsert by content id; the last source and section by ``ord`` win. ``existing`` holds each id once."""
+    new = incoming.groupBy("id").agg(F.max_by(F.struct(*CHUNK_FIELDS), "ord").alias("node")).select("id", "node.*")
+    return new if existing is None else upsert_chunks(existing, new)
+
+
+def upsert_chunks(existing: DataFrame, new: DataFrame) -> DataFrame:
+    """``new`` chunk nodes over ``existing`` ones, both distinct by id, by a full join."""
+    old = existing.select("id", F.struct(*CHUNK_FIELDS).alias("old"))
+    both = old.join(new.select("id", F.struct(*CHUNK_FIELDS).alias("new")), "id", "full_outer")
+    return both.select("id", F.coalesce("new", "old").alias("node")).select("id", "node.*")
 
 
 #: Letters of the gram by which a name is looked up in texts, and slots that tell grams of no name apart early.
@@ -115,37 +129,6 @@ def link_mentions(chunks: DataFrame, nodes: DataFrame) -> DataFrame:
     return _mentions(maybe.join(texts, "src_id").where(F.contains("body", "low")).select("src_id", "low"), names)
 
 
-def link_mentions_by_patterns(chunks: DataFrame, nodes: DataFrame) -> DataFrame:
-    """F7 by a multi-pattern search in Arrow batches, in slices of names of bounded size; the same rows."""
-    texts, names = _lowered(chunks, nodes)
-    distinct = names.select("low").distinct()
-    return _mentions(_search_many(texts, distinct, max(1, distinct.count())), names)
-
-
-def _search_many(texts: DataFrame, names: DataFrame, n: int, per_slice: int = 500_000) -> DataFrame:
-    import pyarrow as pa
-
-    slices, found = -(-n // per_slice), None
-    for k in range(slices):
-        some = [r[0] for r in names.where(F.pmod(F.xxhash64("low"), F.lit(slices)) == k).collect()]  # per_slice names
-        sent = texts.sparkSession.sparkContext.broadcast(some)
-
-        def run(batches, sent=sent):
-            import ahocorasick
-
-            search = ahocorasick.Automaton()
-            for name in sent.value:
-                search.add_word(name, name)
-            search.make_automaton()
-            for b in batches:
-                out = [(i, name) for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for name in sorted({x for _, x in search.iter(text or "")})]
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.string())], ["src_id", "low"])
-
-        hits = texts.mapInArrow(run, "src_id string, low string")
-        found = hits if found is None else found.unionAll(hits)
-    return found
-
-
 def document_nodes(documents: DataFrame) -> DataFrame:
     """A ``Document`` node for each source and file type."""
     rows = documents.select("source", "file_type").distinct()

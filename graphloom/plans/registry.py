@@ -371,12 +371,6 @@ def f7_link_mentions(spark, sf_dir):
     return graph.link_mentions(docs, _names(spark, sf_dir))
 
 
-@query(f"WITH {_MENTIONS} SELECT * FROM m")
-def f7_link_mentions_many_names(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents")).select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"))
-    return graph.link_mentions_by_patterns(docs, _names(spark, sf_dir))
-
-
 @query(f"""{_GRAPH}
 SELECT (SELECT count(*) FROM e) AS nodes_created, (SELECT count(*) FROM rel) AS relationships_created, 0::BIGINT AS chunks_created, (SELECT count(*) FROM nodes) AS nodes_distinct,
   (SELECT count(*) FROM edges) AS edges_distinct, (SELECT count(*) FROM rel WHERE b = 'Nobody') AS unmatched""")
@@ -596,6 +590,21 @@ def a10_write_read_graph(spark, sf_dir):
     return nodes.unionByName(found["edges"].select(F.lit("edge").alias("kind"), F.col("src_id").alias("a"), F.col("edge_type").alias("b"), F.col("dst_id").alias("c")))
 
 
+@query(f"{_GRAPH} SELECT 'node' AS kind, node_id AS a, label AS b, name AS c, value AS d FROM nodes UNION ALL SELECT 'edge', src_id, edge_type, dst_id, NULL FROM edges")
+def a10_two_loads(spark, sf_dir):
+    """The graph in two loads of a bucketed store: places and customers under old properties, then all else and the customers as
+    they are; the second load comes twice, as a batch that is asked for again."""
+    entities, links = _entities(spark, sf_dir), _relationships(spark, sf_dir)
+    places = entities.where("entity_type in ('Region', 'Continent', 'Nation', 'Customer')").withColumn("properties", F.transform_values("properties", lambda k, v: F.when(k == "segment", "before").otherwise(v)))
+    held = store.GraphStore(spark, store.shared_path(spark))
+    held.load(places, links.where("relationship_type = 'LOCATED_IN'"), once=("q", 0))
+    for _ in range(2):
+        held.load(entities.where("entity_type in ('Customer', 'Supplier', 'Part')"), links, once=("q", 1))
+    found = held.read()
+    nodes = found["nodes"].select(F.lit("node").alias("kind"), F.col("node_id").alias("a"), F.col("label").alias("b"), F.col("name").alias("c"), F.get(F.map_values("properties"), F.lit(0)).alias("d"))
+    return nodes.unionByName(found["edges"].select(F.lit("edge").alias("kind"), F.col("src_id").alias("a"), F.col("edge_type").alias("b"), F.col("dst_id").alias("c"), F.lit(None).cast("string").alias("d")))
+
+
 @query("""
 WITH r AS (SELECT *, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 30 AS g FROM customer)
 SELECT c_nationkey AS doc_id, g::INT AS chunk_seq, 'table' AS content_type, (g * 30 + 1) || '-' || (g * 30 + count(*)) AS row_range,

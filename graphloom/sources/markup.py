@@ -34,24 +34,21 @@ class _Page:
         self.parts: list[str] = []
         self.lists = 0
         self.tables: list[list[int]] = []  # of each open table: rows that began, cells of the row
-        self.gap = False  # white space that comes next goes
+        self.gap = self.loose = False  # white space that comes next goes; the last part is text
 
     def text(self, text: str) -> None:
         if self.gap:
             text = text.lstrip(_BLANKS)
         if text:
-            self.gap = False
+            self.gap, self.loose = False, True
             self.parts.append(_ENTITY.sub(_character, text))
 
     def mark(self, mark: str, tight: bool = False) -> None:
         """``mark``; a tight one takes the white space around it."""
-        while tight and self.parts:
+        if tight and self.loose:
             self.parts[-1] = self.parts[-1].rstrip(_BLANKS)
-            if self.parts[-1]:
-                break
-            self.parts.pop()
         self.parts.append(mark)
-        self.gap = tight
+        self.gap, self.loose = tight, False
 
     def end_row(self) -> None:
         if self.tables and self.tables[-1][0] == 1 and self.tables[-1][1]:

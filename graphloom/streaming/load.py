@@ -4,21 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.operators.graph import chunks_to_graph
-from graphloom.sources.store import graph_schemas, read_graph, write_graph
+from graphloom.sources.store import GraphStore
 
 
-def graph_upsert(spark: SparkSession, path: str, split):
-    """A ``foreachBatch`` function: ``split`` turns a batch into (entities, relationships, chunks); version n + 1 of the graph
-    is written beside version n, and the last complete version is the graph. A batch that comes again after its version was
-    complete changes nothing; one that was cut off is written anew."""
+def graph_upsert(spark: SparkSession, path: str, split, buckets: int | None = None, name: str = ""):
+    """A ``foreachBatch`` function: ``split`` turns a batch into (entities, relationships, chunks), which become the next version of
+    the ``GraphStore`` in ``path``. A batch that comes again after its version was complete changes nothing; one that was cut
+    off is loaded anew. Batches are told apart by the stream's query id, which its checkpoint keeps, and the epoch: a second stream into the
+    same graph goes on from the newest version. ``name`` stands for the query id where there is none."""
+    store = GraphStore(spark, path, buckets)
 
     def load(batch: DataFrame, epoch: int) -> None:
-        if graph_schemas(spark, f"{path}/v{epoch}") is not None:
-            return
-        old = read_graph(spark, f"{path}/v{epoch - 1}") if epoch else {}
-        entities, relationships, chunks = split(batch)
-        write_graph(chunks_to_graph(entities, relationships, chunks, old), f"{path}/v{epoch}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or name
+        store.load(*split(batch), once=(query, epoch))
 
     return load
 

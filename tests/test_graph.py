@@ -140,10 +140,9 @@ def test_mentions(spark):
     nodes = spark.createDataFrame([(str(i), n) for i, n in enumerate(names)], "node_id string, name string")
     chunks = spark.createDataFrame([(f"c{min(i, 7)}", t) for i, t in enumerate(texts)], "id string, content string")
     want = {(f"c{min(i, 7)}", "MENTIONS", str(j)) for i, t in enumerate(texts) for j, n in enumerate(names) if n and t and n.lower() in t.lower()}
-    for link in (graph.link_mentions, graph.link_mentions_by_patterns):
-        got = link(chunks, nodes).collect()
-        assert len(got) == len(want) and {tuple(r) for r in got} == want
-        assert link(chunks, nodes.limit(0)).collect() == [] and link(chunks.limit(0), nodes).collect() == []
+    got = graph.link_mentions(chunks, nodes).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert graph.link_mentions(chunks, nodes.limit(0)).collect() == [] and graph.link_mentions(chunks.limit(0), nodes).collect() == []
 
 
 def test_alias_chains(spark):
