@@ -7,7 +7,12 @@ its k-th score. Tasks return k rows a query at most, and a window merges them.
 
 Vectors that are null or hold null or non-finite components take no part, nor do rows without an id. Vectors of unequal
 width count as ending in zeros. A query id that repeats is one query (its smallest vector); a candidate's repeated rows
-are candidates each. Queries go out in chunks of ``QUERY_CHUNK``, so what is broadcast is bounded.
+are candidates each. Queries go out in chunks of ``QUERY_BYTES`` of weights, and a task holds ``RANGE_BYTES`` of rows, so wide vectors
+make smaller chunks; of several chunks, each one's finds are written before the next is sent. Tables without rows find nothing; further
+columns make no difference.
+
+Weights and scores are 64-bit integers. Blocks whose sums could pass them are scored with Python's integers; a component or
+a score among the best that doesn't fit raises ``OverflowError``.
 """
 
 from __future__ import annotations
@@ -17,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-QUERY_CHUNK, BLOCK_ROWS = 50_000, 512
-#: Rows held by a task at once.
-RANGE_ROWS = 1 << 15
+from graphloom.llm.shared import written
+
+BLOCK_ROWS = 512
+#: Bytes of the weights of the queries that are sent at once, and of the rows that a task holds at once.
+QUERY_BYTES, RANGE_BYTES = 1 << 25, 1 << 24
 _NONE = np.iinfo(np.int64).min
 
 
@@ -61,12 +68,16 @@ def search_block_at_a_time(query_ids, queries, ids, vectors, best, best_ids, blo
     k = best.shape[1]
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], vectors[order]
-    exact = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * max(1, queries.shape[1]) < 2.0**53
-    kind = np.float64 if exact else np.int64  # BLAS where every sum is exact in doubles
+    largest = [max(int(x.max(initial=0)), -int(x.min(initial=0))) for x in (queries, vectors)]
+    if max(largest) >= np.iinfo(np.int64).max:  # what a cast from double made of something larger
+        raise OverflowError("a component's weight does not fit 64 bits")
+    most = largest[0] * largest[1] * max(1, queries.shape[1])
+    exact = most < 1 << 53
+    kind = np.float64 if exact else np.int64 if most < 1 << 63 else object  # BLAS where every sum is exact in doubles
     q, v = queries.astype(kind), vectors.astype(kind)
     cuts = np.arange(0, len(ids), block_rows)
-    top, low = np.maximum.reduceat(v, cuts), np.minimum.reduceat(v, cuts)
-    bounds = np.maximum(q, 0) @ top.T + np.minimum(q, 0) @ low.T
+    top, low = np.maximum.reduceat(vectors, cuts).astype(kind), np.minimum.reduceat(vectors, cuts).astype(kind)
+    bounds = np.maximum(queries, 0).astype(kind) @ top.T + np.minimum(queries, 0).astype(kind) @ low.T
     visits = np.argsort(-bounds, axis=1, kind="stable")
     scored, live = 0, np.arange(len(q))
     for step in range(len(cuts)):
@@ -96,7 +107,8 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "vec_id"
         return df.where(F.col(id_col).isNotNull() & usable(F.col(vector_col))).select(F.col(id_col).cast("long").alias("id"), weights(F.col(vector_col)).alias("w"))
 
     asked, rows = narrow(queries).groupBy("id").agg(F.min("w").alias("w")), narrow(vectors)
-    chunks = max(1, -(-asked.count() // QUERY_CHUNK))
+    size = asked.agg(F.count("*"), F.max(F.size("w"))).first()
+    chunks = max(1, -(-size[0] * (size[1] or 0) * 8 // QUERY_BYTES))
     parts = []
     for c in range(chunks):
         chunk = asked.where(F.pmod(F.xxhash64("id"), F.lit(chunks)) == c).toArrow()
@@ -117,20 +129,25 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "vec_id"
                     some = slice(a, a + 1024)
                     search_block_at_a_time(asked_ids[some], _matrix(asked_w[some], width), ids, v, best[some], best_ids[some])
 
-            held, rows_held = [], 0
-            for b in batches:
-                if b.num_rows:
-                    held.append(b)
-                    rows_held += b.num_rows
-                if rows_held >= RANGE_ROWS:
-                    add(held)
-                    held, rows_held = [], 0
+            held, rows_held, width = [], 0, 1
+            for batch in batches:
+                step = max(1, RANGE_BYTES // 8 // max(_widest(batch.column(1)), 1))
+                for a in range(0, batch.num_rows, step):
+                    held.append(b := batch.slice(a, step))
+                    rows_held, width = rows_held + b.num_rows, max(width, _widest(b.column(1)))
+                    if rows_held * width * 8 >= RANGE_BYTES:
+                        add(held)
+                        held, rows_held, width = [], 0, 1
             if held:
                 add(held)
             at, rank = np.nonzero(best != _NONE)
             yield pa.RecordBatch.from_arrays([pa.array(asked_ids[at]), pa.array(best_ids[at, rank]), pa.array(best[at, rank])], ["query_id", "id", "score"])
 
-        parts.append(rows.mapInArrow(run, "query_id long, id long, score long"))
+        part = rows.mapInArrow(run, "query_id long, id long, score long")
+        if chunks > 1:
+            part = written(part)
+            sent.unpersist()
+        parts.append(part)
     if not parts:
         return spark.createDataFrame([], f"query_id long, rank int, {id_col} long, score long")
     found = parts[0]
