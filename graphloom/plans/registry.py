@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions.text import detect_content_type, looks_like_json
 from graphloom.operators import aggregation, chunking, extraction, graph, retrieval, validation
-from graphloom.sources import files, markup, store
+from graphloom.sources import files, markup, shared, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -148,10 +148,14 @@ def c4_page_chunks(spark, sf_dir):
     return docs.select("doc_id", "chunk_seq", "c.*")
 
 
-def _sheets(spark, sf_dir) -> DataFrame:
+def _cells(spark, sf_dir) -> DataFrame:
     cells = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("doc_id"), F.lit(0).alias("sheet_no"), F.lit("Customers").alias("sheet"), F.col("c_custkey").alias("row_no"), F.array(F.col("c_custkey").cast("string"), "c_name", "c_mktsegment").alias("values"))
     head = cells.select("doc_id", "sheet_no", "sheet", F.lit(-1).cast("long").alias("row_no"), F.array(F.lit("c_custkey"), F.lit("c_name"), F.lit("c_mktsegment")).alias("values")).distinct()
-    return markup.rows_to_markdown(cells.unionByName(head))
+    return cells.unionByName(head)
+
+
+def _sheets(spark, sf_dir) -> DataFrame:
+    return markup.rows_to_markdown(_cells(spark, sf_dir))
 
 
 @query("""
@@ -167,7 +171,43 @@ SELECT c_nationkey AS doc_id, g::INT AS chunk_seq, 'Customers' AS section, 'tabl
   md5('| c_custkey | c_name | c_mktsegment |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg('| ' || c_custkey || ' | ' || c_name || ' | ' || c_mktsegment || ' |', chr(10) ORDER BY c_custkey)) AS digest
 FROM r GROUP BY c_nationkey, g""")
 def c3_table_chunks(spark, sf_dir):
-    return chunking.chunk_documents(_sheets(spark, sf_dir)).select("doc_id", "chunk_seq", "section", "content_type", "row_range", F.md5("content").alias("digest"))
+    return markup.sheet_chunks(_cells(spark, sf_dir)).select("doc_id", "chunk_seq", "section", "content_type", "row_range", F.md5("content").alias("digest"))
+
+
+#: A title, the nation's customers as a table, two lines of prose and the suppliers' table (R4), as lines: (doc_id, part, key, line).
+_MIXED = """
+l AS (
+  SELECT n_nationkey AS doc_id, 0 AS part, 0 AS key, '# Customers' AS line FROM nation UNION ALL SELECT n_nationkey, 1, 0, '| c_custkey | c_name |' FROM nation UNION ALL SELECT n_nationkey, 2, 0, '| --- | --- |' FROM nation
+  UNION ALL SELECT c_nationkey, 3, c_custkey, '| ' || c_custkey || ' | ' || c_name || ' |' FROM customer
+  UNION ALL SELECT n_nationkey, 4, 0, 'These buy in ' || n_name || '.' FROM nation UNION ALL SELECT n_nationkey, 5, 0, 'Those who sell there:' FROM nation
+  UNION ALL SELECT n_nationkey, 6, 0, '| s_suppkey | s_name |' FROM nation UNION ALL SELECT n_nationkey, 7, 0, '|---|---|' FROM nation UNION ALL SELECT s_nationkey, 8, s_suppkey, '| ' || s_suppkey || ' | ' || s_name || ' |' FROM supplier)"""
+
+
+@query(f"""
+WITH {_MIXED},
+s AS (SELECT *, lead(line) OVER w AS after, row_number() OVER w AS i FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY part, key)),
+k AS (SELECT *, CASE WHEN line LIKE '#%' THEN 'title' WHEN contains(line, '|') AND regexp_matches(after, '^\\|[\\s\\-:|]+\\|') THEN 'head' WHEN regexp_matches(line, '^\\|[\\s\\-:|]+\\|') THEN 'rule' WHEN line LIKE '|%' THEN 'row' ELSE 'text' END AS kind FROM s),
+t AS (SELECT *, sum(CASE WHEN kind = 'head' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS no, max(CASE WHEN kind = 'title' THEN trim(ltrim(line, '#')) END) OVER (PARTITION BY doc_id) AS title FROM k),
+h AS (SELECT doc_id, no, line || chr(10) || after AS head FROM t WHERE kind = 'head'),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, no ORDER BY i) - 1 AS n FROM t WHERE kind = 'row'),
+c AS (SELECT doc_id, no, n // 30 AS g, title, min(n) + 1 || '-' || max(n) + 1 AS row_range, string_agg(line, chr(10) ORDER BY n) AS body FROM r GROUP BY ALL),
+n AS (SELECT c.*, head, row_number() OVER (PARTITION BY doc_id ORDER BY no, g) - 1 AS seq, count(*) OVER (PARTITION BY doc_id) AS tables FROM c JOIN h USING (doc_id, no)),
+p AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS body FROM t WHERE kind = 'text' GROUP BY doc_id)
+SELECT doc_id, seq::INT AS chunk_seq, title AS section, seq::INT AS chunk_index, 'table' AS content_type, row_range, md5(head || chr(10) || body) AS digest FROM n
+UNION ALL SELECT doc_id, coalesce(tables, 0)::INT, '', 0, 'narrative', NULL, md5(body) FROM p LEFT JOIN (SELECT DISTINCT doc_id, tables FROM n) USING (doc_id)""")
+def c3_mixed_tables(spark, sf_dir):
+    """A title, a table, prose and a second table in each document."""
+    names = {n: table(spark, sf_dir, n) for n in ("nation", "customer", "supplier")}
+    pipe = lambda *cs: F.concat(F.lit("| "), F.concat_ws(" | ", *cs), F.lit(" |"))
+    line = lambda df, doc, part, key, text: df.select(F.col(doc).alias("doc_id"), F.lit(part).alias("part"), F.col(key).cast("long").alias("key"), text.alias("line"))
+    fixed = ["# Customers", "| c_custkey | c_name |", "| --- | --- |", None, None, "Those who sell there:", "| s_suppkey | s_name |", "|---|---|"]
+    lines = line(names["customer"], "c_nationkey", 3, "c_custkey", pipe("c_custkey", "c_name")).unionByName(line(names["supplier"], "s_nationkey", 8, "s_suppkey", pipe("s_suppkey", "s_name")))
+    lines = lines.unionByName(line(names["nation"], "n_nationkey", 4, "n_nationkey", F.concat(F.lit("These buy in "), "n_name", F.lit("."))))
+    for part, text in enumerate(fixed):
+        if text:
+            lines = lines.unionByName(line(names["nation"], "n_nationkey", part, "n_nationkey", F.lit(text)))
+    docs = lines.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "key", "line"))), lambda x: x["line"]), "\n").alias("markdown"))
+    return chunking.chunk_documents(docs).select("doc_id", "chunk_seq", "section", "chunk_index", "content_type", "row_range", F.md5("content").alias("digest"))
 
 
 @query("""
@@ -432,7 +472,7 @@ def g5_wrong_direction_edges(spark, sf_dir):
 def _stored(graph_: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The graph written into the shared folder and read again, so that many checks don't build it anew."""
     spark = next(iter(graph_.values())).sparkSession
-    path = store.shared_path(spark)
+    path = shared.shared_path(spark)
     store.write_graph(graph_, path)
     return store.read_graph(spark, path)
 
@@ -546,7 +586,7 @@ WITH l AS (SELECT unnest(string_split(regexp_replace(text, '\r\n?', chr(10), 'g'
 SELECT '.txt' AS file_type, 'parsed' AS status, md5(line) AS line, count(*) AS n FROM l GROUP BY line""")
 def a1_a3_a7_parse_documents(spark, sf_dir):
     """The documents as text files of 100 each in the shared folder, read back and parsed; all their lines."""
-    path = store.shared_path(spark)
+    path = shared.shared_path(spark)
     spread(table(spark, sf_dir, "documents")).where("text is not null").select("text").write.option("maxRecordsPerFile", 100).text(path)
     parsed = files.parse_documents(files.read_files(spark, path))
     lines = F.explode(F.split(F.regexp_replace("markdown", r"\n\z", ""), "\n", -1))  # a file ends with a line end
@@ -576,7 +616,7 @@ def a9_schema_json(spark, sf_dir):
     regions = places.groupBy("r_name").agg(F.array_sort(F.collect_list("n_name")).alias("nations"))
     entity_types = regions.agg(F.collect_list(F.struct(F.col("r_name").alias("name"), F.lit("A region").alias("description"), F.col("nations").alias("example_properties"))).alias("entity_types"))
     relations = places.agg(F.collect_list(F.struct(F.lit("LOCATED_IN").alias("name"), F.col("n_name").alias("from_type"), F.col("r_name").alias("to_type"), F.lit("").alias("description"))).alias("relationship_types"))
-    path = store.shared_path(spark)
+    path = shared.shared_path(spark)
     store.write_schema_json(entity_types.crossJoin(relations), path)  # one row each
     kinds, links = store.read_schema_json(spark, path)
     out = kinds.select(F.lit("entity").alias("kind"), "name", "description", F.array_join("example_properties", "|").alias("more"))
@@ -596,7 +636,7 @@ def a10_two_loads(spark, sf_dir):
     they are; the second load comes twice, as a batch that is asked for again."""
     entities, links = _entities(spark, sf_dir), _relationships(spark, sf_dir)
     places = entities.where("entity_type in ('Region', 'Continent', 'Nation', 'Customer')").withColumn("properties", F.transform_values("properties", lambda k, v: F.when(k == "segment", "before").otherwise(v)))
-    held = store.GraphStore(spark, store.shared_path(spark))
+    held = store.GraphStore(spark, shared.shared_path(spark))
     held.load(places, links.where("relationship_type = 'LOCATED_IN'"), once=("q", 0))
     for _ in range(2):
         held.load(entities.where("entity_type in ('Customer', 'Supplier', 'Part')"), links, once=("q", 1))

@@ -6,11 +6,12 @@ import re
 from html.entities import html5
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from graphloom.functions.text import strip
+from graphloom.sources.shared import shared_path
 
 #: ASCII white space, as HTML counts it between tags.
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -149,23 +150,71 @@ def html_to_markdown(html: Column) -> Column:
     return _markdown(html)
 
 
-def rows_to_markdown(cells: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """A5: (keys..., markdown) from cells(keys..., sheet_no, sheet, row_no, values): a titled pipe table for each sheet.
-
-    The first row is the header; shorter rows are padded and longer ones cut to its width; null cells are empty.
-    """
+def _sheet_lines(cells: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, sheet_no, sheet, row_no, line, rule, first) of every row of sheets that have a header."""
     sheet = (*keys, "sheet_no", "sheet")
     width = cells.groupBy(*sheet).agg(F.size(F.min_by("values", "row_no")).alias("width"), F.min("row_no").alias("first"))
     padded = F.transform(F.sequence(F.lit(1), F.col("width")), lambda i: F.coalesce(F.try_element_at("values", i), F.lit("")))
     line = F.concat(F.lit("| "), F.array_join(padded, " | "), F.lit(" |"))
     rule = F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), F.col("width")), " | "), F.lit(" |"))
-    lines = cells.join(width.where("width > 0"), list(sheet)).select(*sheet, "row_no", F.when(F.col("row_no") == F.col("first"), F.concat(line, F.lit("\n"), rule)).otherwise(line).alias("line"))
+    return cells.join(width.where("width > 0"), list(sheet)).select(*sheet, "row_no", line.alias("line"), rule.alias("rule"), (F.col("row_no") == F.col("first")).alias("first"))
+
+
+def rows_to_markdown(cells: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """A5: (keys..., markdown) from cells(keys..., sheet_no, sheet, row_no, values): a titled pipe table for each sheet.
+
+    The first row is the header; shorter rows are padded and longer ones cut to its width; null cells are empty. A document
+    is one text in one row: for sheets that are to be chunked, ``sheet_chunks`` never makes it.
+    """
+    sheet = (*keys, "sheet_no", "sheet")
+    lines = _sheet_lines(cells, keys).select(*sheet, "row_no", F.when(F.col("first"), F.concat("line", F.lit("\n"), "rule")).otherwise(F.col("line")).alias("line"))
     tables = lines.groupBy(*sheet).agg(F.array_sort(F.collect_list(F.struct("row_no", "line"))).alias("rows"))
     body = F.concat(F.lit("## "), F.col("sheet"), F.lit("\n\n"), F.array_join("rows.line", "\n"), F.lit("\n"))
     parts = tables.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("sheet_no"), body.alias("body")))).alias("sheets"))
     return parts.select(*keys, F.array_join("sheets.body", "\n").alias("markdown"))
 
 
+def sheet_chunks(cells: DataFrame, keys: tuple[str, ...] = ("doc_id",), rows_per_chunk: int = 30) -> DataFrame:
+    """A5 and C3 in one: the chunks that C3 makes of A5's text, of sheets of any size: (keys..., chunk_seq and C6's columns).
+
+    Rows are dealt by ranges of (keys, sheet, row) and written in that order; a row's number in its sheet is its place in its range
+    and the rows of the sheet in the ranges before it. Then chunks of ``rows_per_chunk`` rows are grouped, so no text, task or
+    group is larger for a larger sheet. ``row_no`` tells a sheet's rows apart; cells hold no line ends, and rows and titles no
+    markup of their own (a row of empty cells, which a scan of the text would take for a header's rule, is a row here).
+    """
+    sheet = (*keys, "sheet_no", "sheet")
+    spark = cells.sparkSession
+    rows = _sheet_lines(cells, keys).repartitionByRange(*sheet, "row_no").sortWithinPartitions(*sheet, "row_no")
+    path = shared_path(spark)
+    rows.withColumn("place", F.monotonically_increasing_id()).withColumn("range", F.spark_partition_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    data = rows.where("not first")
+    # As many rows as ranges and sheets; a sheet of many ranges has one for each.
+    held = data.groupBy(*sheet, "range").agg(F.min("place").alias("begin"), F.max("place").alias("end"), F.count("*").alias("n"))
+    before = Window.partitionBy(*sheet).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("total", F.sum("n").over(Window.partitionBy(*sheet)))
+    # The index jumps as C3's does: each sheet's begins at the chunks before it, added up over the sheets.
+    totals = held.select(*sheet, "total").distinct().withColumn("chunks", F.ceil(F.col("total") / rows_per_chunk))
+    earlier = Window.partitionBy(*keys).orderBy("sheet_no", "sheet").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("seq", F.coalesce(F.sum("chunks").over(earlier), F.lit(0)))
+    totals = totals.withColumn("start", F.sum("seq").over(Window.partitionBy(*keys).orderBy("sheet_no", "sheet")))
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in sheet]
+    number = F.col("b.before") + F.col("a.place") - F.col("b.begin")
+    numbered = data.alias("a").join(held.alias("b"), [*same, F.col("a.range") == F.col("b.range")]).select("a.*", number.alias("number"))
+    lines = F.array_sort(F.collect_list(F.struct("number", "line")))
+    chunks = numbered.groupBy(*sheet, F.floor(F.col("number") / rows_per_chunk).alias("chunk")).agg(lines.alias("rows"))
+    heads = rows.where("first").select(*sheet, F.concat("line", F.lit("\n"), "rule").alias("head"))
+    both = [F.col(f"c.{c}").eqNullSafe(F.col(f"t.{c}")) for c in sheet]
+    both_heads = [F.col(f"c.{c}").eqNullSafe(F.col(f"h.{c}")) for c in sheet]
+    content = F.concat("head", F.lit("\n"), F.array_join("rows.line", "\n"))
+    span = F.concat((F.col("rows")[0]["number"] + 1).cast("string"), F.lit("-"), (F.element_at("rows", -1)["number"] + 1).cast("string"))
+    joined = chunks.alias("c").join(totals.alias("t"), both).join(heads.alias("h"), both_heads)
+    return joined.select(
+        *[f"c.{k}" for k in keys], (F.col("seq") + F.col("chunk")).cast("int").alias("chunk_seq"), content.alias("content"), strip(F.col("c.sheet")).alias("section"), (F.col("start") + F.col("chunk")).cast("int").alias("chunk_index"),
+        F.lit("table").alias("content_type"), F.length(content).cast("int").alias("char_count"), span.alias("row_range"), F.lit(None).cast("string").alias("page_range"), F.lit(None).cast("boolean").alias("merged"),
+    )
+
+
 def classify_pdf_pages(pages: DataFrame, documents: DataFrame | None = None, first: int = 3, least: int = 50) -> DataFrame:
     """Whether a document needs OCR, from pages(doc_id, page_no, text). With ``documents``, those without pages are digital."""
     n = F.length(strip(F.coalesce("text", F.lit(""))))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -21,16 +20,6 @@ SCHEMA = (
 )
 
 
-def shared_path(spark: SparkSession) -> str:
-    """A new folder's path below ``spark.checkpoint.dir``; a temporary folder only where it is unset on one machine, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-    return f"{root.rstrip('/')}/graph-{uuid.uuid4().hex}"
-
-
 def write_schema_json(schema: DataFrame, path: str) -> None:
     """One JSON object, for people to read and change. ``schema`` is one row of the fields of ``SCHEMA``."""
     schema.select(F.to_json(F.struct("entity_types", "relationship_types"), {"pretty": "true"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
