@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from graphloom.functions.text import normalized_name
 from graphloom.operators.aggregation import merge_properties, valid_entities, valid_relationships
+from graphloom.operators.components import components
+from graphloom.sources.shared import written
 
 EDGE = ("src_id", "edge_type", "dst_id")
 CHUNK_FIELDS = ("text", "source", "section", "char_count")
@@ -141,33 +143,47 @@ def from_document_edges(chunks: DataFrame) -> DataFrame:
     return chunks.select(F.col("id").alias("src_id"), F.lit("FROM_DOCUMENT").alias("edge_type"), node_id(F.lit("Document"), F.col("source")).alias("dst_id")).distinct()
 
 
-def resolve_entities(entities: DataFrame, aliases: DataFrame | None = None, materialize: Callable[[DataFrame], DataFrame] = lambda df: df.checkpoint()) -> DataFrame:
+def resolve_entities(entities: DataFrame, aliases: DataFrame | None = None, materialize: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
     """(name, canonical_id, canonical_name) of every name. Names with one normal form are one entity.
 
     The canonical name is the most frequent one, ties by first ``ord``. ``aliases`` (a, b) join normal forms, also along
-    chains: each round every key takes the least label around it, and ``materialize`` cuts the lineage.
+    chains of any length (``components``).
     """
     named = entities.select("name", normalized_name(F.col("name")).alias("key"), "ord")
-    groups = named.select("key").distinct().withColumn("label", F.col("key"))
-    if aliases is not None:
-        links = aliases.select(normalized_name(F.col("a")).alias("x"), normalized_name(F.col("b")).alias("y"))
-        links = links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
-        every = groups.select("key").unionByName(links.select(F.col("x").alias("key"))).distinct()
-        groups = materialize(every.withColumn("label", F.col("key")))
-        while True:
-            around = links.join(groups.select(F.col("key").alias("y"), "label"), "y").groupBy(F.col("x").alias("key")).agg(F.min("label").alias("near"))
-            stepped = groups.join(around, "key", "left").select("key", "label", F.least("label", F.coalesce("near", "label")).alias("next"))
-            stepped = materialize(stepped)
-            if not stepped.where("next <> label").limit(1).count():
-                break
-            groups = stepped.select("key", F.col("next").alias("label"))
-    counted = named.groupBy("key", "name").agg(F.count("*").alias("n"), F.min("ord").alias("first")).join(groups, "key")
+    counted = named.groupBy("key", "name").agg(F.count("*").alias("n"), F.min("ord").alias("first"))
+    if aliases is None:
+        counted = counted.withColumn("label", F.col("key"))
+    else:
+        links = aliases.select(normalized_name(F.col("a")).alias("x"), normalized_name(F.col("b")).alias("y")).where("x is not null and y is not null")
+        roots = components(links, materialize).select(F.col("node").alias("key"), "root")
+        counted = counted.join(roots, "key", "left").withColumn("label", F.coalesce("root", "key")).drop("root")
     # Most frequent first; the earlier of equals: n ascending and the negative place can't be one struct, so two steps.
     most = counted.groupBy("label").agg(F.max("n").alias("n"))
     best = counted.join(most, ["label", "n"]).groupBy("label").agg(F.min_by("name", "first").alias("canonical_name"))
     return counted.join(best, "label").select("name", F.md5(F.col("label").cast("binary")).alias("canonical_id"), "canonical_name")
 
 
+def canonical_nodes(nodes: DataFrame, resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The nodes under their canonical names, those of one label and name merged (the canonical one's properties win, then
+    those of the larger name), and (node_id, canonical_node_id) of every node. Names that ``resolved`` lacks stay."""
+    names = resolved.select("name", "canonical_name").distinct()
+    named = nodes.join(names, "name", "left").withColumn("canonical", F.coalesce("canonical_name", "name"))
+    rows = named.select("label", F.col("canonical").alias("name"), "properties", F.struct((F.col("name") == F.col("canonical")).alias("own"), F.col("name")).alias("ord"))
+    merged = merge_properties(rows, ("label", "name"))
+    new_id = node_id(F.col("label"), F.col("canonical")).alias("canonical_node_id")
+    return merged.select(node_id(F.col("label"), F.col("name")).alias("node_id"), "label", "name", "properties"), named.select("node_id", new_id)
+
+
+def rewrite_edges(edges: DataFrame, mapping: DataFrame) -> DataFrame:
+    """The distinct edges between canonical nodes; ``mapping`` is (node_id, canonical_node_id), other ends stay. Only ids that
+    change take part in the two joins."""
+    changed = mapping.where("node_id <> canonical_node_id")
+    for end in ("src_id", "dst_id"):
+        to = changed.select(F.col("node_id").alias(end), F.col("canonical_node_id").alias("_to"))
+        edges = edges.join(to, end, "left").withColumn(end, F.coalesce("_to", end)).drop("_to")
+    return edges.select(*EDGE).distinct()
+
+
 def node_counts_by_label(nodes: DataFrame) -> DataFrame:
     """E4, largest first; ties by label."""
     return nodes.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label")

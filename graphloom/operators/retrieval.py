@@ -2,68 +2,153 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+from pyspark import Accumulator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Queries that are sent to the tasks at once, and pairs that a task scores at once.
-QUERY_CHUNK, PAIRS = 10_000, 1 << 20
+from graphloom.sources.shared import written
 
+#: Bytes of query vectors that are sent at once, and of vectors that a task compares at once.
+QUERY_BYTES, RANGE_BYTES = 1 << 26, 1 << 24
+#: Queries to which every vector's angle bounds its angle to the others, and how far a bound must be off to count.
+PIVOTS, MARGIN = 16, 1e-9
 
-def top_k_similar(queries: DataFrame, vectors: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, id, score): exact cosine, ties to the smaller id; a query's own id doesn't count.
 
-    Queries go out in chunks of bounded size. Each Arrow batch is multiplied with some queries at a time and returns its k best for a query.
-    """
-    import numpy as np
-    import pyarrow as pa
+def _units(column: pa.Array, width: int) -> np.ndarray:
+    """Vectors of length 1 (or 0), shorter ones as ending in zeros."""
+    ends, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    out, lengths = np.zeros((len(column), width)), np.diff(ends)
+    rows = np.repeat(np.arange(len(column)), lengths)
+    out[rows, np.arange(ends[0], ends[-1]) - np.repeat(ends[:-1], lengths)] = values[ends[0] : ends[-1]]
+    size = np.linalg.norm(out, axis=1, keepdims=True)
+    return out / np.where(size > 0, size, 1)
 
-    spark = vectors.sparkSession
-    asked = queries.where(F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    rows = vectors.where(F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    chunks = max(1, -(-asked.count() // QUERY_CHUNK))
-    found = spark.createDataFrame([], "query_id long, id long, score double")
 
-    def unit(column):
-        m = np.array(column.to_pylist(), float).reshape(len(column), -1)
-        size = np.linalg.norm(m, axis=1, keepdims=True)
-        return m / np.where(size > 0, size, 1)
+def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(a @ b.T, -1, 1))
+
+
+def _pivots(q: np.ndarray) -> np.ndarray:
+    """Queries far from each other: each next one is the farthest from those taken."""
+    taken, near = [0], q @ q[0]
+    while len(taken) < PIVOTS and near.min() < 1 - MARGIN:
+        taken.append(int(near.argmin()))
+        near = np.maximum(near, q @ q[taken[-1]])
+    return q[taken]
+
 
+def _search(ids: np.ndarray, q: np.ndarray, own: np.ndarray, v: np.ndarray, best: np.ndarray, best_ids: np.ndarray) -> int:
+    """Brings the best scores (best first, ties to the smaller id) up to date with unit vectors ``v``; returns the pairs scored.
+
+    Vectors are grouped by their nearest pivot. By the triangle inequality of angles, a group's range of angles to every
+    pivot bounds its cosines with a query; groups whose bound is below a query's k-th best score are not scored for it.
+    """
+    pivots = _pivots(q)
+    to_query, to_pivot = _angles(q, pivots), _angles(v, pivots)
+    nearest = to_pivot.argmin(axis=1)
+    groups = [np.flatnonzero(nearest == p) for p in range(len(pivots))]
+    groups = [part for g in groups if g.size for part in np.array_split(g[np.argsort(to_pivot[g, nearest[g[0]]], kind="stable")], -(-g.size // 256))]
+    low, high = (np.stack([f(to_pivot[g], axis=0) for g in groups]) for f in (np.min, np.max))
+    apart = np.maximum(to_query[:, None, :] - high[None], low[None] - to_query[:, None, :]).max(axis=2)
+    bound = np.cos(np.clip(apart - MARGIN, 0, np.pi)) + MARGIN
+    visits, scored, live = np.argsort(-bound, axis=1, kind="stable"), 0, np.arange(len(q))
+    for step in range(len(groups)):
+        group = visits[live, step]
+        keep = bound[live, group] >= best[live, -1]
+        live, group = live[keep], group[keep]
+        for g in np.unique(group).tolist():
+            rows, some = live[group == g], groups[g]
+            score = q[rows] @ v[some].T
+            scored += score.size
+            score[ids[rows][:, None] == own[some][None, :]] = -np.inf
+            every = np.concatenate([best[rows], score], axis=1)
+            every_ids = np.concatenate([best_ids[rows], np.broadcast_to(own[some], score.shape)], axis=1)
+            take = np.lexsort((every_ids, -every), axis=1)[:, : best.shape[1]]
+            best[rows], best_ids[rows] = np.take_along_axis(every, take, 1), np.take_along_axis(every_ids, take, 1)
+    return scored
+
+
+def top_k_similar(queries: DataFrame, vectors: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scored: Accumulator | None = None) -> DataFrame:
+    """(query_id, rank, id, score): exact cosine, ties to the smaller id; a query's own id doesn't count.
+
+    Vectors that are null or hold a null or non-finite component, and rows without an id, take no part; of unequal widths, the
+    shorter one ends in zeros; a vector without length has cosine 0 with all. Queries go out in chunks of ``QUERY_BYTES``; each task
+    keeps the k best of all its rows for a query and returns these alone. Groups of vectors too far from a query are not
+    compared with it (``_search``); ``scored`` counts the pairs that were (a repeated task counts again).
+    """
+    spark = vectors.sparkSession
+    finite = F.coalesce(F.forall(F.col(vector_col), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))), F.lit(False))
+    narrow = lambda df: df.where(finite & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    asked, rows = narrow(queries).groupBy("id").agg(F.min("v").alias("v")), narrow(vectors)
+    n, widest = asked.agg(F.count("*"), F.max(F.size("v"))).first()
+    chunks = max(1, -(-n * (widest or 0) * 8 // QUERY_BYTES))
+    found = None
     for c in range(chunks):
         table = asked.where(F.pmod(F.xxhash64("id"), F.lit(chunks)) == c).toArrow()
         if not table.num_rows:
             continue
-        sent = spark.sparkContext.broadcast((table.column(0).to_numpy(), unit(table.column(1))))
+        sent = spark.sparkContext.broadcast(table.combine_chunks())
 
         def run(batches, sent=sent):
-            ids, q = sent.value
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                own, other = b.column(0).to_numpy(), unit(b.column(1)).T
-                for some in np.array_split(np.arange(len(ids)), -(-len(ids) * len(own) // PAIRS)):
-                    score = q[some] @ other
-                    score[ids[some, None] == own[None, :]] = -np.inf
-                    best = np.lexsort((np.broadcast_to(own, score.shape), -score), axis=1)[:, :k]
-                    at = np.repeat(np.arange(len(some)), best.shape[1])
-                    value = score[at, best.reshape(-1)]
-                    keep = value > -np.inf
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[some][at][keep]), pa.array(own[best.reshape(-1)][keep]), pa.array(value[keep])], ["query_id", "id", "score"])
-
-        found = found.unionAll(rows.mapInArrow(run, "query_id long, id long, score double"))
+            ids, asked_v = sent.value.column(0).to_numpy(), sent.value.column(1).combine_chunks()
+            wide = lambda column: int(np.diff(column.offsets.to_numpy()).max(initial=1))
+            best, best_ids = np.full((len(ids), k), -np.inf), np.full((len(ids), k), np.iinfo(np.int64).max)
+            for batch in batches:
+                width = max(wide(asked_v), wide(batch.column(1))) if batch.num_rows else 1
+                q, step = (_units(asked_v, width) if batch.num_rows else None), max(1, RANGE_BYTES // 8 // width)
+                for a in range(0, batch.num_rows, step):
+                    part = batch.slice(a, step)
+                    own, other = part.column(0).to_numpy(), _units(part.column(1), width)
+                    for b in range(0, len(ids), 1024):
+                        some = slice(b, b + 1024)
+                        n = _search(ids[some], q[some], own, other, best[some], best_ids[some])
+                        if scored is not None:
+                            scored.add(n)
+            at, rank = np.nonzero(best > -np.inf)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(best_ids[at, rank]), pa.array(best[at, rank])], ["query_id", "id", "score"])
+
+        part = rows.mapInArrow(run, "query_id long, id long, score double")
+        if chunks > 1:  # so that one chunk is held at a time
+            part = written(part)
+            sent.unpersist()
+        found = part if found is None else found.unionAll(part)
+    if found is None:
+        found = spark.createDataFrame([], "query_id long, id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")
 
 
-def k_hop(start: DataFrame, edges: DataFrame, hops: int, edge_types: tuple[str, ...] | None = None, directed: bool = True) -> DataFrame:
-    """(start_id, node_id, hop) of every node within ``hops`` steps of the nodes in ``start`` (node_id), with its least hop."""
+def _steps(edges: DataFrame, edge_types: tuple[str, ...] | None, directed: bool) -> DataFrame:
     e = (edges if edge_types is None else edges.where(F.col("edge_type").isin(*edge_types))).select("src_id", "dst_id")
-    e = (e if directed else e.unionByName(e.select(F.col("dst_id").alias("src_id"), F.col("src_id").alias("dst_id")))).distinct()
-    front = start.select(F.col("node_id").alias("start_id"), "node_id").distinct()
-    seen = front.withColumn("hop", F.lit(0))
+    return (e if directed else e.unionByName(e.select(F.col("dst_id").alias("src_id"), F.col("src_id").alias("dst_id")))).distinct()
+
+
+def hubs(edges: DataFrame, max_degree: int, edge_types: tuple[str, ...] | None = None, directed: bool = True) -> DataFrame:
+    """(node_id, degree) of the nodes from which a walk with ``max_degree`` doesn't go on."""
+    return _steps(edges, edge_types, directed).groupBy(F.col("src_id").alias("node_id")).agg(F.count("*").alias("degree")).where(F.col("degree") > max_degree)
+
+
+def k_hop(start: DataFrame, edges: DataFrame, hops: int, edge_types: tuple[str, ...] | None = None, directed: bool = True, max_degree: int | None = None, materialize: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
+    """(start_id, node_id, hop) of every node within ``hops`` steps of the nodes in ``start`` (node_id), with its least hop.
+
+    Each hop's frontier is written, and holds only nodes that no earlier one has, so every node is walked from once and the plan grows by one join a
+    hop. ``max_degree`` keeps walks from going on from ``hubs``, which that function lists.
+    """
+    e = _steps(edges, edge_types, directed)
+    if max_degree is not None:
+        e = e.join(hubs(edges, max_degree, edge_types, directed).select(F.col("node_id").alias("src_id")), "src_id", "left_anti")
+    seen = front = materialize(start.select(F.col("node_id").alias("start_id"), "node_id").distinct().withColumn("hop", F.lit(0)))
     for h in range(1, hops + 1):
-        front = front.join(e, front["node_id"] == e["src_id"]).select("start_id", F.col("dst_id").alias("node_id")).distinct()
-        seen = seen.unionByName(front.withColumn("hop", F.lit(h)))
-    return seen.groupBy("start_id", "node_id").agg(F.min("hop").alias("hop"))
+        ahead = front.join(e, front["node_id"] == e["src_id"]).select("start_id", F.col("dst_id").alias("node_id")).distinct()
+        front = materialize(ahead.join(seen.select("start_id", "node_id"), ["start_id", "node_id"], "left_anti").withColumn("hop", F.lit(h)))
+        if front.isEmpty():
+            break
+        seen = seen.unionByName(front)
+    return seen
 
 
 def match_path(start: DataFrame, edges: DataFrame, types: tuple[str, ...]) -> DataFrame:
@@ -75,6 +160,17 @@ def match_path(start: DataFrame, edges: DataFrame, types: tuple[str, ...]) -> Da
     return front
 
 
+def match_path_rows(start: DataFrame, edges: DataFrame, types: tuple[str, ...]) -> DataFrame:
+    """Every directed path with these edge types from the nodes in ``start``: (start_id, node_id, nodes, edges), with the ids of
+    its nodes in order and its edges as structs. As many rows as paths."""
+    front = start.select(F.col("node_id").alias("start_id"), "node_id").distinct().withColumn("nodes", F.array("node_id")).withColumn("edges", F.array().cast("array<struct<src_id:string,edge_type:string,dst_id:string>>"))
+    for t in types:
+        e = edges.where(F.col("edge_type") == t).select("src_id", "edge_type", "dst_id").distinct()
+        grown = F.concat("nodes", F.array("dst_id")).alias("nodes"), F.concat("edges", F.array(F.struct("src_id", "edge_type", "dst_id"))).alias("edges")
+        front = front.join(e, front["node_id"] == e["src_id"]).select("start_id", F.col("dst_id").alias("node_id"), *grown)
+    return front
+
+
 def hybrid_context(hits: DataFrame, chunks: DataFrame, edges: DataFrame, nodes: DataFrame, hops: int = 1) -> DataFrame:
     """(query_id, kind, id, text): the found chunks' texts, and the names of what their entities reach.
 

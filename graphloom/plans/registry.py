@@ -522,6 +522,31 @@ def p3_resolve_entities(spark, sf_dir):
     return graph.resolve_entities(_spelled(spark, sf_dir).withColumn("ord", F.col("p_partkey")))
 
 
+@query(f"""
+WITH s AS ({_SPELLED}), d AS (SELECT key, (row_number() OVER (ORDER BY key) - 1) // 5 AS g FROM (SELECT DISTINCT trim(lower(name)) AS key FROM s)),
+c AS (SELECT g, name, count(*) AS n, min(p_partkey) AS f FROM s JOIN d ON key = trim(lower(name)) GROUP BY ALL), r AS (SELECT name, first(name) OVER (PARTITION BY g ORDER BY n DESC, f) AS canonical FROM c),
+e AS (SELECT DISTINCT s_name, canonical FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN s ON l_partkey = s.p_partkey JOIN r USING (name))
+SELECT 'node' AS kind, md5('Part' || chr(1) || canonical) AS a, canonical AS b, arg_max(brand, (name = canonical, name)) AS c FROM r JOIN (SELECT DISTINCT name, first(p_brand) OVER (PARTITION BY name ORDER BY s.p_partkey DESC) AS brand FROM s JOIN part ON part.p_partkey = s.p_partkey) USING (name) GROUP BY canonical
+UNION ALL SELECT 'edge', md5('Supplier' || chr(1) || s_name), 'SUPPLIES', md5('Part' || chr(1) || canonical) FROM e""")
+def p3_aliases_and_edges(spark, sf_dir):
+    """Five names in alphabetic order are aliases in a chain; nodes merge under the canonical name, edges go there."""
+    spelled = _spelled(spark, sf_dir)
+    parts = spelled.join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), "p_partkey")
+    rows = parts.select("name", F.lit("Part").alias("entity_type"), F.create_map(F.lit("brand"), "p_brand").alias("properties"), F.col("p_partkey").alias("ord"))
+    suppliers = table(spark, sf_dir, "supplier")
+    made = suppliers.select(F.col("s_name").alias("name"), F.lit("Supplier").alias("entity_type"), F.create_map().cast("map<string,string>").alias("properties"), F.col("s_suppkey").cast("long").alias("ord"))
+    nodes = graph.merge_entity_nodes(None, rows.withColumn("ord", F.col("ord").cast("long")).unionByName(made))
+    sold = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").distinct().join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).join(spelled, F.col("l_partkey") == F.col("p_partkey"))
+    edges = graph.resolve_edges(sold.select(F.col("s_name").alias("from_entity"), F.lit("SUPPLIES").alias("relationship_type"), F.col("name").alias("to_entity")), nodes)
+    keys = spelled.select(F.trim(F.lower("name")).alias("key")).distinct()  # 64 names whatever the scale
+    numbered = keys.withColumn("k", F.row_number().over(Window.orderBy("key")))
+    aliases = numbered.alias("x").join(numbered.alias("y"), (F.col("y.k") == F.col("x.k") + 1) & (F.col("x.k") % 5 > 0)).select(F.upper("x.key").alias("a"), F.col("y.key").alias("b"))
+    resolved = graph.resolve_entities(rows, aliases)
+    merged, mapping = graph.canonical_nodes(nodes, resolved)
+    shown = merged.where("label = 'Part'").select(F.lit("node").alias("kind"), F.col("node_id").alias("a"), F.col("name").alias("b"), F.try_element_at("properties", F.lit("brand")).alias("c"))
+    return shown.unionByName(graph.rewrite_edges(edges, mapping).select(F.lit("edge").alias("kind"), F.col("src_id").alias("a"), F.col("edge_type").alias("b"), F.col("dst_id").alias("c")))
+
+
 @query("""
 WITH s AS (SELECT q.vec_id AS query_id, d.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]) AS score FROM embeddings q JOIN embeddings d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
@@ -544,6 +569,22 @@ def p7_match_path(spark, sf_dir):
     return retrieval.match_path(_nodes(spark, sf_dir), _edges(spark, sf_dir), ("LOCATED_IN", "LOCATED_IN"))
 
 
+@query(f"""{_GRAPH}, s AS (SELECT node_id FROM nodes WHERE label = 'Region'), two AS (SELECT src_id, dst_id FROM edges UNION SELECT dst_id, src_id FROM edges),
+h(a, b, k) AS (SELECT node_id, node_id, 0 FROM s
+  UNION ALL SELECT DISTINCT a, dst_id, k + 1 FROM (SELECT DISTINCT a, b, k FROM h) JOIN two ON src_id = b WHERE k < 3)
+SELECT a AS start_id, b AS node_id, min(k)::INT AS hop FROM h GROUP BY a, b""".replace("WITH e AS", "WITH RECURSIVE e AS"))
+def p7_k_hop_undirected(spark, sf_dir):
+    """Three hops in both directions from each region, through nations with very many customers."""
+    return retrieval.k_hop(_nodes(spark, sf_dir).where("label = 'Region'"), shared.written(_edges(spark, sf_dir)), 3, directed=False)
+
+
+@query(f"""{_GRAPH} SELECT x.src_id AS start_id, y.dst_id AS node_id, x.src_id || '|' || x.dst_id || '|' || y.dst_id AS nodes, 'LOCATED_IN>LOCATED_IN' AS types FROM edges x JOIN edges y ON y.src_id = x.dst_id WHERE x.edge_type = 'LOCATED_IN' AND y.edge_type = 'LOCATED_IN'""")
+def p7_match_path_rows(spark, sf_dir):
+    """Each path from a place's customer over the nation to the region, with all its nodes and edges."""
+    found = retrieval.match_path_rows(_nodes(spark, sf_dir), _edges(spark, sf_dir), ("LOCATED_IN", "LOCATED_IN"))
+    return found.select("start_id", "node_id", F.array_join("nodes", "|").alias("nodes"), F.array_join("edges.edge_type", ">").alias("types"))
+
+
 @query("""
 WITH s AS (SELECT q.vec_id AS query_id, d.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]) AS score FROM embeddings q JOIN embeddings d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s),
