@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import json
 import random
+import threading
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,50 +50,109 @@ class FatalError(Exception):
     """Access denied or a request that is not valid: no other try."""
 
 
+class Pace:
+    """Spaces the calls of one task: at most ``share`` a second. A throttled call halves the pace, every answer lifts it by a tenth
+    of the share again, up to the share."""
+
+    def __init__(self, share: float, wait: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic):
+        self.share, self.now, self.wait, self.clock = share, share, wait, clock
+        self.next, self.lock = clock(), threading.Lock()
+
+    def turn(self) -> None:
+        """Returns when the next call may begin."""
+        with self.lock:
+            at = max(self.clock(), self.next)
+            self.next = at + 1 / self.now
+        if (left := at - self.clock()) > 0:
+            self.wait(left)
+
+    def tell(self, throttled: bool) -> None:
+        with self.lock:
+            self.now = max(self.now / 2, self.share / 64) if throttled else min(self.share, self.now + self.share / 10)
+
+
+_CALL = "response string, attempts int, status string, error string, throttles int, seconds double"
+
+
 def complete_prompts(
     df: DataFrame, fn: Callable[[str], str], prompt: str = "prompt", tries: int = 3, parallel: int | None = None, in_flight: int = 1,
-    done: DataFrame | None = None, keys: tuple[str, ...] = ("doc_id", "chunk_seq"), wait: Callable[[float], None] = time.sleep,
+    done: DataFrame | None = None, keys: tuple[str, ...] = ("doc_id", "chunk_seq"), wait: Callable[[float], None] = time.sleep, rate: float | None = None,
 ) -> DataFrame:
     """``df`` with response, attempts, status (ok, failed), error, throttles and seconds. ``fn`` takes a prompt and may raise
     the errors above.
 
     A retryable error waits 2**attempt seconds and up to one more; an answer without a brace is asked for again at once, and
     the last one is returned as it is; all other errors fail at once, and ``error`` says which. ``parallel`` tasks have
-    ``in_flight`` calls each. Write the result before parsing it, so that a lost executor repeats only its own calls; to go on
+    ``in_flight`` calls each; ``rate`` is how many calls a second all of them make together, of which each task takes its equal
+    share (``Pace``), and needs ``parallel``. Write the result before parsing it, so that a lost executor repeats only its own calls; to go on
     after a stop, pass what was written as ``done``: rows with its ``keys`` whose status is ok are not asked for again.
     """
+    if rate is not None and parallel is None:
+        raise ValueError("a rate over all tasks needs their number")
     if done is not None:
         df = df.join(done.where("status = 'ok'").select(*keys).distinct(), list(keys), "left_anti")
-    result = "response string, attempts int, status string, error string, throttles int, seconds double"
-    schema = T.StructType([*df.schema.fields, *T.StructType.fromDDL(result).fields])
+    schema = T.StructType([*df.schema.fields, *T.StructType.fromDDL(_CALL).fields])
+    names, kinds = [f.name for f in schema.fields], to_arrow_schema(T.StructType.fromDDL(_CALL))
 
-    def ask(text):
+    def ask(text, pace):
         throttles, began = 0, time.monotonic()
         for attempt in range(1, tries + 1):
             try:
+                if pace:
+                    pace.turn()
                 answer = fn(text)
+                if pace:
+                    pace.tell(False)
                 if "{" in answer or attempt == tries:
                     return answer, attempt, "ok", None, throttles, time.monotonic() - began
             except RetryableError as e:
                 throttles += 1
+                if pace:
+                    pace.tell(True)
                 if attempt == tries:
                     return None, attempt, "failed", f"{type(e).__name__}: {e}", throttles, time.monotonic() - began
                 wait(2 ** (attempt - 1) + random.random())
             except Exception as e:  # one prompt's error must not end the run; the row says what it was
                 return None, attempt, "failed", f"{type(e).__name__}: {e}", throttles, time.monotonic() - began
 
-    names, kinds = [f.name for f in schema.fields], to_arrow_schema(T.StructType.fromDDL(result))
-
     def run(batches):  # the columns of ``df`` pass as they are
+        pace = Pace(rate / parallel) if rate else None
         with ThreadPoolExecutor(in_flight) as pool:
             for b in batches:
-                rows = list(pool.map(ask, b.column(prompt).to_pylist()))
+                rows = list(pool.map(lambda text: ask(text, pace), b.column(prompt).to_pylist()))
                 answers = [pa.array([r[k] for r in rows], kinds.field(k).type) for k in range(len(kinds))]
                 yield pa.RecordBatch.from_arrays([*b.columns, *answers], names)
 
     return (df if parallel is None else df.repartition(parallel)).mapInArrow(run, schema)
 
 
+def answer_prompts(df: DataFrame, fn: Callable[[str], str], answers: str, prompt: str = "prompt", **call) -> DataFrame:
+    """D5 with a table of answers: ``df`` as ``complete_prompts`` gives it, with one call for all equal prompts, ever.
+
+    ``answers`` is a Parquet folder of (prompt_id, run, and what D5 adds), keyed by the prompts' SHA-256. Prompts without a good answer
+    there are asked for, in ``complete_prompts``'s way, and what comes back is added to it before it is joined to the rows; so a
+    run that comes again asks only for what failed or was lost. A hot prompt is one row on the side of the answers.
+    """
+    spark = df.sparkSession
+    keyed = df.withColumn("prompt_id", F.sha2(F.coalesce(prompt, F.lit("")), 256))
+    schema = T.StructType.fromDDL(f"prompt_id string, run long, {_CALL}")
+
+    def known():
+        try:
+            return spark.read.schema(schema).parquet(answers)
+        except AnalysisException:  # no answer yet
+            return spark.createDataFrame([], schema)
+
+    asked = keyed.select("prompt_id", F.coalesce(prompt, F.lit("")).alias(prompt)).dropDuplicates(["prompt_id"])
+    asked = asked.join(known().where("status = 'ok'").select("prompt_id").distinct(), "prompt_id", "left_anti")
+    run = known().agg(F.coalesce(F.max("run"), F.lit(0)) + 1).first()[0]
+    told = complete_prompts(asked, fn, prompt, **call).withColumn("run", F.lit(run).cast("long"))
+    told.select(*schema.names).write.mode("append").parquet(answers)
+    fields = [f.name for f in T.StructType.fromDDL(_CALL)]
+    best = known().groupBy("prompt_id").agg(F.max_by(F.struct(*fields), F.struct(F.col("status") == "ok", "run")).alias("answer"))
+    return keyed.join(best, "prompt_id", "left").select(*df.columns, "answer.*")
+
+
 def _object_in(text: str | None) -> dict:
     """The JSON object that is the whole text, or lies between its first and last brace; else an empty one."""
     text = text or ""

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import strip
 from graphloom.operators.graph import edge_counts_by_type, node_counts_by_label
+from graphloom.sources.shared import written
 
 SYSTEM_LABELS, SYSTEM_TYPES = ("Chunk", "Document"), ("MENTIONS", "FROM_DOCUMENT")
 
@@ -65,21 +68,46 @@ def graph_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def validation_report(nodes: DataFrame, edges: DataFrame, chunks: DataFrame, entity_types: DataFrame | None, relationship_types: DataFrame | None) -> DataFrame:
-    """(check, n, severity) of every check: pass where n is 0; info for what needs a schema that isn't given."""
+def graph_profile(nodes: DataFrame, edges: DataFrame, chunks: DataFrame) -> DataFrame:
+    """A row for each node, chunk and end of an edge: (node_id, label, name, is_node, is_chunk, n_in, n_out, mentions, ends), by one
+    union and group-by over the three tables. ``ends`` are the types and sides of its edges: as many as types at most."""
+    # Edges are summed up by end, type and side before they meet the nodes, so a hub brings a row for each task.
+    sides = F.explode(F.array(F.struct(F.col("src_id").alias("node_id"), F.lit("out").alias("side")), F.struct(F.col("dst_id").alias("node_id"), F.lit("in").alias("side")))).alias("end")
+    ends = edges.select("edge_type", sides).groupBy("end.node_id", "edge_type", "end.side").agg(F.count("*").alias("n"))
+    none = lambda kind: F.lit(None).cast(kind)
+    rows = nodes.select("node_id", "label", "name", F.lit(True).alias("is_node"), F.lit(False).alias("is_chunk"), none("string").alias("edge_type"), none("string").alias("side"), none("long").alias("n"))
+    rows = rows.unionByName(chunks.select(F.col("id").alias("node_id"), F.lit(True).alias("is_chunk")), allowMissingColumns=True).unionByName(ends, allowMissingColumns=True)
+    total = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+    out = F.col("side") == "out"
+    return rows.groupBy("node_id").agg(
+        F.max("label").alias("label"), F.max("name").alias("name"), F.coalesce(F.max("is_node"), F.lit(False)).alias("is_node"), F.coalesce(F.max("is_chunk"), F.lit(False)).alias("is_chunk"),
+        total(~out).alias("n_in"), total(out).alias("n_out"), total(out & (F.col("edge_type") == "MENTIONS")).alias("mentions"), F.collect_set(F.when(F.col("side").isNotNull(), F.struct("edge_type", "side"))).alias("ends"),
+    )
+
+
+def validation_report(nodes: DataFrame, edges: DataFrame, chunks: DataFrame, entity_types: DataFrame | None, relationship_types: DataFrame | None, materialize: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
+    """(check, n, severity) of every check: pass where n is 0; info for what needs a schema that isn't given.
+
+    Each table is read once, for ``graph_profile``; that is written, and the checks read it. A type has the wrong direction if a
+    node at one of its edges' ends has another label than the schema says.
+    """
+    profile = materialize(graph_profile(nodes, edges, chunks))
     one = lambda df, name, bad: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("check"), F.col("n").cast("long").alias("n"), F.lit(bad).alias("bad"))
     no_schema = lambda x: "warning" if x is not None else "info"
+    found, ends = profile.where("is_node"), profile.select("label", "is_node", F.explode("ends").alias("e")).select("label", "is_node", "e.*").distinct()
     rows = [
-        one(unexpected_labels(nodes, entity_types), "unexpected_labels", no_schema(entity_types)),
-        one(unexpected_types(edges, relationship_types), "unexpected_types", no_schema(relationship_types)),
-        one(orphan_nodes(nodes, edges), "orphan_nodes", "warning"),
-        one(dangling_chunks(chunks, edges), "dangling_chunks", "warning"),
-        one(duplicate_entities(nodes), "duplicate_entities", "error"),
+        one(unexpected_labels(found, entity_types), "unexpected_labels", no_schema(entity_types)),
+        one(unexpected_types(ends, relationship_types), "unexpected_types", no_schema(relationship_types)),
+        one(found.where("n_in + n_out = 0"), "orphan_nodes", "warning"),
+        one(profile.where("is_chunk and mentions = 0"), "dangling_chunks", "warning"),
+        one(duplicate_entities(found), "duplicate_entities", "error"),
     ]
     if relationship_types is None:  # nothing to compare with: one row that says so
         rows.append(nodes.sparkSession.range(1).select(F.lit("wrong_direction").alias("check"), F.lit(0).cast("long").alias("n"), F.lit("info").alias("bad")))
     else:
-        rows.append(one(wrong_direction_edges(nodes, edges, relationship_types).where("wrong > 0"), "wrong_direction", "warning"))
+        types = F.broadcast(relationship_types.where("from_type <> '' and to_type <> ''").select(F.col("name").alias("edge_type"), "from_type", "to_type"))  # a schema, not data
+        wrong = F.col("label") != F.when(F.col("side") == "out", F.col("from_type")).otherwise(F.col("to_type"))
+        rows.append(one(ends.where("is_node").join(types, "edge_type").where(wrong).select("edge_type").distinct(), "wrong_direction", "warning"))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

@@ -94,8 +94,11 @@ def c7_c8_f6_chunk_nodes(spark, sf_dir):
     return graph.merge_chunk_nodes(None, chunking.chunk_nodes(chunks))
 
 
-@query("""
-SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'structured' WHEN doc_id % 3 = 1 THEN 'tabular' ELSE 'plain' END AS content_type FROM documents""")
+@query(r"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS p, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
+t AS (SELECT doc_id, string_agg(CASE doc_id % 3 WHEN 0 THEN CASE WHEN i % 5 = 0 THEN '## Part ' || i || chr(10) || chr(10) ELSE '' END || p WHEN 1 THEN '| ' || p ELSE p END || CASE doc_id % 3 WHEN 1 THEN '' ELSE chr(10) END, chr(10) ORDER BY i) AS text FROM l GROUP BY doc_id),
+s AS (SELECT doc_id, string_split(trim(text, ' ' || chr(9) || chr(10)), chr(10)) AS lines FROM t)
+SELECT doc_id, CASE WHEN 2 * len(list_filter(lines, lambda x: starts_with(trim(x, ' ' || chr(9)), '|'))) > len(lines) THEN 'tabular' WHEN len(list_filter(lines, lambda x: regexp_matches(x, '^#{1,6}\s'))) > 0 THEN 'structured' ELSE 'plain' END AS content_type FROM s""")
 def b1_content_type(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     text = F.when(F.col("doc_id") % 3 == 0, _headed()).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("| "), F.replace(_plain(), F.lit("\n\n"), F.lit("\n| ")))).otherwise(_plain())
@@ -219,7 +222,13 @@ def p10_chunk_fixed(spark, sf_dir):
 
 
 @query("""
-SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN '.pdf' WHEN 1 THEN NULL WHEN 2 THEN '.docx' WHEN 3 THEN '.md' WHEN 4 THEN NULL ELSE '.csv' END AS file_type FROM documents""")
+WITH f AS (
+  SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN '255044462D' WHEN 1 THEN '89504E470D0A1A0A' WHEN 2 THEN '504B0304' || repeat('00', 26) || '776F72642F' ELSE '' END || hex(encode(left(text, 300))) AS bytes,
+    '/in/' || doc_id || CASE doc_id % 6 WHEN 3 THEN '.MD' WHEN 4 THEN '.exe' WHEN 5 THEN '.csv' ELSE '' END AS path FROM documents),
+e AS (SELECT *, lower(regexp_extract(path, '([.][^./]+)$', 1)) AS ending FROM f)
+SELECT doc_id, CASE WHEN starts_with(bytes, '25504446') THEN '.pdf' WHEN starts_with(bytes, '504B0304') THEN CASE WHEN substr(bytes, 61, 10) = '776F72642F' THEN '.docx' END
+  WHEN starts_with(bytes, '89504E47') OR starts_with(bytes, '424D') OR starts_with(bytes, '4D5A') OR starts_with(bytes, '494433') OR starts_with(bytes, '464C56') THEN NULL
+  WHEN ending IN ('.txt', '.md', '.markdown', '.html', '.htm', '.csv') THEN ending END AS file_type FROM e""")
 def a2_detect_file_type(spark, sf_dir):
     kind = F.col("doc_id") % 6
     head = F.when(kind == 0, F.unhex(F.lit("255044462D"))).when(kind == 1, F.unhex(F.lit("89504E470D0A1A0A"))).when(kind == 2, F.unhex(F.lit("504B0304" + "00" * 26 + "776F72642F"))).otherwise(F.unhex(F.lit("")))
@@ -411,13 +420,16 @@ def f7_link_mentions(spark, sf_dir):
     return graph.link_mentions(docs, _names(spark, sf_dir))
 
 
-@query(f"""{_GRAPH}
-SELECT (SELECT count(*) FROM e) AS nodes_created, (SELECT count(*) FROM rel) AS relationships_created, 0::BIGINT AS chunks_created, (SELECT count(*) FROM nodes) AS nodes_distinct,
-  (SELECT count(*) FROM edges) AS edges_distinct, (SELECT count(*) FROM rel WHERE b = 'Nobody') AS unmatched""")
+@query(f"""{_GRAPH},
+t AS (SELECT DISTINCT substr(md5(text), 1, 12) AS id, lower(text) AS low FROM documents WHERE text IS NOT NULL), m AS (SELECT DISTINCT id, node_id FROM t JOIN (SELECT DISTINCT node_id, lower(name) AS name FROM nodes) ON contains(low, name))
+SELECT (SELECT count(*) FROM e) AS nodes_created, (SELECT count(*) FROM rel) AS relationships_created, (SELECT count(*) FROM documents WHERE text IS NOT NULL) AS chunks_created, (SELECT count(*) FROM nodes) AS nodes_distinct,
+  (SELECT count(*) FROM edges) + (SELECT count(*) FROM m) AS edges_distinct, (SELECT count(*) FROM rel WHERE b = 'Nobody') AS unmatched""")
 def e7_f8_load_stats(spark, sf_dir):
+    """With every document as a chunk."""
     entities, relationships = _entities(spark, sf_dir), _relationships(spark, sf_dir)
-    loaded = graph.chunks_to_graph(entities, relationships)
-    return graph.load_stats(entities, relationships, spark.createDataFrame([], "id string"), loaded["nodes"], loaded["edges"])
+    chunks = table(spark, sf_dir, "documents").where("text is not null").select(F.col("text").alias("content"), "source", F.lit(None).cast("string").alias("section"), F.col("doc_id").alias("ord"))
+    loaded = graph.chunks_to_graph(entities, relationships, spread(chunks))
+    return graph.load_stats(entities, relationships, chunks, loaded["nodes"], loaded["edges"])
 
 
 @query(f"""{_GRAPH}
@@ -762,6 +774,17 @@ def d4_d5_d7_extract_chunks(spark, sf_dir):
     return asked.select("doc_id", "attempts", "status", "error", "throttles", F.try_element_at("extraction.entities", F.lit(1))["name"].alias("name"), F.md5("prompt").alias("prompt"))
 
 
+@query("SELECT doc_id, md5('{' || left(text, 40)) AS response, CASE WHEN text IS NULL THEN 'failed' ELSE 'ok' END AS status, 1 AS calls FROM documents WHERE text IS NOT NULL")
+def d5_answer_prompts(spark, sf_dir):
+    """One call for each distinct beginning of a document, from a table of answers that a first run over half of them has filled."""
+    docs = spread(table(spark, sf_dir, "documents")).where("text is not null").select("doc_id", F.left("text", F.lit(40)).alias("prompt"))
+    answers = shared.shared_path(spark)
+    extraction.answer_prompts(docs.where("doc_id % 2 = 0"), lambda p: "{" + p, answers, parallel=4)
+    found = extraction.answer_prompts(docs, lambda p: "{" + p, answers, parallel=4)
+    calls = spark.read.parquet(answers).groupBy("prompt_id").agg(F.count("*").cast("int").alias("calls"))
+    return found.withColumn("prompt_id", F.sha2("prompt", 256)).join(calls, "prompt_id").select("doc_id", F.md5("response").alias("response"), "status", "calls")
+
+
 @query("SELECT doc_id, length(text)::FLOAT AS a, (length(text) - length(replace(text, 'e', '')))::FLOAT AS b FROM documents WHERE text IS NOT NULL")
 def p5_embed_chunks(spark, sf_dir):
     docs = spread(table(spark, sf_dir, "documents")).where("text is not null").select("doc_id", F.col("text").alias("content"))
