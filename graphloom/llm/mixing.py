@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.shared import written
 
-#: Cells up to which one task rakes all of them without a shuffle; the numbers are the same.
+#: Cells up to which one task rakes all of them without a shuffle; beyond, values are summed on the map side and joined back. The
+#: numbers are the same but for the order of sums.
 ONE_TASK_CELLS = 20_000
 #: Rounds of raking at most and in one plan, and the share of the budget by which margins may miss their targets.
 ROUNDS, PLAN_ROUNDS, TOLERANCE = 64, 4, 1e-4
@@ -49,22 +50,64 @@ def unit_number(key: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(key.cast("string"), F.lit("null"))).cast("binary")), 1, 8), 16, 10).cast("double") / 2**32
 
 
-def _targets(cells: DataFrame, margin: str, budget: float, temperature: float) -> DataFrame:
-    """(value, target in tokens) of a margin: tempered shares of the budget, with no value over its mass."""
-    every = Window.partitionBy()
-    values = cells.groupBy(margin).agg(F.sum("mass").alias("m")).withColumn("all", F.sum("m").over(every))
-    values = values.withColumn("w", F.when(F.col("all") > 0, F.pow(F.col("m") / F.col("all"), temperature)).otherwise(0.0))
-    values = values.withColumn("w", F.when(F.col("w") > 0, F.col("w") / F.sum("w").over(every)).otherwise(0.0))
+def _level_by_sort(values: DataFrame, budget: float) -> DataFrame:
+    """``values`` with ``first``, the tokens that a weight of 1 gets, from one ordered window: for few values."""
     # Values that lack most come first. With those before a value at their bounds, the level is what a weight of 1 gets.
-    before = Window.partitionBy().orderBy(F.when(F.col("w") > 0, F.col("m") / F.col("w")).asc_nulls_last(), F.col(margin)).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy().orderBy(F.when(F.col("w") > 0, F.col("m") / F.col("w")).asc_nulls_last(), F.col("_value")).rowsBetween(Window.unboundedPreceding, -1)
     sums = [F.coalesce(F.sum(c).over(before), F.lit(0.0)).alias(f"{c}_before") for c in ("m", "w")]
     values = values.select("*", *sums).withColumn("rest", F.lit(1.0) - F.col("w_before"))
-    level = (F.lit(min(budget, 1.0)) * F.col("all") - F.col("m_before")) / F.col("rest")
+    level = (F.lit(budget) * F.col("all") - F.col("m_before")) / F.col("rest")
     values = values.withColumn("level", F.when((F.col("w") > 0) & (F.col("rest") > 0) & (level * F.col("w") <= F.col("m") * (1 + 1e-12)), level))
-    first = F.first("level", ignorenulls=True).over(before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    values = values.withColumn("first", first)
+    return values.withColumn("first", F.first("level", ignorenulls=True).over(before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+
+
+def _level_by_sums(values: DataFrame, budget: float) -> DataFrame:
+    """The same for any number of values: the level rises from the budget as values reach their bounds, by sums alone, until none
+    more does."""
+    level = rest = None
+    while True:
+        full = F.lit(False) if level is None else F.col("m") < level * F.col("w")
+        given, weight, every = values.where("w > 0").agg(F.sum(F.when(full, F.col("m")).otherwise(0.0)), F.sum(F.when(full, F.col("w")).otherwise(0.0)), F.max("all")).first()
+        rest = 1.0 - (weight or 0.0)
+        if every is None or rest <= 1e-12:  # no tokens, or every value at its bound
+            return values.withColumn("first", F.lit(None).cast("double"))
+        raised = (budget * every - given) / rest
+        if level is not None and raised <= level * (1 + 1e-12):
+            return values.withColumn("first", F.lit(level))
+        level = raised
+
+
+def _targets(cells: DataFrame, margin: str, budget: float, temperature: float, small: bool) -> DataFrame:
+    """(value, target in tokens) of a margin: tempered shares of the budget, with no value over its mass."""
+    values = cells.groupBy(F.col(margin).alias("_value")).agg(F.sum("mass").alias("m"))
+    shares = lambda df, w, total: df.withColumn(w, F.when(F.col(total) > 0, F.col(w) / F.col(total)).otherwise(0.0))
+    if small:
+        every = Window.partitionBy()
+        values = values.withColumn("all", F.sum("m").over(every)).withColumn("w", F.when(F.col("all") > 0, F.pow(F.col("m") / F.col("all"), temperature)).otherwise(0.0))
+        values = _level_by_sort(shares(values.withColumn("sum_w", F.sum("w").over(every)), "w", "sum_w"), min(budget, 1.0))
+    else:
+        values = written(values)
+        every = values.agg(F.sum("m")).first()[0]
+        values = values.withColumn("all", F.lit(every)).withColumn("w", F.when(F.col("all") > 0, F.pow(F.col("m") / F.col("all"), temperature)).otherwise(0.0))
+        values = values.withColumn("sum_w", F.lit(values.agg(F.sum("w")).first()[0]))
+        values = _level_by_sums(shares(values, "w", "sum_w"), min(budget, 1.0))
     want = F.coalesce(F.least(F.col("m"), F.col("first") * F.col("w")), F.col("m")).cast("double")
-    return values.select(F.col(margin).alias("_value"), want.alias(f"want_{margin}"), (want >= F.col("m") * (1 - 1e-9)).alias(f"full_{margin}"))
+    return values.select("_value", want.alias(f"want_{margin}"), (want >= F.col("m") * (1 - 1e-9)).alias(f"full_{margin}"))
+
+
+def _scaled(now: DataFrame, m: str, kept: list[str], small: bool) -> DataFrame:
+    """One step of raking: the cells that are not at their bounds are scaled to what the margin lacks."""
+    fixed_part = F.when(F.col("z") >= F.col("mass"), F.col("mass")).otherwise(0.0)
+    free_part = F.when(F.col("z") < F.col("mass"), F.col("z")).otherwise(0.0)
+    if small:
+        value = Window.partitionBy(m)
+        now = now.withColumns({"_fixed": F.sum(fixed_part).over(value), "_free": F.sum(free_part).over(value)})
+    else:  # a value's cells are summed where they are, and its two sums join them
+        sums = now.groupBy(F.col(m).alias("_value")).agg(F.sum(fixed_part).alias("_fixed"), F.sum(free_part).alias("_free"))
+        now = now.join(sums, now[m].eqNullSafe(sums["_value"])).drop("_value")
+    want, fixed, free = F.col(f"want_{m}"), F.col("_fixed"), F.col("_free")
+    factor = F.when((free > 0) & (want > fixed), (want - fixed) / free).when(fixed + free > 0, want / (fixed + free)).otherwise(1.0)
+    return now.select(*kept, F.least(F.col("z") * factor, F.col("mass") * OVER).alias("z"))
 
 
 def rake(cells: DataFrame, margins: tuple[str, ...], budget: float, temperature: float = 0.5) -> DataFrame:
@@ -72,7 +115,7 @@ def rake(cells: DataFrame, margins: tuple[str, ...], budget: float, temperature:
     small = cells.count() <= ONE_TASK_CELLS
     now = cells
     for m in margins:
-        wants = _targets(cells, m, budget, temperature)
+        wants = _targets(cells, m, budget, temperature, small)
         now = now.join(wants, now[m].eqNullSafe(wants["_value"])).drop("_value")
     full = F.greatest(*[F.col(f"full_{m}") for m in margins])  # a value that gives all it has takes its cells to their bounds
     now = now.withColumn("z", F.col("mass") * F.when(full, OVER).otherwise(min(budget, 1.0))).drop(*[f"full_{m}" for m in margins])
@@ -80,16 +123,17 @@ def rake(cells: DataFrame, margins: tuple[str, ...], budget: float, temperature:
     kept = [c for c in now.columns if c != "z"]
     for _ in range(0, ROUNDS, PLAN_ROUNDS):
         now = now.coalesce(1) if small else now
-        for m in list(margins) * PLAN_ROUNDS:
-            value = Window.partitionBy(m)
-            fixed = F.sum(F.when(F.col("z") >= F.col("mass"), F.col("mass")).otherwise(0.0)).over(value)
-            free = F.sum(F.when(F.col("z") < F.col("mass"), F.col("z")).otherwise(0.0)).over(value)
-            want = F.col(f"want_{m}")
-            factor = F.when((free > 0) & (want > fixed), (want - fixed) / free).when(fixed + free > 0, want / (fixed + free)).otherwise(1.0)
-            now = now.select(*kept, F.least(F.col("z") * factor, F.col("mass") * OVER).alias("z"))
-        now = written(now)
-        misses = [F.abs(F.sum(taken).over(Window.partitionBy(m)) - F.col(f"want_{m}")).alias(f"miss_{m}") for m in margins]
-        worst = now.select("mass", *misses).agg(F.max(F.greatest(*[F.col(f"miss_{m}") for m in margins])), F.sum("mass")).first()
+        for k, m in enumerate(list(margins) * PLAN_ROUNDS):
+            now = _scaled(now, m, kept, small)
+            if not small and k % len(margins) == len(margins) - 1:  # a plan of one round: each step reads its input twice
+                now = written(now)
+        if small:
+            now = written(now)
+        misses = [now.groupBy(m).agg(F.abs(F.sum(taken) - F.max(f"want_{m}")).alias("miss")).agg(F.max("miss").alias("miss")) for m in margins]
+        most = misses[0]
+        for x in misses[1:]:
+            most = most.unionByName(x)
+        worst = most.agg(F.max("miss")).first()[0], now.agg(F.sum("mass")).first()[0]
         if not worst[1] or worst[0] <= TOLERANCE * budget * worst[1]:
             break
     return now.select(*margins, "mass", *[f"want_{m}" for m in margins], taken.alias("raked"))
