@@ -17,6 +17,7 @@ and each worker reads: 4 bytes for each trigram and label. Only labels and their
 from __future__ import annotations
 
 import functools
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -112,16 +113,10 @@ class Model:
 
     @functools.cached_property
     def _levels(self) -> tuple[np.ndarray, np.ndarray]:
-        """The trigrams in order, and a row of logarithms for each of them after one for a trigram that never occurred."""
-        width = len(self.labels)
-        none = np.log(ALPHA / _mass(self.totals, self.distinct)).astype(np.float32)
-        grams, logs = [np.zeros(0, np.int32)], [none[None]]
-        for name in self.files:
-            data = np.frombuffer(map_file(name), np.uint8)
-            n = data.size // (4 + 4 * width)
-            grams.append(data[: 4 * n].view("<i4"))
-            logs.append(data[4 * n :].view("<f4").reshape(n, width))
-        return np.concatenate(grams), np.concatenate(logs)
+        """The trigrams in order, and a row of logarithms for each of them after one for a trigram that never occurred; both mapped
+        from their files where the shared folder is mounted, so a machine's workers share them."""
+        grams, logs = (np.frombuffer(map_file(name), np.uint8) for name in self.files)
+        return grams.view("<i4"), logs.view("<f4").reshape(-1, len(self.labels))
 
     @property
     def grams(self) -> np.ndarray:
@@ -272,10 +267,21 @@ def train(docs: DataFrame, text_col: str = "text", label_col: str = "lang") -> M
         counted[place, np.searchsorted(np.array(labels, object), np.array(group.column("label").to_pylist(), object))] = n
         logs = np.log((counted + ALPHA) / _mass(sums, distinct))
         part = group.column("part")[0].as_py()
-        return pa.table({"part": pa.array([part], pa.int32()), "name": [put_file(folder, f"grams-{part:03d}", [grams.astype("<i4").tobytes(), logs.astype("<f4").tobytes()])]})
-
-    ranges = counts.withColumn("part", F.shiftright("gram", 24 - RANGE_BITS)).groupBy("part").applyInArrow(write, "part int, name string")
-    return Model(labels, sums, distinct, [name for _, name in sorted(map(tuple, ranges.collect()))])  # a row a range
+        names = [put_file(folder, f"{kind}-{part:03d}", [x.tobytes()]) for kind, x in (("grams", grams.astype("<i4")), ("logs", logs.astype("<f4")))]
+        return pa.table({"part": pa.array([part], pa.int32()), "grams": [names[0]], "logs": [names[1]]})
+
+    def join(kinds):
+        for b in kinds:
+            for kind, names in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                none = np.log(ALPHA / _mass(sums, distinct)).astype("<f4").tobytes() if kind == "logs" else b""
+                parts = (memoryview(map_file(x)) for x in names)  # one after the other
+                yield pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([put_file(folder, kind, itertools.chain([none], parts))])], ["kind", "name"])
+
+    ranges = counts.withColumn("part", F.shiftright("gram", 24 - RANGE_BITS)).groupBy("part").applyInArrow(write, "part int, grams string, logs string")
+    rows = sorted(map(tuple, ranges.collect()))  # a row a range
+    lists = docs.sparkSession.createDataFrame([("grams", [r[1] for r in rows]), ("logs", [r[2] for r in rows])], "kind string, names array<string>")
+    whole = dict(map(tuple, lists.repartition(2, "kind").mapInArrow(join, "kind string, name string").collect()))
+    return Model(labels, sums, distinct, [whole["grams"], whole["logs"]])
 
 
 def predict(docs: DataFrame, model: Model | None, keep: list[Column], text_col: str = "text") -> DataFrame:
