@@ -16,7 +16,8 @@ Windows are skipped before that by an exact bound: a window needs as many shingl
 similarity asks for. Items with fewer words than a shingle are one shingle as a whole, found in windows of their own length
 only. Items and documents that are null or without words match nothing. Repeated items are reported each, those with a null
 id under null; repeated rows of documents too. Items are sent to the tasks in chunks of bounded size, however large the
-benchmark is: each chunk is a pass over the documents.
+benchmark is: each chunk is a pass over the documents. A long text is slid over whole, in steps of bounded windows. Without documents
+or items nothing is found; columns of the documents beside id and text are not read, and ``clean`` gives them back as they are.
 """
 
 from __future__ import annotations

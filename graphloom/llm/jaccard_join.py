@@ -18,7 +18,8 @@ shares ``least_met`` prefix columns, and whole sets are sent only for pairs that
 
 A document with fewer than five words has its whole sequence as one n-gram; one without words is linked with nothing.
 Rows with a null id have a null component and link nothing. Rows with one id and several texts are one document: what links
-with one of its texts is linked with all of them.
+with one of its texts is linked with all of them. A long text's set is whole. An empty table gives an empty result; further columns are not
+read.
 """
 
 from __future__ import annotations

@@ -8,10 +8,10 @@ proportion is the score.
 
 A null text, or one without a letter, is ``und`` with score 0. Labels that are null don't train. Ties go to the label that
 sorts first. Without training texts every document is ``und``. Repeated rows are judged alike; further columns are not read,
-and kept columns with a result's name give way.
+and kept columns with a result's name give way. Long texts are judged by all their words. No rows to judge give none.
 
-The model holds every trigram that occurs (2^24 at most), in files by ranges of trigrams in the shared folder, which tasks write
-and each worker reads: 4 bytes for each trigram and label. Only labels and their totals reach the driver.
+The model holds every trigram that occurs (2^24 at most), in two files in the shared folder that tasks write by ranges of trigrams and
+workers map: 4 bytes for each trigram and label. Only labels and their totals reach the driver.
 """
 
 from __future__ import annotations

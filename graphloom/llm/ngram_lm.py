@@ -30,6 +30,7 @@ end a text, once these are summed. Words are told apart by 64 bits of hash.
 
 Null texts are empty and hold the end alone. Without training rows every count is 0. Rows with null ids are scored like
 others; repeated rows count as often as they occur; further columns are not read, and kept columns with a result's name give way.
+Long texts are scored whole, in steps of bounded tokens. No rows to score give none.
 """
 
 from __future__ import annotations

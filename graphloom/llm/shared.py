@@ -36,7 +36,7 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def text_batches(spark: SparkSession) -> None:
-    """Keeps Arrow batches small, as rows hold whole texts."""
+    """Keeps Arrow batches small, as rows hold whole texts. The session keeps these sizes: later functions get such batches too."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", TEXT_BATCH_BYTES)
 

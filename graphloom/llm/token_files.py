@@ -8,7 +8,9 @@ frame, then their number, the descriptor and the magic number. So a reader finds
 end, and decompresses one frame.
 
 Files are in document order: the rows are range-partitioned by id, and each partition writes one file. Null or empty texts
-hold the end id alone; rows with a null id come first; repeated rows are documents each.
+hold the end id alone; rows with a null id come first; repeated rows are documents each. In a file a null id is the least 64-bit number,
+so that number itself comes back as null. A long text is a document of one frame, whatever its length. An empty table gives an empty
+result; further columns are not read.
 """
 
 from __future__ import annotations

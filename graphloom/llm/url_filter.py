@@ -5,7 +5,8 @@ rule's. Every host suffix and path prefix that a rule could have is hashed and s
 confirms a hit, so two keys with one digest do no harm. The longest fitting rule wins.
 
 Null URLs and URLs without ``://`` have an empty host and path and fit no rule. Rules with equal host and path count once;
-``block`` wins. Without rules each URL gets the default verdict. Repeated rows stay; further columns are not read.
+``block`` wins. Without rules each URL gets the default verdict. Repeated rows stay; further columns are not read; pages without rows
+give none. A long URL is looked up by all of its host's suffixes and all prefixes of its path.
 """
 
 from __future__ import annotations
