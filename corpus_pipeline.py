@@ -66,7 +66,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written to the shared folder and read as the next one's input."""
+    """All stages over ``documents``; each result is written to the shared folder and read as the next one's input.
+
+    Documents without a letter, null texts among them, go with the first stage, and of repeated rows one stays after the second;
+    rows with a null id are kept apart from near-duplicate removal. Long texts are judged and encoded whole. Further columns of
+    ``documents`` are not read; an empty table gives an empty result.
+    """
     docs = table(spark, sf_dir, "documents").select(*COLUMNS)
     for _, stage in STAGES:
         path = shared_dir(spark)
