@@ -90,6 +90,8 @@ def upsert_chunks(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 #: Letters of the gram by which a name is looked up in texts, and slots that tell grams of no name apart early.
 GRAM, SLOTS = 6, 1 << 20
+#: Names of one or two letters up to which all are looked for in each text at once; nearly all texts meet in such a gram.
+TINY, TINY_NAMES = 3, 4096
 
 
 def _grams(text: str, n: int):
@@ -116,19 +118,28 @@ def link_mentions(chunks: DataFrame, nodes: DataFrame) -> DataFrame:
     """(chunk id, node id) where the chunk's text has the node's name as a substring, upper and lower case alike.
 
     A text's grams meet the names' anchors in an equality join, and ``contains`` confirms each pair. Grams whose slot no
-    anchor has go before that; the slots are broadcast, ``SLOTS`` numbers at most. Rows of one id count as one chunk.
+    anchor has go before that; the slots are broadcast, ``SLOTS`` numbers at most. Names of one or two letters are tried on each
+    text itself (more than ``TINY_NAMES`` of them join by grams too). Rows of one id count as one chunk.
     """
     texts, names = _lowered(chunks, nodes)
     distinct = names.select("low").distinct()
+    found = None
+    tiny = [r[0] for r in distinct.where(F.length("low") < TINY).limit(TINY_NAMES + 1).collect()]
+    if 0 < len(tiny) <= TINY_NAMES:
+        distinct = distinct.where(F.length("low") >= TINY)
+        found = texts.select("src_id", F.explode(F.filter(F.lit(tiny), lambda low: F.contains(F.col("body"), low))).alias("low"))
     anchors = _anchors(distinct)
     slot = F.pmod(F.hash("gram"), F.lit(SLOTS)).alias("slot")
     lengths = sorted(r[0] for r in distinct.select(F.least(F.length("low"), F.lit(GRAM))).distinct().collect())  # 1 to GRAM
-    if not lengths:
-        return _mentions(texts.select("src_id", F.col("body").alias("low")).limit(0), names)
-    grams = texts.select("src_id", F.explode(F.array_distinct(F.concat(*[_grams("body", n) for n in lengths]))).alias("gram"))
-    grams = grams.withColumn("slot", slot).join(F.broadcast(anchors.select(slot).distinct()), "slot", "left_semi")
-    maybe = grams.join(anchors, "gram").select("src_id", "low").distinct()
-    return _mentions(maybe.join(texts, "src_id").where(F.contains("body", "low")).select("src_id", "low"), names)
+    if lengths:
+        grams = texts.select("src_id", F.explode(F.array_distinct(F.concat(*[_grams("body", n) for n in lengths]))).alias("gram"))
+        grams = grams.withColumn("slot", slot).join(F.broadcast(anchors.select(slot).distinct()), "slot", "left_semi")
+        maybe = grams.join(anchors, "gram").select("src_id", "low").distinct()
+        held = maybe.join(texts, "src_id").where(F.contains("body", "low")).select("src_id", "low")
+        found = held if found is None else found.unionByName(held)
+    if found is None:
+        found = texts.select("src_id", F.col("body").alias("low")).limit(0)
+    return _mentions(found, names)
 
 
 def document_nodes(documents: DataFrame) -> DataFrame:

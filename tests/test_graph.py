@@ -134,14 +134,16 @@ def test_edges_by_name(spark):
     assert sorted((r.node_id, r.hop) for r in hops.collect()) == [("1", 0), ("3", 1)]
 
 
-def test_mentions(spark):
+def test_mentions(spark, monkeypatch):
     names = ["a", "Ab", "tion", "Nation", "nationalise", "ational", "é😀", "😀😀 smile", "x\ny z w", "(.*)[", "never there", "", None, "Station", "station"]
     texts = ["A NATIONALISE(D) Station", "ab", "", None, "é😀😀 Smile x\nY z w", "q(.*)[", "b" * 3000 + "nation" + "b" * 3000, "one id", "Station again"]
     nodes = spark.createDataFrame([(str(i), n) for i, n in enumerate(names)], "node_id string, name string")
     chunks = spark.createDataFrame([(f"c{min(i, 7)}", t) for i, t in enumerate(texts)], "id string, content string")
     want = {(f"c{min(i, 7)}", "MENTIONS", str(j)) for i, t in enumerate(texts) for j, n in enumerate(names) if n and t and n.lower() in t.lower()}
-    got = graph.link_mentions(chunks, nodes).collect()
-    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    for tiny in (4096, 1):
+        monkeypatch.setattr(graph, "TINY_NAMES", tiny)
+        got = graph.link_mentions(chunks, nodes).collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want
     assert graph.link_mentions(chunks, nodes.limit(0)).collect() == [] and graph.link_mentions(chunks.limit(0), nodes).collect() == []
 
 
