@@ -9,7 +9,6 @@ import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from graphloom.functions.text import looks_like_json
+
 EXTRACTION = "entities array<struct<name:string,type:string,properties:map<string,string>>>, relationships array<struct<from:string,to:string,type:string,properties:map<string,string>>>"
 SCHEMA_TYPES = "entity_types array<struct<name:string,description:string,example_properties:array<string>>>, relationship_types array<struct<name:string,from_type:string,to_type:string,description:string>>"
 
@@ -177,33 +178,37 @@ def _listed(found: dict, key: str, texts: tuple[str, ...], rest: str, empty) ->
     return out
 
 
-@F.pandas_udf(T.StringType())
-def _extraction_json(texts: pd.Series) -> pd.Series:
-    def whole(text):
-        found = _object_in(text)
-        return json.dumps({"entities": _listed(found, "entities", ("name", "type"), "properties", {}), "relationships": _listed(found, "relationships", ("from", "to", "type"), "properties", {})}, ensure_ascii=False)
+#: The lists of D6 and D3: their names, the texts of an entry, what else it holds, and the type of that.
+_EXTRACTION = (("entities", ("name", "type"), "properties", "map<string,string>"), ("relationships", ("from", "to", "type"), "properties", "map<string,string>"))
+_SCHEMA = (("entity_types", ("name", "description"), "example_properties", "array<string>"), ("relationship_types", ("name", "from_type", "to_type", "description"), "", ""))
 
-    return texts.map(whole)
 
+def _by_python(lists):
+    """A function from answers to the JSON of their lists with all fields, for what needs Python's own parser."""
 
-@F.pandas_udf(T.StringType())
-def _schema_json(texts: pd.Series) -> pd.Series:
     def whole(text):
         found = _object_in(text)
-        return json.dumps({"entity_types": _listed(found, "entity_types", ("name", "description"), "example_properties", []), "relationship_types": _listed(found, "relationship_types", ("name", "from_type", "to_type", "description"), "", None)}, ensure_ascii=False)
+        return json.dumps({name: _listed(found, name, texts, rest, [] if kind.startswith("array") else {}) for name, texts, rest, kind in lists})
+
+    return F.pandas_udf(lambda texts: texts.map(whole, na_action="ignore"), T.StringType())
+
 
-    return texts.map(whole)
+def _answer(text: Column, lists, schema: str) -> Column:
+    """The lists of the JSON object that is the text or lies between its first and last brace, by Python's strict parser in Arrow
+    batches; texts without a brace don't go there."""
+    found = _by_python(lists)(F.when(looks_like_json(text), text))
+    return F.from_json(F.coalesce(found, F.lit(json.dumps({name: [] for name, *_ in lists}))), schema)
 
 
 def parse_extraction_response(text: Column) -> Column:
     """struct(entities, relationships). Missing texts are empty, missing properties and lists too; an explicit null name stays
     null. Property values are JSON text. Answers without a JSON object give empty lists."""
-    return F.from_json(_extraction_json(text), EXTRACTION)
+    return _answer(text, _EXTRACTION, EXTRACTION)
 
 
 def parse_schema_response(text: Column) -> Column:
     """D3: struct(entity_types, relationship_types); missing lists are empty."""
-    return F.from_json(_schema_json(text), SCHEMA_TYPES)
+    return _answer(text, _SCHEMA, SCHEMA_TYPES)
 
 
 def extract_chunks(chunks: DataFrame, fn: Callable[[str], str], entity_types, relationship_types, rules: str, **call) -> DataFrame:
