@@ -250,3 +250,9 @@ def chunk_nodes(chunks: DataFrame, id_len: int = 12, max_text: int = 2000) -> Da
     """(id, text, source, section, char_count) of each chunk; the text is cut, the count is the full length's."""
     known = lambda c: F.coalesce(F.col(c), F.lit("unknown")).alias(c)
     return chunks.withColumn("id", chunk_id(F.col("content"), id_len)).withColumn("text", F.left("content", F.lit(max_text))).withColumn("char_count", F.length("content")).withColumns({c: known(c) for c in ("source", "section")})
+
+
+def chunk_id_collisions(chunks: DataFrame, id_len: int = 12) -> DataFrame:
+    """(id, contents) of the ids that several different contents share: ask for longer ids where there are any."""
+    hashes = chunks.select(chunk_id(F.col("content"), id_len).alias("id"), F.md5(F.col("content").cast("binary")).alias("whole")).distinct()
+    return hashes.groupBy("id").agg(F.count("*").alias("contents")).where("contents > 1")

@@ -94,6 +94,12 @@ def c7_c8_f6_chunk_nodes(spark, sf_dir):
     return graph.merge_chunk_nodes(None, chunking.chunk_nodes(chunks))
 
 
+@query(f"{_PACKED} SELECT substr(md5(content), 1, 4) AS id, count(DISTINCT md5(content)) AS contents FROM chunks GROUP BY 1 HAVING count(DISTINCT md5(content)) > 1")
+def c7_chunk_id_collisions(spark, sf_dir):
+    """With ids of four digits, of which many are shared."""
+    return chunking.chunk_id_collisions(_plain_chunks(spark, sf_dir), 4)
+
+
 @query(r"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS p, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
 t AS (SELECT doc_id, string_agg(CASE doc_id % 3 WHEN 0 THEN CASE WHEN i % 5 = 0 THEN '## Part ' || i || chr(10) || chr(10) ELSE '' END || p WHEN 1 THEN '| ' || p ELSE p END || CASE doc_id % 3 WHEN 1 THEN '' ELSE chr(10) END, chr(10) ORDER BY i) AS text FROM l GROUP BY doc_id),

@@ -110,6 +110,26 @@ class GraphStore:
             return base["version"]
         return self._put({name: self._staged(df, name, generation) for name, df in rows.items()}, generation, base, once)
 
+    def vacuum(self, keep: int = 1) -> int:
+        """Deletes all versions but the newest ``keep``, and the files that only they name; returns how many buckets' files went.
+        Files that no manifest names stay, as a load that is under way may be writing them. Nobody may be reading the old versions."""
+        try:
+            found = [json.loads(r.value) for r in self.spark.read.text(f"{self.root}/v*/complete").collect()]  # a row a version
+        except AnalysisException:  # no version
+            return 0
+        versions = sorted(found, key=lambda m: m["version"])
+        old, kept = versions[: max(0, len(versions) - keep)], versions[max(0, len(versions) - keep) :]
+        files = lambda ms: {(name, b, g) for m in ms for name, t in m["tables"].items() for b, g in t["generations"].items()}
+        gone = files(old) - files(kept)
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        for m in old:
+            system.delete(path(f"{self.root}/v{m['version']}"), True)
+        for name, b, g in gone:
+            system.delete(path(f"{self.root}/{name}/bucket={b}/generation={g}"), True)
+        return len(gone)
+
     def _staged(self, df: DataFrame, name: str, generation: str) -> DataFrame:
         """New rows, written first: they are looked at twice, for their buckets and for the merge."""
         path = f"{self.root}/staged/{generation}/{name}"

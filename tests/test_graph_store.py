@@ -123,3 +123,18 @@ def test_empty_labels_and_tables_survive(spark, tmp_path):
     assert rows(back["nodes"]) == rows(nodes) and back["edges"].count() == 0
     write_graph({"nodes": nodes.limit(1)}, str(tmp_path / "g"))  # over itself
     assert set(read_graph(spark, str(tmp_path / "g"))) == {"nodes"}
+
+
+def test_vacuum_keeps_what_the_newest_version_names(spark, tmp_path):
+    store = GraphStore(spark, str(tmp_path), buckets=4)
+    assert store.vacuum() == 0
+    store.upsert(graph_of(spark, 60))
+    store.upsert({"nodes": spark.createDataFrame([("n1", "", "1", {"a": "b"})], NODES)})
+    lost = tmp_path / "nodes" / "bucket=0" / "generation=gunder_way"
+    lost.mkdir()
+    before = {n: rows(df) for n, df in store.read().items()}
+    assert store.vacuum() == 1 and lost.exists()
+    assert {n: rows(df) for n, df in store.read().items()} == before and store.latest()["version"] == 1
+    with pytest.raises(ValueError):
+        store.read(0)
+    assert store.upsert({"nodes": spark.createDataFrame([("z", "", "1", {})], NODES)}) == 2 and store.read()["nodes"].count() == 61
