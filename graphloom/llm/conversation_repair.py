@@ -7,7 +7,7 @@ adds 3. Of equally cheap repairs, the one whose edits' initials are least in ASC
 Rows of a conversation come to one task in order of turn and pass it as a stream (``Repair``): a Viterbi step for each
 row over the four places of the pattern, whose survivors are leaves of one tree of edits. A survivor that another one, with a
 detour, undercuts whatever comes is none. Nodes that no survivor descends from are dropped by their reference counts, and edits leave the tree, with their rows, once all survivors share them. So a task holds the rows whose edits are undecided, however long the conversation is. What is sent is bounded too: blank rows and
-duplicates travel without their text.
+duplicates travel without their text. One conversation is one task's stream, as its edits are decided and its lines hashed in order.
 
 Nulls: role and text count as one blank, so a null text is a blank row; a null turn comes first; a null conv_id is a
 conversation of its own. Rows of equal turn are ordered by role, then blank ones and those of which an earlier turn has a copy, then text. Repeated rows are duplicates from the second on.
