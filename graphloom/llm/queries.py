@@ -239,6 +239,28 @@ FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
 """
 
 
+def _runs_sql() -> str:
+    """Equal words of a document at every distance up to a third of it; neighbouring ones of one distance are a stretch."""
+    return rf"""
+WITH RECURSIVE {_CRC_TABLE_SQL},
+spelled AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, hex(encode(coalesce(doc_id::VARCHAR, 'null'))) AS bytes FROM documents),
+h AS (SELECT r, doc_id, w, len(w) AS n, {_CRC_OF_BYTES_SQL} AS h FROM spelled, crc_table),
+a AS (SELECT *, (h // 10) % greatest(n, 1) AS a, 1 + (n - (h // 10) % greatest(n, 1)) // (3 + (h // 10) % 8) AS p FROM h),
+d AS (SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w FROM a),
+x AS (SELECT r, n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM d),
+e AS (SELECT l.r, m.i - l.i AS q, l.i FROM x l JOIN x m ON l.r = m.r AND l.word = m.word AND m.i > l.i AND m.i - l.i <= l.n // 3),
+g AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM e),
+s AS (SELECT r, q, min(i) AS s, count(*) AS c FROM g GROUP BY r, q, g HAVING count(*) + q >= greatest(24, 3 * q)),
+runs AS (SELECT r, s AS start, c + q AS length, min(q) AS period FROM s GROUP BY r, s, c + q),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY r ORDER BY length::DOUBLE / period DESC, start, period) = 1),
+told AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT x.r, x.i FROM x JOIN runs ON runs.r = x.r AND x.i >= start + period AND x.i < start + length),
+kept AS (SELECT x.r, string_agg(word, ' ' ORDER BY x.i) AS text FROM x ANTI JOIN gone ON gone.r = x.r AND gone.i = x.i GROUP BY x.r)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM d LEFT JOIN told USING (r) LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
+"""
+
+
 ORACLE_SQL = {
     "op8_jaccard_join": """
 WITH RECURSIVE w AS (
@@ -254,6 +276,7 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.node = d.doc_id GROUP BY
 """,
     "op10_mixing": _mixing_sql(),
     "op12_conversation_repair": _repair_sql(),
+    "op13_periodic_runs": _runs_sql(),
     "op3_hilbert_shards": f"""
 WITH {_CRC_SQL},
 sized AS (SELECT doc_id AS id, source, lang, octet_length(encode(coalesce(text, ''))) + 16 AS size, text_crc32 FROM checked),
