@@ -414,13 +414,14 @@ class Trie:
         for distinct, u, v, w in _contexts(tokens):
             ids, counts, before = self.words.lookup(distinct)
             base = self.words.base(counts)
+            near = np.maximum.accumulate(np.where(counts > 0, ids, 0))  # an unknown word goes to its known neighbour's shard, so shards stay in order
             key, inverse = np.unique((v << code | u) << code | w, return_inverse=True)
             left, word, context = (key >> code) & mask, key & mask, key >> (2 * code)
             value = base[word]
             seen = counts[context] > 0
             pair, at = np.unique(context[seen] << code | word[seen], return_inverse=True)
             a, b = pair >> code, pair & mask
-            p, g = self._pair_search(ids[a], ids[b], self.words.shard(counts[a], before[a], ids[b], self.shards))
+            p, g = self._pair_search(ids[a], ids[b], self.words.shard(counts[a], before[a], near[b], self.shards))
             value[seen] = (p + g * base[b])[at]
             seen = np.flatnonzero(seen & (counts[left] > 0))
             a, b = context[seen], left[seen]
