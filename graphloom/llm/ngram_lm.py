@@ -23,10 +23,13 @@ A search finds v, then u among its left words and w's place among its successors
 Probabilities are rounded down to steps of 1/4096 of a power of ten. Those of pairs take 16 bits; those of triples 8 bits, as
 places in a table of the shard's values: exact up to 256 of them, else rounded down to 256 classes of equally many.
 
-Shards of pairs and triples are cut by tokens: contexts stand in order of v, each as wide as its count, and a frequent v is
-split by w in the pairs and by u in the triples. So a word with a third of all tokens lies in a third of the shards, and each
-context u v lies in one. Triples are summed in each task first; pairs follow from the contexts u v and from the triples that
-end a text, once these are summed. Words are told apart by 64 bits of hash.
+Shards of pairs and triples are cut by tokens: contexts stand in order of v, each as wide as its count. A frequent v is split by
+w in the pairs. In the triples it is split by u, each u as wide as its count lets expect, and a frequent u v by w in the same
+way (before the first word, u is always the end, so w alone splits). So a word with a third of all tokens lies in a third of the
+shards, and so does the start of all texts. A context that stands on a shard's border has its counts in several; their sums are
+gathered, two contexts a shard at most. A context u v more frequent than its words let expect has that many times a shard's rows
+at most, and they are summed in each task first. Pairs follow from the contexts u v and from the triples that end a text, once
+these are summed. Words are told apart by 64 bits of hash.
 
 Null texts are empty and hold the end alone. Without training rows every count is 0. Rows with null ids are scored like
 others; repeated rows count as often as they occur; further columns are not read, and kept columns with a result's name give way.
@@ -54,6 +57,7 @@ ADD, STEPS = 0.1, 4096  # STEPS: quantisation steps of a probability in a power
 DISCOUNTS = (0.9, 1.1, 1.4)
 PAIRS, TRIPLES = 2, 3
 _POWERS = 10.0 ** (np.arange(1 << 16) / -STEPS)
+_BORDER = pa.struct([("key", pa.int64()), ("tokens", pa.int64()), ("taken", pa.float64())])
 
 
 def discount(n: np.ndarray) -> np.ndarray:
@@ -179,6 +183,14 @@ class Vocabulary:
         place = before + counts * (other / float(self.size + 1))
         return np.minimum((place * (shards / max(1, self.tokens))).astype(np.int64), shards - 1)
 
+    def triple_shard(self, v: tuple[np.ndarray, np.ndarray], u: tuple[np.ndarray, np.ndarray], w: np.ndarray, starts: np.ndarray, shards: int) -> np.ndarray:
+        """Shard of triples: (counts, counts of all words before) of v and of u, and the latter of w. It never falls as (v, u, w)
+        grow, as no step of the reckoning does. ``starts``: where v is the end, so u is too."""
+        every = max(1, self.tokens)
+        share = w / every
+        inner = np.where(starts, share, (u[1] + u[0] * share) / every)
+        return np.minimum(((v[1] + v[0] * inner) * (shards / every)).astype(np.int64), shards - 1)
+
 
 def _file(name: str) -> list[np.ndarray]:
     return _unpack(np.frombuffer(map_file(name), np.uint8))
@@ -272,7 +284,8 @@ def _triple_blocks(texts: DataFrame, vocabulary, shards: int) -> DataFrame:
             code, mask = np.int64(21), np.int64((1 << 21) - 1)
             key, n = np.unique((v << code | u) << code | w, return_counts=True)
             last, left, context = key & mask, (key >> code) & mask, key >> (2 * code)
-            shard = words.shard(counts[context], before[context], ids[left], shards)
+            starts = context == np.searchsorted(distinct, END)
+            shard = words.triple_shard((counts[context], before[context]), (counts[left], before[left]), before[last], starts, shards)
             found = list(_blocks(shard, ids[context].astype(np.uint64) * words.width + ids[left].astype(np.uint64), ids[last], n))
             yield pa.RecordBatch.from_arrays(_block_rows(found), ["shard", "block"])
 
@@ -299,6 +312,8 @@ def _pair_blocks(words: Vocabulary, shards: int, keys: np.ndarray, last: np.ndar
     inner = v != np.uint64(end)
     ends = last == end
     pairs = np.concatenate([u[inner] * words.width + v[inner], keys[ends] // words.width * words.width + np.uint64(end)])
+    if not pairs.size:  # nothing but starts of texts
+        return []
     (pairs,), n = _summed(np.argsort(pairs, kind="stable"), [pairs], np.concatenate([np.add.reduceat(n, first)[inner], n[ends]]))
     context, w = np.divmod(pairs, words.width)
     begin = _runs(context)
@@ -326,8 +341,9 @@ def write_pairs(words: Vocabulary, folder: str, shard: int, shards: int, keys: n
     return [(int(v[i]), float(g[i])) for i in np.flatnonzero(lowest < highest)]
 
 
-def write_triples(words: Vocabulary, folder: str, shard: int, keys: np.ndarray, w: np.ndarray, n: np.ndarray) -> None:
-    """Writes a shard of triples from rows sorted by context key (v, u) and last word."""
+def write_triples(words: Vocabulary, folder: str, shard: int, shards: int, keys: np.ndarray, w: np.ndarray, n: np.ndarray) -> list[tuple[int, int, float]]:
+    """Writes a shard of triples from rows sorted by context key (v, u) and last word; returns (key, tokens, what discounts took)
+    of the contexts that may lie in other shards too. Their probabilities are written as if the shard had all of them."""
     first = _runs(keys)
     total, taken = np.add.reduceat(n, first), discount(n)
     g = np.add.reduceat(taken, first) / total
@@ -344,13 +360,29 @@ def write_triples(words: Vocabulary, folder: str, shard: int, keys: np.ndarray,
         encode(v.astype(np.uint64) * words.width + u, begin.size * int(words.width)), encode(starts, int(starts[-1]) + 1), encode(inner, int(starts[-1])),
     ]
     put_file(folder, f"triples-{shard}", [_pack(*levels, _short_code((n - taken) / total[owner]), _short_code(g))])
+    end, border = words.lookup(np.array([END]))[0][0], []
+    for i in {0, first.size - 1}:
+        a, b = int(of_v[i]), int(u[i])
+        of_a, of_b = words.counts(np.array([a])), words.counts(np.array([b]))
+        lowest, highest = (words.triple_shard(of_a, of_b, np.array([x]), np.array([a == end]), shards)[0] for x in (0, words.tokens))
+        if lowest < highest:
+            border.append((int(keys[first[i]]), int(total[i]), float(g[i] * total[i])))
+    return border
 
 
 class Trie:
     """Log10 probabilities of tokens after their contexts."""
 
-    def __init__(self, words: Vocabulary, folder: str, shards: int, present: np.ndarray, split: dict[int, float]):
+    def __init__(self, words: Vocabulary, folder: str, shards: int, present: np.ndarray, split: dict[int, float], border: list[tuple[int, int, int, float]]):
         self.words, self.folder, self.shards, self.present, self.split = words, folder, shards, present, split
+        # Contexts u v of several shards: their keys and g, and each part's shard, place among the keys and share of the tokens.
+        shard, key = np.array([x[0] for x in border], np.int64), np.array([x[1] for x in border], np.uint64)
+        tokens, taken = np.array([x[2] for x in border], np.float64), np.array([x[3] for x in border], np.float64)
+        self.contexts, place = np.unique(key, return_inverse=True)
+        total = np.bincount(place, tokens, self.contexts.size)
+        self.weights = np.bincount(place, taken, self.contexts.size) / total
+        order = np.argsort(shard, kind="stable")
+        self.part_shard, self.part_key, self.part_share = shard[order], key[order], (tokens / total[place])[order]
 
     def _by_shard(self, kind: int, shard: np.ndarray):
         cuts = np.searchsorted(shard, np.arange(self.shards + 1))
@@ -405,6 +437,13 @@ class Trie:
             hit, place = hit[place >= 0], place[place >= 0].astype(np.uint64)
             found = inner.find(start[each[hit]] + place - begins[each_v[hit]])
             p[hit[found >= 0] + some.start] = codes(found[found >= 0])
+            for i in range(*np.searchsorted(self.part_shard, [s, s + 1])):
+                a, b = (int(x) for x in divmod(self.part_key[i], self.words.width))
+                p[some][(v[some] == a) & (u[some] == b)] *= self.part_share[i]
+        if self.contexts.size:
+            keys = v.astype(np.uint64) * self.words.width + u.astype(np.uint64)
+            at = np.minimum(np.searchsorted(self.contexts, keys), self.contexts.size - 1)
+            g = np.where(self.contexts[at] == keys, self.weights[at], g)
         return p, g
 
     def score(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -414,7 +453,7 @@ class Trie:
         for distinct, u, v, w in _contexts(tokens):
             ids, counts, before = self.words.lookup(distinct)
             base = self.words.base(counts)
-            near = np.maximum.accumulate(np.where(counts > 0, ids, 0))  # an unknown word goes to its known neighbour's shard, so shards stay in order
+            near = np.maximum.accumulate(np.where(counts > 0, ids, 0))  # an unknown word goes where the known one before it would: shards stay in order
             key, inverse = np.unique((v << code | u) << code | w, return_inverse=True)
             left, word, context = (key >> code) & mask, key & mask, key >> (2 * code)
             value = base[word]
@@ -425,7 +464,9 @@ class Trie:
             value[seen] = (p + g * base[b])[at]
             seen = np.flatnonzero(seen & (counts[left] > 0))
             a, b = context[seen], left[seen]
-            p, g = self._triple_search(ids[b], ids[a], ids[word[seen]], self.words.shard(counts[a], before[a], ids[b], self.shards))
+            known_before = np.maximum.accumulate(before)[word[seen]]
+            shard = self.words.triple_shard((counts[a], before[a]), (counts[b], before[b]), known_before, a == np.searchsorted(distinct, END), self.shards)
+            p, g = self._triple_search(ids[b], ids[a], ids[word[seen]], shard)
             value[seen] = p + g * value[seen]
             out.append((counts[w], np.log10(base)[w], np.log10(value)[inverse]))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
@@ -452,8 +493,11 @@ def build(docs: DataFrame, text_col: str = "text") -> Trie:
         keys, last, n = rows_of(group)
         last = np.concatenate(last)
         (keys, last), n = _summed(np.lexsort((last, keys)), [keys, last], n)
-        write_triples(sent.value, folder, shard, keys, last, n)
-        return pa.table(_block_rows([(shard, None), *_pair_blocks(sent.value, shards, keys, last, n)]), ["shard", "block"])
+        border = write_triples(sent.value, folder, shard, shards, keys, last, n)
+        found = [(shard, None)] * (1 + len(border)) + _pair_blocks(sent.value, shards, keys, last, n)
+        of_border = [None, *({"key": k, "tokens": m, "taken": x} for k, m, x in border)]
+        of_border = pa.array(of_border + [None] * (len(found) - len(of_border)), _BORDER)
+        return pa.table([*_block_rows(found), of_border], ["shard", "block", "border"])
 
     def pairs(group):
         shard, blocks = group.column("shard")[0].as_py(), group.column("block")
@@ -462,17 +506,20 @@ def build(docs: DataFrame, text_col: str = "text") -> Trie:
             keys, _, n = rows_of(group)
             (keys,), n = _summed(np.argsort(keys, kind="stable"), [keys], n)
             split = write_pairs(sent.value, folder, shard, shards, keys, n)
-        return pa.table({"shard": pa.array([shard], pa.int32()), "pairs": [blocks.null_count < len(blocks)], "triples": [blocks.null_count > 0], "words": pa.array([[x for x, _ in split]], pa.list_(pa.int64())), "parts": pa.array([[x for _, x in split]], pa.list_(pa.float64()))})
-
-    # A shard of triples also sends a row without a block, which says that it exists.
-    made = _triple_blocks(texts, sent, shards).groupBy("shard").applyInArrow(triples, "shard int, block binary")
-    made = made.groupBy("shard").applyInArrow(pairs, "shard int, pairs boolean, triples boolean, words array<long>, parts array<double>")
-    present, split = np.zeros((2, shards), bool), {}
-    for r in made.collect():  # a row a shard, with two words at most that other shards hold too
+        border = [x for x in group.column("border").to_pylist() if x is not None]
+        return pa.table({"shard": pa.array([shard], pa.int32()), "pairs": [blocks.null_count < len(blocks)], "triples": [blocks.null_count > 0], "words": pa.array([[x for x, _ in split]], pa.list_(pa.int64())), "parts": pa.array([[x for _, x in split]], pa.list_(pa.float64())), "border": pa.array([border], pa.list_(_BORDER))})
+
+    # A shard of triples also sends rows without a block: one that says that it exists, and its contexts that others may hold too.
+    of_border = "struct<key:long,tokens:long,taken:double>"
+    made = _triple_blocks(texts, sent, shards).groupBy("shard").applyInArrow(triples, f"shard int, block binary, border {of_border}")
+    made = made.groupBy("shard").applyInArrow(pairs, f"shard int, pairs boolean, triples boolean, words array<long>, parts array<double>, border array<{of_border}>")
+    present, split, border = np.zeros((2, shards), bool), {}, []
+    for r in made.collect():  # a row a shard, with two words and two contexts at most that other shards hold too
         present[:, r["shard"]] = r["pairs"], r["triples"]
+        border += [(r["shard"], *x) for x in r["border"]]
         for v, g in zip(r["words"], r["parts"], strict=True):
             split[v] = split.get(v, 0.0) + g
-    return Trie(words, folder, shards, present, split)
+    return Trie(words, folder, shards, present, split, border)
 
 
 def score(docs: DataFrame, trie: Trie, keep: list[Column], text_col: str = "text") -> DataFrame:

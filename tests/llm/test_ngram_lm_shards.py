@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,7 +51,21 @@ def test_hot_words_and_contexts_are_split(spark, monkeypatch, step):
     monkeypatch.setattr(ngram_lm, "STEP_TOKENS", step)
     docs = lambda texts: spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     trie = ngram_lm.build(docs(train))
+    keys, parts = np.unique(trie.part_key, return_counts=True)
+    assert parts.max() >= 3 and trie.part_share[trie.part_key == keys[parts.argmax()]].max() < 0.6  # the hot context
     texts = train[:5] + new + ["", "hot", "hot word", "unknown hot word unknown"]
     got = {r.doc_id: r for r in ngram_lm.score(docs(texts), trie, [F.col("doc_id")]).collect()}
     for i, full in enumerate(brute_force(train, texts)):
         assert full - 4 * (len(texts[i].split()) + 1) / 4096 - 1e-6 <= got[i].score <= full + 1e-6
+
+
+def test_the_start_of_all_texts_is_split(spark, monkeypatch):
+    train = [f"w{i % 50} x{i % 7}" for i in range(900)]
+    monkeypatch.setattr(ngram_lm, "SHARD_BYTES", 300)
+    docs = lambda texts: spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    trie = ngram_lm.build(docs(train))
+    assert np.unique(trie.part_key, return_counts=True)[1].max() > 5 and trie.part_share.min() < 0.2
+    texts = [*train[:60], "", "new x1", "x1 w2 x3", "new new"]
+    got = {r.doc_id: r.score for r in ngram_lm.score(docs(texts), trie, [F.col("doc_id")]).collect()}
+    for i, full in enumerate(brute_force(train, texts)):
+        assert full - 4 * (len(texts[i].split()) + 1) / 4096 - 1e-6 <= got[i] <= full + 1e-6
