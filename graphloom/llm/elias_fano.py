@@ -1,7 +1,7 @@
 """Elias-Fano coded monotone sequences over numpy arrays, made to be read from memory-mapped bytes.
 
 Values keep their low bits packed; their high bits are a unary bit vector whose zeros separate buckets. The zeros before
-each 64-bit word are stored, so many values are searched for at once: two selects give a value's bucket, and an
+each 64-bit word are stored, so many values are searched for at once: a select and the next zero give a value's bucket, and an
 interpolation search over the bucket's low bits (of 52 bits at most) finds it.
 """
 
@@ -81,6 +81,14 @@ class EliasFano:
         word = np.searchsorted(self.zeros, j.astype(np.uint64), "right") - 1
         return word * 64 + self._pick(~self.high.view("<u8")[word], j - self.zeros[word].astype(np.int64))
 
+    def _next_zero(self, j: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Position of zero number ``j``, the first one from ``place`` on: mostly in the same word, else it is selected."""
+        rest = ~self.high.view("<u8")[place >> 6] >> (place & 63).astype(_U)
+        out = place + np.bitwise_count((rest & (~rest + _U(1))) - _U(1))
+        far = np.flatnonzero(rest == 0)
+        out[far] = self._select_zero(j[far])
+        return out
+
     def at(self, i: np.ndarray) -> np.ndarray:
         """The values at these places."""
         word = np.searchsorted(self.ones, i, "right") - 1
@@ -99,10 +107,10 @@ class EliasFano:
         new = np.ones(high.size, bool)  # neighbours often ask for one bucket
         new[1:] = high[1:] != high[:-1]
         bucket = high[new]
-        end = np.minimum(self._select_zero(bucket) - bucket, self.n)
-        begin = np.zeros_like(end)
+        begin = np.zeros_like(bucket)
         later = np.flatnonzero(bucket > 0)
         begin[later] = self._select_zero(bucket[later] - 1) + 1 - bucket[later]
+        end = np.minimum(self._next_zero(bucket, begin + bucket) - bucket, self.n)
         place = np.cumsum(new) - 1
         begin, end = np.minimum(begin, end)[place], end[place]
         live = np.flatnonzero(begin < end)

@@ -415,8 +415,8 @@ class Trie:
             g = np.where(ids[at] == v, np.array([self.split[i] for i in ids.tolist()])[at], g)
         return p, g
 
-    def _triple_search(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Discounted probability of each sorted triple, and g of its context (1 where it is unknown)."""
+    def _triple_search(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, pair: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Discounted probability of each sorted triple, and g of its context (1 where it is unknown). ``pair`` numbers the pairs v w in order."""
         p, g = np.zeros(v.size), np.ones(v.size)
         for s, some in self._by_shard(TRIPLES, shard):
             contexts, pointers, successors, lefts, starts, inner, codes, weights = _triples(f"{self.folder}/triples-{s}")
@@ -433,7 +433,15 @@ class Trie:
             weight[some_left], start[some_left] = weights(left[some_left]), starts.at(left[some_left])
             g[some] = weight[each]
             hit = np.flatnonzero(left[each] >= 0)
-            place = successors.find(key[each_v[hit]] + w[some][hit].astype(np.uint64))
+            # So is each v w, though it comes under several u.
+            number = pair[some][hit]
+            low, high = (number.min(), number.max()) if number.size else (0, 0)
+            one = np.full(high - low + 1, -1)
+            one[number - low] = np.arange(number.size)
+            asked = np.flatnonzero(one >= 0)
+            member = hit[one[asked]]
+            one[asked] = successors.find(key[each_v[member]] + w[some][member].astype(np.uint64))
+            place = one[number - low]
             hit, place = hit[place >= 0], place[place >= 0].astype(np.uint64)
             found = inner.find(start[each[hit]] + place - begins[each_v[hit]])
             p[hit[found >= 0] + some.start] = codes(found[found >= 0])
@@ -462,11 +470,13 @@ class Trie:
             a, b = pair >> code, pair & mask
             p, g = self._pair_search(ids[a], ids[b], self.words.shard(counts[a], before[a], near[b], self.shards))
             value[seen] = (p + g * base[b])[at]
+            number = np.zeros(key.size, np.int64)
+            number[seen] = at
             seen = np.flatnonzero(seen & (counts[left] > 0))
             a, b = context[seen], left[seen]
             known_before = np.maximum.accumulate(before)[word[seen]]
             shard = self.words.triple_shard((counts[a], before[a]), (counts[b], before[b]), known_before, a == np.searchsorted(distinct, END), self.shards)
-            p, g = self._triple_search(ids[b], ids[a], ids[word[seen]], shard)
+            p, g = self._triple_search(ids[b], ids[a], ids[word[seen]], number[seen], shard)
             value[seen] = p + g * value[seen]
             out.append((counts[w], np.log10(base)[w], np.log10(value)[inverse]))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from graphloom.llm import ngram_lm
+from graphloom.llm.elias_fano import EliasFano, encode
 
 
 def brute_force(train, texts):
@@ -69,3 +70,14 @@ def test_the_start_of_all_texts_is_split(spark, monkeypatch):
     got = {r.doc_id: r.score for r in ngram_lm.score(docs(texts), trie, [F.col("doc_id")]).collect()}
     for i, full in enumerate(brute_force(train, texts)):
         assert full - 4 * (len(texts[i].split()) + 1) / 4096 - 1e-6 <= got[i] <= full + 1e-6
+
+
+def test_searches_of_even_and_crowded_sequences():
+    rng = np.random.default_rng(1)
+    for turn in range(200):
+        universe, n = int(rng.integers(1, 1 << int(rng.integers(1, 50)))), int(rng.integers(0, 400))
+        values = np.unique(rng.integers(0, universe, n, dtype=np.uint64) // np.uint64(1 if turn % 3 else 1 + universe // 50))
+        asked = np.sort(np.concatenate([values, rng.integers(0, universe, 100, dtype=np.uint64)]))
+        place = {x: i for i, x in enumerate(values.tolist())}
+        found = EliasFano(np.frombuffer(encode(values, universe), np.uint8)).find(asked)
+        assert found.tolist() == [place.get(x, -1) for x in asked.tolist()]
