@@ -1,7 +1,7 @@
 """Elias-Fano coded monotone sequences over numpy arrays, made to be read from memory-mapped bytes.
 
 Values keep their low bits packed; their high bits are a unary bit vector whose zeros separate buckets. The zeros before
-each 64-bit word are stored, so many values are searched for at once: a select and the next zero give a value's bucket, and an
+each 64-bit word are stored, so many values are searched for at once: a select and the next zero give a value's bucket. An
 interpolation search over the bucket's low bits (of 52 bits at most) finds it.
 """
 
@@ -13,6 +13,9 @@ import numpy as np
 
 _U = np.uint64
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
+# The place of one number r in a byte, at r * 256 + byte.
+_IN_BYTE = np.array([[*(i for i in range(8) if b >> i & 1), *[0] * 8][r] for r in range(8) for b in range(256)], np.int64)
+_EACH, _TOP = _U(0x0101010101010101), _U(0x8080808080808080)  # the lowest and the highest bit of each byte
 
 
 def encode(values: np.ndarray, universe: int) -> bytes:
@@ -47,16 +50,15 @@ class EliasFano:
         at = 40
         self.zeros = data[at : (at := at + 8 * n_zeros)].view("<u8")
         self.high = data[at : (at := at + n_packed)]
-        self.low = data[at : (at := at + n_low)].view("<u8")
+        low = data[at : (at := at + n_low)]
+        self.low = np.ndarray((max(0, n_low - 7),), "<u8", low, 0, (1,))  # the eight bytes from each byte on
         self.size = at
 
     def _lows(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
             return np.zeros(i.size, _U)
-        bit = i.astype(_U) * self.bits
-        word, off = (bit >> _U(6)).astype(np.int64), bit & _U(63)
-        upper = np.where(off > 0, self.low[word + 1] << (_U(64) - np.maximum(off, _U(1))), _U(0))
-        return ((self.low[word] >> off) | upper) & ((_U(1) << self.bits) - _U(1))
+        bit = i * int(self.bits)
+        return (self.low[bit >> 3] >> (bit & 7).view(_U)) & ((_U(1) << self.bits) - _U(1))
 
     @functools.cached_property
     def ones(self) -> np.ndarray:
@@ -65,16 +67,14 @@ class EliasFano:
 
     @staticmethod
     def _pick(word: np.ndarray, rest: np.ndarray) -> np.ndarray:
-        """Position of one number ``rest`` in each 64-bit word: halves, quarters and so on by their counts of ones."""
-        place, rest = np.zeros(rest.size, np.int64), rest.astype(np.int64, copy=False)
-        for width in (32, 16, 8, 4, 2, 1):
-            below = np.bitwise_count(word & _U((1 << width) - 1)).astype(np.int64)
-            up = rest >= below
-            rest = rest - below * up
-            step = up * width
-            place += step
-            word = word >> step.astype(_U)
-        return place
+        """Position of one number ``rest`` in each 64-bit word: its byte by sums of ones up to each byte, then a table."""
+        sums = word - ((word >> _U(1)) & _U(0x5555555555555555))
+        sums = (sums & _U(0x3333333333333333)) + ((sums >> _U(2)) & _U(0x3333333333333333))
+        sums = ((sums + (sums >> _U(4))) & _U(0x0F0F0F0F0F0F0F0F)) * _EACH
+        rest = rest.astype(_U, copy=False)
+        place = np.bitwise_count(((rest * _EACH | _TOP) - sums) & _TOP).astype(_U) << _U(3)  # bytes that end before it
+        rest = rest - ((sums << _U(8)) >> place & _U(255))
+        return place.view(np.int64) + _IN_BYTE[(rest << _U(8) | (word >> place & _U(255))).view(np.int64)]
 
     def _select_zero(self, j: np.ndarray) -> np.ndarray:
         """Position of zero number ``j`` in the high bits."""
@@ -114,13 +114,13 @@ class EliasFano:
         place = np.cumsum(new) - 1
         begin, end = np.minimum(begin, end)[place], end[place]
         live = np.flatnonzero(begin < end)
-        at, lo, hi, want = some[live], begin[live], end[live], want[live].astype(np.float64)
+        at, lo, hi, want = some[live], begin[live], end[live], want[live]
         below, above, turn = np.zeros(live.size), np.full(live.size, float(1 << int(self.bits))), 0
         while at.size:  # interpolation, as ids are spread evenly; every third turn halves, whatever the spread
             n = hi - lo
             step = n >> 1 if turn % 3 == 2 else np.minimum(((want - below) / (above - below) * n).astype(np.int64), n - 1)
             mid = lo + step
-            value = self._lows(mid).astype(np.float64)
+            value = self._lows(mid)
             hit = value == want
             out[at[hit]] = mid[hit]
             less = value < want

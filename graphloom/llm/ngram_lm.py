@@ -13,13 +13,14 @@ unknown word.
 The levels are files in the shared folder, and tasks map them into memory:
 
 * words: sorted 64-bit hashes and, as a second monotone sequence, their counts added up. A word's id is its place.
-* pairs: the contexts v in order; monotone pointers to where each one's successors begin; the successors w of each v; for
-  each the quantised ``(c - d) / c(v)``, and for each v the quantised g.
-* triples: the contexts v and each one's successors as above; under each v its left words u, which make the contexts u v;
-  monotone pointers to where each one's successors begin; the successors, not by word id but by place among the successors of
-  the shorter context v, so that few bits are left; the quantised ``(c - d) / c(u v)`` and g.
-
-A search finds v, then u among its left words and w's place among its successors, and then this place among those of u v.
+* triples: the contexts v in order; monotone pointers to where each one's successors begin; the successors w of each v; for
+  each the quantised ``(c - d) / c(v)``, and for each v the quantised g. Under each v its left words u, which make the contexts
+  u v; monotone pointers to where each one's successors begin; the successors, not by word id but by place among the successors
+  of the shorter context v, so that few bits are left; the quantised ``(c - d) / c(u v)`` and g.
+* pairs: contexts v, their successors, probabilities and g as above, but only of those v whose triples lie in several shards.
+
+A search finds v and w's place among its successors, which gives p2, then u among the left words of v, and then that place among
+the successors of u v.
 Probabilities are rounded down to steps of 1/4096 of a power of ten. Those of pairs take 16 bits; those of triples 8 bits, as
 places in a table of the shard's values: exact up to 256 of them, else rounded down to 256 classes of equally many.
 
@@ -28,8 +29,8 @@ w in the pairs. In the triples it is split by u, each u as wide as its count let
 way (before the first word, u is always the end, so w alone splits). So a word with a third of all tokens lies in a third of the
 shards, and so does the start of all texts. A context that stands on a shard's border has its counts in several; their sums are
 gathered, two contexts a shard at most. A context u v more frequent than its words let expect has that many times a shard's rows
-at most, and they are summed in each task first. Pairs follow from the contexts u v and from the triples that end a text, once
-these are summed. Words are told apart by 64 bits of hash.
+at most, and they are summed in each task first. Pairs follow from the triples, once these are summed: in place for a v whose
+triples are all in one shard, else they are sent on as pairs. Words are told apart by 64 bits of hash.
 
 Null texts are empty and hold the end alone. Without training rows every count is 0. Rows with null ids are scored like
 others; repeated rows count as often as they occur; further columns are not read, and kept columns with a result's name give way.
@@ -51,12 +52,15 @@ from graphloom.llm.words import hashed_steps, texts_of
 
 #: Bytes of training text for each shard, and tokens taken at once.
 SHARD_BYTES, STEP_TOKENS = 12 << 20, 1 << 20
+RUN_BYTES = 32 << 20  # of the rows that these tokens come from
+SEARCHED = 1 << 18  # triples searched for at once; as they are sorted, few shards are asked twice
 END = np.uint64(0x9FB21C651E98DF25)
 ADD, STEPS = 0.1, 4096  # STEPS: quantisation steps of a probability in a power of ten
 #: Taken off counts of 1, 2 and more.
 DISCOUNTS = (0.9, 1.1, 1.4)
 PAIRS, TRIPLES = 2, 3
 _POWERS = 10.0 ** (np.arange(1 << 16) / -STEPS)
+ELSEWHERE = -2  # a pair's place among the successors of v, where each shard of triples has its own
 _BORDER = pa.struct([("key", pa.int64()), ("tokens", pa.int64()), ("taken", pa.float64())])
 
 
@@ -128,6 +132,25 @@ def _tokens(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield row, out, np.concatenate([[0], ends + 1])
 
 
+def _row_runs(pieces: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Pieces (their rows or None, tokens, bounds of each row's) gathered to runs of whole rows of ``STEP_TOKENS`` tokens and
+    ``RUN_BYTES`` at most; a longer row is a run of its own. What is equal in a run is searched for once."""
+    held, room, space = [], STEP_TOKENS, RUN_BYTES
+    for rows, tokens, bounds in pieces:
+        row = 0
+        while row < bounds.size - 1:
+            end = max(int(np.searchsorted(bounds, bounds[row] + room, "right")) - 1, row + 1)
+            some, size = rows and rows.slice(row, end - row), int(bounds[end] - bounds[row])
+            if held and (size > room or some and some.nbytes > space):
+                yield held
+                held, room, space = [], STEP_TOKENS, RUN_BYTES
+                continue
+            held.append((some, tokens[bounds[row] : bounds[end]], bounds[row : end + 1] - bounds[row]))
+            room, space, row = room - size, space - (some.nbytes if some else 0), end
+    if held:
+        yield held
+
+
 def _contexts(tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Distinct hashes, and the places of u, v and w of each token among them, for runs of whole rows' tokens."""
     before = np.concatenate([[END, END], tokens])
@@ -183,6 +206,11 @@ class Vocabulary:
         place = before + counts * (other / float(self.size + 1))
         return np.minimum((place * (shards / max(1, self.tokens))).astype(np.int64), shards - 1)
 
+    def reach(self, counts: np.ndarray, before: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first and the last shard that ``triple_shard`` can give for context words v with these counts."""
+        every = max(1, self.tokens)
+        return tuple(np.minimum((x * (shards / every)).astype(np.int64), shards - 1) for x in (before, before + counts))
+
     def triple_shard(self, v: tuple[np.ndarray, np.ndarray], u: tuple[np.ndarray, np.ndarray], w: np.ndarray, starts: np.ndarray, shards: int) -> np.ndarray:
         """Shard of triples: (counts, counts of all words before) of v and of u, and the latter of w. It never falls as (v, u, w)
         grow, as no step of the reckoning does. ``starts``: where v is the end, so u is too."""
@@ -211,10 +239,12 @@ def _pairs(name: str):
 
 @kept_files
 def _triples(name: str):
-    """(contexts v, pointers, successors of v, contexts u v, pointers, successors of u v, probabilities, weights)."""
-    *levels, p, g = _file(name)
+    """(contexts v, successors of v, their probabilities, weights) and (pointers, contexts u v, pointers, successors of u v, their
+    probabilities, weights)."""
+    *levels, p, g, pair_p, pair_g = _file(name)
+    contexts, pointers, successors, *more = map(EliasFano, levels)
     codes = ((_POWERS[table.view("<u2")], short) for table, short in map(_unpack, (p, g)))
-    return *map(EliasFano, levels), *(lambda at, t=table, s=short: t[s[at]] for table, short in codes)
+    return (contexts, successors, pair_p.view("<u2"), pair_g.view("<u2")), (pointers, *more, *(lambda at, t=table, s=short: t[s[at]] for table, short in codes))
 
 
 def _vocabulary(texts: DataFrame, folder: str, bits: int) -> Vocabulary:
@@ -290,31 +320,17 @@ def _triple_blocks(texts: DataFrame, vocabulary, shards: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(_block_rows(found), ["shard", "block"])
 
     def run(batches):
-        held, size = [], 0
-        for b in batches:
-            for _, tokens, _ in _tokens(texts_of(b.column(0))):
-                held.append(tokens)
-                size += tokens.size
-                if size >= STEP_TOKENS:
-                    yield from blocks(vocabulary.value, np.concatenate(held))
-                    held, size = [], 0
-        if size:
-            yield from blocks(vocabulary.value, np.concatenate(held))
+        pieces = ((None, tokens, bounds) for b in batches for _, tokens, bounds in _tokens(texts_of(b.column(0))))
+        for held in _row_runs(pieces):
+            yield from blocks(vocabulary.value, np.concatenate([x[1] for x in held]))
 
     return texts.mapInArrow(run, "shard int, block binary")
 
 
-def _pair_blocks(words: Vocabulary, shards: int, keys: np.ndarray, last: np.ndarray, n: np.ndarray) -> list[tuple[int, bytes]]:
-    """Blocks of the pairs that a shard of triples gives: its contexts u v but for the start of a text, and v before an end."""
-    end = words.lookup(np.array([END]))[0][0]
-    first = _runs(keys)
-    v, u = np.divmod(keys[first], words.width)
-    inner = v != np.uint64(end)
-    ends = last == end
-    pairs = np.concatenate([u[inner] * words.width + v[inner], keys[ends] // words.width * words.width + np.uint64(end)])
-    if not pairs.size:  # nothing but starts of texts
+def _pair_blocks(words: Vocabulary, shards: int, pairs: np.ndarray, n: np.ndarray) -> list[tuple[int, bytes]]:
+    """Blocks of sorted pairs with their counts."""
+    if not pairs.size:
         return []
-    (pairs,), n = _summed(np.argsort(pairs, kind="stable"), [pairs], np.concatenate([np.add.reduceat(n, first)[inner], n[ends]]))
     context, w = np.divmod(pairs, words.width)
     begin = _runs(context)
     counts, before = (np.repeat(x, np.diff(np.append(begin, pairs.size))) for x in words.counts(context[begin].astype(np.int64)))
@@ -341,9 +357,10 @@ def write_pairs(words: Vocabulary, folder: str, shard: int, shards: int, keys: n
     return [(int(v[i]), float(g[i])) for i in np.flatnonzero(lowest < highest)]
 
 
-def write_triples(words: Vocabulary, folder: str, shard: int, shards: int, keys: np.ndarray, w: np.ndarray, n: np.ndarray) -> list[tuple[int, int, float]]:
-    """Writes a shard of triples from rows sorted by context key (v, u) and last word; returns (key, tokens, what discounts took)
-    of the contexts that may lie in other shards too. Their probabilities are written as if the shard had all of them."""
+def write_triples(words: Vocabulary, folder: str, shard: int, shards: int, keys: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[list[tuple[int, int, float]], np.ndarray, np.ndarray]:
+    """Writes a shard of triples, and the pairs of their v, from rows sorted by context key (v, u) and last word; returns (key,
+    tokens, what discounts took) of the contexts that may lie in other shards too, whose probabilities are written as if the shard
+    had all of them, and keys and counts of the pairs of every v that may lie in others, whose pairs are not read here."""
     first = _runs(keys)
     total, taken = np.add.reduceat(n, first), discount(n)
     g = np.add.reduceat(taken, first) / total
@@ -353,13 +370,19 @@ def write_triples(words: Vocabulary, folder: str, shard: int, shards: int, keys:
     v = np.repeat(np.arange(begin.size), np.diff(np.append(begin, of_v.size)))  # of each context u v
     successors, place = np.unique(v[owner].astype(np.uint64) * words.width + w.astype(np.uint64), return_inverse=True)
     pointers = np.searchsorted(successors, np.arange(begin.size + 1, dtype=np.uint64) * words.width)
+    every_v = of_v[begin].astype(np.int64)
+    counts, before = words.counts(every_v)
+    each = np.repeat(np.arange(begin.size), np.diff(pointers))  # of each pair
+    pair_n = np.bincount(place, n).astype(np.int64)
+    pair_taken = discount(pair_n)
+    pair_codes = _code((pair_n - pair_taken) / counts[each]), _code(np.add.reduceat(pair_taken, pointers[:-1]) / counts)
     starts = np.concatenate([[0], np.cumsum(np.diff(pointers)[v])])
     inner = starts[owner] + place - pointers[v[owner]]
     levels = [
-        encode(of_v[begin], int(words.width)), encode(pointers, successors.size + 1), encode(successors, begin.size * int(words.width)),
+        encode(every_v, int(words.width)), encode(pointers, successors.size + 1), encode(successors, begin.size * int(words.width)),
         encode(v.astype(np.uint64) * words.width + u, begin.size * int(words.width)), encode(starts, int(starts[-1]) + 1), encode(inner, int(starts[-1])),
     ]
-    put_file(folder, f"triples-{shard}", [_pack(*levels, _short_code((n - taken) / total[owner]), _short_code(g))])
+    put_file(folder, f"triples-{shard}", [_pack(*levels, _short_code((n - taken) / total[owner]), _short_code(g), *pair_codes)])
     end, border = words.lookup(np.array([END]))[0][0], []
     for i in {0, first.size - 1}:
         a, b = int(of_v[i]), int(u[i])
@@ -367,7 +390,9 @@ def write_triples(words: Vocabulary, folder: str, shard: int, shards: int, keys:
         lowest, highest = (words.triple_shard(of_a, of_b, np.array([x]), np.array([a == end]), shards)[0] for x in (0, words.tokens))
         if lowest < highest:
             border.append((int(keys[first[i]]), int(total[i]), float(g[i] * total[i])))
-    return border
+    lowest, highest = words.reach(counts, before, shards)
+    sent = np.flatnonzero((lowest < highest)[each])
+    return border, successors[sent] + (every_v - np.arange(begin.size))[each[sent]].astype(np.uint64) * words.width, pair_n[sent]
 
 
 class Trie:
@@ -399,27 +424,29 @@ class Trie:
             new[1:] |= c[1:] != c[:-1]
         return np.flatnonzero(new), np.cumsum(new) - 1
 
-    def _pair_search(self, v: np.ndarray, w: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Discounted probability of each sorted pair, and g of its v."""
-        p, g = np.zeros(v.size), np.zeros(v.size)
-        for s, some in self._by_shard(PAIRS, shard):
-            contexts, successors, codes, weights = _pairs(f"{self.folder}/pairs-{s}")
+    def _pair_search(self, kind: int, v: np.ndarray, w: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Discounted probability of each sorted pair, g of its v, and its place in the shard or -1."""
+        p, g, place = np.zeros(v.size), np.zeros(v.size), np.full(v.size, -1)
+        for s, some in self._by_shard(kind, shard):
+            contexts, successors, codes, weights = _pairs(f"{self.folder}/pairs-{s}") if kind == PAIRS else _triples(f"{self.folder}/triples-{s}")[0]
             run, each = self._each(v[some])
             at = contexts.find(v[some][run])[each]
-            place = successors.find(np.maximum(at, 0).astype(np.uint64) * self.words.width + w[some].astype(np.uint64))
-            p[some] = np.where((at >= 0) & (place >= 0), _POWERS[codes[np.maximum(place, 0)]], 0.0)
+            found = successors.find(np.maximum(at, 0).astype(np.uint64) * self.words.width + w[some].astype(np.uint64))
+            place[some] = found = np.where(at >= 0, found, -1)
+            p[some] = np.where(found >= 0, _POWERS[codes[np.maximum(found, 0)]], 0.0)
             g[some] = np.where(at >= 0, _POWERS[weights[np.maximum(at, 0)]], 0.0)
-        if self.split:
+        if kind == PAIRS and self.split:
             ids = np.array(sorted(self.split))
             at = np.minimum(np.searchsorted(ids, v), ids.size - 1)
             g = np.where(ids[at] == v, np.array([self.split[i] for i in ids.tolist()])[at], g)
-        return p, g
+        return p, g, place
 
-    def _triple_search(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, pair: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Discounted probability of each sorted triple, and g of its context (1 where it is unknown). ``pair`` numbers the pairs v w in order."""
+    def _triple_search(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, pair: np.ndarray, places: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Discounted probability of each sorted triple, and g of its context (1 where it is unknown). ``pair`` numbers the pairs v w
+        in order; ``places`` has their places among the successors of v, or ELSEWHERE."""
         p, g = np.zeros(v.size), np.ones(v.size)
         for s, some in self._by_shard(TRIPLES, shard):
-            contexts, pointers, successors, lefts, starts, inner, codes, weights = _triples(f"{self.folder}/triples-{s}")
+            (contexts, successors, *_), (pointers, lefts, starts, inner, codes, weights) = _triples(f"{self.folder}/triples-{s}")
             # Each v, and each u under it, is searched for once.
             own, each_v = self._each(v[some])
             first = contexts.find(v[some][own])
@@ -433,15 +460,17 @@ class Trie:
             weight[some_left], start[some_left] = weights(left[some_left]), starts.at(left[some_left])
             g[some] = weight[each]
             hit = np.flatnonzero(left[each] >= 0)
-            # So is each v w, though it comes under several u.
-            number = pair[some][hit]
-            low, high = (number.min(), number.max()) if number.size else (0, 0)
-            one = np.full(high - low + 1, -1)
-            one[number - low] = np.arange(number.size)
-            asked = np.flatnonzero(one >= 0)
-            member = hit[one[asked]]
-            one[asked] = successors.find(key[each_v[member]] + w[some][member].astype(np.uint64))
-            place = one[number - low]
+            place = places[pair[some][hit]]
+            other = np.flatnonzero(place == ELSEWHERE)
+            if other.size:  # so is each v w, though it comes under several u
+                number = pair[some][hit[other]]
+                low = number.min()
+                one = np.full(number.max() - low + 1, -1)
+                one[number - low] = other
+                asked = np.flatnonzero(one >= 0)
+                member = hit[one[asked]]
+                one[asked] = successors.find(key[each_v[member]] + w[some][member].astype(np.uint64))
+                place[other] = one[number - low]
             hit, place = hit[place >= 0], place[place >= 0].astype(np.uint64)
             found = inner.find(start[each[hit]] + place - begins[each_v[hit]])
             p[hit[found >= 0] + some.start] = codes(found[found >= 0])
@@ -454,31 +483,43 @@ class Trie:
             g = np.where(self.contexts[at] == keys, self.weights[at], g)
         return p, g
 
+    def _probabilities(self, key: np.ndarray, distinct: np.ndarray, ids: np.ndarray, counts: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Probability of each of these sorted triples of places among the ``distinct`` hashes."""
+        code, mask = np.int64(21), np.int64((1 << 21) - 1)
+        base = self.words.base(counts)
+        near = np.maximum.accumulate(np.where(counts > 0, ids, 0))  # an unknown word goes where the known one before it would: shards stay in order
+        left, word, context = (key >> code) & mask, key & mask, key >> (2 * code)
+        value = base[word]
+        seen = counts[context] > 0
+        pair, at = np.unique(context[seen] << code | word[seen], return_inverse=True)
+        a, b = pair >> code, pair & mask
+        lowest, highest = self.words.reach(counts[a], before[a], self.shards)
+        split = lowest < highest
+        p, g, places = np.zeros(pair.size), np.zeros(pair.size), np.full(pair.size, ELSEWHERE)
+        p[~split], g[~split], places[~split] = self._pair_search(TRIPLES, ids[a[~split]], ids[b[~split]], lowest[~split])
+        in_pairs = self.words.shard(counts[a[split]], before[a[split]], near[b[split]], self.shards)
+        p[split], g[split], _ = self._pair_search(PAIRS, ids[a[split]], ids[b[split]], in_pairs)
+        value[seen] = (p + g * base[b])[at]
+        number = np.zeros(key.size, np.int64)
+        number[seen] = at
+        seen = np.flatnonzero(seen & (counts[left] > 0))
+        a, b = context[seen], left[seen]
+        known_before = np.maximum.accumulate(before)[word[seen]]
+        shard = self.words.triple_shard((counts[a], before[a]), (counts[b], before[b]), known_before, a == np.searchsorted(distinct, END), self.shards)
+        p, g = self._triple_search(ids[b], ids[a], ids[word[seen]], number[seen], places, shard)
+        value[seen] = p + g * value[seen]
+        return value
+
     def score(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Counts, and log10 of base and full probability, of whole rows' tokens."""
-        out = []
-        code, mask = np.int64(21), np.int64((1 << 21) - 1)
+        out, code = [], np.int64(21)
         for distinct, u, v, w in _contexts(tokens):
-            ids, counts, before = self.words.lookup(distinct)
-            base = self.words.base(counts)
-            near = np.maximum.accumulate(np.where(counts > 0, ids, 0))  # an unknown word goes where the known one before it would: shards stay in order
+            looked_up = self.words.lookup(distinct)
             key, inverse = np.unique((v << code | u) << code | w, return_inverse=True)
-            left, word, context = (key >> code) & mask, key & mask, key >> (2 * code)
-            value = base[word]
-            seen = counts[context] > 0
-            pair, at = np.unique(context[seen] << code | word[seen], return_inverse=True)
-            a, b = pair >> code, pair & mask
-            p, g = self._pair_search(ids[a], ids[b], self.words.shard(counts[a], before[a], near[b], self.shards))
-            value[seen] = (p + g * base[b])[at]
-            number = np.zeros(key.size, np.int64)
-            number[seen] = at
-            seen = np.flatnonzero(seen & (counts[left] > 0))
-            a, b = context[seen], left[seen]
-            known_before = np.maximum.accumulate(before)[word[seen]]
-            shard = self.words.triple_shard((counts[a], before[a]), (counts[b], before[b]), known_before, a == np.searchsorted(distinct, END), self.shards)
-            p, g = self._triple_search(ids[b], ids[a], ids[word[seen]], number[seen], shard)
-            value[seen] = p + g * value[seen]
-            out.append((counts[w], np.log10(base)[w], np.log10(value)[inverse]))
+            del u, v
+            value = np.concatenate([self._probabilities(key[a : a + SEARCHED], distinct, *looked_up) for a in range(0, key.size, SEARCHED)])
+            counts = looked_up[1]
+            out.append((counts[w], np.log10(self.words.base(counts))[w], np.log10(value)[inverse]))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -503,8 +544,8 @@ def build(docs: DataFrame, text_col: str = "text") -> Trie:
         keys, last, n = rows_of(group)
         last = np.concatenate(last)
         (keys, last), n = _summed(np.lexsort((last, keys)), [keys, last], n)
-        border = write_triples(sent.value, folder, shard, shards, keys, last, n)
-        found = [(shard, None)] * (1 + len(border)) + _pair_blocks(sent.value, shards, keys, last, n)
+        border, *of_pairs = write_triples(sent.value, folder, shard, shards, keys, last, n)
+        found = [(shard, None)] * (1 + len(border)) + _pair_blocks(sent.value, shards, *of_pairs)
         of_border = [None, *({"key": k, "tokens": m, "taken": x} for k, m, x in border)]
         of_border = pa.array(of_border + [None] * (len(found) - len(of_border)), _BORDER)
         return pa.table([*_block_rows(found), of_border], ["shard", "block", "border"])
@@ -541,21 +582,23 @@ def score(docs: DataFrame, trie: Trie, keep: list[Column], text_col: str = "text
 
     def run(batches):
         model = sent.value
-        for b in batches:
-            for row, tokens, bounds in _tokens(texts_of(b.column(1))):
-                counts, base, full = model.score(tokens)
-                begins, n = bounds[:-1], bounds.size - 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        b.column(0).slice(row, n),
-                        pa.array(np.diff(bounds)),
-                        pa.array(np.add.reduceat((counts > 0).astype(np.int64), begins)),
-                        pa.array(np.full(n, model.words.tokens, np.int64)),
-                        pa.array(np.add.reduceat(base, begins)),
-                        pa.array(np.add.reduceat(full, begins)),
-                    ],
-                    ["kept", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+        pieces = ((b.slice(row, bounds.size - 1), tokens, bounds) for b in batches for row, tokens, bounds in _tokens(texts_of(b.column(1))))
+        for held in _row_runs(pieces):
+            scored, tokens, bounds = zip(*held, strict=True)
+            counts, base, full = model.score(np.concatenate(tokens))
+            n = np.concatenate([np.diff(x) for x in bounds])
+            begins = np.cumsum(n) - n
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([x.column(0) for x in scored]),
+                    pa.array(n),
+                    pa.array(np.add.reduceat((counts > 0).astype(np.int64), begins)),
+                    pa.array(np.full(n.size, model.words.tokens, np.int64)),
+                    pa.array(np.add.reduceat(base, begins)),
+                    pa.array(np.add.reduceat(full, begins)),
+                ],
+                ["kept", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
 
     kept, result = rows.schema["kept"].dataType, ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     given = [f"kept.`{c}`" for c in kept.names if c not in result]
