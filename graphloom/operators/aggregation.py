@@ -43,6 +43,11 @@ def dedupe_relationships(df: DataFrame) -> DataFrame:
     return df.groupBy(*keys).agg(F.min_by("properties", "ord").alias("properties"), F.min("ord").alias("ord"))
 
 
+def count_relationships(df: DataFrame) -> DataFrame:
+    """The distinct valid (from, type, to), with the number of their rows as ``occurrences``."""
+    return valid_relationships(df).groupBy("from_entity", "relationship_type", "to_entity").agg(F.count("*").alias("occurrences"))
+
+
 def entity_support(df: DataFrame) -> DataFrame:
     """Occurrences, chunks and documents of each entity."""
     per_chunk = df.groupBy("name", "entity_type", "doc_id", "chunk_seq").agg(F.count("*").alias("n"))
