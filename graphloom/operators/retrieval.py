@@ -16,6 +16,8 @@ from graphloom.sources.shared import written
 QUERY_BYTES, RANGE_BYTES = 1 << 26, 1 << 24
 #: Queries to which every vector's angle bounds its angle to the others, and how far a bound must be off to count.
 PIVOTS, MARGIN = 16, 1e-9
+#: Rows of a part of the starts, or of the nodes, that meet when a walk's result is given to all starts of a group.
+PART = 512
 
 
 def _units(column: pa.Array, width: int) -> np.ndarray:
@@ -132,23 +134,60 @@ def hubs(edges: DataFrame, max_degree: int, edge_types: tuple[str, ...] | None =
     return _steps(edges, edge_types, directed).groupBy(F.col("src_id").alias("node_id")).agg(F.count("*").alias("degree")).where(F.col("degree") > max_degree)
 
 
+def _twins(starts: DataFrame, e: DataFrame) -> DataFrame:
+    """(start_id, rep, alone): starts whose steps lead to the same nodes have the least of them as ``rep``; null without a step. Sets of
+    nodes are told apart by their size and 128 bits of hash, so none is gathered."""
+    here = e.join(starts.select(F.col("start_id").alias("src_id")), "src_id", "left_semi")
+    marks = here.groupBy(F.col("src_id").alias("start_id")).agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("dst_id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "dst_id")).alias("y"))
+    reps = marks.groupBy("n", "x", "y").agg(F.min("start_id").alias("rep"), (F.count("*") == 1).alias("alone"))
+    return starts.join(marks.join(reps, ["n", "x", "y"]).select("start_id", "rep", "alone"), "start_id", "left")
+
+
+def _for_each_twin(twins: DataFrame, reached: DataFrame) -> DataFrame:
+    """(start_id, node_id, hop): each of ``twins`` (start_id, rep) beside all that its ``rep`` reaches (start_id, node_id, hop).
+
+    Both sides of a rep are dealt into parts of about ``PART`` rows, and two parts meet in a group of their own: a hot rep is spread,
+    and about a ``PART``-th of the result is shuffled.
+    """
+    n = int(twins.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = lambda df, name: df.groupBy("rep").agg(F.ceil(F.count("*") / PART).cast("int").alias(name))
+    nodes = reached.select(F.col("start_id").alias("rep"), "node_id", "hop")
+    sizes = parts(twins, "rows").join(parts(nodes, "columns"), "rep")
+    own = lambda c, size: F.pmod(F.xxhash64(c), F.col(size)).cast("int")
+    every = lambda size: F.explode(F.sequence(F.lit(0), F.col(size) - 1))
+    left = twins.join(sizes, "rep").select("rep", "start_id", own("start_id", "rows").alias("i"), every("columns").alias("j"))
+    right = nodes.join(sizes, "rep").select("rep", "node_id", "hop", every("rows").alias("i"), own("node_id", "columns").alias("j"))
+    keys = ["rep", "i", "j"]
+    return left.repartition(n, *keys).join(right.repartition(n, *keys), keys).select("start_id", "node_id", "hop")
+
+
 def k_hop(start: DataFrame, edges: DataFrame, hops: int, edge_types: tuple[str, ...] | None = None, directed: bool = True, max_degree: int | None = None, materialize: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
     """(start_id, node_id, hop) of every node within ``hops`` steps of the nodes in ``start`` (node_id), with its least hop.
 
-    Each hop's frontier is written, and holds only nodes that no earlier one has, so every node is walked from once and the plan grows by one join a
-    hop. ``max_degree`` keeps walks from going on from ``hubs``, which that function lists.
+    Starts with the same first steps are walked from once (``_twins``); what they reach is the same but for themselves, and is given to each
+    at the end. Each hop's frontier is written, and holds only nodes that no earlier one has, so every node is walked from once and the plan
+    grows by one join a hop; steps are written once. ``max_degree`` keeps walks from going on from ``hubs``, which that function lists.
     """
     e = _steps(edges, edge_types, directed)
     if max_degree is not None:
         e = e.join(hubs(edges, max_degree, edge_types, directed).select(F.col("node_id").alias("src_id")), "src_id", "left_anti")
-    seen = front = materialize(start.select(F.col("node_id").alias("start_id"), "node_id").distinct().withColumn("hop", F.lit(0)))
+    e = written(e)
+    groups = materialize(_twins(start.select(F.col("node_id").alias("start_id")).distinct(), e))
+    at_start = lambda df: df.select("start_id", F.col("start_id").alias("node_id"), F.lit(0).alias("hop"))
+    other = ~F.col("start_id").eqNullSafe(F.col("node_id"))
+    found, front = at_start(groups), at_start(groups.where("start_id = rep"))
+    seen, reached = at_start(groups.where("start_id = rep and alone")), None  # twins reach each other, so a rep counts as seen only if alone
     for h in range(1, hops + 1):
         ahead = front.join(e, front["node_id"] == e["src_id"]).select("start_id", F.col("dst_id").alias("node_id")).distinct()
         front = materialize(ahead.join(seen.select("start_id", "node_id"), ["start_id", "node_id"], "left_anti").withColumn("hop", F.lit(h)))
         if front.isEmpty():
             break
-        seen = seen.unionByName(front)
-    return seen
+        seen, reached = seen.unionByName(front), front if reached is None else reached.unionByName(front)
+    if reached is None:
+        return found
+    found = found.unionByName(reached.where(other))
+    twins = groups.where("start_id <> rep").select("start_id", "rep")
+    return found if twins.isEmpty() else found.unionByName(_for_each_twin(twins, reached).where(other))
 
 
 def match_path(start: DataFrame, edges: DataFrame, types: tuple[str, ...]) -> DataFrame:
